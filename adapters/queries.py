@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adapters.tpch import END, SOURCES, inputs, rows_of, spark_source
+from adapters.tpch import END, duckdb_statement, inputs, rows_of, spark_source
 from tidemark.functions import scalars as X
 from tidemark.operators import loads, quality, rows
 from tidemark.operators.calendar import CAPACITY_START, calendar, date_spine
@@ -175,12 +175,12 @@ def sql(targets: str, body: str, sources: str = "") -> str:
     names = sources.split()
     for t in targets.split():
         names += [s for s in TARGETS[t][0].split() if s not in names]
-    parts = [f"{n} AS ({SOURCES[n].replace('{text}', 'VARCHAR')})" for n in names]
+    parts = [f"{n} AS ({duckdb_statement(n)})" for n in names]
     parts += [f"{t} AS ({TARGETS[t][1]})" for t in targets.split()]
     return f"WITH {', '.join(parts)} {body}"
 
 
-def target(name: str, **kw: str) -> str:
+def target(name: str) -> str:
     return sql(name, f"SELECT * FROM {name}")
 
 
@@ -278,9 +278,6 @@ def x13(spark, sf_dir):
     return rows_of(spark, sf_dir, "orders").select("o_orderkey", X.weekday("o_orderdate").alias("weekday"))
 
 
-_QUARTERS = [f"CAST(o_totalprice * {i} AS DOUBLE)" for i in range(1, 8)]
-
-
 @register(
     "x14_by_weekday",
     "SELECT o_orderkey, CASE isodow(o_orderdate) "

@@ -103,13 +103,12 @@ _AGAIN = re.sub(r"\bvalue\b", "value + 1", SOURCES["MFGITMTRK"]).replace("ts AS"
 SOURCES["MFGITMTRK_TWICE"] = f"{SOURCES['MFGITMTRK']} UNION ALL {_AGAIN} WHERE event_id % 10 = 0"
 
 # Dictionary: codes 0 to 5 of thirteen tables, country names, all customer segments but one and three supplier
-# categories; every entry also in a second language.
-_TABLES = [20, 21, 22, 23, 24, 30, 31, 32, 33, 34, 40, 41, 42]
+# categories; every entry in two languages. {each} and {list} make one row per list element.
 _FRENCH = [
     "SELECT 'ATABDIV' AS CODFIC_0, 'XLNGDESX' AS ZONE_0, CAST(t AS {text}) AS IDENT1_0, "
     "CAST(n_nationkey AS {text}) AS IDENT2_0, "
-    "concat('T', CAST(t AS {text}), '-', CAST(n_nationkey AS {text})) AS TEXTE_0 "
-    f"FROM nation JOIN (VALUES {', '.join(f'({t})' for t in _TABLES)}) AS v(t) ON n_nationkey < 6",
+    "concat('T', CAST(t AS {text}), '-', CAST(n_nationkey AS {text})) AS TEXTE_0 FROM (SELECT n_nationkey, "
+    "{each}({list}(20, 21, 22, 23, 24, 30, 31, 32, 33, 34, 40, 41, 42)) AS t FROM nation WHERE n_nationkey < 6) AS c",
     "SELECT 'TABCOUNTRY', 'CRYDES', n_name, '', concat('Pays ', n_name) FROM nation WHERE n_nationkey <> 7",
     "SELECT DISTINCT 'BPCCATEG', 'DESAXX', c_mktsegment, '', concat('Cat ', c_mktsegment) "
     "FROM customer WHERE c_mktsegment <> 'FURNITURE'",
@@ -117,21 +116,37 @@ _FRENCH = [
     "FROM region WHERE r_regionkey < 3",
 ]
 SOURCES["ATEXTRA"] = (
-    f"SELECT CODFIC_0, ZONE_0, l AS LANGUE_0, IDENT1_0, IDENT2_0, concat(l, ' ', TEXTE_0) AS TEXTE_0 "
-    f"FROM ({' UNION ALL '.join(_FRENCH)}) AS d JOIN (VALUES ('FRA'), ('ENG')) AS v(l) ON true"
+    "SELECT CODFIC_0, ZONE_0, LANGUE_0, IDENT1_0, IDENT2_0, concat(LANGUE_0, ' ', TEXTE_0) AS TEXTE_0 "
+    f"FROM (SELECT *, {{each}}({{list}}('FRA', 'ENG')) AS LANGUE_0 FROM ({' UNION ALL '.join(_FRENCH)}) AS d) AS e"
 )
 
 TABLES = "region nation customer supplier part orders lineitem events".split()
 
 
+def duckdb_statement(name: str) -> str:
+    """The statement of a source table for the check."""
+    return SOURCES[name].replace("{text}", "VARCHAR").replace("{each}", "unnest").replace("{list}", "list_value")
+
+
+_views: dict[tuple[str, str], str] = {}
+
+
+def _view(spark: SparkSession, sf_dir: str, table: str) -> str:
+    """Name of a view on a test table, made once per session, so that its footer is not read again each time."""
+    key = (spark.sparkContext.applicationId, f"{sf_dir}/{table}")
+    if key not in _views:
+        name = f"{table}_{len(_views)}"
+        spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(name)
+        _views[key] = name
+    return _views[key]
+
+
 def spark_source(spark: SparkSession, sf_dir: str) -> Callable[[str], DataFrame]:
     """Read function that gives a source table by name, built from the test tables."""
 
     def read(name: str) -> DataFrame:
-        query = SOURCES[name].replace("{text}", "STRING")
-        for t in TABLES:
-            query = re.sub(rf"\b(FROM|JOIN) {t}\b", rf"\1 parquet.`{sf_dir}/{t}.parquet`", query)
-        return spark.sql(query)
+        query = SOURCES[name].replace("{text}", "STRING").replace("{each}", "explode").replace("{list}", "array")
+        return spark.sql(re.sub(rf"\b(FROM|JOIN) ({'|'.join(TABLES)})\b", lambda m: f"{m[1]} {_view(spark, sf_dir, m[2])}", query))
 
     return read
 

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.sizing import estimated_bytes, estimated_small
+from tidemark.operators.sizing import estimated_small, input_bytes
 from tidemark.session import SKEW_MIN_BYTES, SKEW_MIN_ROWS, setting
 
 BUCKETS = 16_384
@@ -36,7 +36,7 @@ def _bucket(keys: Sequence[str]) -> Column:
 def find_skew(df: DataFrame, keys: Sequence[str]) -> Skew | None:
     """Overfull key buckets of ``df``, or None. Brings at most BUCKETS counts to the driver."""
     spark = df.sparkSession
-    if estimated_bytes(df) < setting(spark, SKEW_MIN_BYTES):
+    if input_bytes(df) < setting(spark, SKEW_MIN_BYTES):
         return None
     counts = df.groupBy(_bucket(keys).alias("bucket")).count().collect()
     total = sum(r["count"] for r in counts)
@@ -68,26 +68,26 @@ def spread_join(
     *,
     null_safe: bool = False,
     small: bool | None = None,
+    skewed: bool = True,
 ) -> DataFrame:
     """Join ``left`` to one or more right sides on the same keys, keeping each right side's other columns.
 
     ``how`` is inner, left, left_semi or left_anti. ``small`` states a size check already made by the caller;
-    without it the optimizer's estimate decides.
+    without it the optimizer's estimate decides. ``skewed=False`` states that no left key can be hot.
     All right sides share one salting, so ``left`` is shuffled once however many there are.
     """
     rights = [rights] if isinstance(rights, DataFrame) else list(rights)
     is_small = [estimated_small(r) if small is None else small for r in rights]
     left_keys = [l for l, _ in on]
-    skew = None if all(is_small) else find_skew(left, left_keys)
+    left_columns = set(left.columns)
+    skew = find_skew(left, left_keys) if skewed and not all(is_small) else None
     result = _salted(left, left_keys, skew) if skew else left
     for i, (right, tiny) in enumerate(zip(rights, is_small)):
-        names = {r: f"__r{i}_{j}" for j, (_, r) in enumerate(on)}
-        right = right.withColumnsRenamed(names)
-        terms = [
-            F.col(l).eqNullSafe(F.col(names[r])) if null_safe else F.col(l) == F.col(names[r])
-            for l, r in on
-        ]
-        extra = list(names.values())
+        names = {r: f"__r{i}_{r}" for _, r in on if r in left_columns}
+        right = right.withColumnsRenamed(names) if names else right
+        pairs = [(l, names.get(r, r)) for l, r in on]
+        terms = [F.col(l).eqNullSafe(F.col(r)) if null_safe else F.col(l) == F.col(r) for l, r in pairs]
+        extra = [r for _, r in pairs]
         if tiny:
             right = F.broadcast(right)
         elif skew:
@@ -112,12 +112,13 @@ def spine_cross(df: DataFrame, start: Column, end: Column, name: str = "day") ->
     return df.withColumn(name, F.explode(F.when(start <= end, days)))
 
 
-def new_rows(src: DataFrame, tgt: DataFrame, keys: Sequence[str]) -> DataFrame:
+def new_rows(src: DataFrame, tgt: DataFrame, keys: Sequence[str], skewed: bool = True) -> DataFrame:
     """Source rows whose key is not in the target. A null key part never matches, so such rows are kept.
 
-    Null-keyed rows skip the join: hashed together they would be one hot group.
+    Null-keyed rows skip the join: hashed together they would be one hot group. ``skewed=False`` states that no
+    source key can be hot.
     """
     missing = reduce(lambda x, y: x | y, [F.col(k).isNull() for k in keys])
     known = tgt.select(*keys)
-    fresh = spread_join(src.filter(~missing), known, [(k, k) for k in keys], "left_anti")
+    fresh = spread_join(src.filter(~missing), known, [(k, k) for k in keys], "left_anti", skewed=skewed)
     return fresh.unionByName(src.filter(missing))

@@ -24,7 +24,7 @@ def append_above(src: DataFrame, mark: int, cursor: str) -> DataFrame:
 
 def insert_absent(src: DataFrame, tgt: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Rows to append: the first row of each key the target does not hold."""
-    return new_rows(collapse(src, keys, order, "first"), tgt, keys)
+    return new_rows(collapse(src, keys, order, "first"), tgt, keys, skewed=False)
 
 
 def merge(src: DataFrame, tgt: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -39,14 +39,37 @@ def merge(src: DataFrame, tgt: DataFrame, keys: Sequence[str], order: Sequence[s
 
 
 def upsert(
-    src: DataFrame, tgt: DataFrame, keys: Sequence[str], update: Sequence[str], order: Sequence[str] = ()
+    src: DataFrame,
+    tgt: DataFrame,
+    keys: Sequence[str],
+    update: Sequence[str],
+    order: Sequence[str] = (),
+    unique_source: bool = False,
 ) -> DataFrame:
     """Next target state: every target row whose key is in the source takes its update columns; source rows
-    with a key unknown to the target are added. Target rows without source stay."""
+    with a key unknown to the target are added. Target rows without source stay.
+
+    ``unique_source`` states that no key comes twice in the source; then one full outer join does it all.
+    """
+    if unique_source:
+        return _upsert_unique(src, tgt, keys, update)
     staged = distinct(src)
     return matched_update(staged, tgt, keys, update, order).unionByName(new_rows(staged, tgt, keys))
 
 
+def _upsert_unique(src: DataFrame, tgt: DataFrame, keys: Sequence[str], update: Sequence[str]) -> DataFrame:
+    columns = tgt.columns
+    fresh = src.select(*[F.col(c).alias(f"__s_{c}") for c in columns], F.lit(True).alias("__new"))
+    held = tgt.withColumn("__held", F.lit(True))
+    same_key = reduce(lambda x, y: x & y, [F.col(k) == F.col(f"__s_{k}") for k in keys])
+
+    def pick(c: str) -> Column:
+        newer = F.col("__held").isNull() | F.col("__new") if c in update else F.col("__held").isNull()
+        return F.when(newer, F.col(f"__s_{c}")).otherwise(F.col(c)).alias(c)
+
+    return held.join(fresh, same_key, "full_outer").select([pick(c) for c in columns])
+
+
 def matched_update(
     src: DataFrame, tgt: DataFrame, keys: Sequence[str], update: Sequence[str], order: Sequence[str] = ()
 ) -> DataFrame:
@@ -62,7 +85,8 @@ def matched_update(
 
 
 def touched_months(src: DataFrame, tgt: DataFrame, keys: Sequence[str], day: str) -> DataFrame:
-    """Months a merge or upsert has to rewrite, each with its number of matched target rows.
+    """Months a merge or upsert has to rewrite: with ``matched``, the number of matched target rows, and ``most``, the
+    largest number of source rows of one key.
 
     A key is touched if it has a source row and its rows are not all equal to one another and to a target row. Its
     months are those of all its rows, on either side. Target rows matched but not touched count under a null month.
@@ -98,13 +122,16 @@ def touched_months(src: DataFrame, tgt: DataFrame, keys: Sequence[str], day: str
         F.array_distinct(F.array("first", "last"))
     )
     matched = F.when((F.col("sources") > 0) & ~keyless, targets).otherwise(0)
-    spread = per_key.select(matched.alias("matched"), F.posexplode_outer(F.when(touched, months)).alias("n", "month"))
-    return spread.groupBy("month").agg(F.sum(F.when(F.coalesce("n", F.lit(0)) == 0, F.col("matched"))).alias("matched"))
+    spread = per_key.select(
+        matched.alias("matched"), "sources", F.posexplode_outer(F.when(touched, months)).alias("n", "month")
+    )
+    once = F.when(F.coalesce("n", F.lit(0)) == 0, F.col("matched")).otherwise(0)
+    return spread.groupBy("month").agg(F.sum(once).alias("matched"), F.max("sources").alias("most"))
 
 
 def merge_counts(src: DataFrame, tgt: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row (inserted, updated): keys new to the target, and all other source rows, changed or not."""
-    fresh = new_rows(src.select(*keys).distinct(), tgt, keys).agg(F.count(F.lit(1)).alias("inserted"))
+    fresh = new_rows(src.select(*keys).distinct(), tgt, keys, skewed=False).agg(F.count(F.lit(1)).alias("inserted"))
     rows = src.agg(F.count(F.lit(1)).alias("rows"))
     both = fresh.select("inserted", F.lit(0).alias("rows")).unionByName(rows.select(F.lit(0).alias("inserted"), "rows"))
     return both.agg(F.sum("inserted").alias("inserted"), (F.sum("rows") - F.sum("inserted")).alias("updated"))

@@ -33,16 +33,18 @@ class Label:
 
     @property
     def slot(self) -> str:
-        return f"{self.form}/{'' if self.table is None else self.table}/"
+        return f"{self.form}/{self.zone}/{'' if self.table is None else self.table}/"
 
-    def rows(self) -> Column:
-        zone = F.col("ZONE_0") == self.zone if self.exact_zone else F.col("ZONE_0").contains(self.zone)
-        found = (F.col("CODFIC_0") == self.form) & zone
-        # Table numbers are text in the dictionary, as the same column also holds category and country codes.
-        return found if self.table is None else found & (F.col("IDENT1_0") == str(self.table))
+    @property
+    def rows(self) -> str:
+        """Condition of the slice. Table numbers are text, as the same column also holds category and country codes."""
+        zone = f"ZONE_0 = '{self.zone}'" if self.exact_zone else f"ZONE_0 LIKE '%{self.zone}%'"
+        number = "" if self.table is None else f" AND IDENT1_0 = '{self.table}'"
+        return f"(CODFIC_0 = '{self.form}' AND {zone}{number})"
 
-    def code(self) -> Column:
-        return F.col("IDENT1_0") if self.table is None else F.col("IDENT2_0")
+    @property
+    def code(self) -> str:
+        return "IDENT1_0" if self.table is None else "IDENT2_0"
 
 
 CATEGORY = Label(CATEGORY_FORM, CATEGORY_ZONE, exact_zone=True)
@@ -55,8 +57,8 @@ def table_label(number: int) -> Label:
 
 def label_dict(dictionary: DataFrame, label: Label, lang: str = LANGUAGE) -> DataFrame:
     """One slice as (code, text)."""
-    chosen = dictionary.filter((F.col("LANGUE_0") == lang) & label.rows())
-    return chosen.select(label.code().alias("code"), F.col("TEXTE_0").alias("text"))
+    chosen = dictionary.filter(F.expr(f"LANGUE_0 = '{lang}' AND {label.rows}"))
+    return chosen.select(F.col(label.code).alias("code"), F.col("TEXTE_0").alias("text"))
 
 
 def group_lookup(dictionary: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -83,21 +85,20 @@ def lookup_family(df: DataFrame, dictionary: DataFrame, labels: Mapping[str, tup
     All slices are grouped in a single pass under a combined (slice, code) key. Every look-up then joins the very
     same grouped frame, so Spark builds and broadcasts it once and reuses it.
     """
-    parts = {label.slot: label for _, label in labels.values()}
-    slot, code, any_slice = F.lit(None).cast("string"), F.lit(None).cast("string"), F.lit(False)
-    for name, label in parts.items():
-        slot = F.when(label.rows(), F.lit(name)).otherwise(slot)
-        code = F.when(label.rows(), label.code()).otherwise(code)
-        any_slice = any_slice | label.rows()
-    chosen = dictionary.filter((F.col("LANGUE_0") == LANGUAGE) & any_slice)
-    keyed = chosen.select(F.concat(slot, code).alias("__key"), F.col("TEXTE_0").alias("__text"))
-    grouped = group_lookup(keyed.filter("__key is not null"), ["__key"], "__text")
+    slices = {label.slot: label for _, label in labels.values()}
+    any_slice = " OR ".join(label.rows for label in slices.values())
+    key = " ".join(f"WHEN {label.rows} THEN concat('{slot}', {label.code})" for slot, label in slices.items())
+    chosen = dictionary.filter(F.expr(f"LANGUE_0 = '{LANGUAGE}' AND ({any_slice})"))
+    keyed = chosen.select(F.expr(f"CASE {key} END").alias("__key"), F.col("TEXTE_0").alias("__text"))
+    grouped = group_lookup(keyed.filter("__key IS NOT NULL"), ["__key"], "__text")
     small = measured_small(grouped)
-    for name, (column, label) in labels.items():
-        coded = df.withColumn("__code", F.concat(F.lit(label.slot), F.col(column)))
-        joined = spread_join(coded, grouped, [("__code", "__key")], "left", small=small)
-        df = joined.withColumn(name, strict(F.col("__n"), F.col("__value"), name)).drop("__code", "__n", "__value")
-    return df
+    codes = [F.concat(F.lit(label.slot), F.col(column)).alias(f"__c{i}") for i, (column, label) in enumerate(labels.values())]
+    joined = df.select("*", *codes)
+    for i in range(len(labels)):
+        entry = grouped.select(F.col("__key").alias(f"__k{i}"), F.col("__n").alias(f"__n{i}"), F.col("__value").alias(f"__v{i}"))
+        joined = spread_join(joined, entry, [(f"__c{i}", f"__k{i}")], "left", small=small)
+    found = [strict(F.col(f"__n{i}"), F.col(f"__v{i}"), name).alias(name) for i, name in enumerate(labels)]
+    return joined.select(*df.columns, *found)
 
 
 def label_unique(dictionary: DataFrame, keys: Sequence[str]) -> DataFrame:

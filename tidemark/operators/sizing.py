@@ -16,6 +16,12 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Estimated size of everything the frame reads. Unlike the estimate of a join it does not multiply up."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
 def measured_bytes(df: DataFrame) -> int:
     """Row count and text lengths, from one aggregate that reads the narrow side only."""
     text = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]

@@ -139,7 +139,7 @@ class Warehouse:
         found = violations(source, Rules(ds.rules.not_null, ds.rules.max_length))
         if found:
             raise RuleViolation(found)
-        months, _ = self._touched(ds, source)
+        months, _, _ = self._touched(ds, source)
         rows = source.count()
         if not months:
             if rows == self.store.read(ds).count():
@@ -155,20 +155,24 @@ class Warehouse:
     def _upsert(self, ds: Dataset) -> LoadReport:
         version, folders = self._state(ds)
         source = self._distinct(ds)
-        months, updated = self._touched(ds, source)
+        months, updated, most = self._touched(ds, source)
         if not months:
             return LoadReport(ds.name, IN_STEP)
 
         def next_state(src: DataFrame, tgt: DataFrame) -> DataFrame:
-            return loads.upsert(src, tgt, ds.keys, ds.update, ds.order)
+            return loads.upsert(src, tgt, ds.keys, ds.update, ds.order, unique_source=most <= 1)
 
         inserted = self._rewrite(ds, source, months, version, folders, next_state)
         return LoadReport(ds.name, LOADED, inserted, updated)
 
-    def _touched(self, ds: Dataset, source: DataFrame) -> tuple[set[int], int]:
-        """Months to rewrite and the number of matched target rows. At most one row per month comes back."""
+    def _touched(self, ds: Dataset, source: DataFrame) -> tuple[set[int], int, int]:
+        """Months to rewrite, number of matched target rows, largest number of source rows of one key.
+
+        At most one row per month comes back.
+        """
         found = loads.touched_months(source, self.store.read(ds), ds.keys, ds.month_column).collect()
-        return {r["month"] for r in found if r["month"] is not None}, sum(r["matched"] for r in found)
+        months = {r["month"] for r in found if r["month"] is not None}
+        return months, sum(r["matched"] for r in found), max((r["most"] for r in found), default=0)
 
     def _rewrite(self, ds: Dataset, source: DataFrame, months: set[int], version: int, folders: list[Folder], next_state):
         """Write the next state of the touched months; all other months keep their folders. Returns rows gained."""
