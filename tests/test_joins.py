@@ -1,0 +1,138 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from tests.conftest import values
+from tidemark.operators.joins import find_skew, merge_on, new_rows, spine_cross, spread_join
+from tidemark.operators.lookup import CATEGORY, COUNTRY, lookup, lookup_family, table_label
+
+
+def _hot(spark, n=3000):
+    """A third of the rows share key 0."""
+    return spark.range(n).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
+
+
+def test_skew_is_found(spark, forced_skew):
+    assert find_skew(_hot(spark), ["k"]).salts > 1
+    assert find_skew(spark.range(3000).select(F.col("id").alias("k")), ["k"]) is None
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_salted_join_equals_plain_join(spark, forced_skew, how):
+    left = _hot(spark)
+    right = spark.range(0, 3000, 2).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
+    right = right.unionByName(right.filter("k = 0"))
+    salted = spread_join(left, right, [("k", "k")], how)
+    assert "__salt" in salted._jdf.queryExecution().analyzed().toString()
+    assert values(salted) == values(left.join(right, "k", how))
+
+
+def test_salting_spreads_the_hot_key(spark, forced_skew, without_aqe):
+    right = spark.range(3000).select(F.col("id").alias("k"))
+    joined = spread_join(_hot(spark), right, [("k", "k")])
+    assert joined.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] < 1000
+
+
+def test_several_right_sides_share_one_salting(spark, forced_skew):
+    left = _hot(spark)
+    one = spark.range(3000).select(F.col("id").alias("k"), F.lit(1).alias("a"))
+    two = spark.range(3000).select(F.col("id").alias("k"), F.lit(2).alias("b"))
+    joined = spread_join(left, [one, two], [("k", "k")])
+    assert joined.columns == ["k", "v", "a", "b"]
+    assert joined.count() == 3000
+
+
+def test_null_keys_match_in_merge_on(frame):
+    left, right = frame("k string, a int", [(None, 1), ("x", 2), ("y", 3)]), frame("k string, b int", [(None, 7), ("x", 8)])
+    assert values(merge_on(left, right, "k")) == [("x", 2, 8), (None, 1, 7)]
+
+
+def test_null_keys_match_when_salted(frame, forced_skew):
+    left = frame("k string, a int", [(None, i) for i in range(300)] + [("x", i) for i in range(9)])
+    right = frame("k string, b int", [(None, 7), ("x", 8)])
+    assert merge_on(left, right, "k").count() == 309
+
+
+def test_new_rows_keep_null_keys(frame):
+    src = frame("a string, b int", [("x", 1), ("x", 2), (None, 1), ("y", None)])
+    tgt = frame("a string, b int", [("x", 1), (None, 1), ("y", None)])
+    assert values(new_rows(src, tgt, ["a", "b"])) == [("x", 2), ("y", None), (None, 1)]
+
+
+def test_spine_cross_makes_one_row_per_day(frame):
+    df = spine_cross(frame("n int", [(1,), (2,)]), F.lit("2020-02-28").cast("date"), F.lit("2020-03-01").cast("date"))
+    assert df.count() == 6
+
+
+DICT = "CODFIC_0 string, ZONE_0 string, LANGUE_0 string, IDENT1_0 string, IDENT2_0 string, TEXTE_0 string"
+
+
+@pytest.fixture
+def labels(frame):
+    return frame(
+        DICT,
+        [
+            ("ATABDIV", "LNGDES", "FRA", "30", "A", "label A"),
+            ("ATABDIV", "XLNGDESX", "FRA", "30", "D", "one"),
+            ("ATABDIV", "LNGDES", "FRA", "30", "D", "two"),
+            ("ATABDIV", "LNGDES", "ENG", "30", "A", "english"),
+            ("ATABDIV", "LNGDES", "FRA", "31", "A", "other table"),
+            ("BPCCATEG", "DESAXX", "FRA", "A", "", "category"),
+            ("BPCCATEG", "XDESAXX", "FRA", "A", "", "not an exact zone"),
+            ("TABCOUNTRY", "CRYDES", "FRA", "30", "", "country 30"),
+        ],
+    )
+
+
+FAMILY = {
+    "name": ("code", table_label(30)),
+    "other": ("code", table_label(31)),
+    "category": ("code", CATEGORY),
+    "country": ("code", COUNTRY),
+}
+
+
+def test_labels_by_slice_missing_and_null(frame, labels):
+    df = frame("id int, code string", [(1, "A"), (2, "B"), (3, None), (4, "30")])
+    assert values(lookup_family(df, labels, FAMILY)) == [
+        (1, "A", "label A", "other table", "category", None),
+        (2, "B", None, None, None, None),
+        (3, None, None, None, None, None),
+        (4, "30", None, None, None, "country 30"),
+    ]
+
+
+def test_label_of_a_used_ambiguous_code_is_an_error(frame, labels):
+    df = frame("id int, code string", [(1, "D")])
+    with pytest.raises(PySparkException, match="ambiguous"):
+        lookup_family(df, labels, FAMILY).collect()
+
+
+def test_family_without_broadcast(frame, labels, forced_skew):
+    df = frame("id int, code string", [(i, "A") for i in range(300)] + [(300, "B")])
+    found = lookup_family(df, labels, FAMILY)
+    assert found.filter("name = 'label A' and other = 'other table' and category = 'category'").count() == 300
+    assert found.count() == 301
+
+
+def test_filter_on_a_label_does_not_reach_unused_ambiguous_codes(frame, labels):
+    df = frame("id int, code string", [(1, "A"), (2, "B")])
+    assert values(lookup_family(df, labels, FAMILY).filter("name = 'label A'").select("id")) == [(1,)]
+    codes = frame("c string, t string", [("A", "x"), ("D", "y"), ("D", "z")])
+    assert values(lookup(df, codes, [("code", "c")], "t", "n").filter("n = 'x'").select("id")) == [(1,)]
+
+
+def test_one_broadcast_serves_all_look_ups(frame, labels):
+    df = lookup_family(frame("id int, code string", [(1, "A")]), labels, FAMILY)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("ReusedExchange") == 3
+
+
+def test_lookup_on_two_columns(frame):
+    reps = frame("c string, y string, r string", [("1", "C0", "R"), ("2", "C1", "S")])
+    docs = frame("n int, c string, y string", [(1, "1", "C0"), (2, "1", "C1"), (3, None, "C0")])
+    found = lookup(docs, reps, [("c", "c"), ("y", "y")], "r", "rep")
+    assert values(found.select("n", "rep")) == [(1, "R"), (2, None), (3, None)]

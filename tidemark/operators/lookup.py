@@ -66,17 +66,23 @@ def group_lookup(dictionary: DataFrame, keys: Sequence[str], value: str) -> Data
     return dictionary.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min(value).alias("__value"))
 
 
-def strict(count: Column, value: Column, what: str) -> Column:
-    """The looked-up value, or an error for a key with several entries."""
-    message = f"look-up of {what} is ambiguous"
-    return F.when(count > 1, F.raise_error(F.lit(message)).cast("string")).otherwise(value)
+def strict(count: Column, value: Column, what: str, asked: Column | str) -> Column:
+    """The looked-up value, or an error for a key with several entries.
+
+    ``asked`` is a column of the asking row, other than the join key, for the message. It also ties the expression to
+    both sides of the join: a filter on the result must not be evaluated on dictionary entries that no row uses.
+    """
+    asked = F.col(asked) if isinstance(asked, str) else asked
+    message = F.concat(F.lit(f"look-up of {what} is ambiguous for "), F.coalesce(asked.cast("string"), F.lit("null")))
+    return F.when(count > 1, F.raise_error(message).cast("string")).otherwise(value)
 
 
 def lookup(df: DataFrame, dictionary: DataFrame, on: Sequence[tuple[str, str]], value: str, as_: str) -> DataFrame:
     """Add column ``as_`` with the one dictionary value for the row's key."""
     grouped = group_lookup(dictionary, [r for _, r in on], value)
-    joined = spread_join(df, grouped, on, "left")
-    return joined.withColumn(as_, strict(F.col("__n"), F.col("__value"), as_)).drop("__n", "__value")
+    asking = df.withColumn("__asked", F.concat_ws("/", *[F.col(l).cast("string") for l, _ in on]))
+    joined = spread_join(asking, grouped, on, "left")
+    return joined.select(*df.columns, strict(F.col("__n"), F.col("__value"), as_, "__asked").alias(as_))
 
 
 def lookup_family(df: DataFrame, dictionary: DataFrame, labels: Mapping[str, tuple[str, Label]]) -> DataFrame:
@@ -97,7 +103,10 @@ def lookup_family(df: DataFrame, dictionary: DataFrame, labels: Mapping[str, tup
     for i in range(len(labels)):
         entry = grouped.select(F.col("__key").alias(f"__k{i}"), F.col("__n").alias(f"__n{i}"), F.col("__value").alias(f"__v{i}"))
         joined = spread_join(joined, entry, [(f"__c{i}", f"__k{i}")], "left", small=small)
-    found = [strict(F.col(f"__n{i}"), F.col(f"__v{i}"), name).alias(name) for i, name in enumerate(labels)]
+    found = [
+        strict(F.col(f"__n{i}"), F.col(f"__v{i}"), name, column).alias(name)
+        for i, (name, (column, _)) in enumerate(labels.items())
+    ]
     return joined.select(*df.columns, *found)
 
 

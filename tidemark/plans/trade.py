@@ -41,7 +41,7 @@ def _with_representative(src: Inputs, header: DataFrame, customer: str) -> DataF
 
 
 def _representative() -> Expr:
-    return strict(F.col("__n"), F.col("__value"), "representant").alias("representant")
+    return strict(F.col("__n"), F.col("__value"), "representant", "ITMREF_0").alias("representant")
 
 
 def build_quote(src: Inputs) -> DataFrame:
