@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import pyarrow as pa
 import pytest
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import _parse_datatype_string
 
 from adapters.tpch import spark_source
 from tidemark.session import BROADCAST_BYTES, SKEW_MIN_BYTES, SKEW_MIN_ROWS, local_session
@@ -45,7 +48,14 @@ def without_aqe(spark):
 @pytest.fixture
 def frame(spark):
     """``frame("a int, b string", [(1, "x")])``"""
-    return lambda schema, rows: spark.createDataFrame(rows, schema)
+
+    def make(schema, rows):
+        types = _parse_datatype_string(schema)
+        columns = list(zip(*rows)) or [()] * len(types)
+        table = pa.table([list(c) for c in columns], schema=to_arrow_schema(types))
+        return spark.createDataFrame(table, types)
+
+    return make
 
 
 @pytest.fixture

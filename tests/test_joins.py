@@ -136,3 +136,12 @@ def test_lookup_on_two_columns(frame):
     docs = frame("n int, c string, y string", [(1, "1", "C0"), (2, "1", "C1"), (3, None, "C0")])
     found = lookup(docs, reps, [("c", "c"), ("y", "y")], "r", "rep")
     assert values(found.select("n", "rep")) == [(1, "R"), (2, None), (3, None)]
+
+
+def test_a_hot_group_of_copies_is_spread(spark, forced_skew, without_aqe):
+    """A third of the rows are equal."""
+    left = spark.range(0, 6000, 1, 50).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
+    right = spark.range(-1, 6000).select(F.col("id").alias("k"), F.lit(1).alias("w"))
+    joined = spread_join(left, right, [("k", "k")])
+    assert joined.count() == 6000
+    assert joined.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] < 2000

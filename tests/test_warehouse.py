@@ -242,3 +242,12 @@ def test_export_keeps_null_fields(company, tmp_path):
     company(("A", None, 1)).export("COMPANY", str(tmp_path / "out"))
     lines = [line for f in (tmp_path / "out").glob("*.json") for line in f.read_text().splitlines()]
     assert [json.loads(line) for line in lines] == [{"CPY_0": "A", "CPYNAM_0": None, "ROWID": 1}]
+
+
+def test_staged_copies_are_removed(company, spark):
+    from pathlib import Path
+
+    warehouse = company(("A", "a", 1))
+    warehouse.load("COMPANY")
+    warehouse.sync("COMPANY")
+    assert not list(Path(spark.conf.get("spark.checkpoint.dir")).glob("load-*"))

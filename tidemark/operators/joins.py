@@ -48,8 +48,13 @@ def find_skew(df: DataFrame, keys: Sequence[str]) -> Skew | None:
     return Skew(sorted(r["bucket"] for r in hot), -(-max(r["count"] for r in hot) // share))
 
 
-def _salted(left: DataFrame, keys: Sequence[str], skew: Skew) -> DataFrame:
-    row_salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns], F.lit(1)), F.lit(skew.salts))
+def _salted(left: DataFrame, keys: Sequence[str], skew: Skew, copies: bool) -> DataFrame:
+    """Salt the rows of overfull buckets by their content and, if there may be copies, by the task that reads them.
+
+    Both stay the same when a task is repeated, unlike a random number or a row's position.
+    """
+    origin = [F.spark_partition_id()] if copies else []
+    row_salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns], *origin), F.lit(skew.salts))
     hot = _bucket(keys).isin(skew.buckets)
     return left.withColumn(SALT, F.when(hot, row_salt).otherwise(0).cast("int"))
 
@@ -69,11 +74,13 @@ def spread_join(
     null_safe: bool = False,
     small: bool | None = None,
     skewed: bool = True,
+    copies: bool = True,
 ) -> DataFrame:
     """Join ``left`` to one or more right sides on the same keys, keeping each right side's other columns.
 
     ``how`` is inner, left, left_semi or left_anti. ``small`` states a size check already made by the caller;
-    without it the optimizer's estimate decides. ``skewed=False`` states that no left key can be hot.
+    without it the optimizer's estimate decides. ``skewed=False`` states that no left key can be hot,
+    ``copies=False`` that no two left rows are equal; then later filters still reach the left side's scan.
     All right sides share one salting, so ``left`` is shuffled once however many there are.
     """
     rights = [rights] if isinstance(rights, DataFrame) else list(rights)
@@ -81,7 +88,7 @@ def spread_join(
     left_keys = [l for l, _ in on]
     left_columns = set(left.columns)
     skew = find_skew(left, left_keys) if skewed and not all(is_small) else None
-    result = _salted(left, left_keys, skew) if skew else left
+    result = _salted(left, left_keys, skew, copies) if skew else left
     for i, (right, tiny) in enumerate(zip(rights, is_small)):
         names = {r: f"__r{i}_{r}" for _, r in on if r in left_columns}
         right = right.withColumnsRenamed(names) if names else right

@@ -22,7 +22,7 @@ def number_staged(staged: DataFrame, start: int = 0, name: str = "id") -> DataFr
     placed = staged.select(
         "*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__index")
     )
-    before = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy(F.length("__file"), "__file").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy("__file")
         .agg(F.count(F.lit(1)).alias("__rows"))

@@ -102,7 +102,7 @@ def lookup_family(df: DataFrame, dictionary: DataFrame, labels: Mapping[str, tup
     joined = df.select("*", *codes)
     for i in range(len(labels)):
         entry = grouped.select(F.col("__key").alias(f"__k{i}"), F.col("__n").alias(f"__n{i}"), F.col("__value").alias(f"__v{i}"))
-        joined = spread_join(joined, entry, [(f"__c{i}", f"__k{i}")], "left", small=small)
+        joined = spread_join(joined, entry, [(f"__c{i}", f"__k{i}")], "left", small=small, copies=False)
     found = [
         strict(F.col(f"__n{i}"), F.col(f"__v{i}"), name, column).alias(name)
         for i, (name, (column, _)) in enumerate(labels.items())

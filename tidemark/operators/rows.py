@@ -66,9 +66,11 @@ def multiset_sums(columns: Sequence[str]) -> list[Column]:
     return sums
 
 
-def fingerprint(df: DataFrame) -> tuple:
-    """The fingerprint of a whole frame: one scan, no shuffle of rows."""
-    return tuple(df.agg(*multiset_sums(df.columns)).first())
+def same_fingerprint(a: DataFrame, b: DataFrame) -> bool:
+    """Compare both frames by fingerprint: one scan of each, no shuffle of rows."""
+    both = a.withColumn("__side", F.lit(0)).unionByName(b.withColumn("__side", F.lit(1)))
+    found = {r[0]: tuple(r)[1:] for r in both.groupBy("__side").agg(*multiset_sums(a.columns)).collect()}
+    return found.get(0) == found.get(1)
 
 
 def signed_counts(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -84,7 +86,7 @@ def same_rows(a: DataFrame, b: DataFrame, exact: bool = True) -> bool:
     confirmed by signed counts if ``exact``.
     """
     b = b.select(*_quoted(a.columns))
-    if fingerprint(a) != fingerprint(b):
+    if not same_fingerprint(a, b):
         return False
     return signed_counts(a, b).isEmpty() if exact else True
 

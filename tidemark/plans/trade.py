@@ -23,9 +23,10 @@ def document_lines(
     Joined on the document number alone, a document with q lines and p price rows gives q·p rows: that is the
     meaning of the order datasets. ``line_key`` joins the further tables by line instead.
     """
+    copies = "ROWID" not in lines.columns
     if line_key is None:
-        return spread_join(lines, [header, *more], [(number, number)])
-    result = spread_join(lines, header, [(number, number)])
+        return spread_join(lines, [header, *more], [(number, number)], copies=copies)
+    result = spread_join(lines, header, [(number, number)], copies=copies)
     for detail in more:
         result = spread_join(result, detail, [(number, number), (line_key, line_key)])
     return result
@@ -37,7 +38,7 @@ def _with_representative(src: Inputs, header: DataFrame, customer: str) -> DataF
     The number of entries travels along: only a document line that uses an ambiguous entry is an error.
     """
     reps = group_lookup(src["YREPRE"], ["YBPCNUM_0", "YCPY_0"], "YREP_0")
-    return spread_join(header, reps, [(customer, "YBPCNUM_0"), ("CPY_0", "YCPY_0")], "left")
+    return spread_join(header, reps, [(customer, "YBPCNUM_0"), ("CPY_0", "YCPY_0")], "left", copies=False)
 
 
 def _representative() -> Expr:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,12 +67,23 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
-def stage(df: DataFrame) -> DataFrame:
+def stage(df: DataFrame, folder: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts the lineage: later steps see the same rows in the same files, also after an executor is lost.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/stage-{uuid.uuid4().hex}"
+    path = f"{folder or shared_dir(spark)}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[str]:
+    """A folder for staged frames that is removed at the end of the block."""
+    folder = f"{shared_dir(spark)}/load-{uuid.uuid4().hex}"
+    try:
+        yield folder
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -68,13 +68,19 @@ def read_source(
     return df.select(*columns) if columns else df
 
 
-# Source tables that carry a row cursor to split a JDBC read on.
-CURSOR = "ROWID"
-WITH_CURSOR = frozenset(
-    "COMPANY SALESREP BPCUSTOMER BPSUPPLIER ITMMASTER SQUOTED SORDER SDELIVERY SINVOICED PORDER PRECEIPT".split()
-)
-
-
-def reader(spark: SparkSession, profile: Profile) -> Callable[[str], DataFrame]:
-    """Read function over one profile, for ``Inputs`` and ``Warehouse``."""
-    return lambda table: read_source(spark, profile, table, cursor=CURSOR if table in WITH_CURSOR else None)
+# Source tables known to carry a row cursor to split a JDBC read on.
+SPLIT_ON = {
+    table: "ROWID"
+    for table in "COMPANY SALESREP BPCUSTOMER BPSUPPLIER ITMMASTER SQUOTED SORDER SDELIVERY SINVOICED PORDER PRECEIPT".split()
+}
+
+
+def reader(
+    spark: SparkSession, profile: Profile, split_on: Mapping[str, str] = SPLIT_ON, parts: int = 64
+) -> Callable[[str], DataFrame]:
+    """Read function over one profile, for ``Inputs`` and ``Warehouse``.
+
+    ``split_on`` names a numeric column per table; a large table without one is read over a single connection, so add
+    the line and price tables wherever the source has a row number for them.
+    """
+    return lambda table: read_source(spark, profile, table, cursor=split_on.get(table), parts=parts)

@@ -17,7 +17,7 @@ from tidemark.operators.quality import Rules, RuleViolation, mark, taken, violat
 from tidemark.operators.rows import distinct, same_rows
 from tidemark.plans.catalog import DATASETS
 from tidemark.plans.model import Dataset, Inputs
-from tidemark.session import stage
+from tidemark.session import stage, staging
 from tidemark.sources.records import export_records
 from tidemark.sources.store import REJECTED, Folder, Store
 
@@ -53,6 +53,7 @@ class Warehouse:
         self.spark = spark
         self.store = Store(spark, root)
         self.inputs = Inputs(spark, read, end)
+        self._staged: str | None = None
 
     def create(self, name: str) -> LoadReport:
         return LoadReport(name, self.store.ensure(DATASETS[name]))
@@ -83,7 +84,8 @@ class Warehouse:
 
     def _guarded(self, run: Callable[..., LoadReport], ds: Dataset, *args) -> LoadReport:
         try:
-            return run(ds, *args)
+            with staging(self.spark) as self._staged:
+                return run(ds, *args)
         except (RuleViolation, PySparkException) as error:
             raise LoadFailed(LoadReport(ds.name, FAILED, message=str(error))) from error
 
@@ -125,7 +127,7 @@ class Warehouse:
     def _replace(self, ds: Dataset) -> LoadReport:
         """The source is read once into a staged copy, compared, and only numbered and written if it differs."""
         version, folders = self._state(ds)
-        staged = stage(conform(ds.build(self.inputs), ds.schema))
+        staged = stage(conform(ds.build(self.inputs), ds.schema), self._staged)
         known = sum(f.rows or 0 for f in folders)
         if staged.count() == known and same_rows(staged, self.store.read(ds), exact=False):
             return LoadReport(ds.name, IN_STEP)
@@ -135,7 +137,7 @@ class Warehouse:
 
     def _merge(self, ds: Dataset) -> LoadReport:
         version, folders = self._state(ds)
-        source = stage(conform(ds.build(self.inputs), ds.schema))
+        source = stage(conform(ds.build(self.inputs), ds.schema), self._staged)
         found = violations(source, Rules(ds.rules.not_null, ds.rules.max_length))
         if found:
             raise RuleViolation(found)
@@ -207,7 +209,7 @@ class Warehouse:
             landed = self.store.read_folders(ds, written)
             self._check(ds, landed, target)
             return written, landed.count()
-        staged = rows if is_staged else stage(conform(rows, ds.schema))
+        staged = rows if is_staged else stage(conform(rows, ds.schema), self._staged)
         self._check(ds, staged, target)
         top = F.max(ds.cursor) if ds.cursor else F.lit(None)
         count, cursor = staged.agg(F.count(F.lit(1)), top).first()
