@@ -88,7 +88,7 @@ def lookup(df: DataFrame, dictionary: DataFrame, on: Sequence[tuple[str, str]],
 def lookup_family(df: DataFrame, dictionary: DataFrame, labels: Mapping[str, tuple[str, Label]]) -> DataFrame:
     """Several look-ups against slices of one dictionary: ``{new column: (code column, slice)}``.
 
-    All slices are grouped in a single pass under a combined (slice, code) key. Every look-up then joins the very
+    Slices do not overlap, and the rows of ``df`` are distinct (each carries a number). All slices are grouped in a single pass under a combined (slice, code) key. Every look-up then joins the very
     same grouped frame, so Spark builds and broadcasts it once and reuses it.
     """
     slices = {label.slot: label for _, label in labels.values()}

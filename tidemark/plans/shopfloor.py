@@ -71,9 +71,8 @@ def _week_plans(src: Inputs) -> DataFrame:
 
 
 def _spread_out(plans: DataFrame) -> DataFrame:
-    """A station becomes thousands of days: spread the few stations over all tasks before that."""
-    tasks = int(plans.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return plans.repartition(tasks, *plans.columns)
+    """A station becomes thousands of days: spread the few stations evenly over all tasks before that, copies too."""
+    return plans.repartition(int(plans.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def build_capacity(src: Inputs) -> DataFrame:
