@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-from tidemark.sources.profiles import Profile, jdbc_options, read_source, reader
+from tidemark.sources.profiles import Profile, jdbc_options, read_source, reader, write_options
 
 
 def test_profile_from_environment(monkeypatch):
@@ -32,3 +32,8 @@ def test_parquet_profile(spark, tmp_path):
     profile = Profile("parquet", location=f"{tmp_path}/{{table}}")
     assert read_source(spark, profile, "COMPANY", ["id"]).count() == 3
     assert reader(spark, profile)("COMPANY").count() == 3
+
+
+def test_jdbc_write_keeps_the_table_definition():
+    options = write_options(Profile("jdbc", {"url": "jdbc:x", "batchsize": "1000"}, "dbo.{table}"), "COMPANY")
+    assert options == {"url": "jdbc:x", "batchsize": "1000", "truncate": "true", "dbtable": "dbo.COMPANY"}

@@ -19,6 +19,7 @@ from tidemark.session import SKEW_MIN_BYTES, SKEW_MIN_ROWS, setting
 
 BUCKETS = 16_384
 SALT = "__salt"
+MEASURE = "measure"
 
 Pairs = Sequence[tuple[str, str]]
 
@@ -33,19 +34,28 @@ def _bucket(keys: Sequence[str]) -> Column:
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(BUCKETS)).cast("int")
 
 
-def find_skew(df: DataFrame, keys: Sequence[str]) -> Skew | None:
-    """Overfull key buckets of ``df``, or None. Brings at most BUCKETS counts to the driver."""
+def find_skews(df: DataFrame, key_sets: Sequence[Sequence[str]]) -> list[Skew | None]:
+    """For each set of key columns the overfull buckets of ``df``, or None.
+
+    One pass over the key columns; brings at most BUCKETS counts per set to the driver.
+    """
     spark = df.sparkSession
     if input_bytes(df) < setting(spark, SKEW_MIN_BYTES):
-        return None
-    counts = df.groupBy(_bucket(keys).alias("bucket")).count().collect()
-    total = sum(r["count"] for r in counts)
+        return [None] * len(key_sets)
+    pairs = F.array(*[F.struct(F.lit(i).alias("i"), _bucket(keys).alias("bucket")) for i, keys in enumerate(key_sets)])
+    counts = df.select(F.inline(pairs)).groupBy("i", "bucket").count().collect()
+    total = sum(r["count"] for r in counts if r["i"] == 0)
     share = max(total // int(spark.conf.get("spark.sql.shuffle.partitions")), setting(spark, SKEW_MIN_ROWS), 1)
     limit = max(2 * share, 8 * total // BUCKETS)
-    hot = [r for r in counts if r["count"] > limit]
-    if not hot:
-        return None
-    return Skew(sorted(r["bucket"] for r in hot), -(-max(r["count"] for r in hot) // share))
+    found: list[Skew | None] = []
+    for i in range(len(key_sets)):
+        hot = {r["bucket"]: r["count"] for r in counts if r["i"] == i and r["count"] > limit}
+        found.append(Skew(sorted(hot), -(-max(hot.values()) // share)) if hot else None)
+    return found
+
+
+def find_skew(df: DataFrame, keys: Sequence[str]) -> Skew | None:
+    return find_skews(df, [keys])[0]
 
 
 def _salted(left: DataFrame, keys: Sequence[str], skew: Skew, copies: bool) -> DataFrame:
@@ -73,13 +83,13 @@ def spread_join(
     *,
     null_safe: bool = False,
     small: bool | None = None,
-    skewed: bool = True,
+    skew: Skew | str | None = MEASURE,
     copies: bool = True,
 ) -> DataFrame:
     """Join ``left`` to one or more right sides on the same keys, keeping each right side's other columns.
 
     ``how`` is inner, left, left_semi or left_anti. ``small`` states a size check already made by the caller;
-    without it the optimizer's estimate decides. ``skewed=False`` states that no left key can be hot,
+    without it the optimizer's estimate decides. ``skew=None`` states that no left key is hot,
     ``copies=False`` that no two left rows are equal; then later filters still reach the left side's scan.
     All right sides share one salting, so ``left`` is shuffled once however many there are.
     """
@@ -87,7 +97,10 @@ def spread_join(
     is_small = [estimated_small(r) if small is None else small for r in rights]
     left_keys = [l for l, _ in on]
     left_columns = set(left.columns)
-    skew = find_skew(left, left_keys) if skewed and not all(is_small) else None
+    if all(is_small):
+        skew = None
+    elif skew == MEASURE:
+        skew = find_skew(left, left_keys)
     result = _salted(left, left_keys, skew, copies) if skew else left
     for i, (right, tiny) in enumerate(zip(rights, is_small)):
         names = {r: f"__r{i}_{r}" for _, r in on if r in left_columns}
@@ -119,13 +132,15 @@ def spine_cross(df: DataFrame, start: Column, end: Column, name: str = "day") ->
     return df.withColumn(name, F.explode(F.when(start <= end, days)))
 
 
-def new_rows(src: DataFrame, tgt: DataFrame, keys: Sequence[str], skewed: bool = True) -> DataFrame:
+def new_rows(
+    src: DataFrame, tgt: DataFrame, keys: Sequence[str], skew: Skew | str | None = MEASURE
+) -> DataFrame:
     """Source rows whose key is not in the target. A null key part never matches, so such rows are kept.
 
-    Null-keyed rows skip the join: hashed together they would be one hot group. ``skewed=False`` states that no
-    source key can be hot.
+    Null-keyed rows skip the join: hashed together they would be one hot group. ``skew=None`` states that no
+    source key is hot.
     """
     missing = reduce(lambda x, y: x | y, [F.col(k).isNull() for k in keys])
     known = tgt.select(*keys)
-    fresh = spread_join(src.filter(~missing), known, [(k, k) for k in keys], "left_anti", skewed=skewed)
+    fresh = spread_join(src.filter(~missing), known, [(k, k) for k in keys], "left_anti", skew=skew)
     return fresh.unionByName(src.filter(missing))

@@ -24,7 +24,7 @@ def append_above(src: DataFrame, mark: int, cursor: str) -> DataFrame:
 
 def insert_absent(src: DataFrame, tgt: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Rows to append: the first row of each key the target does not hold."""
-    return new_rows(collapse(src, keys, order, "first"), tgt, keys, skewed=False)
+    return new_rows(collapse(src, keys, order, "first"), tgt, keys, skew=None)
 
 
 def merge(src: DataFrame, tgt: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -131,7 +131,7 @@ def touched_months(src: DataFrame, tgt: DataFrame, keys: Sequence[str], day: str
 
 def merge_counts(src: DataFrame, tgt: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row (inserted, updated): keys new to the target, and all other source rows, changed or not."""
-    fresh = new_rows(src.select(*keys).distinct(), tgt, keys, skewed=False).agg(F.count(F.lit(1)).alias("inserted"))
+    fresh = new_rows(src.select(*keys).distinct(), tgt, keys, skew=None).agg(F.count(F.lit(1)).alias("inserted"))
     rows = src.agg(F.count(F.lit(1)).alias("rows"))
     both = fresh.select("inserted", F.lit(0).alias("rows")).unionByName(rows.select(F.lit(0).alias("inserted"), "rows"))
     return both.agg(F.sum("inserted").alias("inserted"), (F.sum("rows") - F.sum("inserted")).alias("updated"))

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import spread_join
+from tidemark.operators.joins import find_skews, spread_join
 from tidemark.operators.sizing import measured_small
 
 # Form names, field names and language of the label dictionary.
@@ -88,8 +88,9 @@ def lookup(df: DataFrame, dictionary: DataFrame, on: Sequence[tuple[str, str]],
 def lookup_family(df: DataFrame, dictionary: DataFrame, labels: Mapping[str, tuple[str, Label]]) -> DataFrame:
     """Several look-ups against slices of one dictionary: ``{new column: (code column, slice)}``.
 
-    Slices do not overlap, and the rows of ``df`` are distinct (each carries a number). All slices are grouped in a single pass under a combined (slice, code) key. Every look-up then joins the very
-    same grouped frame, so Spark builds and broadcasts it once and reuses it.
+    Slices do not overlap, and the rows of ``df`` are distinct (each carries a number). All slices are grouped in a
+    single pass under a combined (slice, code) key. Every look-up then joins the very same grouped frame, so Spark
+    builds and broadcasts it once and reuses it.
     """
     slices = {label.slot: label for _, label in labels.values()}
     any_slice = " OR ".join(label.rows for label in slices.values())
@@ -98,11 +99,14 @@ def lookup_family(df: DataFrame, dictionary: DataFrame, labels: Mapping[str, tup
     keyed = chosen.select(F.expr(f"CASE {key} END").alias("__key"), F.col("TEXTE_0").alias("__text"))
     grouped = group_lookup(keyed.filter("__key IS NOT NULL"), ["__key"], "__text")
     small = measured_small(grouped)
-    codes = [F.concat(F.lit(label.slot), F.col(column)).alias(f"__c{i}") for i, (column, label) in enumerate(labels.values())]
-    joined = df.select("*", *codes)
-    for i in range(len(labels)):
-        entry = grouped.select(F.col("__key").alias(f"__k{i}"), F.col("__n").alias(f"__n{i}"), F.col("__value").alias(f"__v{i}"))
-        joined = spread_join(joined, entry, [(f"__c{i}", f"__k{i}")], "left", small=small, copies=False)
+    asked = [F.concat(F.lit(label.slot), F.col(column)) for column, label in labels.values()]
+    joined = df.select("*", *[code.alias(f"__c{i}") for i, code in enumerate(asked)])
+    # Statistical codes have few values, so most are hot: measured for all look-ups in one pass.
+    skews = [None] * len(asked) if small else find_skews(joined, [[f"__c{i}"] for i in range(len(asked))])
+    for i, skew in enumerate(skews):
+        names = {"__key": f"__k{i}", "__n": f"__n{i}", "__value": f"__v{i}"}
+        entry = grouped.select([F.col(old).alias(new) for old, new in names.items()])
+        joined = spread_join(joined, entry, [(f"__c{i}", f"__k{i}")], "left", small=small, skew=skew, copies=False)
     found = [
         strict(F.col(f"__n{i}"), F.col(f"__v{i}"), name, column).alias(name)
         for i, (name, (column, _)) in enumerate(labels.items())

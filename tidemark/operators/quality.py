@@ -54,8 +54,10 @@ def unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def taken(df: DataFrame, tgt: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys of ``df`` that the target already holds."""
-    return spread_join(tgt.select(*keys), df.select(*keys).distinct(), [(k, k) for k in keys], "left_semi")
+    """Keys of ``df`` that the target already holds. As in a UNIQUE constraint, a null equals a null."""
+    return spread_join(
+        tgt.select(*keys), df.select(*keys).distinct(), [(k, k) for k in keys], "left_semi", null_safe=True
+    )
 
 
 def violations(df: DataFrame, rules: Rules) -> dict[str, int]:

@@ -70,5 +70,5 @@ class Dataset:
 
     @property
     def rules(self) -> Rules:
-        required = [c.name for c in self.columns if c.required or c.name == self.cursor or c.name in self.unique]
+        required = [c.name for c in self.columns if c.required]
         return Rules(required, {c.name: c.length for c in self.columns if c.length}, self.unique)

@@ -68,6 +68,20 @@ def read_source(
     return df.select(*columns) if columns else df
 
 
+def write_options(profile: Profile, table: str) -> dict:
+    """Options of a JDBC write: batches of rows, and an overwrite that keeps the table's definition."""
+    return {"batchsize": "10000", "truncate": "true", **profile.options, "dbtable": profile.location.format(table=table)}
+
+
+def write_table(df: DataFrame, profile: Profile, table: str, mode: str = "overwrite") -> None:
+    """Write a table through a profile, in parallel from the partitions of ``df``."""
+    writer = df.write.format(profile.format).mode(mode)
+    if profile.format == "jdbc":
+        writer.options(**write_options(profile, table)).save()
+    else:
+        writer.options(**profile.options).save(profile.location.format(table=table))
+
+
 # Source tables known to carry a row cursor to split a JDBC read on.
 SPLIT_ON = {
     table: "ROWID"

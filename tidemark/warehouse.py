@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date
 
 from pyspark.errors import PySparkException
@@ -18,6 +18,7 @@ from tidemark.operators.rows import distinct, same_rows
 from tidemark.plans.catalog import DATASETS
 from tidemark.plans.model import Dataset, Inputs
 from tidemark.session import stage, staging
+from tidemark.sources.profiles import Profile, write_table
 from tidemark.sources.records import export_records
 from tidemark.sources.store import REJECTED, Folder, Store
 
@@ -70,6 +71,11 @@ class Warehouse:
     def export(self, name: str, path: str) -> None:
         export_records(self.view(name), path)
 
+    def publish(self, name: str, profile: Profile) -> None:
+        """Write the stored rows with their ids to a table of the same name elsewhere, such as a reporting database."""
+        ds = DATASETS[name]
+        write_table(self.store.read(ds, with_id=ds.surrogate), profile, name)
+
     def load(self, name: str, clear: bool = False) -> LoadReport:
         """Add the rows the table does not have yet, by the table's protocol. ``clear`` empties it first."""
         run = {"append": self._append, "insert": self._insert, "all": self._append_all}[DATASETS[name].load]
@@ -115,7 +121,7 @@ class Warehouse:
         return LoadReport(ds.name, LOADED if inserted else NOTHING_NEW, inserted, quarantined=quarantined)
 
     def _add(self, ds: Dataset, rows: DataFrame, version: int, folders: list[Folder]) -> LoadReport:
-        target = self.store.read_folders(ds, folders) if ds.cursor and ds.unique else None
+        target = self.store.read_folders(ds, folders) if ds.cursor else None
         written, inserted = self._write_checked(ds, rows, sum(f.rows or 0 for f in folders), target)
         if not inserted:
             return LoadReport(ds.name, NOTHING_NEW)
@@ -219,7 +225,11 @@ class Warehouse:
         return [Folder(folder.path, None, count, cursor)], count
 
     def _check(self, ds: Dataset, rows: DataFrame, target: DataFrame | None) -> None:
-        found = violations(rows, ds.rules)
+        """The table's rules; for rows appended to ``target`` also a cursor in each, and no key it already holds."""
+        rules = ds.rules
+        if target is not None and ds.cursor:
+            rules = replace(rules, not_null=[*rules.not_null, ds.cursor])
+        found = violations(rows, rules)
         if target is not None and ds.unique:
             clashes = taken(rows, target, ds.unique).count()
             if clashes:
