@@ -342,6 +342,28 @@ def j1(spark, sf_dir):
     return trade.document_lines(header, src["SDELIVERYD"].select("SDHNUM_0", "ITMREF_0", "QTY_0"), "SDHNUM_0")
 
 
+@register(
+    "j2_partner",
+    sql("", "SELECT BPCNUM_0, BPCNAM_0, CRY_0 FROM BPCUSTOMER JOIN BPARTNER ON BPCNUM_0 = BPRNUM_0", "BPCUSTOMER BPARTNER"),
+)
+def j2(spark, sf_dir):
+    customers = partners.with_partner(inputs(spark, sf_dir), "BPCUSTOMER", "BPCNUM_0")
+    return customers.select("BPCNUM_0", "BPCNAM_0", "CRY_0")
+
+
+@register(
+    "j3_site_company",
+    sql(
+        "",
+        "SELECT MFGTRKNUM_0, MFGFCY_0, LEGCPY_0 AS company FROM MFGITMTRK JOIN FACILITY ON FCY_0 = MFGFCY_0",
+        "MFGITMTRK FACILITY",
+    ),
+)
+def j3(spark, sf_dir):
+    src = inputs(spark, sf_dir)
+    return shopfloor.at_company(src, src["MFGITMTRK"].select("MFGTRKNUM_0", "MFGFCY_0"), "MFGFCY_0")
+
+
 @register(
     "j4_order_by_line",
     sql(
@@ -396,6 +418,15 @@ def j7(spark, sf_dir):
     return new_rows(grid, grid.filter("tempstheorique > 0"), ["poste", "schema", "dateschema"])
 
 
+@register(
+    "j8_absent_keys",
+    sql("", "SELECT NUM_0 FROM SINVOICE WHERE NUM_0 NOT IN (SELECT NUM_0 FROM SINVOICED WHERE QTY_0 > 12)", "SINVOICE SINVOICED"),
+)
+def j8(spark, sf_dir):
+    src = inputs(spark, sf_dir)
+    return new_rows(src["SINVOICE"].select("NUM_0"), src["SINVOICED"].filter("QTY_0 > 12"), ["NUM_0"])
+
+
 @register(
     "j9_new_days",
     f"{_parts(f'({_SPINE}) AS s', 'day')} "
@@ -508,6 +539,21 @@ def e4(spark, sf_dir):
     return rows.signed_counts(invoices, _off(invoices)).groupBy("surplus").agg(F.count(F.lit(1)).alias("n"))
 
 
+@register(
+    "e4_same_rows",
+    sql(
+        "t10",
+        f"SELECT NOT EXISTS (SELECT * FROM t10 EXCEPT ALL (SELECT * FROM t10 ORDER BY rowID)) AS itself, NOT EXISTS "
+        f"(SELECT * FROM t10 EXCEPT ALL ({_OFF})) AS off",
+    ),
+)
+def e4_same(spark, sf_dir):
+    invoices = trade.build_invoice(inputs(spark, sf_dir))
+    other_order = invoices.repartition(5, "codeArticle")
+    answers = rows.same_rows(invoices, other_order), rows.same_rows(invoices, _off(invoices))
+    return spark.createDataFrame([answers], "itself boolean, off boolean")
+
+
 @register(
     "e5_diff",
     sql(

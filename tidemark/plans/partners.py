@@ -27,7 +27,8 @@ def _statistics(prefix: str, first_table: int, count: int) -> dict[str, tuple[st
     return {f"{prefix}_NAME_{i}": (f"{prefix}_{i}", table_label(first_table + i)) for i in range(count)}
 
 
-def _with_partner(src: Inputs, table: str, number: str) -> DataFrame:
+def with_partner(src: Inputs, table: str, number: str) -> DataFrame:
+    """The entity joined to its partner record, which holds the country code."""
     partner = src["BPARTNER"].select("BPRNUM_0", "CRY_0")
     return spread_join(src[table], partner, [(number, "BPRNUM_0")])
 
@@ -38,7 +39,7 @@ def build_customer(src: Inputs) -> DataFrame:
         **_statistics("TSCCOD", CUSTOMER_TABLES, 5),
         "PAYS_NAME": ("CRY_0", COUNTRY),
     }
-    customers = _with_partner(src, "BPCUSTOMER", "BPCNUM_0")
+    customers = with_partner(src, "BPCUSTOMER", "BPCNUM_0")
     return X.conform(lookup_family(customers, src["ATEXTRA"], labels), CUSTOMER.schema)
 
 
@@ -49,7 +50,7 @@ def build_supplier(src: Inputs) -> DataFrame:
         **_statistics("TSSCOD", SUPPLIER_TABLES, 3),
         "PAYS_NAME": ("CRY_0", COUNTRY),
     }
-    suppliers = _with_partner(src, "BPSUPPLIER", "BPSNUM_0")
+    suppliers = with_partner(src, "BPSUPPLIER", "BPSNUM_0")
     return X.conform(lookup_family(suppliers, src["ATEXTRA"], labels), SUPPLIER.schema)
 
 
