@@ -347,8 +347,8 @@ def j1(spark, sf_dir):
     sql("", "SELECT BPCNUM_0, BPCNAM_0, CRY_0 FROM BPCUSTOMER JOIN BPARTNER ON BPCNUM_0 = BPRNUM_0", "BPCUSTOMER BPARTNER"),
 )
 def j2(spark, sf_dir):
-    customers = partners.with_partner(inputs(spark, sf_dir), "BPCUSTOMER", "BPCNUM_0")
-    return customers.select("BPCNUM_0", "BPCNAM_0", "CRY_0")
+    src = inputs(spark, sf_dir)
+    return partners.with_partner(src, src["BPCUSTOMER"].select("BPCNUM_0", "BPCNAM_0"), "BPCNUM_0")
 
 
 @register(
@@ -833,6 +833,21 @@ def l3(spark, sf_dir):
     return full.store.read(partners.CUSTOMER)
 
 
+@register(
+    "l2_stored_insert",
+    _with_held(
+        f"SELECT * FROM held UNION ALL SELECT * FROM ({_nth('ASC')}) AS f "
+        "WHERE numerosuivi NOT IN (SELECT numerosuivi FROM held)"
+    ),
+)
+def l2_stored(spark, sf_dir):
+    read = spark_source(spark, sf_dir)
+    house = _warehouse(spark, lambda n: read("MFGITMTRK_TWICE" if n == "MFGITMTRK" else n), "PRODUCTION")
+    house.store.append(shopfloor.PRODUCTION, _held(spark, sf_dir))
+    house.load("PRODUCTION")
+    return house.store.read(shopfloor.PRODUCTION)
+
+
 @register("l4_stored_merge", _with_held(_MERGED))
 def l4_stored(spark, sf_dir):
     read = spark_source(spark, sf_dir)

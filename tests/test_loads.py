@@ -140,3 +140,9 @@ def test_merge_of_touched_months_equals_merge_of_all(frame, seed):
     inside = month_number("d").isin(months)
     part = loads.merge(src.filter(inside), tgt.filter(inside), ["k"], ["d"])
     assert values(part.unionByName(tgt.filter(~inside))) == values(loads.merge(src, tgt, ["k"], ["d"]))
+
+
+def test_insert_reads_the_source_once(sources):
+    production = sources("MFGITMTRK")
+    plan = loads.insert_absent(production, production, ["MFGTRKNUM_0"], ["IPTDAT_0"])
+    assert plan._jdf.queryExecution().executedPlan().toString().count("FileScan") == 2

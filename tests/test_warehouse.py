@@ -11,6 +11,7 @@ from tests.conftest import values
 from tidemark.plans.catalog import CALENDAR
 from tidemark.plans.partners import COMPANY
 from tidemark.plans.shopfloor import CAPACITY, PRODUCTION
+from tidemark.session import BROADCAST_BYTES
 from tidemark.sources.profiles import Profile
 from tidemark.sources.store import Folder
 from tidemark.warehouse import LoadFailed, LoadReport
@@ -164,9 +165,25 @@ def test_insert_keeps_the_first_version(production):
     assert _stored(warehouse) == [("1", 4.0, _t(1)), ("2", 1.0, _t(1)), ("3", 1.0, _t(3))]
 
 
+@pytest.mark.parametrize("small", ["1000000", "-1"])
+def test_insert_of_few_and_of_many_keys(production, spark, small):
+    production(("1", 5.0, _t(1))).load("PRODUCTION")
+    warehouse = production(("1", 9.0, _t(3)), ("2", 2.0, _t(2)), ("2", 1.0, _t(1)), ("3", 1.0, _t(3)))
+    old = spark.conf.get(BROADCAST_BYTES[0])
+    spark.conf.set(BROADCAST_BYTES[0], small)
+    try:
+        assert warehouse.load("PRODUCTION").inserted == 2
+    finally:
+        spark.conf.set(BROADCAST_BYTES[0], old)
+    assert _stored(warehouse) == [("1", 5.0, _t(1)), ("2", 1.0, _t(1)), ("3", 1.0, _t(3))]
+
+
 def test_null_key_rejects_an_insert(production):
     with pytest.raises(LoadFailed, match="numerosuivi is null"):
         production((None, 5.0, _t(2))).load("PRODUCTION")
+    production(("1", 5.0, _t(1))).load("PRODUCTION")
+    with pytest.raises(LoadFailed, match="numerosuivi is null"):
+        production(("1", 5.0, _t(1)), (None, 5.0, _t(2))).load("PRODUCTION")
 
 
 def test_merge_keeps_the_last_version_and_target_only_rows(production):

@@ -137,10 +137,13 @@ def new_rows(
 ) -> DataFrame:
     """Source rows whose key is not in the target. A null key part never matches, so such rows are kept.
 
-    Null-keyed rows skip the join: hashed together they would be one hot group. ``skew=None`` states that no
-    source key is hot.
+    Null-keyed rows skip the join: hashed together they would be one hot group. ``skew=None`` states that no source
+    key is hot, not even a null one; then the source is read once.
     """
-    missing = reduce(lambda x, y: x | y, [F.col(k).isNull() for k in keys])
     known = tgt.select(*keys)
-    fresh = spread_join(src.filter(~missing), known, [(k, k) for k in keys], "left_anti", skew=skew)
+    pairs = [(k, k) for k in keys]
+    if skew is None:
+        return spread_join(src, known, pairs, "left_anti", skew=None)
+    missing = reduce(lambda x, y: x | y, [F.col(k).isNull() for k in keys])
+    fresh = spread_join(src.filter(~missing), known, pairs, "left_anti", skew=skew)
     return fresh.unionByName(src.filter(missing))

@@ -20,7 +20,7 @@ def number_staged(staged: DataFrame, start: int = 0, name: str = "id") -> DataFr
     """
     columns = staged.columns
     placed = staged.select(
-        "*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__index")
+        "*", F.col("_metadata.file_name").alias("__file"), F.col("_metadata.row_index").alias("__index")
     )
     before = Window.orderBy(F.length("__file"), "__file").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -44,7 +44,7 @@ def assign_ids(df: DataFrame, start: int = 0, order_by: Sequence[str] = ()) -> D
     """
     staged = stage(df)
     if order_by:
-        tie = F.xxhash64("_metadata.file_path", "_metadata.row_index")
+        tie = F.xxhash64("_metadata.file_name", "_metadata.row_index")
         ranged = staged.withColumn("__tie", tie)
         ranged = ranged.repartitionByRange(*order_by, "__tie").sortWithinPartitions(*order_by, "__tie")
         staged = stage(ranged.drop("__tie"))

@@ -27,6 +27,17 @@ def insert_absent(src: DataFrame, tgt: DataFrame, keys: Sequence[str], order: Se
     return new_rows(collapse(src, keys, order, "first"), tgt, keys, skew=None)
 
 
+def absent_keys(src: DataFrame, tgt: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The distinct keys an insert would add. Only keys are shuffled; a hot key is reduced before that."""
+    return new_rows(src.select(*keys).distinct(), tgt, keys, skew=None)
+
+
+def insert_keys(src: DataFrame, chosen: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Rows to append for a small set of keys known to be absent: no other source row is shuffled."""
+    rows = spread_join(src, chosen, [(k, k) for k in keys], "left_semi", null_safe=True, small=True)
+    return collapse(rows, keys, order, "first")
+
+
 def merge(src: DataFrame, tgt: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Next target state: the last source row of each key, else the target's row. Whole rows are picked.
 
@@ -131,7 +142,7 @@ def touched_months(src: DataFrame, tgt: DataFrame, keys: Sequence[str], day: str
 
 def merge_counts(src: DataFrame, tgt: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row (inserted, updated): keys new to the target, and all other source rows, changed or not."""
-    fresh = new_rows(src.select(*keys).distinct(), tgt, keys, skew=None).agg(F.count(F.lit(1)).alias("inserted"))
+    fresh = absent_keys(src, tgt, keys).agg(F.count(F.lit(1)).alias("inserted"))
     rows = src.agg(F.count(F.lit(1)).alias("rows"))
     both = fresh.select("inserted", F.lit(0).alias("rows")).unionByName(rows.select(F.lit(0).alias("inserted"), "rows"))
     return both.agg(F.sum("inserted").alias("inserted"), (F.sum("rows") - F.sum("inserted")).alias("updated"))

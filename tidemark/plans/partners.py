@@ -27,10 +27,10 @@ def _statistics(prefix: str, first_table: int, count: int) -> dict[str, tuple[st
     return {f"{prefix}_NAME_{i}": (f"{prefix}_{i}", table_label(first_table + i)) for i in range(count)}
 
 
-def with_partner(src: Inputs, table: str, number: str) -> DataFrame:
+def with_partner(src: Inputs, entity: DataFrame, number: str) -> DataFrame:
     """The entity joined to its partner record, which holds the country code."""
     partner = src["BPARTNER"].select("BPRNUM_0", "CRY_0")
-    return spread_join(src[table], partner, [(number, "BPRNUM_0")])
+    return spread_join(entity, partner, [(number, "BPRNUM_0")], copies=False)
 
 
 def build_customer(src: Inputs) -> DataFrame:
@@ -39,7 +39,8 @@ def build_customer(src: Inputs) -> DataFrame:
         **_statistics("TSCCOD", CUSTOMER_TABLES, 5),
         "PAYS_NAME": ("CRY_0", COUNTRY),
     }
-    customers = with_partner(src, "BPCUSTOMER", "BPCNUM_0")
+    codes = [column for column, _ in labels.values() if column != "CRY_0"]
+    customers = with_partner(src, src["BPCUSTOMER"].select("ROWID", "BPCNUM_0", "BPCNAM_0", *codes), "BPCNUM_0")
     return X.conform(lookup_family(customers, src["ATEXTRA"], labels), CUSTOMER.schema)
 
 
@@ -50,7 +51,8 @@ def build_supplier(src: Inputs) -> DataFrame:
         **_statistics("TSSCOD", SUPPLIER_TABLES, 3),
         "PAYS_NAME": ("CRY_0", COUNTRY),
     }
-    suppliers = with_partner(src, "BPSUPPLIER", "BPSNUM_0")
+    codes = [column for column, _ in labels.values() if column != "CRY_0"]
+    suppliers = with_partner(src, src["BPSUPPLIER"].select("ROWID", "BPSNUM_0", "BPSNAM_0", *codes), "BPSNUM_0")
     return X.conform(lookup_family(suppliers, src["ATEXTRA"], labels), SUPPLIER.schema)
 
 

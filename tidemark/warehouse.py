@@ -14,7 +14,8 @@ from tidemark.functions.scalars import conform, month_number
 from tidemark.operators import loads
 from tidemark.operators.keys import number_staged
 from tidemark.operators.quality import Rules, RuleViolation, mark, taken, violations
-from tidemark.operators.rows import distinct, same_rows
+from tidemark.operators.rows import collapse, distinct, same_rows
+from tidemark.operators.sizing import estimated_small
 from tidemark.plans.catalog import DATASETS
 from tidemark.plans.model import Dataset, Inputs
 from tidemark.session import stage, staging
@@ -103,9 +104,19 @@ class Warehouse:
         return self._add(ds, loads.append_above(ds.build(self.inputs), mark_at, ds.cursor), version, folders)
 
     def _insert(self, ds: Dataset, clear: bool) -> LoadReport:
+        """Finds the absent keys first, from keys alone. Few of them are then picked out of the source by a broadcast."""
         version, folders = self._state(ds, clear)
+        source = ds.build(self.inputs)
+        if not folders:
+            return self._add(ds, collapse(source, ds.keys, ds.order, "first"), version, folders)
         target = self.store.read_folders(ds, folders).select(*ds.schema.names)
-        rows = loads.insert_absent(ds.build(self.inputs), target, ds.keys, ds.order)
+        absent = stage(loads.absent_keys(source, target, ds.keys), self._staged)
+        if absent.isEmpty():
+            return LoadReport(ds.name, NOTHING_NEW)
+        if estimated_small(absent):
+            rows = loads.insert_keys(source, absent, ds.keys, ds.order)
+        else:
+            rows = loads.insert_absent(source, target, ds.keys, ds.order)
         return self._add(ds, rows, version, folders)
 
     def _append_all(self, ds: Dataset, clear: bool) -> LoadReport:
