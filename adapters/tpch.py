@@ -34,7 +34,8 @@ def _header(number: str, partner: str, day: str, rate: str, extra: str = "") ->
 
 def _lines(number: str, quantity: str, *columns: str) -> str:
     fixed = f"CAST(l_orderkey AS {{text}}) AS {number}, CAST(l_partkey AS {{text}}) AS ITMREF_0"
-    return f"SELECT {', '.join([fixed, f'l_quantity / 4 AS {quantity}', 'l_linenumber AS LINE_0', *columns])} FROM lineitem"
+    every = [fixed, f"l_quantity / 4 AS {quantity}", "l_linenumber AS LINE_0", *columns]
+    return f"SELECT {', '.join(every)} FROM lineitem"
 
 
 def _codes(prefix: str, key: str, count: int) -> str:
@@ -146,7 +147,8 @@ def spark_source(spark: SparkSession, sf_dir: str) -> Callable[[str], DataFrame]
 
     def read(name: str) -> DataFrame:
         query = SOURCES[name].replace("{text}", "STRING").replace("{each}", "explode").replace("{list}", "array")
-        return spark.sql(re.sub(rf"\b(FROM|JOIN) ({'|'.join(TABLES)})\b", lambda m: f"{m[1]} {_view(spark, sf_dir, m[2])}", query))
+        table = rf"\b(FROM|JOIN) ({'|'.join(TABLES)})\b"
+        return spark.sql(re.sub(table, lambda m: f"{m[1]} {_view(spark, sf_dir, m[2])}", query))
 
     return read
 

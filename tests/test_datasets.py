@@ -6,6 +6,7 @@ from datetime import date, datetime
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from tests.conftest import values
 from tidemark.plans import partners, shopfloor, trade
@@ -125,6 +126,22 @@ def test_order_fan_out_when_salted(given, forced_skew):
     assert rows.select("codeArticle", "montantHT").distinct().count() == n * n
 
 
+def test_order_with_a_hot_price_side_is_spread(given, forced_skew, without_aqe):
+    """One document with one line and a third of all price rows."""
+    numbers = [f"O{i}" for i in range(600)]
+    src = given(
+        SORDER=(HEADER, [(i, n, "C0", "7", DAY, 1.0) for i, n in enumerate(numbers)]),
+        SORDERQ=("SOHNUM_0 string, ITMREF_0 string, QTY_0 double", [(n, "A", 1.0) for n in numbers]),
+        SORDERP=(
+            "SOHNUM_0 string, NETPRI_0 double, NETPRIATI_0 double, CPRPRI_0 double",
+            [("O0" if i % 3 == 0 else numbers[i % 600], float(i), 1.0, 1.0) for i in range(3000)],
+        ),
+    )
+    rows = trade.build_order(src)
+    assert rows.count() == 3000
+    assert rows.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] < 1000
+
+
 def test_receipt_and_delivery_with_returns(given):
     receipt = trade.build_receipt(
         given(

@@ -22,7 +22,10 @@ def as_day(day: date | Column | None) -> Column:
 
 
 def date_spine(bounds: DataFrame, start: date | Column, end: date | Column | None = None) -> DataFrame:
-    """One row ``day`` per date from start to end inclusive. ``bounds`` has one row; start and end may use its columns."""
+    """One row ``day`` per date from start to end inclusive.
+
+    ``bounds`` has one row; start and end may use its columns.
+    """
     return spine_cross(bounds, as_day(start), as_day(end)).select("day")
 
 

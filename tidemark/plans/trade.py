@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as X
-from tidemark.operators.joins import spread_join
+from tidemark.operators.joins import find_skew, spread_join
 from tidemark.operators.lookup import group_lookup, strict
 from tidemark.plans.model import DATE, DOUBLE, INT, LONG, Column, Dataset, Inputs, text
 
@@ -21,15 +21,20 @@ def document_lines(
     """Lines with their header, and with every row of further detail tables of the same document.
 
     Joined on the document number alone, a document with q lines and p price rows gives q·p rows: that is the
-    meaning of the order datasets. ``line_key`` joins the further tables by line instead.
+    meaning of the order datasets. ``line_key`` joins the further tables by line instead. The detail table with the
+    hottest document is the side that gets spread.
     """
-    copies = "ROWID" not in lines.columns
-    if line_key is None:
-        return spread_join(lines, [header, *more], [(number, number)], copies=copies)
-    result = spread_join(lines, header, [(number, number)], copies=copies)
-    for detail in more:
-        result = spread_join(result, detail, [(number, number), (line_key, line_key)])
-    return result
+    if line_key is not None:
+        result = spread_join(lines, header, [(number, number)])
+        for detail in more:
+            result = spread_join(result, detail, [(number, number), (line_key, line_key)])
+        return result
+    details = [lines, *more]
+    skews = [find_skew(d, [number]) for d in details]
+    hottest = max(range(len(details)), key=lambda i: skews[i].salts if skews[i] else 0)
+    rest = [d for i, d in enumerate(details) if i != hottest]
+    copies = "ROWID" not in details[hottest].columns
+    return spread_join(details[hottest], [header, *rest], [(number, number)], skew=skews[hottest], copies=copies)
 
 
 def _with_representative(src: Inputs, header: DataFrame, customer: str) -> DataFrame:

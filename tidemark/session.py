@@ -14,8 +14,7 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    # A hash join where each task's side is measured to be small, else a sort-merge join.
-    "spark.sql.join.preferSortMergeJoin": "false",
+    # A hash join only where every task's side is measured to be small, else a sort-merge join, which can spill.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",

@@ -70,7 +70,8 @@ def read_source(
 
 def write_options(profile: Profile, table: str) -> dict:
     """Options of a JDBC write: batches of rows, and an overwrite that keeps the table's definition."""
-    return {"batchsize": "10000", "truncate": "true", **profile.options, "dbtable": profile.location.format(table=table)}
+    fixed = {"batchsize": "10000", "truncate": "true"}
+    return {**fixed, **profile.options, "dbtable": profile.location.format(table=table)}
 
 
 def write_table(df: DataFrame, profile: Profile, table: str, mode: str = "overwrite") -> None:
@@ -83,10 +84,10 @@ def write_table(df: DataFrame, profile: Profile, table: str, mode: str = "overwr
 
 
 # Source tables known to carry a row cursor to split a JDBC read on.
-SPLIT_ON = {
-    table: "ROWID"
-    for table in "COMPANY SALESREP BPCUSTOMER BPSUPPLIER ITMMASTER SQUOTED SORDER SDELIVERY SINVOICED PORDER PRECEIPT".split()
-}
+SPLIT_ON = dict.fromkeys(
+    "COMPANY SALESREP BPCUSTOMER BPSUPPLIER ITMMASTER SQUOTED SORDER SDELIVERY SINVOICED PORDER PRECEIPT".split(),
+    "ROWID",
+)
 
 
 def reader(

@@ -104,7 +104,7 @@ class Warehouse:
         return self._add(ds, loads.append_above(ds.build(self.inputs), mark_at, ds.cursor), version, folders)
 
     def _insert(self, ds: Dataset, clear: bool) -> LoadReport:
-        """Finds the absent keys first, from keys alone. Few of them are then picked out of the source by a broadcast."""
+        """Find the absent keys first, from keys alone; if few, pick their rows out of the source by a broadcast."""
         version, folders = self._state(ds, clear)
         source = ds.build(self.inputs)
         if not folders:
@@ -193,7 +193,15 @@ class Warehouse:
         months = {r["month"] for r in found if r["month"] is not None}
         return months, sum(r["matched"] for r in found), max((r["most"] for r in found), default=0)
 
-    def _rewrite(self, ds: Dataset, source: DataFrame, months: set[int], version: int, folders: list[Folder], next_state):
+    def _rewrite(
+        self,
+        ds: Dataset,
+        source: DataFrame,
+        months: set[int],
+        version: int,
+        folders: list[Folder],
+        next_state: Callable[[DataFrame, DataFrame], DataFrame],
+    ) -> int:
         """Write the next state of the touched months; all other months keep their folders. Returns rows gained."""
         old = [f for f in folders if f.month in months]
         target = self.store.read_folders(ds, old)
