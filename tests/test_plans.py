@@ -5,10 +5,12 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from adapters.tpch import SOURCES
 from tests.conftest import SF_DIR
 from tidemark.operators import loads
+from tidemark.operators.rows import same_rows
 from tidemark.plans.catalog import DATASETS
 from tidemark.plans.model import Inputs
 from tidemark.sources.profiles import Profile, reader
@@ -70,6 +72,27 @@ def test_cursor_filter_and_columns_reach_the_line_scan(erp, no_broadcast):
     assert "LINE_0" not in lines
 
 
+@pytest.mark.parametrize("name", ["SALESQUOTE", "SALESORDER", "SDELIVERY", "SALESINVOICE", "PORDER", "PRECEIPT"])
+def test_increment_gives_the_rows_above_the_mark(erp, name):
+    """Without broadcast of whole tables: every table without the cursor is cut down by a broadcast of new numbers."""
+    ds = DATASETS[name]
+    whole = ds.build(erp)
+    mark = whole.agg((F.max(ds.cursor) * 0.99).cast("long")).first()[0]
+    part = ds.build(erp.increment(ds.cursor_table, mark))
+    expected = loads.append_above(whole, mark, ds.cursor)
+    assert part.count() > 0
+    assert same_rows(part, expected)
+    others = 2 if name in ("SALESORDER", "PORDER") else 1
+    assert _plan(part).count("LeftSemi, BuildRight") == others
+
+
+@pytest.mark.parametrize("name", ["BPCUSTOMER", "BPSUPPLIER", "ITMMASTER", "SALESREP"])
+def test_partner_increment(erp, name):
+    ds = DATASETS[name]
+    part = ds.build(erp.increment(ds.cursor_table, 90))
+    assert same_rows(part, loads.append_above(ds.build(erp), 90, ds.cursor))
+
+
 def test_header_cursor_filter_reaches_the_header_scan(erp, no_broadcast):
     ds = DATASETS["SDELIVERY"]
     plan = _plan(loads.append_above(ds.build(erp), 1000, ds.cursor))

@@ -121,6 +121,11 @@ def spread_join(
     return result.drop(SALT) if skew else result
 
 
+def reduce_to(few: DataFrame, key: str, other: DataFrame, other_key: str) -> DataFrame:
+    """The rows of ``other`` that belong to a small increment ``few``, by a broadcast of its keys: no shuffle."""
+    return spread_join(other, few.select(key).distinct(), [(other_key, key)], "left_semi", small=True)
+
+
 def merge_on(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Inner join on one key where a null key matches a null key."""
     return spread_join(left, right, [(key, key)], null_safe=True)

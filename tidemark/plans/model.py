@@ -9,8 +9,11 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tidemark.operators.loads import append_above
 from tidemark.operators.quality import Rules
 
+CURSOR = "ROWID"  # fixed value: cursor column of the source tables
+
 LONG, INT, DOUBLE, DATE, TIME = T.LongType(), T.IntegerType(), T.DoubleType(), T.DateType(), T.TimestampNTZType()
 
 
@@ -27,21 +30,37 @@ def text(name: str, length: int = 255, required: bool = False) -> Column:
 
 
 class Inputs:
-    """The source tables of a transformation by name, and the last day of generated dates (default: today)."""
+    """The source tables of a transformation by name, and the last day of generated dates (default: today).
+
+    ``above`` names a table and a cursor mark: of this table only the rows above the mark are given.
+    """
 
-    def __init__(self, spark: SparkSession, read: Callable[[str], DataFrame], end: date | None = None):
+    def __init__(
+        self,
+        spark: SparkSession,
+        read: Callable[[str], DataFrame],
+        end: date | None = None,
+        above: tuple[str, int] | None = None,
+    ):
         self.spark = spark
         self.end = end
+        self.above = above
         self._read = read
 
     def __getitem__(self, table: str) -> DataFrame:
-        return self._read(table)
+        df = self._read(table)
+        return append_above(df, self.above[1], CURSOR) if self.above and self.above[0] == table else df
+
+    def increment(self, table: str, mark: int) -> Inputs:
+        return Inputs(self.spark, self._read, self.end, (table, mark))
 
 
 @dataclass(frozen=True)
 class Dataset:
     """``load`` is append, insert or all; ``sync`` is replace, merge or upsert (see operators/loads.py).
 
+    ``cursor`` is the target's cursor column, ``cursor_table`` the source table whose row cursor it holds.
+
     ``build_distinct`` is an optional cheaper way to the distinct rows of ``build``.
     """
 
@@ -52,6 +71,7 @@ class Dataset:
     sync: str | None
     surrogate: bool = True
     cursor: str | None = None
+    cursor_table: str | None = None
     keys: tuple[str, ...] = ()
     order: tuple[str, ...] = ()
     update: tuple[str, ...] = ()

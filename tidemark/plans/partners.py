@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as X
-from tidemark.operators.joins import spread_join
+from tidemark.operators.joins import MEASURE, reduce_to, spread_join
 from tidemark.operators.lookup import CATEGORY, COUNTRY, Label, lookup_family, table_label
+from tidemark.operators.sizing import measured_small
 from tidemark.plans.model import LONG, Column, Dataset, Inputs, text
 
 # First table number of each family of statistical codes.
@@ -30,7 +31,10 @@ def _statistics(prefix: str, first_table: int, count: int) -> dict[str, tuple[st
 def with_partner(src: Inputs, entity: DataFrame, number: str) -> DataFrame:
     """The entity joined to its partner record, which holds the country code."""
     partner = src["BPARTNER"].select("BPRNUM_0", "CRY_0")
-    return spread_join(entity, partner, [(number, "BPRNUM_0")], copies=False)
+    few = src.above and src.above[1] > 0 and measured_small(entity.select(number))
+    if few:
+        partner = reduce_to(entity, number, partner, "BPRNUM_0")
+    return spread_join(entity, partner, [(number, "BPRNUM_0")], skew=None if few else MEASURE, copies=False)
 
 
 def build_customer(src: Inputs) -> DataFrame:
@@ -73,6 +77,7 @@ COMPANY = Dataset(
     load="append",
     sync="replace",
     cursor="ROWID",
+    cursor_table="COMPANY",
     unique=("CPY_0",),
 )
 SALESREP = Dataset(
@@ -82,6 +87,7 @@ SALESREP = Dataset(
     load="append",
     sync="replace",
     cursor="ROWID",
+    cursor_table="SALESREP",
 )
 CUSTOMER = Dataset(
     "BPCUSTOMER",
@@ -95,6 +101,7 @@ CUSTOMER = Dataset(
     load="append",
     sync="replace",
     cursor="ROWID",
+    cursor_table="BPCUSTOMER",
 )
 SUPPLIER = Dataset(
     "BPSUPPLIER",
@@ -108,6 +115,7 @@ SUPPLIER = Dataset(
     load="append",
     sync="replace",
     cursor="ROWID",
+    cursor_table="BPSUPPLIER",
 )
 ITEM = Dataset(
     "ITMMASTER",
@@ -116,4 +124,5 @@ ITEM = Dataset(
     load="append",
     sync="replace",
     cursor="ROWID",
+    cursor_table="ITMMASTER",
 )

@@ -5,45 +5,68 @@ Each document is a header joined to its lines on the document number. Lines are
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column as Expr
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as X
-from tidemark.operators.joins import find_skew, spread_join
+from tidemark.operators.joins import MEASURE, find_skew, reduce_to, spread_join
 from tidemark.operators.lookup import group_lookup, strict
+from tidemark.operators.sizing import measured_small
 from tidemark.plans.model import DATE, DOUBLE, INT, LONG, Column, Dataset, Inputs, text
 
 
+def documents(src: Inputs, number: str, **tables: DataFrame) -> tuple[bool, *tuple[DataFrame, ...]]:
+    """The given tables of a document type; in an append only their rows of the documents above the mark.
+
+    The few new documents are found first, in the table that holds the cursor. All other tables are then cut down to
+    them while they are scanned, so that no old row is shuffled. The first value says whether that was done.
+    """
+    new = src.above[0] if src.above and src.above[1] > 0 else None
+    if new not in tables or not measured_small(tables[new].select(number)):
+        return False, *tables.values()
+    cut = [df if name == new else reduce_to(tables[new], number, df, number) for name, df in tables.items()]
+    return True, *cut
+
+
 def document_lines(
-    header: DataFrame, lines: DataFrame, number: str, *more: DataFrame, line_key: str | None = None
+    header: DataFrame,
+    lines: DataFrame,
+    number: str,
+    *more: DataFrame,
+    line_key: str | None = None,
+    few: bool = False,
 ) -> DataFrame:
     """Lines with their header, and with every row of further detail tables of the same document.
 
     Joined on the document number alone, a document with q lines and p price rows gives q·p rows: that is the
     meaning of the order datasets. ``line_key`` joins the further tables by line instead. The detail table with the
-    hottest document is the side that gets spread.
+    hottest document is the side that gets spread. ``few`` states that there are few rows, not worth measuring.
     """
     if line_key is not None:
-        result = spread_join(lines, header, [(number, number)])
+        skew = None if few else MEASURE
+        result = spread_join(lines, header, [(number, number)], skew=skew)
         for detail in more:
-            result = spread_join(result, detail, [(number, number), (line_key, line_key)])
+            result = spread_join(result, detail, [(number, number), (line_key, line_key)], skew=skew)
         return result
     details = [lines, *more]
-    skews = [find_skew(d, [number]) for d in details]
+    skews = [None if few else find_skew(d, [number]) for d in details]
     hottest = max(range(len(details)), key=lambda i: skews[i].salts if skews[i] else 0)
     rest = [d for i, d in enumerate(details) if i != hottest]
     copies = "ROWID" not in details[hottest].columns
     return spread_join(details[hottest], [header, *rest], [(number, number)], skew=skews[hottest], copies=copies)
 
 
-def _with_representative(src: Inputs, header: DataFrame, customer: str) -> DataFrame:
+def _with_representative(src: Inputs, header: DataFrame, customer: str, few: bool) -> DataFrame:
     """Look up the representative per customer and company on the headers, before the lines multiply them.
 
     The number of entries travels along: only a document line that uses an ambiguous entry is an error.
     """
     reps = group_lookup(src["YREPRE"], ["YBPCNUM_0", "YCPY_0"], "YREP_0")
-    return spread_join(header, reps, [(customer, "YBPCNUM_0"), ("CPY_0", "YCPY_0")], "left", copies=False)
+    on = [(customer, "YBPCNUM_0"), ("CPY_0", "YCPY_0")]
+    return spread_join(header, reps, on, "left", skew=None if few else MEASURE, copies=False)
 
 
 def _representative() -> Expr:
@@ -53,7 +76,8 @@ def _representative() -> Expr:
 def build_quote(src: Inputs) -> DataFrame:
     header = src["SQUOTE"].select("SQHNUM_0", "CPY_0", "QUODAT_0", "BPCORD_0", "CHGRAT_0")
     lines = src["SQUOTED"].select("ROWID", "SQHNUM_0", "ITMREF_0", "QTY_0", "NETPRI_0", "NETPRIATI_0")
-    rows = document_lines(_with_representative(src, header, "BPCORD_0"), lines, "SQHNUM_0")
+    few, header, lines = documents(src, "SQHNUM_0", SQUOTE=header, SQUOTED=lines)
+    rows = document_lines(_with_representative(src, header, "BPCORD_0", few), lines, "SQHNUM_0", few=few)
     result = rows.select(
         F.col("ROWID").alias("rowID"),
         F.col("CPY_0").alias("societe"),
@@ -74,7 +98,8 @@ def build_order(src: Inputs, line_key: str | None = None) -> DataFrame:
     header = src["SORDER"].select("ROWID", "SOHNUM_0", "CPY_0", "BPCORD_0", "ORDDAT_0", "CHGRAT_0")
     lines = src["SORDERQ"].select("SOHNUM_0", "ITMREF_0", "QTY_0", *key)
     prices = src["SORDERP"].select("SOHNUM_0", "NETPRI_0", "NETPRIATI_0", "CPRPRI_0", *key)
-    rows = document_lines(header, lines, "SOHNUM_0", prices, line_key=line_key)
+    few, header, lines, prices = documents(src, "SOHNUM_0", SORDER=header, SORDERQ=lines, SORDERP=prices)
+    rows = document_lines(header, lines, "SOHNUM_0", prices, line_key=line_key, few=few)
     result = rows.select(
         F.col("ROWID").alias("rowID"),
         F.col("CPY_0").alias("societe"),
@@ -94,8 +119,9 @@ def build_delivery(src: Inputs) -> DataFrame:
     """Amounts use the quantity net of returns. ``montantTTc`` is built from the price before tax, despite its name."""
     header = src["SDELIVERY"].select("ROWID", "SDHNUM_0", "CPY_0", "BPCORD_0", "SHIDAT_0", "CHGRAT_0")
     lines = src["SDELIVERYD"].select("SDHNUM_0", "ITMREF_0", "QTY_0", "RTNQTY_0", "NETPRI_0", "CPRPRI_0")
+    few, header, lines = documents(src, "SDHNUM_0", SDELIVERY=header, SDELIVERYD=lines)
     kept = X.net_quantity("QTY_0", "RTNQTY_0")
-    result = document_lines(header, lines, "SDHNUM_0").select(
+    result = document_lines(header, lines, "SDHNUM_0", few=few).select(
         F.col("ROWID").alias("rowID"),
         F.col("CPY_0").alias("societe"),
         F.col("SDHNUM_0").alias("numBL"),
@@ -115,7 +141,8 @@ def build_invoice(src: Inputs) -> DataFrame:
     lines = src["SINVOICED"].select(
         "ROWID", "NUM_0", "SIDLIN_0", "ITMREF_0", "QTY_0", "NETPRI_0", "NETPRIATI_0", "CPRPRI_0"
     )
-    rows = document_lines(_with_representative(src, header, "BPR_0"), lines, "NUM_0")
+    few, header, lines = documents(src, "NUM_0", SINVOICE=header, SINVOICED=lines)
+    rows = document_lines(_with_representative(src, header, "BPR_0", few), lines, "NUM_0", few=few)
     net = X.amount("NETPRI_0", "QTY_0", "SNS_0", "RATMLT_0")
     cost = X.amount("CPRPRI_0", "SNS_0", "RATMLT_0", "QTY_0")
     result = rows.select(
@@ -141,7 +168,8 @@ def build_purchase_order(src: Inputs, line_key: str | None = None) -> DataFrame:
     header = src["PORDER"].select("ROWID", "POHNUM_0", "CPY_0", "BPSNUM_0", "ORDDAT_0", "CHGCOE_0")
     lines = src["PORDERQ"].select("POHNUM_0", "ITMREF_0", "QTYSTU_0", *key)
     prices = src["PORDERP"].select("POHNUM_0", "NETPRI_0", *key)
-    rows = document_lines(header, lines, "POHNUM_0", prices, line_key=line_key)
+    few, header, lines, prices = documents(src, "POHNUM_0", PORDER=header, PORDERQ=lines, PORDERP=prices)
+    rows = document_lines(header, lines, "POHNUM_0", prices, line_key=line_key, few=few)
     result = rows.select(
         "ROWID",
         F.col("CPY_0").alias("CRY_0"),
@@ -159,7 +187,8 @@ def build_receipt(src: Inputs) -> DataFrame:
     """The quantity is net of returns, the amount is not."""
     header = src["PRECEIPT"].select("ROWID", "PTHNUM_0", "CPY_0", "BPSNUM_0", "RCPDAT_0", "CHGCOE_0")
     lines = src["PRECEIPTD"].select("PTHNUM_0", "ITMREF_0", "QTYSTU_0", "RTNQTYSTU_0", "NETPRI_0")
-    result = document_lines(header, lines, "PTHNUM_0").select(
+    few, header, lines = documents(src, "PTHNUM_0", PRECEIPT=header, PRECEIPTD=lines)
+    result = document_lines(header, lines, "PTHNUM_0", few=few).select(
         "ROWID",
         F.col("CPY_0").alias("CRY_0"),
         F.col("PTHNUM_0").alias("numReception"),
@@ -172,14 +201,16 @@ def build_receipt(src: Inputs) -> DataFrame:
     return X.conform(result, RECEIPT.schema)
 
 
-def _document(name: str, build, cursor: str, *columns: Column) -> Dataset:
-    return Dataset(name, (Column(cursor, LONG), *columns), build, load="append", sync="replace", cursor=cursor)
+def _document(name: str, build: Callable[[Inputs], DataFrame], cursor: str, table: str, *columns: Column) -> Dataset:
+    every = (Column(cursor, LONG), *columns)
+    return Dataset(name, every, build, load="append", sync="replace", cursor=cursor, cursor_table=table)
 
 
 QUOTE = _document(
     "SALESQUOTE",
     build_quote,
     "rowID",
+    "SQUOTED",
     text("societe"),
     text("numDevis"),
     Column("dateDevis", DATE),
@@ -194,6 +225,7 @@ ORDER = _document(
     "SALESORDER",
     build_order,
     "rowID",
+    "SORDER",
     text("societe"),
     text("numCommande"),
     text("codeClient"),
@@ -208,6 +240,7 @@ DELIVERY = _document(
     "SDELIVERY",
     build_delivery,
     "rowID",
+    "SDELIVERY",
     text("societe"),
     text("numBL"),
     text("codeClient"),
@@ -221,6 +254,7 @@ INVOICE = _document(
     "SALESINVOICE",
     build_invoice,
     "rowID",
+    "SINVOICED",
     text("societe"),
     text("numFacture"),
     Column("ligneFacture", INT),
@@ -238,6 +272,7 @@ PURCHASE_ORDER = _document(
     "PORDER",
     build_purchase_order,
     "ROWID",
+    "PORDER",
     text("CRY_0"),
     text("numCommande"),
     text("codeFournisseur"),
@@ -250,6 +285,7 @@ RECEIPT = _document(
     "PRECEIPT",
     build_receipt,
     "ROWID",
+    "PRECEIPT",
     text("CRY_0"),
     text("numReception"),
     text("codeFournisseur"),

@@ -101,7 +101,7 @@ class Warehouse:
     def _append(self, ds: Dataset, clear: bool) -> LoadReport:
         version, folders = self._state(ds, clear)
         mark_at = max((f.cursor for f in folders if f.cursor is not None), default=0)
-        return self._add(ds, loads.append_above(ds.build(self.inputs), mark_at, ds.cursor), version, folders)
+        return self._add(ds, ds.build(self.inputs.increment(ds.cursor_table, mark_at)), version, folders)
 
     def _insert(self, ds: Dataset, clear: bool) -> LoadReport:
         """Find the absent keys first, from keys alone; if few, pick their rows out of the source by a broadcast."""
