@@ -12,6 +12,7 @@ from tests.conftest import values
 from tidemark.plans import partners, shopfloor, trade
 from tidemark.plans.catalog import DATASETS
 from tidemark.plans.model import Inputs
+from tidemark.plans.tables import SOURCE_COLUMNS
 
 DAY = datetime(2020, 5, 17, 13, 30)
 
@@ -27,8 +28,9 @@ def given(spark, frame):
     return make
 
 
-def test_sixteen_tables():
+def test_sixteen_tables_from_known_sources():
     assert len(DATASETS) == 16
+    assert {ds.cursor_table for ds in DATASETS.values() if ds.cursor} <= {t for t, c in SOURCE_COLUMNS.items() if "ROWID" in c}
 
 
 REPS = ("YBPCNUM_0 string, YCPY_0 string, YREP_0 string", [("7", "C0", "R7"), ("8", "C0", "a"), ("8", "C0", "b")])

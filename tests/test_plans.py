@@ -119,3 +119,10 @@ def test_dictionary_filters_reach_the_scan(spark, erp):
 def test_distinct_capacity_shuffles_stations_not_days(erp, no_broadcast):
     after_days = _plan(DATASETS["POSTEDECHARGE"].build_distinct(erp)).split("Generate explode(CASE WHEN")[0]
     assert "Exchange" not in after_days
+
+
+def test_landed_tables_give_the_same_rows(spark, erp, tmp_path):
+    landed = erp.landed(str(tmp_path))
+    for name in DATASETS:
+        if name not in ("Date", "POSTEDECHARGE"):
+            assert same_rows(DATASETS[name].build(landed), DATASETS[name].build(erp), exact=False)

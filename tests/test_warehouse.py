@@ -14,7 +14,7 @@ from tidemark.plans.shopfloor import CAPACITY, PRODUCTION
 from tidemark.session import BROADCAST_BYTES
 from tidemark.sources.profiles import Profile
 from tidemark.sources.store import Folder
-from tidemark.warehouse import LoadFailed, LoadReport
+from tidemark.warehouse import LoadFailed, LoadReport, Warehouse
 
 COMPANY_ROWS = "CPY_0 string, CPYNAM_0 string, ROWID long"
 TRACK = "MFGTRKNUM_0 string, ITMREF_0 string, MFGFCY_0 string, CPLQTY_0 double, IPTDAT_0 timestamp_ntz"
@@ -281,6 +281,36 @@ def test_export_keeps_null_fields(company, tmp_path):
     assert [json.loads(line) for line in lines] == [{"CPY_0": "A", "CPYNAM_0": None, "ROWID": 1}]
 
 
+def test_landing_reads_each_source_once(frame, spark, tmp_path):
+    reads = []
+    tables = {
+        "FACILITY": frame("FCY_0 string, LEGCPY_0 string, more int", [("S", "C0", 1)]),
+        "MFGITMTRK": frame(TRACK + ", more int", [("1", "A", "S", 1.0, _t(1), 5)]),
+    }
+
+    def read(name):
+        reads.append(name)
+        return tables[name]
+
+    warehouse = Warehouse(spark, str(tmp_path / "landed"), read, land=True)
+    warehouse.create("PRODUCTION")
+    assert warehouse.load("PRODUCTION").inserted == 1
+    assert sorted(reads) == ["FACILITY", "MFGITMTRK"]
+    assert warehouse.load("PRODUCTION").outcome == "nothing new"
+    assert warehouse.sync("PRODUCTION").outcome == "in step"
+    assert _stored(warehouse) == [("1", 1.0, _t(1))]
+
+
+def test_landing_an_append_copies_only_rows_above_the_mark(frame, spark, tmp_path):
+    tables = {"COMPANY": frame(COMPANY_ROWS, [("A", "a", 1)])}
+    warehouse = Warehouse(spark, str(tmp_path / "landed"), tables.__getitem__, land=True)
+    warehouse.create("COMPANY")
+    warehouse.load("COMPANY")
+    tables["COMPANY"] = frame(COMPANY_ROWS, [("A", "changed", 1), ("B", "b", 2)])
+    assert warehouse.load("COMPANY").inserted == 1
+    assert warehouse.sync("COMPANY") == LoadReport("COMPANY", "loaded", 2)
+
+
 def test_staged_copies_are_removed(company, spark):
     from pathlib import Path
 

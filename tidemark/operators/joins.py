@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.sizing import estimated_small, input_bytes
+from tidemark.operators.sizing import estimated_small, input_bytes, measured_small
 from tidemark.session import SKEW_MIN_BYTES, SKEW_MIN_ROWS, setting
 
 BUCKETS = 16_384
@@ -128,7 +128,7 @@ def reduce_to(few: DataFrame, key: str, other: DataFrame, other_key: str) -> Dat
 
 def merge_on(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Inner join on one key where a null key matches a null key."""
-    return spread_join(left, right, [(key, key)], null_safe=True)
+    return spread_join(left, right, [(key, key)], null_safe=True, small=measured_small(right))
 
 
 def spine_cross(df: DataFrame, start: Column, end: Column, name: str = "day") -> DataFrame:

@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 
 from tidemark.operators.loads import append_above
 from tidemark.operators.quality import Rules
+from tidemark.plans.tables import SOURCE_COLUMNS
+from tidemark.session import stage
 
 CURSOR = "ROWID"  # fixed value: cursor column of the source tables
 
@@ -32,7 +34,8 @@ def text(name: str, length: int = 255, required: bool = False) -> Column:
 class Inputs:
     """The source tables of a transformation by name, and the last day of generated dates (default: today).
 
-    ``above`` names a table and a cursor mark: of this table only the rows above the mark are given.
+    ``above`` names a table and a cursor mark: of this table only the rows above the mark are given. ``land`` is a
+    folder to copy each table to on its first use, the used columns only, so that a database is read once.
     """
 
     def __init__(
@@ -41,18 +44,30 @@ class Inputs:
         read: Callable[[str], DataFrame],
         end: date | None = None,
         above: tuple[str, int] | None = None,
+        land: str | None = None,
     ):
         self.spark = spark
         self.end = end
         self.above = above
         self._read = read
+        self._land = land
+        self._landed: dict[str, DataFrame] = {}
 
     def __getitem__(self, table: str) -> DataFrame:
+        if table in self._landed:
+            return self._landed[table]
         df = self._read(table)
-        return append_above(df, self.above[1], CURSOR) if self.above and self.above[0] == table else df
+        if self.above and self.above[0] == table:
+            df = append_above(df, self.above[1], CURSOR)
+        if self._land:
+            df = self._landed[table] = stage(df.select(*SOURCE_COLUMNS[table]), self._land)
+        return df
 
     def increment(self, table: str, mark: int) -> Inputs:
-        return Inputs(self.spark, self._read, self.end, (table, mark))
+        return Inputs(self.spark, self._read, self.end, (table, mark), self._land)
+
+    def landed(self, folder: str) -> Inputs:
+        return Inputs(self.spark, self._read, self.end, self.above, folder)
 
 
 @dataclass(frozen=True)

@@ -10,6 +10,7 @@ from tidemark.operators.joins import MEASURE, reduce_to, spread_join
 from tidemark.operators.lookup import CATEGORY, COUNTRY, Label, lookup_family, table_label
 from tidemark.operators.sizing import measured_small
 from tidemark.plans.model import LONG, Column, Dataset, Inputs, text
+from tidemark.plans.tables import SOURCE_COLUMNS
 
 # First table number of each family of statistical codes.
 CUSTOMER_TABLES, SUPPLIER_TABLES, ITEM_TABLES = 30, 40, 20
@@ -43,8 +44,7 @@ def build_customer(src: Inputs) -> DataFrame:
         **_statistics("TSCCOD", CUSTOMER_TABLES, 5),
         "PAYS_NAME": ("CRY_0", COUNTRY),
     }
-    codes = [column for column, _ in labels.values() if column != "CRY_0"]
-    customers = with_partner(src, src["BPCUSTOMER"].select("ROWID", "BPCNUM_0", "BPCNAM_0", *codes), "BPCNUM_0")
+    customers = with_partner(src, src["BPCUSTOMER"].select(*SOURCE_COLUMNS["BPCUSTOMER"]), "BPCNUM_0")
     return X.conform(lookup_family(customers, src["ATEXTRA"], labels), CUSTOMER.schema)
 
 
@@ -55,8 +55,7 @@ def build_supplier(src: Inputs) -> DataFrame:
         **_statistics("TSSCOD", SUPPLIER_TABLES, 3),
         "PAYS_NAME": ("CRY_0", COUNTRY),
     }
-    codes = [column for column, _ in labels.values() if column != "CRY_0"]
-    suppliers = with_partner(src, src["BPSUPPLIER"].select("ROWID", "BPSNUM_0", "BPSNAM_0", *codes), "BPSNUM_0")
+    suppliers = with_partner(src, src["BPSUPPLIER"].select(*SOURCE_COLUMNS["BPSUPPLIER"]), "BPSNUM_0")
     return X.conform(lookup_family(suppliers, src["ATEXTRA"], labels), SUPPLIER.schema)
 
 

@@ -10,23 +10,18 @@ from pyspark.sql import functions as F
 from tidemark.functions import scalars as X
 from tidemark.operators.calendar import CAPACITY_START, as_day
 from tidemark.operators.joins import merge_on, spine_cross, spread_join
+from tidemark.operators.sizing import measured_small
 from tidemark.plans.model import DATE, DOUBLE, INT, TIME, Column, Dataset, Inputs, text
+from tidemark.plans.tables import SOURCE_COLUMNS
 
 ORDER_TIME, OTHER_TIME = 1, 3  # fixed values: time types of the two tracking tables
 WEEK = [f"DAYCAP_{i}" for i in range(7)]  # Monday to Sunday
 
 
-# Source columns of an operation tracking.
-TRACKED = (
-    "MFGTRKNUM_0 MFGFCY_0 CPLQTY_0 REJCPLQTY_0 CPLWST_0 CPLLAB_0 CPLSETTIM_0 CPLOPETIM_0 MSGNUM_0 IPTDAT_0 TIMTYP_0 "
-    "TIMUOMCOD_0"
-).split()
-
-
 def at_company(src: Inputs, rows: DataFrame, site: str) -> DataFrame:
     """Add the legal company of the site as ``company``; rows of unknown sites drop out."""
     sites = src["FACILITY"].select("FCY_0", F.col("LEGCPY_0").alias("company"))
-    return spread_join(rows, sites, [(site, "FCY_0")])
+    return spread_join(rows, sites, [(site, "FCY_0")], small=measured_small(sites))
 
 
 def build_production(src: Inputs) -> DataFrame:
@@ -42,7 +37,7 @@ def build_production(src: Inputs) -> DataFrame:
 
 
 def _tracked_time(src: Inputs, time_type: int, operation_hours: str) -> DataFrame:
-    rows = src["MFGOPETRK"].filter(F.col("TIMTYP_0") == time_type).select(*TRACKED)
+    rows = src["MFGOPETRK"].filter(F.col("TIMTYP_0") == time_type).select(*SOURCE_COLUMNS["MFGOPETRK"])
     return at_company(src, rows, "MFGFCY_0").select(
         F.col("MFGTRKNUM_0").alias("numerosuivi"),
         "company",

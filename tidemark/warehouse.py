@@ -48,13 +48,23 @@ class LoadFailed(RuntimeError):
 class Warehouse:
     """The tables under ``root``, filled from the source tables that ``read`` gives by name.
 
-    ``end`` is the last day of generated dates, today by default.
+    ``end`` is the last day of generated dates, today by default. ``land`` copies the source tables of each load to the
+    shared folder first: for databases, which are then read once per load, whatever the load counts and compares.
     """
 
-    def __init__(self, spark: SparkSession, root: str, read: Callable[[str], DataFrame], end: date | None = None):
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        read: Callable[[str], DataFrame],
+        end: date | None = None,
+        land: bool = False,
+    ):
         self.spark = spark
         self.store = Store(spark, root)
         self.inputs = Inputs(spark, read, end)
+        self._inputs = self.inputs
+        self._land = land
         self._staged: str | None = None
 
     def create(self, name: str) -> LoadReport:
@@ -92,6 +102,7 @@ class Warehouse:
     def _guarded(self, run: Callable[..., LoadReport], ds: Dataset, *args) -> LoadReport:
         try:
             with staging(self.spark) as self._staged:
+                self._inputs = self.inputs.landed(self._staged) if self._land else self.inputs
                 return run(ds, *args)
         except (RuleViolation, PySparkException) as error:
             raise LoadFailed(LoadReport(ds.name, FAILED, message=str(error))) from error
@@ -101,12 +112,12 @@ class Warehouse:
     def _append(self, ds: Dataset, clear: bool) -> LoadReport:
         version, folders = self._state(ds, clear)
         mark_at = max((f.cursor for f in folders if f.cursor is not None), default=0)
-        return self._add(ds, ds.build(self.inputs.increment(ds.cursor_table, mark_at)), version, folders)
+        return self._add(ds, ds.build(self._inputs.increment(ds.cursor_table, mark_at)), version, folders)
 
     def _insert(self, ds: Dataset, clear: bool) -> LoadReport:
         """Find the absent keys first, from keys alone; if few, pick their rows out of the source by a broadcast."""
         version, folders = self._state(ds, clear)
-        source = ds.build(self.inputs)
+        source = ds.build(self._inputs)
         if not folders:
             return self._add(ds, collapse(source, ds.keys, ds.order, "first"), version, folders)
         target = self.store.read_folders(ds, folders).select(*ds.schema.names)
@@ -144,7 +155,7 @@ class Warehouse:
     def _replace(self, ds: Dataset) -> LoadReport:
         """The source is read once into a staged copy, compared, and only numbered and written if it differs."""
         version, folders = self._state(ds)
-        staged = stage(conform(ds.build(self.inputs), ds.schema), self._staged)
+        staged = stage(conform(ds.build(self._inputs), ds.schema), self._staged)
         known = sum(f.rows or 0 for f in folders)
         if staged.count() == known and same_rows(staged, self.store.read(ds), exact=False):
             return LoadReport(ds.name, IN_STEP)
@@ -154,7 +165,7 @@ class Warehouse:
 
     def _merge(self, ds: Dataset) -> LoadReport:
         version, folders = self._state(ds)
-        source = stage(conform(ds.build(self.inputs), ds.schema), self._staged)
+        source = stage(conform(ds.build(self._inputs), ds.schema), self._staged)
         found = violations(source, Rules(ds.rules.not_null, ds.rules.max_length))
         if found:
             raise RuleViolation(found)
@@ -219,8 +230,8 @@ class Warehouse:
 
     def _distinct(self, ds: Dataset) -> DataFrame:
         if ds.build_distinct:
-            return ds.build_distinct(self.inputs)
-        return distinct(conform(ds.build(self.inputs), ds.schema))
+            return ds.build_distinct(self._inputs)
+        return distinct(conform(ds.build(self._inputs), ds.schema))
 
     def _write_checked(
         self, ds: Dataset, rows: DataFrame, known: int, target: DataFrame | None, is_staged: bool = False
