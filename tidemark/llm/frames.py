@@ -1,4 +1,4 @@
-"""Frames: picking few rows of a large table by key, freeing finished shuffles, and Arrow batches in Python tasks."""
+"""Frames: finding few rows of a large table by key, freeing finished shuffles, and Arrow batches in Python tasks."""
 
 from __future__ import annotations
 
@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Bits of the filter that is broadcast by :func:`pick`: at most BITS / 64 rows, whatever the number of keys.
+#: Bits of the filter that :func:`prefiltered` broadcasts: at most BITS / 64 rows, whatever the number of keys.
 BITS = 1 << 22
 #: Bytes of text that a Python task works on at a time (one longer text is worked on alone).
 BATCH_BYTES = 4 << 20
@@ -19,25 +19,23 @@ BATCH_BYTES = 4 << 20
 BATCH_ROWS = 512
 
 
-def pick(df: DataFrame, key: str, wanted: DataFrame, wanted_key: str) -> DataFrame:
-    """The rows of ``df`` whose long ``key`` is in ``wanted`` (nulls never are), before anything wide is shuffled.
+def prefiltered(df: DataFrame, keys: list[str], wanted: DataFrame, wanted_keys: list[str]) -> DataFrame:
+    """The rows of ``df`` whose keys are in ``wanted`` and a few more, before anything wide is shuffled.
 
-    A bit table of the wanted keys, of a fixed size, is broadcast and drops most other rows in the scan; the exact
-    semi join that follows shuffles only what is left.
+    A bit table of the wanted keys, of a fixed size, is broadcast and drops most other rows in the scan; the join that
+    follows is exact and shuffles only what is left. Null keys count as equal.
     """
-    bit = lambda c: F.pmod(F.xxhash64(F.col(c)), F.lit(BITS))
+    bit = lambda names: F.pmod(F.xxhash64(*[F.col(n) for n in names]), F.lit(BITS))
     words = (
-        wanted.filter(F.col(wanted_key).isNotNull())
-        .select(bit(wanted_key).alias("b"))
+        wanted.select(bit(wanted_keys).alias("b"))
         .groupBy(F.shiftright("b", 6).alias("_pick_at"))
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(b & 63 as int))")).alias("_pick_bits"))
     )
-    near = df.withColumn("_pick_b", bit(key)).join(
+    near = df.withColumn("_pick_b", bit(keys)).join(
         F.broadcast(words), F.shiftright("_pick_b", 6) == F.col("_pick_at"), "inner"
     )
-    near = near.filter(F.expr("_pick_bits & shiftleft(1L, cast(_pick_b & 63 as int))") != 0).select(*df.columns)
-    keys = wanted.select(F.col(wanted_key).alias("_pick_key")).distinct()
-    return near.join(keys, F.col(key) == F.col("_pick_key"), "left_semi")
+    hit = F.expr("_pick_bits & shiftleft(1L, cast(_pick_b & 63 as int))") != 0
+    return near.filter(hit).drop("_pick_b", "_pick_at", "_pick_bits")
 
 
 def release(spark: SparkSession) -> None:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import map_texts, packed, pick, release
+from tidemark.llm.frames import map_texts, packed, prefiltered, release
 from tidemark.llm.graph import components
 from tidemark.llm.words import U, mix, salt, shingle_sets
 from tidemark.session import stage
@@ -157,14 +157,18 @@ def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, text: str, word
 
     ``sets`` names one text hash per set; only the texts of these are fetched.
     """
-    nodes = pairs.select(F.col("x_sid").alias("sid")).union(pairs.select(F.col("y_sid").alias("sid"))).distinct()
-    wanted = sets.join(nodes, "sid", "left_semi").select("sid", "rep_id", "rep_th")
-    rows = docs.select(F.xxhash64(text).alias("th"), F.col(text).alias("text"), F.col("id"))
-    rows = pick(rows, "th", wanted, "rep_th")
-    texts = rows.join(wanted, (F.col("th") == F.col("rep_th")) & F.col("id").eqNullSafe(F.col("rep_id")))
-    texts = texts.select("sid", "text")
-    x = pairs.join(texts, F.col("x_sid") == F.col("sid")).select("x_sid", "y_sid", F.col("text").alias("x_text"))
-    both = x.join(texts, F.col("y_sid") == F.col("sid")).select("x_sid", "y_sid", "x_text", F.col("text").alias("y_text"))
+    named = [sets.select(*[F.col(c).alias(f"{side}_{c}") for c in ("sid", "rep_id", "rep_th")]) for side in "xy"]
+    pairs = stage(pairs.join(named[0], "x_sid").join(named[1], "y_sid"))
+    sides = [pairs.select(F.col(f"{side}_rep_id").alias("id"), F.col(f"{side}_rep_th").alias("th")) for side in "xy"]
+    rows = docs.select("id", F.xxhash64(text).alias("th"), F.col(text).alias("text"))
+    texts = prefiltered(rows, ["id", "th"], sides[0].union(sides[1]), ["id", "th"])
+
+    def with_text(df: DataFrame, side: str) -> DataFrame:
+        own = texts.select("th", "id", F.col("text").alias(f"{side}_text"))
+        same = (F.col(f"{side}_rep_th") == F.col("th")) & F.col(f"{side}_rep_id").eqNullSafe(F.col("id"))
+        return df.join(own, same).drop("th", "id", f"{side}_rep_th", f"{side}_rep_id")
+
+    both = with_text(with_text(pairs, "x"), "y")
 
     def work(batch: pa.RecordBatch):
         x_sets = shingle_sets(batch.column("x_text"), words)
@@ -250,7 +254,7 @@ def document_components(
     """
     rows = stage(near_components(docs, id, text, words, percent))
     least = rows.filter("component is not null").groupBy("component").agg(F.min("id").alias("least_id"))
-    least = least.withColumnRenamed("component", "c")
+    least = stage(least.withColumnRenamed("component", "c"))
     joined = rows.join(least, F.col("component") == F.col("c"), "left")
     return joined.select("id", "n_shingles", F.coalesce("least_id", "id").alias("component_id"))
 
@@ -273,7 +277,7 @@ def one_per_group(
         F.col("component").alias("c"), F.col("best").isNull().alias("c_no_id"), F.coalesce("best", "best_th").alias("c_rank")
     )
     same = (F.col("component") == F.col("c")) & (F.col("no_id") == F.col("c_no_id")) & (F.col("rank") == F.col("c_rank"))
-    keep = grouped.join(chosen, same, "left_semi").groupBy("id", "no_id", "component").agg(F.min("th").alias("th"))
+    keep = grouped.join(stage(chosen), same, "left_semi").groupBy("id", "no_id", "component").agg(F.min("th").alias("th"))
     keep = keep.select(F.col("id").alias("k_id"), F.col("th").alias("k_th"), F.lit(True).alias("grouped"))
     wordless = ranked.filter("component is null").select("id", "th", F.lit(False)).distinct()
     keep = stage(keep.union(wordless))
