@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import lines, mixing, parity
+from tidemark.llm import decontaminate, lines, mixing, parity, quality
 from tidemark.session import stage
 
 
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that the compression classifier rejects; fitted on their labels that are not held out."""
+    return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that stand in more than a tenth of their source's documents; no document goes."""
     return lines.drop_frequent_lines(docs)
@@ -18,14 +23,25 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return parity.one_per_group(docs)
 
 
-def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that hold a benchmark text."""
+    return decontaminate.drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents of the mix, once per epoch they appear in, with ``mix_epoch`` and ``mix_taken`` words."""
     return mixing.mixed_documents(docs)
 
 
-STAGES = [("line_dedup", line_dedup), ("near_dedup", near_dedup), ("mixing", mixing_stage)]
+STAGES = [
+    ("quality classifier", quality_filter),
+    ("line dedup", line_dedup),
+    ("n-gram Jaccard join", near_dedup),
+    ("benchmark decontamination", decontamination),
+    ("mixing sources", source_mix),
+]
 
-#: SQL cannot express all stages; tests/llm compares the pipeline with a brute-force version.
+#: SQL cannot express the classifier; tests/llm compares the pipeline with a brute-force version.
 ORACLE_SQL = None
 
 

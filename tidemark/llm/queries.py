@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import lines, mixing, parity, simhash
+from tidemark.llm import chunks, decontaminate, lines, mixing, parity, quality, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,11 +38,29 @@ def op6_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op7_gear_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = chunks.repeated_passages(table(spark, sf_dir, "documents"))
+    return found.withColumnsRenamed({"id": "doc_id", "first_id": "first_doc_id"})
+
+
+def op8_zstd_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
+def op9_qgram_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op4_line_dedup": op4_line_dedup,
     "op5_mixing": op5_mixing,
     "op6_parity_join": op6_parity_join,
+    "op7_gear_chunks": op7_gear_chunks,
+    "op8_zstd_quality": op8_zstd_quality,
+    "op9_qgram_leaks": op9_qgram_leaks,
 }
 
 SQL: dict[str, str] = {
