@@ -18,16 +18,13 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tidemark.llm.frames import map_texts, packed, prefiltered, release
-from tidemark.llm.words import U, flat, is_space, mix, salt, span_hashes, word_spans
+from tidemark.llm.words import U, flat, mix, salt, span_hashes, word_spans
 from tidemark.session import stage
 
 WINDOW = 16
 REACH = 16
 TIE = 64
 MIN_WORDS = 50
-#: Whole chunks show a repeated passage but for a piece at either end: the window, the reach, and part of a chunk. Runs
-#: that show this share of MIN_WORDS are compared further, byte by byte.
-SHOWN = 0.2
 GEAR = (mix((np.arange(256, dtype=U) + U(1)) * salt(40)) >> U(32)).astype(np.uint32)
 
 
@@ -84,10 +81,11 @@ def _largest(x: np.ndarray, n: int) -> np.ndarray:
 
 
 def chunked(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, at, size, n_words, digest): the chunks of every whole text by their first byte in UTF-8.
+    """(id, at, size, n_words, lead, lead_words, tail, tail_words, digest): the chunks of every whole text.
 
-    ``n_words`` counts the words that begin in the chunk. Rows without an id or text have none: a passage is told by
-    the documents it stands in.
+    ``at`` is the first byte in UTF-8, ``n_words`` counts the words that begin in the chunk. ``lead`` and ``tail`` are
+    the bytes before and after in which a passage that holds this chunk, but not its neighbour there, must end: the
+    neighbour, and what the hash of its ends sees beyond. Rows without an id or text have no chunks.
     """
 
     def work(batch: pa.RecordBatch):
@@ -97,46 +95,53 @@ def chunked(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFram
         digests = span_hashes(b, starts, ends)
         doc = np.searchsorted(offsets, starts, side="right") - 1
         first, _ = word_spans(b, offsets)
-        n_words = np.searchsorted(first, ends) - np.searchsorted(first, starts)
-        ids = batch.column("id").to_numpy()
-        columns = [ids[doc], (starts - offsets[doc]).astype(np.int32), (ends - starts).astype(np.int32)]
-        columns += [n_words.astype(np.int32), digests.view(np.int64)]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["id", "at", "size", "n_words", "digest"])
-
+        words = lambda lo, hi: (np.searchsorted(first, hi) - np.searchsorted(first, lo)).astype(np.int32)
+        size = ends - starts
+        around = np.concatenate(([0], size, [0])) + WINDOW + REACH
+        lead = np.minimum(around[:-2], starts - offsets[doc])
+        tail = np.minimum(around[2:], offsets[doc + 1] - ends)
+        columns = [batch.column("id").to_numpy()[doc], (starts - offsets[doc]).astype(np.int32), size.astype(np.int32)]
+        columns += [words(starts, ends), lead.astype(np.int32), words(starts - lead, starts)]
+        columns += [tail.astype(np.int32), words(ends, ends + tail), digests.view(np.int64)]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+
+    names = ["id", "at", "size", "n_words", "lead", "lead_words", "tail", "tail_words", "digest"]
+    kinds = {"id": "long", "digest": "long"}
     rows = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")).filter("id is not null")
-    return map_texts(rows, work, "id long, at int, size int, n_words int, digest long", "text")
+    return map_texts(rows, work, ", ".join(f"{n} {kinds.get(n, 'int')}" for n in names), "text")
 
 
 def repeated_runs(docs: DataFrame, id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """(id, at, until, n_words, first_id, left, left_size, right, right_size): runs of chunks that other documents hold.
+    """Runs of neighbouring chunks that other documents hold, if they may be part of ``min_words`` repeated words.
 
-    Only digests are shuffled, first to find those of more than one document, then to mark their chunks; a digest of
-    very many documents is counted map-side and its chunks are spread by the join. ``first_id`` is the smallest id
-    that holds a chunk of the run; ``left`` and ``right`` are other documents with the run's first and last chunk.
+    (id, at, until, n_words, first_id, and of the first chunk ``left``, ``left_size``, ``lead``, ``lead_words``, of the
+    last ``right``, ``right_size``, ``tail``, ``tail_words``): ``first_id`` is the smallest id that holds a chunk of
+    the run; ``left`` and ``right`` are other documents with its first and last chunk. Only digests are shuffled,
+    first to find those of more than one document, then to mark their chunks; a digest of very many documents is
+    counted map-side and its chunks are spread by the join.
     """
     chunks = stage(chunked(docs, id, text))
     many = chunks.groupBy("digest").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo != hi")
     many = stage(many)
     release(docs.sparkSession)
-    shared = chunks.join(many, "digest")
-    other = F.when(F.col("lo") != F.col("id"), F.col("lo")).otherwise(F.col("hi"))
+    shared = chunks.join(many, "digest").drop("digest")
     in_doc = Window.partitionBy("id").orderBy("at")
     again = F.coalesce(F.lag("at").over(in_doc) == F.col("at"), F.lit(False))
-    shared = shared.select("id", "at", "size", "n_words", "lo", other.alias("other"), again.alias("again"))
+    shared = shared.withColumn("again", again).filter("not again").drop("again")
     opens = F.col("at") != F.coalesce(F.lag(F.col("at") + F.col("size")).over(in_doc), F.lit(-1))
-    shared = shared.filter("not again").withColumn("opens", opens.cast("int"))
-    runs = shared.withColumn("run", F.sum("opens").over(in_doc))
+    runs = shared.withColumn("run", F.sum(opens.cast("int")).over(in_doc))
+    other = F.when(F.col("lo") != F.col("id"), F.col("lo")).otherwise(F.col("hi"))
     ends = runs.groupBy("id", "run").agg(
         F.min("at").alias("at"),
         F.max(F.col("at") + F.col("size")).alias("until"),
         F.sum("n_words").alias("n_words"),
         F.min("lo").alias("first_id"),
-        F.min_by("other", "at").alias("left"),
-        F.min_by("size", "at").alias("left_size"),
-        F.max_by("other", "at").alias("right"),
-        F.max_by("size", "at").alias("right_size"),
+        F.min_by(other, "at").alias("left"),
+        *[F.min_by(c, "at").alias(n) for c, n in (("size", "left_size"), ("lead", "lead"), ("lead_words", "lead_words"))],
+        F.max_by(other, "at").alias("right"),
+        *[F.max_by(c, "at").alias(n) for c, n in (("size", "right_size"), ("tail", "tail"), ("tail_words", "tail_words"))],
     )
-    return ends.filter(F.col("n_words") >= SHOWN * min_words).drop("run")
+    return ends.filter(F.col("n_words") + F.col("lead_words") + F.col("tail_words") >= min_words).drop("run")
 
 
 def repeated_passages(docs: DataFrame, id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -149,48 +154,72 @@ def repeated_passages(docs: DataFrame, id: str = "doc_id", text: str = "text", m
     none. Of rows with the same id the chunks at the same place count once.
     """
     runs = stage(repeated_runs(docs, id, text, min_words))
-    names = ["id", F.col("at").alias("start"), F.col("until").alias("end"), "n_words", "first_id"]
-    sure = runs.filter(F.col("n_words") >= min_words).select(*names)
+    release(docs.sparkSession)
+    names = ["id", "start", "end", "n_words", "first_id"]
+    sure = runs.filter(F.col("n_words") >= min_words).withColumnsRenamed({"at": "start", "until": "end"}).select(*names)
     open_ = runs.filter(F.col("n_words") < min_words)
     ids = open_.select("id").union(open_.select("left")).union(open_.select("right"))
-    rows = docs.select(F.col(id).cast("long").alias("doc"), F.col(text).alias("text")).filter("doc is not null")
-    texts = prefiltered(rows, ["doc"], ids, ["id"])
+    rows = docs.select(F.col(id).cast("long").alias("doc"), F.col(text).cast("binary").alias("bytes"))
+    texts = prefiltered(rows.filter("doc is not null"), ["doc"], ids, ["id"])
+
+    cut = lambda at, n: F.substring(F.col("bytes"), at + 1, n)
+    own = open_.join(texts, F.col("id") == F.col("doc")).select(
+        *open_.columns,
+        cut(F.col("at") - F.col("lead"), F.col("lead")).alias("before"),
+        cut(F.col("at"), F.col("until") - F.col("at")).alias("run"),
+        cut(F.col("until"), F.col("tail")).alias("after"),
+    )
 
-    def with_text(df: DataFrame, name: str) -> DataFrame:
-        own = texts.select("doc", F.col("text").alias(f"{name}_text"))
-        return df.join(own, F.col(name) == F.col("doc")).drop("doc")
+    met = own.join(texts, F.col("left") == F.col("doc")).drop("doc")
+    left = map_texts(met, _Extend(-1, own.columns), own.withColumn("got_left", F.lit(0)).schema, "bytes")
+    met = left.join(texts, F.col("right") == F.col("doc")).drop("doc")
+    both = map_texts(met, _Extend(1, left.columns), left.withColumn("got_right", F.lit(0)).schema, "bytes")
 
-    def work(batch: pa.RecordBatch):
+    def count(batch: pa.RecordBatch):
         found = []
         for row in batch.to_pylist():
-            own, left, right = ((row[f"{name}_text"] or "").encode() for name in ("id", "left", "right"))
-            start = row["at"] - _shared(own[: row["at"]], left, own[row["at"] : row["at"] + row["left_size"]], -1)
-            tail = own[row["until"] - row["right_size"] : row["until"]]
-            end = row["until"] + _shared(own[row["until"] :], right, tail, 1)
-            firsts, lasts = word_spans(np.frombuffer(own, np.uint8), np.array([0, len(own)]))
-            n = int(((firsts >= start) & (lasts <= end)).sum())
+            place = np.frombuffer(row["before"] + row["run"] + row["after"], np.uint8)
+            firsts, lasts = word_spans(place, np.array([0, len(place)]))
+            lo, hi = row["lead"] - row["got_left"], row["lead"] + len(row["run"]) + row["got_right"]
+            n = int(((firsts >= lo) & (lasts <= hi)).sum())
             if n >= min_words:
-                found.append((row["id"], start, end, n, row["first_id"]))
+                found.append((row["id"], row["at"] - row["got_left"], row["until"] + row["got_right"], n, row["first_id"]))
         if found:
-            columns = [pa.array(c, t) for c, t in zip(zip(*found), types)]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "start", "end", "n_words", "first_id"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), types)], names)
 
     types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
-    asked = with_text(with_text(with_text(open_, "id"), "left"), "right")
-    more = map_texts(asked, work, "id long, start int, end int, n_words long, first_id long", "id_text")
+    more = map_texts(both, count, "id long, start int, end int, n_words long, first_id long", "run")
     return sure.union(more.distinct())
 
 
+class _Extend:
+    """Adds ``got_left`` or ``got_right``: how far the run's text goes on alike in the other document's ``bytes``."""
+
+    def __init__(self, way: int, columns: list[str]):
+        self.way, self.columns = way, columns
+
+    def __call__(self, batch: pa.RecordBatch):
+        got = []
+        for row in batch.to_pylist():
+            if self.way < 0:
+                near, chunk = row["before"], row["run"][: row["left_size"]]
+            else:
+                near, chunk = row["after"], row["run"][-row["right_size"] :]
+            got.append(_shared(near, row["bytes"] or b"", chunk, self.way))
+        columns = [*[batch.column(c) for c in self.columns], pa.array(got, pa.int32())]
+        yield pa.RecordBatch.from_arrays(columns, [*self.columns, "got_left" if self.way < 0 else "got_right"])
+
+
 def _shared(own: bytes, other: bytes, chunk: bytes, way: int) -> int:
-    """How many bytes next to ``chunk`` agree with ``other`` where it holds the chunk: those of ``own`` after it
-    (``way`` 1), or before it (-1). The most, if it holds the chunk in several places."""
+    """How many bytes of ``own``, which stands after ``chunk`` (``way`` 1) or before it (-1), go on alike in ``other``
+    where it holds the chunk; the most, if it holds it in several places."""
     most, at = 0, other.find(chunk)
     while at >= 0:
-        near = other[at + len(chunk) :] if way > 0 else other[:at]
-        n = min(len(own), len(near))
-        a = np.frombuffer(own[:n] if way > 0 else own[len(own) - n :][::-1], np.uint8)
-        b = np.frombuffer(near[:n] if way > 0 else near[len(near) - n :][::-1], np.uint8)
-        differ = np.flatnonzero(a != b)
+        after = at + len(chunk)
+        near = other[after : after + len(own)] if way > 0 else other[max(at - len(own), 0) : at][::-1]
+        mine = own if way > 0 else own[::-1]
+        n = min(len(mine), len(near))
+        differ = np.flatnonzero(np.frombuffer(mine[:n], np.uint8) != np.frombuffer(near[:n], np.uint8))
         most = max(most, int(differ[0]) if len(differ) else n)
         at = other.find(chunk, at + 1)
     return most
