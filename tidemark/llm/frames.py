@@ -66,8 +66,12 @@ def map_texts(
             if len(lengths) > start:
                 yield from work(batch.slice(start))
 
-    spark = df.sparkSession
-    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(rows)) > BATCH_ROWS:
-        spark.conf.set(rows, str(BATCH_ROWS))
-    return df.mapInArrow(run, schema)
+    return small_batches(df).mapInArrow(run, schema)
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, with the session set to send Python tasks at most BATCH_ROWS rows at a time."""
+    conf, rows = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(conf.get(rows)) > BATCH_ROWS:
+        conf.set(rows, str(BATCH_ROWS))
+    return df

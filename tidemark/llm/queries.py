@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chunks, decontaminate, lines, mixing, parity, quality, simhash
+from tidemark.llm import chunks, decontaminate, lines, mixing, parity, quality, simhash, templates, urls, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,15 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.compare_edited(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op2_page_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = templates.main_texts(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op3_url_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     found = lines.with_frequent_lines(docs, "source", "text")
@@ -53,14 +62,21 @@ def op9_qgram_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op10_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark, table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_page_templates": op2_page_templates,
+    "op3_url_models": op3_url_models,
     "op4_line_dedup": op4_line_dedup,
     "op5_mixing": op5_mixing,
     "op6_parity_join": op6_parity_join,
     "op7_gear_chunks": op7_gear_chunks,
     "op8_zstd_quality": op8_zstd_quality,
     "op9_qgram_leaks": op9_qgram_leaks,
+    "op10_zip_warc": op10_zip_warc,
 }
 
 SQL: dict[str, str] = {
@@ -142,5 +158,19 @@ WITH RECURSIVE w AS (
 )
 SELECT n.doc_id, n.n AS n_shingles, min(reach.b) AS component_id
 FROM n JOIN reach ON n.doc_id = reach.a GROUP BY n.doc_id, n.n
+""",
+    "op10_zip_warc": """
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+), d AS (
+  SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS hex, max(page_id) OVER (PARTITION BY payload) AS newest
+  FROM p
+)
+SELECT page_id, payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((('0x' || substr(hex, 5 * (i // 4) + 1, 5))::INT >> (15 - 5 * (i % 4))::INT) & 31)::INT, 1)), '') AS payload_digest,
+  CASE WHEN page_id = newest THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> newest THEN newest END AS refers_to
+FROM d
 """,
 }
