@@ -150,7 +150,8 @@ def repeated_passages(docs: DataFrame, id: str = "doc_id", text: str = "text", m
     Bytes ``start`` to ``end`` of the text in UTF-8, one row per place, also in the document of the smallest id,
     ``first_id``. Runs long enough by themselves are taken as they are, at most a chunk short at either end. Shorter
     ones are compared byte by byte with the documents that hold their first and last chunk, and taken if the passage
-    that they are part of is long enough. Exact and near copies are passages too. Rows without an id or a text have
+    that they are part of is long enough. Passages of other documents right next to each other count as one. Exact and
+    near copies are passages too. Rows without an id or a text have
     none. Of rows with the same id the chunks at the same place count once.
     """
     runs = stage(repeated_runs(docs, id, text, min_words))

@@ -7,13 +7,14 @@ gap of the class that every page has. What is left between template tokens are s
 
 The main text is what the slots of the article hold, or of the page's body if nothing marks an article. Template
 elements that say what they are (menus, headers, footers, sidebars, notices, adverts, forms, reader comments, by tag,
-class, id or role) end the article. Text of the template itself goes too, unless it makes up most of a page: then the
+class, id or role) end the article. Text of the template itself goes too, unless it makes up most of it: then the
 pages are copies of each other, and what they share is their article. A host with few pages has no template; there
 the tags alone decide.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
 from dataclasses import dataclass, field
@@ -33,6 +34,9 @@ from tidemark.session import stage
 PAGES = 5
 SHARE = 0.5
 CLASS_SIZE = 2
+#: Pages whose article (or whole body, if no article is marked) is template text to more than this share are copies.
+COPIED = 0.5
+COPIED_UNMARKED = 0.9
 
 # Names of HTML and of the usual parts of a page: fixed values.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -105,10 +109,8 @@ class Page:
 
 def _hash(*parts) -> int:
     """A stable 64-bit hash of numbers and strings."""
-    h = 0xCBF29CE484222325
-    for byte in "\0".join(map(str, parts)).encode():
-        h = (h ^ byte) * 0x100000001B3 % (1 << 64)
-    return h - (1 << 64) if h >> 63 else h
+    raw = hashlib.blake2b("\0".join(map(str, parts)).encode(), digest_size=8).digest()
+    return int.from_bytes(raw, "little", signed=True)
 
 
 def _known(cache: dict, *parts) -> int:
@@ -303,12 +305,11 @@ def main_text(source: str, classes: list[list[int]], cache: dict) -> str:
     for at, run in page.runs:
         run.template = run.token != 0 and at in places
     runs = [run for _, run in page.runs if not run.aside]
-    for inside in ([r for r in runs if r.article], [r for r in runs if r.main], runs):
-        if any(r.text.strip() for r in inside):
-            break
+    marked = [r for r in runs if r.article], [r for r in runs if r.main]
+    inside, copied = next(((m, COPIED) for m in marked if any(r.text.strip() for r in m)), (runs, COPIED_UNMARKED))
     size = sum(len(r.text) for r in inside)
     fixed = sum(len(r.text) for r in inside if r.template)
-    if 2 * fixed <= size:
+    if fixed <= copied * size:
         inside = [r for r in inside if not r.template]
     blocks: dict[int, list[str]] = {}
     for run in inside:

@@ -33,6 +33,8 @@ INDEX = "indexes/index.cdxj"
 ARCHIVE_BYTES = 64 << 20
 #: Records within so many bytes of each other are fetched together.
 NEAR_BYTES = 1 << 20
+#: A task reads about so many bytes of records.
+TASK_BYTES = 4 << 20
 #: Payloads of fewer bytes are never revisits.
 LEAST_BYTES = 0
 LIMIT32 = 0xFFFFFFFF
@@ -149,7 +151,7 @@ def members(file, size: int) -> list[Member]:
 
     tail_at = max(size - struct.calcsize(END) - 0xFFFF, 0)
     tail = at(tail_at, size - tail_at)
-    place = tail.rfind(END_SIGN)
+    place = tail.rfind(END_SIGN, 0, max(len(tail) - struct.calcsize(END) + len(END_SIGN), 0))
     while place >= 0 and place + struct.calcsize(END) + struct.unpack_from(END, tail, place)[7] != len(tail):
         place = tail.rfind(END_SIGN, 0, place)
     if place < 0:
@@ -321,8 +323,9 @@ def read_records(index: DataFrame) -> DataFrame:
         names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
-    place = F.floor(F.col("offset") / (4 * NEAR_BYTES))
-    dealt = index.select("path", "offset", "length").repartition("path", place)
+    total = index.agg(F.sum("length")).first()[0] or 0
+    place = F.floor(F.col("offset") / TASK_BYTES)
+    dealt = index.select("path", "offset", "length").repartition(max(2, total // TASK_BYTES), "path", place)
     schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
     return map_texts(dealt.sortWithinPartitions("path", "offset"), work, schema, "path")
 
