@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Bits of the filter that :func:`prefiltered` broadcasts: at most BITS / 64 rows, whatever the number of keys.
+#: Bits of the table that :func:`prefiltered` broadcasts: at most BITS / 64 rows, whatever the number of keys.
 BITS = 1 << 22
 #: Bytes of text that a Python task works on at a time (one longer text is worked on alone).
 BATCH_BYTES = 4 << 20
@@ -19,11 +19,10 @@ BATCH_BYTES = 4 << 20
 BATCH_ROWS = 512
 
 
-def prefiltered(df: DataFrame, keys: list[str], wanted: DataFrame, wanted_keys: list[str]) -> DataFrame:
-    """The rows of ``df`` whose keys are in ``wanted`` and a few more, before anything wide is shuffled.
+def _marked(df: DataFrame, keys: list[str], wanted: DataFrame, wanted_keys: list[str]) -> DataFrame:
+    """``df`` with ``_pick_hit``: false for rows whose keys are surely not in ``wanted``.
 
-    A bit table of the wanted keys, of a fixed size, is broadcast and drops most other rows in the scan; the join that
-    follows is exact and shuffles only what is left. Null keys count as equal.
+    A bit table of the wanted keys, of a fixed size, is broadcast. Null keys count as equal.
     """
     bit = lambda names: F.pmod(F.xxhash64(*[F.col(n) for n in names]), F.lit(BITS))
     words = (
@@ -31,11 +30,23 @@ def prefiltered(df: DataFrame, keys: list[str], wanted: DataFrame, wanted_keys:
         .groupBy(F.shiftright("b", 6).alias("_pick_at"))
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(b & 63 as int))")).alias("_pick_bits"))
     )
-    near = df.withColumn("_pick_b", bit(keys)).join(
-        F.broadcast(words), F.shiftright("_pick_b", 6) == F.col("_pick_at"), "inner"
-    )
+    near = df.withColumn("_pick_b", bit(keys))
+    near = near.join(F.broadcast(words), F.shiftright("_pick_b", 6) == F.col("_pick_at"), "left")
     hit = F.expr("_pick_bits & shiftleft(1L, cast(_pick_b & 63 as int))") != 0
-    return near.filter(hit).drop("_pick_b", "_pick_at", "_pick_bits")
+    return near.withColumn("_pick_hit", F.coalesce(hit, F.lit(False))).drop("_pick_b", "_pick_at", "_pick_bits")
+
+
+def prefiltered(df: DataFrame, keys: list[str], wanted: DataFrame, wanted_keys: list[str]) -> DataFrame:
+    """The rows of ``df`` whose keys are in ``wanted`` and a few more, before anything wide is shuffled.
+
+    The join that follows is exact and shuffles only what is left.
+    """
+    return _marked(df, keys, wanted, wanted_keys).filter("_pick_hit").drop("_pick_hit")
+
+
+def surely_not(df: DataFrame, keys: list[str], wanted: DataFrame, wanted_keys: list[str]) -> DataFrame:
+    """The rows that :func:`prefiltered` leaves out."""
+    return _marked(df, keys, wanted, wanted_keys).filter("not _pick_hit").drop("_pick_hit")
 
 
 def release(spark: SparkSession) -> None:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import map_texts, packed, prefiltered, release
+from tidemark.llm.frames import map_texts, packed, prefiltered, release, surely_not
 from tidemark.llm.graph import components
 from tidemark.llm.words import U, mix, salt, shingle_sets
 from tidemark.session import stage
@@ -30,6 +30,9 @@ PERCENT = 80
 #: A band reaches from a size to this many times the size.
 BAND = 1.5
 SKETCH = 4
+BAND_BITS = 8
+#: Bands up to this one are pruned by how many keys a pair shares; sets beyond have millions of shingles.
+LAST_BAND = 32
 #: Copies that one task has seen already send no keys again; it remembers this many sets.
 SEEN = 1 << 18
 
@@ -79,8 +82,11 @@ class Bands:
         return [band] + [k for k in range(band - 1, -1, -1) if self.lows[k + 1] > least_partner]
 
 
-def part_keys(tokens: np.ndarray, bands: Bands) -> list[np.ndarray]:
-    """The join keys of a set of token hashes: for each of its bands one per part."""
+def part_keys(tokens: np.ndarray, bands: Bands) -> list[tuple[int, int, np.ndarray]]:
+    """For each band of a set of token hashes: the band, the number of empty parts, and the join keys, one per part.
+
+    A key's lowest byte is its band.
+    """
     out = []
     for band in bands.of(len(tokens)):
         bands.low(band)
@@ -90,7 +96,8 @@ def part_keys(tokens: np.ndarray, bands: Bands) -> list[np.ndarray]:
         np.bitwise_xor.at(sketch, place, tokens)
         empty = np.bincount(place, minlength=parts) == 0
         keys = mix(sketch ^ mix((np.arange(parts, dtype=U) << U(16)) + U(band) + U(1)))
-        out.append(keys if empty.sum() > empties else keys[~empty])
+        keys = (keys << U(BAND_BITS)) | U(band)
+        out.append((band, int(empty.sum()), keys if empty.sum() > empties else keys[~empty]))
     return out
 
 
@@ -107,8 +114,9 @@ def set_hash(tokens: np.ndarray) -> np.uint64:
 
 
 def shingled(docs: DataFrame, id: str, text: str, words: int, percent: int) -> DataFrame:
-    """(id, th, n, sid, s0.., keys): per row its id, text hash, number of shingles, set hash, sketch and join keys.
+    """(id, th, n, sid, s0.., empty, keys): per row its id, text hash, number of shingles, set hash, sketch and join keys.
 
+    ``empty`` has the number of empty parts for each band, above the band in the lowest byte.
     ``sid`` is null for a text without words. ``keys`` are empty where the task has sent those of an equal set.
     """
     narrow = docs.select(F.col(id).cast("long").alias("id"), F.xxhash64(text).alias("th"), F.col(text).alias("text"))
@@ -117,27 +125,29 @@ def shingled(docs: DataFrame, id: str, text: str, words: int, percent: int) -> D
         rows = []
         for tokens in shingle_sets(batch.column("text"), words):
             sid = int(set_hash(tokens).astype(np.int64)) if len(tokens) else None
-            if sid is None or sid in seen:
-                keys = np.zeros(0, dtype=np.int64)
-            else:
-                found = part_keys(tokens, bands)
-                keys = np.concatenate(found).view(np.int64) if found else np.zeros(0, dtype=np.int64)
+            found = part_keys(tokens, bands)
+            empty = [(n << BAND_BITS) + band for band, n, _ in found]
+            keys = np.concatenate([np.zeros(0, dtype=U), *[k for _, _, k in found]]).view(np.int64)
+            if sid in seen:
+                keys = keys[:0]
+            elif sid is not None:
                 if len(seen) >= SEEN:
                     seen.clear()
                 seen.add(sid)
-            rows.append((len(tokens), sid, parity_sketch(tokens).view(np.int64), keys))
-        n, sid, sketch, keys = zip(*rows)
+            rows.append((len(tokens), sid, parity_sketch(tokens).view(np.int64), empty, keys))
+        n, sid, sketch, empty, keys = zip(*rows)
         sketches = np.stack(sketch)
         ends = np.cumsum([0, *map(len, keys)]).astype(np.int32)
         columns = [batch.column("id"), batch.column("th"), pa.array(n, pa.int64()), pa.array(sid, pa.int64())]
         columns += [pa.array(sketches[:, j]) for j in range(SKETCH)]
+        columns.append(pa.array(empty, pa.list_(pa.int64())))
         columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys))))
-        names = ["id", "th", "n", "sid", *[f"s{j}" for j in range(SKETCH)], "keys"]
+        names = ["id", "th", "n", "sid", *[f"s{j}" for j in range(SKETCH)], "empty", "keys"]
         yield pa.RecordBatch.from_arrays(columns, names)
 
     bands, seen = Bands(percent), set()
     schema = "id long, th long, n long, sid long, " + ", ".join(f"s{j} long" for j in range(SKETCH))
-    return map_texts(narrow, work, schema + ", keys array<long>", "text")
+    return map_texts(narrow, work, schema + ", empty array<long>, keys array<long>", "text")
 
 
 def _could_link(percent: int) -> Column:
@@ -148,6 +158,24 @@ def _could_link(percent: int) -> Column:
     return (100 * small >= percent * large) & (percent * differ <= (100 - percent) * small)
 
 
+def _enough_shared(percent: int) -> Column:
+    """A pair of a ``band`` has ``shared`` keys in common: enough for a link?
+
+    Of a band's parts more than ``empties`` agree in a link. Those with tokens are shared keys, and no more can be
+    empty in both than are in either.
+    """
+    bands = Bands(percent)
+    needed = [bands.low(b) and bands.empties[b] for b in range(LAST_BAND)] if percent < 100 else [-1] * LAST_BAND
+    least = F.element_at(F.array(*[F.lit(n) for n in needed]), F.least(F.col("band") + 1, F.lit(LAST_BAND)).cast("int"))
+    mask = F.lit((1 << BAND_BITS) - 1)
+
+    def empty(side: str) -> Column:
+        own = F.filter(f"{side}_empty", lambda e: e.bitwiseAND(mask) == F.col("band"))
+        return F.shiftright(F.coalesce(F.get(own, F.lit(0)), F.lit(0)), BAND_BITS)
+
+    return (F.col("band") >= LAST_BAND) | (F.col("shared") + F.least(empty("x"), empty("y")) > least)
+
+
 def _side(df: DataFrame, name: str) -> DataFrame:
     return df.select(*[F.col(c).alias(f"{name}_{c}") for c in df.columns])
 
@@ -202,15 +230,15 @@ def near_components(
     members = stage(keyed.join(repeated, "key").distinct())
     release(spark)
 
-    sketch = [F.min(c).alias(c) for c in ["n", *[f"s{j}" for j in range(SKETCH)]]]
+    same_in_all = [F.min(c).alias(c) for c in ["n", *[f"s{j}" for j in range(SKETCH)], "empty"]]
     in_keys = members.select("sid").distinct()
-    sets = rows.select("id", "th", "sid", "n", *[f"s{j}" for j in range(SKETCH)]).join(in_keys, "sid", "left_semi")
-    least = sets.groupBy("sid").agg(F.min("id").alias("rep_id"), *sketch)
+    sets = rows.drop("keys").join(in_keys, "sid", "left_semi")
+    least = sets.groupBy("sid").agg(F.min("id").alias("rep_id"), *same_in_all)
     same = (F.col("sid") == F.col("l_sid")) & F.col("id").eqNullSafe(F.col("rep_id"))
     hashes = sets.join(least.select(F.col("sid").alias("l_sid"), "rep_id"), same)
     sets = stage(least.join(hashes.groupBy("sid").agg(F.min("th").alias("rep_th")), "sid"))
 
-    light = sets.drop("rep_id", "rep_th")
+    light = sets.drop("rep_id", "rep_th", "empty")
     counts = members.groupBy("key").agg(F.count("*").alias("c"))
     score = members.join(counts, "key").groupBy("sid").agg(F.sum(F.col("c") - 1).alias("score"))
     ranked = score.select("sid", (F.col("score") * 1024 + F.pmod("sid", F.lit(1024))).alias("rank"))
@@ -236,7 +264,11 @@ def near_components(
     open_ = stage(placed.join(mixed.select("key"), "key").join(light, "sid"))
     x, y = _side(open_, "x"), _side(open_, "y")
     apart = (F.col("x_key") == F.col("y_key")) & (F.col("x_sid") < F.col("y_sid")) & (F.col("x_label") != F.col("y_label"))
-    rest = x.join(y, apart & _could_link(percent)).select("x_sid", "y_sid").distinct()
+    band = F.col("x_key").bitwiseAND(F.lit((1 << BAND_BITS) - 1)).alias("band")
+    rest = x.join(y, apart & _could_link(percent)).groupBy("x_sid", "y_sid", band).agg(F.count("*").alias("shared"))
+    for side in "xy":
+        rest = rest.join(sets.select(F.col("sid").alias(f"{side}_sid"), F.col("empty").alias(f"{side}_empty")), f"{side}_sid")
+    rest = rest.filter(_enough_shared(percent)).select("x_sid", "y_sid").distinct()
     rest = stage(rest.join(compared, ["x_sid", "y_sid"], "left_anti"))
     more = verified(rest, sets, narrow_docs, "text", words, percent)
     labels = components(links.union(more).union(labels.select(F.col("node").alias("a"), F.col("label").alias("b"))))
@@ -277,13 +309,21 @@ def one_per_group(
         F.col("component").alias("c"), F.col("best").isNull().alias("c_no_id"), F.coalesce("best", "best_th").alias("c_rank")
     )
     same = (F.col("component") == F.col("c")) & (F.col("no_id") == F.col("c_no_id")) & (F.col("rank") == F.col("c_rank"))
-    keep = grouped.join(stage(chosen), same, "left_semi").groupBy("id", "no_id", "component").agg(F.min("th").alias("th"))
-    keep = keep.select(F.col("id").alias("k_id"), F.col("th").alias("k_th"), F.lit(True).alias("grouped"))
-    wordless = ranked.filter("component is null").select("id", "th", F.lit(False)).distinct()
-    keep = stage(keep.union(wordless))
-
-    full = packed(docs).withColumn("th", F.xxhash64(f"row.{text}"))
-    match = (F.col("th") == F.col("k_th")) & F.col(f"row.{id}").cast("long").eqNullSafe(F.col("k_id"))
-    kept = full.join(keep, match)
-    single = kept.filter("grouped").dropDuplicates(["k_id", "k_th"])
-    return single.union(kept.filter("not grouped")).select("row.*")
+    kept = grouped.join(stage(chosen), same, "left_semi")
+    kept = kept.groupBy("id", "component").agg(F.min("th").alias("th")).select("id", "th")
+    counted = grouped.groupBy("id", "th").agg(F.count("*").alias("n")).join(
+        kept.select(F.col("id").alias("k_id"), F.col("th").alias("k_th")),
+        F.col("id").eqNullSafe(F.col("k_id")) & (F.col("th") == F.col("k_th")),
+        "left",
+    )
+    # Rows of these ids and texts all go, or one of equal rows stays; no other row needs a shuffle.
+    open_ = counted.select("id", "th", F.col("k_th").isNotNull().alias("stays"), "n").filter("not stays or n > 1")
+    open_ = stage(open_.select(F.col("id").alias("o_id"), F.col("th").alias("o_th"), "stays"))
+
+    full = packed(docs).withColumns({"id": F.col(f"row.{id}").cast("long"), "th": F.xxhash64(f"row.{text}")})
+    near = prefiltered(full, ["id", "th"], open_, ["o_id", "o_th"])
+    same = (F.col("th") == F.col("o_th")) & F.col("id").eqNullSafe(F.col("o_id"))
+    met = near.join(open_, same, "left")
+    single = met.filter("stays").dropDuplicates(["o_id", "o_th"])
+    rest = surely_not(full, ["id", "th"], open_, ["o_id", "o_th"])
+    return rest.select("row").union(met.filter("stays is null").select("row")).union(single.select("row")).select("row.*")
