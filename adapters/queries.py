@@ -410,7 +410,8 @@ _ON_KEY = "t.poste = s.poste AND t.schema = s.schema AND t.dateschema = s.datesc
     "j7_new_rows",
     sql(
         "t16",
-        f"SELECT * FROM t16 s WHERE NOT EXISTS (SELECT 1 FROM t16 t WHERE {_ON_KEY} AND t.tempstheorique > 0)",
+        "SELECT s.* FROM t16 s ANTI JOIN (SELECT DISTINCT poste, schema, dateschema FROM t16 WHERE tempstheorique > 0) t "
+        f"ON {_ON_KEY}",
     ),
 )
 def j7(spark, sf_dir):

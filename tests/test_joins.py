@@ -145,3 +145,15 @@ def test_a_hot_group_of_copies_is_spread(spark, forced_skew, without_aqe):
     joined = spread_join(left, right, [("k", "k")])
     assert joined.count() == 6000
     assert joined.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] < 2000
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+@pytest.mark.parametrize("kinds", [("int", "bigint"), ("bigint", "decimal(12,0)"), ("smallint", "double"), ("date", "timestamp_ntz")])
+def test_salted_join_of_unlike_key_types(spark, forced_skew, how, kinds):
+    number = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 100)
+    key = F.date_add(F.lit("2024-01-01").cast("date"), number.cast("int")) if kinds[0] == "date" else number
+    left = spark.range(3000).select(key.cast(kinds[0]).alias("k"), "id")
+    right = left.filter("id < 100").select(F.col("k").cast(kinds[1]).alias("r")).distinct()
+    plain = left.join(right, left.k.cast(kinds[1]) == right.r, how).select("id")
+    salted = spread_join(left, right, [("k", "r")], how).select("id")
+    assert sorted(r.id for r in salted.collect()) == sorted(r.id for r in plain.collect())

@@ -117,7 +117,7 @@ def test_touched_months(frame):
     assert _touched(frame, [("a", 2, "x")], [("a", 1, "x")]) == ([1, 2], 1)
     assert _touched(frame, [("a", 3, "y")], [("a", 3, "x")]) == ([3], 1)
     assert _touched(frame, [("n", 4, "x")], []) == ([4], 0)
-    assert _touched(frame, [("a", 1, "x"), ("a", 4, "x")], [("a", 2, "x")]) == ([1, 2, 3, 4], 1)
+    assert _touched(frame, [("a", 1, "x"), ("a", 4, "x")], [("a", 2, "x")]) == ([1, 2, 4], 1)
     assert _touched(frame, [(None, 6, "x")], [(None, 6, "x")]) == ([6], 0)
     assert _touched(frame, [("a", None, "x")], [("a", 3, "x")])[0] == [0, 3]
     assert _touched(frame, [], [("a", 3, "x")]) == ([], 0)
@@ -146,3 +146,7 @@ def test_insert_reads_the_source_once(sources):
     production = sources("MFGITMTRK")
     plan = loads.insert_absent(production, production, ["MFGTRKNUM_0"], ["IPTDAT_0"])
     assert plan._jdf.queryExecution().executedPlan().toString().count("FileScan") == 2
+
+
+def test_a_missing_day_touches_no_month_between(frame):
+    assert _touched(frame, [("a", None, "x"), ("a", 12, "y"), ("a", 2, "z")], [("a", 12, "x")])[0] == [0, 2, 12]

@@ -30,7 +30,7 @@ def erp(spark, tmp_path_factory):
 
 @pytest.fixture
 def no_broadcast(spark):
-    conf = {"tidemark.broadcast.maxBytes": "-1", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    conf = {"spark.tidemark.broadcast.maxBytes": "-1", "spark.sql.autoBroadcastJoinThreshold": "-1"}
     old = {k: spark.conf.get(k) for k in conf}
     for k, v in conf.items():
         spark.conf.set(k, v)

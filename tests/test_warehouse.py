@@ -8,6 +8,7 @@ from datetime import date, datetime
 import pytest
 
 from tests.conftest import values
+from tidemark.plans.catalog import DATASETS
 from tidemark.plans.catalog import CALENDAR
 from tidemark.plans.partners import COMPANY
 from tidemark.plans.shopfloor import CAPACITY, PRODUCTION
@@ -318,3 +319,40 @@ def test_staged_copies_are_removed(company, spark):
     warehouse.load("COMPANY")
     warehouse.sync("COMPANY")
     assert not list(Path(spark.conf.get("spark.checkpoint.dir")).glob("load-*"))
+
+
+def test_loads_of_one_warehouse_run_side_by_side(spark, sources, house):
+    from concurrent.futures import ThreadPoolExecutor
+
+    names = ["SALESINVOICE", "ITMMASTER", "COMPANY", "SALESREP"]
+    all_of = house(type("Tables", (dict,), {"__missing__": lambda _, n: sources(n)})())
+    for n in names:
+        all_of.create(n)
+    with ThreadPoolExecutor(4) as pool:
+        reports = list(pool.map(all_of.load, names))
+    for n, report in zip(names, reports):
+        assert report.inserted == all_of.build(n).count() == all_of.store.read(DATASETS[n]).count()
+
+
+def test_overwrite_and_append_keep_cursor_and_count(spark, sources, house):
+    one = house(type("Tables", (dict,), {"__missing__": lambda _, n: sources(n)})())
+    one.create("SALESREP")
+    one.load("SALESREP")
+    ds = DATASETS["SALESREP"]
+    held = one.store.read(ds, with_id=True)
+    rows = held.count()
+    one.store.overwrite(ds, held)
+    assert one.load("SALESREP").outcome == "nothing new"
+    one.store.overwrite(ds, held.filter("id <= 3"))
+    one.load("SALESREP")
+    ids = [r.id for r in one.store.read(ds, with_id=True).collect()]
+    assert len(set(ids)) == len(ids) <= rows
+
+
+def test_a_commit_race_is_a_failed_load(spark, sources, house, monkeypatch):
+    one = house(type("Tables", (dict,), {"__missing__": lambda _, n: sources(n)})())
+    one.create("SALESREP")
+    put = one.store._put
+    monkeypatch.setattr(one.store, "_put", lambda ds, version, folders: [put(ds, version, folders) for _ in range(2)])
+    with pytest.raises(LoadFailed, match="another writer committed first"):
+        one.load("SALESREP")

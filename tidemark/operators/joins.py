@@ -21,6 +21,8 @@ BUCKETS = 16_384
 SALT = "__salt"
 MEASURE = "measure"
 
+WHOLE = ("tinyint", "smallint", "int", "bigint")
+
 Pairs = Sequence[tuple[str, str]]
 
 
@@ -30,8 +32,22 @@ class Skew:
     salts: int
 
 
-def _bucket(keys: Sequence[str]) -> Column:
-    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(BUCKETS)).cast("int")
+def _bucket(df: DataFrame, keys: Sequence[str], types: Sequence[str] | None = None) -> Column:
+    """The bucket of a row's key. Equal keys must fall in one bucket whatever their types: whole numbers are hashed as
+    long, and with ``types`` every key as its type there."""
+    own = [df.select(F.col(k)).schema[0].dataType.simpleString() for k in keys]
+    wide = ["bigint" if t in WHOLE else t for t in types or own]
+    return F.pmod(F.xxhash64(*[F.col(k).cast(t) for k, t in zip(keys, wide)]), F.lit(BUCKETS)).cast("int")
+
+
+def common_types(left: DataFrame, right: DataFrame, pairs: Pairs) -> list[str]:
+    """The type in which each pair of keys is compared. Raises AnalysisException where there is none."""
+    found = []
+    for l, r in pairs:
+        kinds = [df.select(F.col(c)).schema[0].dataType.simpleString() for df, c in ((left, l), (right, r))]
+        both = left.sparkSession.range(0).select(F.coalesce(*[F.lit(None).cast(k) for k in kinds]))
+        found.append(kinds[0] if kinds[0] == kinds[1] else both.schema[0].dataType.simpleString())
+    return found
 
 
 def find_skews(df: DataFrame, key_sets: Sequence[Sequence[str]]) -> list[Skew | None]:
@@ -42,7 +58,7 @@ def find_skews(df: DataFrame, key_sets: Sequence[Sequence[str]]) -> list[Skew |
     spark = df.sparkSession
     if input_bytes(df) < setting(spark, SKEW_MIN_BYTES):
         return [None] * len(key_sets)
-    pairs = F.array(*[F.struct(F.lit(i).alias("i"), _bucket(keys).alias("bucket")) for i, keys in enumerate(key_sets)])
+    pairs = F.array(*[F.struct(F.lit(i).alias("i"), _bucket(df, keys).alias("bucket")) for i, keys in enumerate(key_sets)])
     counts = df.select(F.inline(pairs)).groupBy("i", "bucket").count().collect()
     total = sum(r["count"] for r in counts if r["i"] == 0)
     share = max(total // int(spark.conf.get("spark.sql.shuffle.partitions")), setting(spark, SKEW_MIN_ROWS), 1)
@@ -58,23 +74,38 @@ def find_skew(df: DataFrame, keys: Sequence[str]) -> Skew | None:
     return find_skews(df, [keys])[0]
 
 
-def _salted(left: DataFrame, keys: Sequence[str], skew: Skew, copies: bool) -> DataFrame:
+def _salted(left: DataFrame, keys: Sequence[str], types: Sequence[str], skew: Skew, copies: bool) -> DataFrame:
     """Salt the rows of overfull buckets by their content and, if there may be copies, by the task that reads them.
 
     Both stay the same when a task is repeated, unlike a random number or a row's position.
     """
     origin = [F.spark_partition_id()] if copies else []
     row_salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns], *origin), F.lit(skew.salts))
-    hot = _bucket(keys).isin(skew.buckets)
+    hot = _bucket(left, keys, types).isin(skew.buckets)
     return left.withColumn(SALT, F.when(hot, row_salt).otherwise(0).cast("int"))
 
 
-def _repeated(right: DataFrame, keys: Sequence[str], skew: Skew, name: str) -> DataFrame:
+def _repeated(right: DataFrame, keys: Sequence[str], types: Sequence[str], skew: Skew, name: str) -> DataFrame:
     every = F.sequence(F.lit(0), F.lit(skew.salts - 1))
-    hot = _bucket(keys).isin(skew.buckets)
+    hot = _bucket(right, keys, types).isin(skew.buckets)
     return right.withColumn(name, F.explode(F.when(hot, every).otherwise(F.array(F.lit(0)))))
 
 
+def _key_types(left: DataFrame, rights: Sequence[DataFrame], on: Pairs) -> list[str]:
+    """For each key the type in which all sides can be compared; whole numbers as long."""
+    types = [left.select(F.col(l)).schema[0].dataType.simpleString() for l, _ in on]
+    for right in rights:
+        seen = common_types(left, right, on)
+        for j, (l, _) in enumerate(on):
+            both = left.sparkSession.range(0).select(F.coalesce(*[F.lit(None).cast(t) for t in (types[j], seen[j])]))
+            types[j] = types[j] if types[j] == seen[j] else both.schema[0].dataType.simpleString()
+    return ["bigint" if t in WHOLE else t for t in types]
+
+
+def _alike(left: DataFrame, right: DataFrame, pairs: Pairs) -> list[bool]:
+    return [left.select(F.col(l)).schema[0].dataType == right.select(F.col(r)).schema[0].dataType for l, r in pairs]
+
+
 def spread_join(
     left: DataFrame,
     rights: DataFrame | Sequence[DataFrame],
@@ -101,18 +132,29 @@ def spread_join(
         skew = None
     elif skew == MEASURE:
         skew = find_skew(left, left_keys)
-    result = _salted(left, left_keys, skew, copies) if skew else left
+    result = left
+    types = _key_types(left, rights, on)
+    if skew:
+        if types != _key_types(left, [left] * len(rights), [(l, l) for l in left_keys]):
+            # The buckets were counted in the left side's own types: count them in those of the comparison.
+            as_compared = left.select(*[F.col(k).cast(t).alias(f"k{j}") for j, (k, t) in enumerate(zip(left_keys, types))])
+            skew = find_skew(as_compared, as_compared.columns)
+        result = _salted(left, left_keys, types, skew, copies) if skew else left
     for i, (right, tiny) in enumerate(zip(rights, is_small)):
         names = {r: f"__r{i}_{r}" for _, r in on if r in left_columns}
         right = right.withColumnsRenamed(names) if names else right
         pairs = [(l, names.get(r, r)) for l, r in on]
-        terms = [F.col(l).eqNullSafe(F.col(r)) if null_safe else F.col(l) == F.col(r) for l, r in pairs]
+        sides = [
+            (F.col(l), F.col(r)) if alike else (F.col(l).cast(t), F.col(r).cast(t))
+            for (l, r), t, alike in zip(pairs, types, _alike(left, right, pairs))
+        ]
+        terms = [l.eqNullSafe(r) if null_safe else l == r for l, r in sides]
         extra = [r for _, r in pairs]
         if tiny:
             right = F.broadcast(right)
         elif skew:
             salt = f"{SALT}{i}"
-            right = _repeated(right, extra, skew, salt)
+            right = _repeated(right, extra, types, skew, salt)
             terms.append(F.col(SALT) == F.col(salt))
             extra.append(salt)
         result = result.join(right, reduce(lambda x, y: x & y, terms), how)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.scalars import month_number
 from tidemark.operators.joins import new_rows, spread_join
 from tidemark.operators.rows import collapse, distinct, row_hash, total_order
+from tidemark.session import stage
 
 
 def append_above(src: DataFrame, mark: int, cursor: str) -> DataFrame:
@@ -56,15 +57,17 @@ def upsert(
     update: Sequence[str],
     order: Sequence[str] = (),
     unique_source: bool = False,
+    folder: str | None = None,
 ) -> DataFrame:
     """Next target state: every target row whose key is in the source takes its update columns; source rows
     with a key unknown to the target are added. Target rows without source stay.
 
-    ``unique_source`` states that no key comes twice in the source; then one full outer join does it all.
+    ``unique_source`` states that no key comes twice in the source; then one full outer join does it all. Else the
+    distinct source is written once, to ``folder`` or the shared folder, and read back by both parts.
     """
     if unique_source:
         return _upsert_unique(src, tgt, keys, update)
-    staged = distinct(src)
+    staged = stage(distinct(src), folder)
     return matched_update(staged, tgt, keys, update, order).unionByName(new_rows(staged, tgt, keys))
 
 
@@ -101,6 +104,7 @@ def touched_months(src: DataFrame, tgt: DataFrame, keys: Sequence[str], day: str
 
     A key is touched if it has a source row and its rows are not all equal to one another and to a target row. Its
     months are those of all its rows, on either side. Target rows matched but not touched count under a null month.
+    A missing day is a month of its own. A key's months are as many as it has rows of different months.
     Only keys and row hashes are shuffled, combined map-side, in one grouping of both sides.
     """
     columns = src.columns
@@ -118,8 +122,7 @@ def touched_months(src: DataFrame, tgt: DataFrame, keys: Sequence[str], day: str
             F.max("__h1").alias("hi1"),
             F.min("__h2").alias("lo2"),
             F.max("__h2").alias("hi2"),
-            F.min("__m").alias("first"),
-            F.max("__m").alias("last"),
+            F.collect_set("__m").alias("months"),
             F.count(F.lit(1)).alias("rows"),
             F.sum("__s").alias("sources"),
         )
@@ -128,13 +131,9 @@ def touched_months(src: DataFrame, tgt: DataFrame, keys: Sequence[str], day: str
     targets = F.col("rows") - F.col("sources")
     differs = (F.col("lo1") != F.col("hi1")) | (F.col("lo2") != F.col("hi2"))
     touched = (F.col("sources") > 0) & (keyless | (targets == 0) | differs)
-    # Two rows have no month but their own; for more, take every month between.
-    months = F.when(F.col("rows") > 2, F.sequence("first", "last")).otherwise(
-        F.array_distinct(F.array("first", "last"))
-    )
     matched = F.when((F.col("sources") > 0) & ~keyless, targets).otherwise(0)
     spread = per_key.select(
-        matched.alias("matched"), "sources", F.posexplode_outer(F.when(touched, months)).alias("n", "month")
+        matched.alias("matched"), "sources", F.posexplode_outer(F.when(touched, F.col("months"))).alias("n", "month")
     )
     once = F.when(F.coalesce("n", F.lit(0)) == 0, F.col("matched")).otherwise(0)
     return spread.groupBy("month").agg(F.sum(once).alias("matched"), F.max("sources").alias("most"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -21,9 +22,9 @@ SETTINGS = {
 }
 
 # Engine settings, read from the session so that a cluster can tune them without code changes.
-BROADCAST_BYTES = ("tidemark.broadcast.maxBytes", 10 * 1024 * 1024)
-SKEW_MIN_BYTES = ("tidemark.skew.minBytes", 256 * 1024 * 1024)
-SKEW_MIN_ROWS = ("tidemark.skew.minRows", 1_000_000)
+BROADCAST_BYTES = ("spark.tidemark.broadcast.maxBytes", 10 * 1024 * 1024)
+SKEW_MIN_BYTES = ("spark.tidemark.skew.minBytes", 256 * 1024 * 1024)
+SKEW_MIN_ROWS = ("spark.tidemark.skew.minRows", 1_000_000)
 
 
 def local_session(cores: int = 8, app: str = "tidemark", **extra: str) -> SparkSession:
@@ -59,7 +60,7 @@ def shared_dir(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="tidemark-")
     spark.conf.set("spark.checkpoint.dir", folder)

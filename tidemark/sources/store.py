@@ -129,7 +129,9 @@ class Store:
         path = f"{self.root}/{ds.name}/{name}"
         if not ds.month_column:
             df.write.parquet(path)
-            return [Folder(name)]
+            top = F.max(ds.cursor) if ds.cursor else F.lit(None)
+            rows, cursor = self.read_folders(ds, [Folder(name)]).agg(F.count(F.lit(1)), top).first()
+            return [Folder(name, None, rows, cursor)]
         label = month_number(ds.month_column)
         if "reason" in df.columns:
             label = F.when(F.col("reason") != "", REJECTED).otherwise(label)

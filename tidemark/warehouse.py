@@ -6,6 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, replace
 from datetime import date
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,14 @@ class LoadReport:
     message: str = ""
 
 
+@dataclass(frozen=True)
+class Run:
+    """What one load works with: its staging folder and its view of the source."""
+
+    folder: str
+    inputs: Inputs
+
+
 class LoadFailed(RuntimeError):
     """A load that changed nothing; ``report`` says why."""
 
@@ -63,9 +72,7 @@ class Warehouse:
         self.spark = spark
         self.store = Store(spark, root)
         self.inputs = Inputs(spark, read, end)
-        self._inputs = self.inputs
         self._land = land
-        self._staged: str | None = None
 
     def create(self, name: str) -> LoadReport:
         return LoadReport(name, self.store.ensure(DATASETS[name]))
@@ -100,40 +107,45 @@ class Warehouse:
         return self._guarded({"replace": self._replace, "merge": self._merge, "upsert": self._upsert}[ds.sync], ds)
 
     def _guarded(self, run: Callable[..., LoadReport], ds: Dataset, *args) -> LoadReport:
+        """Each load has a folder and inputs of its own, so loads of one warehouse may run side by side."""
         try:
-            with staging(self.spark) as self._staged:
-                self._inputs = self.inputs.landed(self._staged) if self._land else self.inputs
-                return run(ds, *args)
+            with staging(self.spark) as folder:
+                inputs = self.inputs.landed(folder) if self._land else self.inputs
+                return run(Run(folder, inputs), ds, *args)
         except (RuleViolation, PySparkException) as error:
             raise LoadFailed(LoadReport(ds.name, FAILED, message=str(error))) from error
+        except Py4JJavaError as error:
+            cause = str(error.java_exception)
+            message = f"another writer committed first: {cause}" if "FileAlreadyExists" in cause else cause
+            raise LoadFailed(LoadReport(ds.name, FAILED, message=message)) from error
 
     # --- plain loads -----------------------------------------------------------------------------------------------
 
-    def _append(self, ds: Dataset, clear: bool) -> LoadReport:
+    def _append(self, run: Run, ds: Dataset, clear: bool) -> LoadReport:
         version, folders = self._state(ds, clear)
         mark_at = max((f.cursor for f in folders if f.cursor is not None), default=0)
-        return self._add(ds, ds.build(self._inputs.increment(ds.cursor_table, mark_at)), version, folders)
+        return self._add(run, ds, ds.build(run.inputs.increment(ds.cursor_table, mark_at)), version, folders)
 
-    def _insert(self, ds: Dataset, clear: bool) -> LoadReport:
+    def _insert(self, run: Run, ds: Dataset, clear: bool) -> LoadReport:
         """Find the absent keys first, from keys alone; if few, pick their rows out of the source by a broadcast."""
         version, folders = self._state(ds, clear)
-        source = ds.build(self._inputs)
+        source = ds.build(run.inputs)
         if not folders:
-            return self._add(ds, collapse(source, ds.keys, ds.order, "first"), version, folders)
+            return self._add(run, ds, collapse(source, ds.keys, ds.order, "first"), version, folders)
         target = self.store.read_folders(ds, folders).select(*ds.schema.names)
-        absent = stage(loads.absent_keys(source, target, ds.keys), self._staged)
+        absent = stage(loads.absent_keys(source, target, ds.keys), run.folder)
         if absent.isEmpty():
             return LoadReport(ds.name, NOTHING_NEW)
         if estimated_small(absent):
             rows = loads.insert_keys(source, absent, ds.keys, ds.order)
         else:
             rows = loads.insert_absent(source, target, ds.keys, ds.order)
-        return self._add(ds, rows, version, folders)
+        return self._add(run, ds, rows, version, folders)
 
-    def _append_all(self, ds: Dataset, clear: bool) -> LoadReport:
+    def _append_all(self, run: Run, ds: Dataset, clear: bool) -> LoadReport:
         """Every distinct source row is added, whatever the table holds. Rows that break a rule are set aside."""
         version, folders = self._state(ds, clear)
-        written = self.store.write(ds, mark(self._distinct(ds), ds.rules))
+        written = self.store.write(ds, mark(self._distinct(run, ds), ds.rules))
         good = [f for f in written if f.month != REJECTED]
         bad = [f for f in written if f.month == REJECTED]
         inserted = self.store.read_folders(ds, good).count()
@@ -142,9 +154,9 @@ class Warehouse:
             self.store.commit(ds, version, folders + written)
         return LoadReport(ds.name, LOADED if inserted else NOTHING_NEW, inserted, quarantined=quarantined)
 
-    def _add(self, ds: Dataset, rows: DataFrame, version: int, folders: list[Folder]) -> LoadReport:
+    def _add(self, run: Run, ds: Dataset, rows: DataFrame, version: int, folders: list[Folder]) -> LoadReport:
         target = self.store.read_folders(ds, folders) if ds.cursor else None
-        written, inserted = self._write_checked(ds, rows, sum(f.rows or 0 for f in folders), target)
+        written, inserted = self._write_checked(run, ds, rows, sum(f.rows or 0 for f in folders), target)
         if not inserted:
             return LoadReport(ds.name, NOTHING_NEW)
         self.store.commit(ds, version, folders + written)
@@ -152,20 +164,20 @@ class Warehouse:
 
     # --- synchronisation -------------------------------------------------------------------------------------------
 
-    def _replace(self, ds: Dataset) -> LoadReport:
+    def _replace(self, run: Run, ds: Dataset) -> LoadReport:
         """The source is read once into a staged copy, compared, and only numbered and written if it differs."""
         version, folders = self._state(ds)
-        staged = stage(conform(ds.build(self._inputs), ds.schema), self._staged)
+        staged = stage(conform(ds.build(run.inputs), ds.schema), run.folder)
         known = sum(f.rows or 0 for f in folders)
         if staged.count() == known and same_rows(staged, self.store.read(ds), exact=False):
             return LoadReport(ds.name, IN_STEP)
-        written, inserted = self._write_checked(ds, staged, 0, None, is_staged=True)
+        written, inserted = self._write_checked(run, ds, staged, 0, None, is_staged=True)
         self.store.commit(ds, version, written)
         return LoadReport(ds.name, LOADED, inserted)
 
-    def _merge(self, ds: Dataset) -> LoadReport:
+    def _merge(self, run: Run, ds: Dataset) -> LoadReport:
         version, folders = self._state(ds)
-        source = stage(conform(ds.build(self._inputs), ds.schema), self._staged)
+        source = stage(conform(ds.build(run.inputs), ds.schema), run.folder)
         found = violations(source, Rules(ds.rules.not_null, ds.rules.max_length))
         if found:
             raise RuleViolation(found)
@@ -179,20 +191,20 @@ class Warehouse:
         def next_state(src: DataFrame, tgt: DataFrame) -> DataFrame:
             return loads.merge(src, tgt, ds.keys, ds.order)
 
-        inserted = self._rewrite(ds, source, months, version, folders, next_state)
+        inserted = self._rewrite(run, ds, source, months, version, folders, next_state)
         return LoadReport(ds.name, LOADED, inserted, rows - inserted)
 
-    def _upsert(self, ds: Dataset) -> LoadReport:
+    def _upsert(self, run: Run, ds: Dataset) -> LoadReport:
         version, folders = self._state(ds)
-        source = self._distinct(ds)
+        source = stage(self._distinct(run, ds), run.folder)
         months, updated, most = self._touched(ds, source)
         if not months:
             return LoadReport(ds.name, IN_STEP)
 
         def next_state(src: DataFrame, tgt: DataFrame) -> DataFrame:
-            return loads.upsert(src, tgt, ds.keys, ds.update, ds.order, unique_source=most <= 1)
+            return loads.upsert(src, tgt, ds.keys, ds.update, ds.order, unique_source=most <= 1, folder=run.folder)
 
-        inserted = self._rewrite(ds, source, months, version, folders, next_state)
+        inserted = self._rewrite(run, ds, source, months, version, folders, next_state)
         return LoadReport(ds.name, LOADED, inserted, updated)
 
     def _touched(self, ds: Dataset, source: DataFrame) -> tuple[set[int], int, int]:
@@ -206,6 +218,7 @@ class Warehouse:
 
     def _rewrite(
         self,
+        run: Run,
         ds: Dataset,
         source: DataFrame,
         months: set[int],
@@ -218,7 +231,7 @@ class Warehouse:
         target = self.store.read_folders(ds, old)
         before = target.count()
         touched = source.filter(month_number(ds.month_column).isin(sorted(months)))
-        written, after = self._write_checked(ds, next_state(touched, target), 0, None)
+        written, after = self._write_checked(run, ds, next_state(touched, target), 0, None)
         self.store.commit(ds, version, [f for f in folders if f.month not in months] + written)
         return after - before
 
@@ -228,13 +241,13 @@ class Warehouse:
         version, folders = self.store.state(ds)
         return version, [] if clear else folders
 
-    def _distinct(self, ds: Dataset) -> DataFrame:
+    def _distinct(self, run: Run, ds: Dataset) -> DataFrame:
         if ds.build_distinct:
-            return ds.build_distinct(self._inputs)
-        return distinct(conform(ds.build(self._inputs), ds.schema))
+            return ds.build_distinct(run.inputs)
+        return distinct(conform(ds.build(run.inputs), ds.schema))
 
     def _write_checked(
-        self, ds: Dataset, rows: DataFrame, known: int, target: DataFrame | None, is_staged: bool = False
+        self, run: Run, ds: Dataset, rows: DataFrame, known: int, target: DataFrame | None, is_staged: bool = False
     ) -> tuple[list[Folder], int]:
         """Write rows where nobody reads them yet, check them there, and return their folders and number.
 
@@ -245,14 +258,12 @@ class Warehouse:
             landed = self.store.read_folders(ds, written)
             self._check(ds, landed, target)
             return written, landed.count()
-        staged = rows if is_staged else stage(conform(rows, ds.schema), self._staged)
+        staged = rows if is_staged else stage(conform(rows, ds.schema), run.folder)
         self._check(ds, staged, target)
-        top = F.max(ds.cursor) if ds.cursor else F.lit(None)
-        count, cursor = staged.agg(F.count(F.lit(1)), top).first()
-        if not count:
+        if staged.isEmpty():
             return [], 0
-        folder = self.store.write(ds, number_staged(staged, known))[0]
-        return [Folder(folder.path, None, count, cursor)], count
+        written = self.store.write(ds, number_staged(staged, known))
+        return written, sum(f.rows for f in written)
 
     def _check(self, ds: Dataset, rows: DataFrame, target: DataFrame | None) -> None:
         """The table's rules; for rows appended to ``target`` also a cursor in each, and no key it already holds."""
