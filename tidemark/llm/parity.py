@@ -33,6 +33,8 @@ SKETCH = 4
 BAND_BITS = 8
 #: Bands up to this one are pruned by how many keys a pair shares; sets beyond have millions of shingles.
 LAST_BAND = 32
+#: Keys are shuffled in so many rounds, each a share of them by hash, so that less disk is in use at a time.
+ROUNDS = 3
 #: Copies that one task has seen already send no keys again; it remembers this many sets.
 SEEN = 1 << 18
 
@@ -224,11 +226,15 @@ def near_components(
     spark = docs.sparkSession
     rows = stage(shingled(docs, id, text, words, percent))
     keyed = rows.select("sid", F.explode("keys").alias("key"))
-    repeated = keyed.groupBy("key").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).filter("lo != hi")
-    repeated = stage(repeated.select("key"))
-    release(spark)
-    members = stage(keyed.join(repeated, "key").distinct())
-    release(spark)
+    parts = []
+    for turn in range(ROUNDS):
+        some = keyed.filter(F.pmod(F.shiftright("key", BAND_BITS), F.lit(ROUNDS)) == turn)
+        repeated = some.groupBy("key").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).filter("lo != hi")
+        repeated = stage(repeated.select("key"))
+        release(spark)
+        parts.append(stage(some.join(repeated, "key").distinct()))
+        release(spark)
+    members = reduce(DataFrame.union, parts)
 
     same_in_all = [F.min(c).alias(c) for c in ["n", *[f"s{j}" for j in range(SKETCH)], "empty"]]
     in_keys = members.select("sid").distinct()
