@@ -18,9 +18,10 @@ from tidemark.operators.keys import assign_ids
 from tidemark.operators.lookup import COUNTRY, label_dict, label_unique, lookup, lookup_family, table_label
 from tidemark.plans import catalog, partners, shopfloor, trade
 from tidemark.session import shared_dir
+from tidemark.sources.profiles import Profile, reader
 from tidemark.sources.records import to_records
 from tidemark.sources.store import Store
-from tidemark.warehouse import Warehouse
+from tidemark.warehouse import CREATED, EXISTS, FAILED, IN_STEP, LOADED, NOTHING_NEW, LoadFailed, Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -678,6 +679,30 @@ def l1_header(spark, sf_dir):
     return _append(trade.build_delivery, spark, sf_dir)
 
 
+def _increment(build, cursor: str, table: str, number: str) -> Query:
+    """What a load appends: the transformation of an increment, above the mark of the first part of the cursors."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        source = inputs(spark, sf_dir)
+        whole = build(source)
+        top = whole.agg(F.max(cursor)).first()[0]
+        mark = rows.high_water_mark(whole.filter(F.col(cursor) <= F.lit(top) * F.lit(0.8)), cursor)
+        return build(source.increment(table, mark, number))
+
+    return query
+
+
+for _name, _ds in {
+    "t07": trade.QUOTE,
+    "t08": trade.ORDER,
+    "t09": trade.DELIVERY,
+    "t10": trade.INVOICE,
+    "t11": trade.PURCHASE_ORDER,
+    "t12": trade.RECEIPT,
+}.items():
+    register(f"l1_increment_{_name}", _above(_name))(_increment(_ds.build, _ds.cursor, _ds.cursor_table, _ds.number))
+
+
 # Stored state for insert and merge: productions up to a date, changed in company C1, and numbers unknown to the source.
 _HELD = (
     "held AS (SELECT * REPLACE (CASE WHEN company = 'C1' THEN quantiterealise + 100 ELSE quantiterealise END "
@@ -811,6 +836,53 @@ def s3(spark, sf_dir):
     return full.store.read(trade.INVOICE)
 
 
+@register("s1_read_source", "SELECT o_orderkey, o_custkey, o_orderdate, o_totalprice FROM orders WHERE o_totalprice > 50000")
+def s1(spark, sf_dir):
+    """A table through a profile, with a condition that its source evaluates."""
+    read = reader(spark, Profile("parquet", location=f"{sf_dir}/{{table}}.parquet"))
+    return read("orders", "o_totalprice > 50000").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+
+
+_STEPS = [("1 create", CREATED), ("2 create", EXISTS), ("3 load", LOADED), ("4 load", NOTHING_NEW), ("5 sync", IN_STEP)]
+
+
+@register(
+    "l7_outcomes",
+    sql(
+        "t03",
+        " UNION ALL ".join(
+            f"SELECT '{step}' AS step, '{outcome}' AS outcome, "
+            f"{'(SELECT count(*) FROM t03)' if outcome == LOADED else 'CAST(0 AS BIGINT)'} AS inserted"
+            for step, outcome in [*_STEPS, ("6 sync", FAILED)]
+        ),
+    ),
+)
+def l7(spark, sf_dir):
+    """What each step on the representatives' table reports; the last source has names too long to keep."""
+    read = spark_source(spark, sf_dir)
+    house = Warehouse(spark, f"{shared_dir(spark)}/warehouse-{uuid.uuid4().hex}", read, END)
+    reports = [getattr(house, step.split()[1])("SALESREP") for step, _ in _STEPS]
+    too_long = {"REPNAM_0": F.repeat(F.lit("x"), 256)}
+    bad = Warehouse(spark, house.store.root, lambda name: read(name).withColumns(too_long), END)
+    try:
+        reports.append(bad.sync("SALESREP"))
+    except LoadFailed as failed:
+        reports.append(failed.report)
+    steps = [*[step for step, _ in _STEPS], "6 sync"]
+    found = [(step, report.outcome, report.inserted) for step, report in zip(steps, reports)]
+    return spark.createDataFrame(found, "step string, outcome string, inserted long")
+
+
+@register("s6_overwrite_then_load", sql("t03", "SELECT * FROM t03"))
+def s6_then_load(spark, sf_dir):
+    """A table replaced by its own rows holds its cursor: the next load adds nothing."""
+    house = _warehouse(spark, spark_source(spark, sf_dir), "SALESREP")
+    house.load("SALESREP")
+    house.store.overwrite(partners.SALESREP, house.store.read(partners.SALESREP, with_id=True))
+    house.load("SALESREP")
+    return house.store.read(partners.SALESREP)
+
+
 @register("k1_stored_ids", sql("t03", "SELECT CAST(range AS BIGINT) AS id FROM range(1, (SELECT count(*) + 1 FROM t03))"))
 def k1_stored(spark, sf_dir):
     house = _warehouse(spark, spark_source(spark, sf_dir), "SALESREP")

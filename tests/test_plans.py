@@ -86,6 +86,42 @@ def test_increment_gives_the_rows_above_the_mark(erp, name):
     assert _plan(part).count("LeftSemi, BuildRight") == others
 
 
+class Pushing:
+    """Stands for a database: a source that cuts its tables down itself, and notes what it gives."""
+
+    pushes = True
+
+    def __init__(self, read):
+        self.read, self.given = read, []
+
+    def __call__(self, table):
+        self.given.append((table, "whole"))
+        return self.read(table)
+
+    def above(self, table, cursor, mark):
+        self.given.append((table, "above"))
+        return self.read(table).filter(F.col(cursor) > mark)
+
+    def related(self, table, number, new, cursor, mark):
+        self.given.append((table, "related"))
+        numbers = self.read(new).filter(F.col(cursor) > mark).select(number)
+        return self.read(table).join(numbers, number, "left_semi")
+
+
+@pytest.mark.parametrize("name", ["SALESQUOTE", "SALESORDER", "SDELIVERY", "SALESINVOICE", "PORDER", "PRECEIPT"])
+def test_a_database_gives_the_rows_of_new_documents_only(spark, erp, tmp_path, name):
+    ds = DATASETS[name]
+    whole = ds.build(erp)
+    mark = whole.agg((F.max(ds.cursor) * 0.99).cast("long")).first()[0]
+    read = Pushing(erp._read)
+    part = ds.build(Inputs(spark, read, land=str(tmp_path)).increment(ds.cursor_table, mark, ds.number))
+    assert same_rows(part, loads.append_above(whole, mark, ds.cursor))
+    assert read.given[0] == (ds.cursor_table, "above")
+    look_ups = {"YREPRE"} if name in ("SALESQUOTE", "SALESINVOICE") else set()
+    assert {t for t, how in read.given if how == "whole"} == look_ups
+    assert len(read.given) == len(set(read.given))
+
+
 @pytest.mark.parametrize("name", ["BPCUSTOMER", "BPSUPPLIER", "ITMMASTER", "SALESREP"])
 def test_partner_increment(erp, name):
     ds = DATASETS[name]

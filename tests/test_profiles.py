@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-from tidemark.sources.profiles import Profile, jdbc_options, read_source, reader, write_options
+from tidemark.sources.profiles import Profile, hash_predicates, jdbc_options, read_source, reader, write_options
 
 
 def test_profile_from_environment(monkeypatch):
@@ -37,3 +37,25 @@ def test_parquet_profile(spark, tmp_path):
 def test_jdbc_write_keeps_the_table_definition():
     options = write_options(Profile("jdbc", {"url": "jdbc:x", "batchsize": "1000"}, "dbo.{table}"), "COMPANY")
     assert options == {"url": "jdbc:x", "batchsize": "1000", "truncate": "true", "dbtable": "dbo.COMPANY"}
+
+
+def test_jdbc_increment_is_cut_by_the_database(spark):
+    read = reader(spark, Profile("jdbc", {"url": "jdbc:x"}, "dbo.{table}"))
+    where = read.related_to("SOHNUM_0", "SORDER", "ROWID", 41)
+    assert where == "SOHNUM_0 IN (SELECT SOHNUM_0 FROM dbo.SORDER WHERE ROWID > 41)"
+    options = jdbc_options(read.profile, "SORDERQ", None, "", 8, where)
+    assert options["dbtable"] == f"(SELECT * FROM dbo.SORDERQ WHERE {where}) part"
+    assert read.pushes and not reader(spark, Profile("parquet")).pushes
+
+
+def test_each_row_meets_one_hash_predicate(spark, frame):
+    df = frame("k string", [(None,), (None,), *[(f"D{i}",) for i in range(200)]])
+    split = hash_predicates("k", "abs(cast(hash({column}) as bigint))", 8)
+    counts = [df.filter(p).count() for p in split]
+    assert len(split) == 9 and sum(counts) == 202 and counts[0] == 2 and max(counts[1:]) < 100
+
+
+def test_parquet_source_with_a_condition(spark, tmp_path):
+    spark.range(10).write.parquet(str(tmp_path / "T"))
+    read = reader(spark, Profile("parquet", location=f"{tmp_path}/{{table}}"))
+    assert read("T", "id > 6").count() == 3 and read.above("T", "id", 7).count() == 2

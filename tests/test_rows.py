@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
@@ -75,6 +76,15 @@ def test_ordered_ids_split_a_group_of_equal_rows(spark, without_aqe):
     assert sum(hot) == 1000 and max(hot) < 1000
 
 
+@pytest.mark.parametrize("order", [[], ["id"]])
+def test_ids_leave_one_copy(spark, tmp_path, order):
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.iterdir())
+    numbered = assign_ids(spark.range(100).withColumnRenamed("id", "v"), 0, ["v"] if order else [], str(tmp_path))
+    assert numbered.count() == 100
+    assert len(list(tmp_path.iterdir())) == 1 and set(shared.iterdir()) == before
+
+
 def test_ids_of_nothing(frame):
     assert assign_ids(frame("a int", [])).count() == 0
 

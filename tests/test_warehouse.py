@@ -356,3 +356,28 @@ def test_a_commit_race_is_a_failed_load(spark, sources, house, monkeypatch):
     monkeypatch.setattr(one.store, "_put", lambda ds, version, folders: [put(ds, version, folders) for _ in range(2)])
     with pytest.raises(LoadFailed, match="another writer committed first"):
         one.load("SALESREP")
+
+
+def test_vacuum_frees_replaced_rows_only(company):
+    warehouse = company(("A", "a", 1))
+    for rows in [[("A", "a", 1)], [("A", "b", 1)], [("A", "c", 1), ("B", "d", 2)]]:
+        company(*rows).sync("COMPANY")
+    before = values(warehouse.store.read(COMPANY))
+    warehouse.store.write(COMPANY, warehouse.store.read(COMPANY, with_id=True))
+    assert warehouse.vacuum("COMPANY") == 0
+    assert warehouse.vacuum("COMPANY", keep=1, hours=0) == 3
+    assert values(warehouse.store.read(COMPANY)) == before == [("A", "c", 1), ("B", "d", 2)]
+    assert warehouse.vacuum("COMPANY", keep=1, hours=0) == 0
+    assert company(("C", "e", 3)).load("COMPANY").inserted == 1
+    with pytest.raises(ValueError):
+        warehouse.vacuum("COMPANY", keep=0)
+
+
+def test_vacuum_of_months(production):
+    warehouse = production(("1", 1.0, _t(1)), ("2", 2.0, _t(2)))
+    warehouse.sync("PRODUCTION")
+    warehouse = production(("1", 5.0, _t(1)))
+    warehouse.sync("PRODUCTION")
+    before = values(warehouse.store.read(PRODUCTION))
+    assert warehouse.vacuum("PRODUCTION", keep=1, hours=0) == 1
+    assert values(warehouse.store.read(PRODUCTION)) == before and len(before) == 2

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import stage
+from tidemark.session import stage, staging
 
 MAX_BROADCAST_FILES = 200_000
 
@@ -36,16 +36,17 @@ def number_staged(staged: DataFrame, start: int = 0, name: str = "id") -> DataFr
     return numbered.select(key.alias(name), *[F.col(f"`{c}`") for c in columns])
 
 
-def assign_ids(df: DataFrame, start: int = 0, order_by: Sequence[str] = ()) -> DataFrame:
+def assign_ids(df: DataFrame, start: int = 0, order_by: Sequence[str] = (), folder: str | None = None) -> DataFrame:
     """Number the rows densely after ``start``, in arrival order or in the given order.
 
-    The ordered form sorts by range over many tasks. The position of a row in the first staging breaks ties, so even
-    a large group of equal rows is split.
+    The ordered form sorts by range over many tasks. The position of a row in a first copy breaks ties, so even a large
+    group of equal rows is split; that copy is removed. The result reads one copy in ``folder`` (by default the shared
+    folder), which lasts as long as the caller needs it.
     """
-    staged = stage(df)
-    if order_by:
+    if not order_by:
+        return number_staged(stage(df, folder), start)
+    with staging(df.sparkSession) as passing:
         tie = F.xxhash64("_metadata.file_name", "_metadata.row_index")
-        ranged = staged.withColumn("__tie", tie)
+        ranged = stage(df, passing).withColumn("__tie", tie)
         ranged = ranged.repartitionByRange(*order_by, "__tie").sortWithinPartitions(*order_by, "__tie")
-        staged = stage(ranged.drop("__tie"))
-    return number_staged(staged, start)
+        return number_staged(stage(ranged.drop("__tie"), folder), start)

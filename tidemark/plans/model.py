@@ -36,6 +36,9 @@ class Inputs:
 
     ``above`` names a table and a cursor mark: of this table only the rows above the mark are given. ``land`` is a
     folder to copy each table to on its first use, the used columns only, so that a database is read once.
+
+    ``number`` is the document number that tables share with the one of ``above``. Where ``read`` can push conditions
+    to the source (``pushes``), the source then gives only the rows of documents above the mark, whatever ``land`` is.
     """
 
     def __init__(
@@ -45,36 +48,51 @@ class Inputs:
         end: date | None = None,
         above: tuple[str, int] | None = None,
         land: str | None = None,
+        number: str | None = None,
     ):
         self.spark = spark
         self.end = end
         self.above = above
         self._read = read
         self._land = land
+        self._number = number
         self._landed: dict[str, DataFrame] = {}
 
     def __getitem__(self, table: str) -> DataFrame:
         if table in self._landed:
             return self._landed[table]
-        df = self._read(table)
-        if self.above and self.above[0] == table:
-            df = append_above(df, self.above[1], CURSOR)
+        if self._land and self.above and table != self.above[0]:
+            # First, so that a document added meanwhile is missed here and not in its other tables.
+            self[self.above[0]]
+        df = self._wanted(table)
         if self._land:
             df = self._landed[table] = stage(df.select(*SOURCE_COLUMNS[table]), self._land)
         return df
 
-    def increment(self, table: str, mark: int) -> Inputs:
-        return Inputs(self.spark, self._read, self.end, (table, mark), self._land)
+    def _wanted(self, table: str) -> DataFrame:
+        """The table as far as it is needed, cut down by the source where that is possible."""
+        new, mark = self.above or (None, 0)
+        pushes = mark > 0 and getattr(self._read, "pushes", False)
+        if table == new:
+            df = self._read.above(table, CURSOR, mark) if pushes else self._read(table)
+            return append_above(df, mark, CURSOR)
+        if pushes and self._number in SOURCE_COLUMNS[table]:
+            return self._read.related(table, self._number, new, CURSOR, mark)
+        return self._read(table)
+
+    def increment(self, table: str, mark: int, number: str | None = None) -> Inputs:
+        return Inputs(self.spark, self._read, self.end, (table, mark), self._land, number)
 
     def landed(self, folder: str) -> Inputs:
-        return Inputs(self.spark, self._read, self.end, self.above, folder)
+        return Inputs(self.spark, self._read, self.end, self.above, folder, self._number)
 
 
 @dataclass(frozen=True)
 class Dataset:
     """``load`` is append, insert or all; ``sync`` is replace, merge or upsert (see operators/loads.py).
 
-    ``cursor`` is the target's cursor column, ``cursor_table`` the source table whose row cursor it holds.
+    ``cursor`` is the target's cursor column, ``cursor_table`` the source table whose row cursor it holds. ``number`` is
+    the document number by which the other source tables belong to that one.
 
     ``build_distinct`` is an optional cheaper way to the distinct rows of ``build``.
     """
@@ -87,6 +105,7 @@ class Dataset:
     surrogate: bool = True
     cursor: str | None = None
     cursor_table: str | None = None
+    number: str | None = None
     keys: tuple[str, ...] = ()
     order: tuple[str, ...] = ()
     update: tuple[str, ...] = ()

@@ -201,9 +201,12 @@ def build_receipt(src: Inputs) -> DataFrame:
     return X.conform(result, RECEIPT.schema)
 
 
-def _document(name: str, build: Callable[[Inputs], DataFrame], cursor: str, table: str, *columns: Column) -> Dataset:
+def _document(
+    name: str, build: Callable[[Inputs], DataFrame], cursor: str, table: str, number: str, *columns: Column
+) -> Dataset:
     every = (Column(cursor, LONG), *columns)
-    return Dataset(name, every, build, load="append", sync="replace", cursor=cursor, cursor_table=table)
+    on = {"cursor": cursor, "cursor_table": table, "number": number}
+    return Dataset(name, every, build, load="append", sync="replace", **on)
 
 
 QUOTE = _document(
@@ -211,6 +214,7 @@ QUOTE = _document(
     build_quote,
     "rowID",
     "SQUOTED",
+    "SQHNUM_0",
     text("societe"),
     text("numDevis"),
     Column("dateDevis", DATE),
@@ -226,6 +230,7 @@ ORDER = _document(
     build_order,
     "rowID",
     "SORDER",
+    "SOHNUM_0",
     text("societe"),
     text("numCommande"),
     text("codeClient"),
@@ -241,6 +246,7 @@ DELIVERY = _document(
     build_delivery,
     "rowID",
     "SDELIVERY",
+    "SDHNUM_0",
     text("societe"),
     text("numBL"),
     text("codeClient"),
@@ -255,6 +261,7 @@ INVOICE = _document(
     build_invoice,
     "rowID",
     "SINVOICED",
+    "NUM_0",
     text("societe"),
     text("numFacture"),
     Column("ligneFacture", INT),
@@ -273,6 +280,7 @@ PURCHASE_ORDER = _document(
     build_purchase_order,
     "ROWID",
     "PORDER",
+    "POHNUM_0",
     text("CRY_0"),
     text("numCommande"),
     text("codeFournisseur"),
@@ -286,6 +294,7 @@ RECEIPT = _document(
     build_receipt,
     "ROWID",
     "PRECEIPT",
+    "PTHNUM_0",
     text("CRY_0"),
     text("numReception"),
     text("codeFournisseur"),

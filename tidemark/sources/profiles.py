@@ -11,14 +11,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 @dataclass(frozen=True)
 class Profile:
-    """Where tables live: a Spark format, its options, and a pattern that turns a table name into a location."""
+    """Where tables live: a Spark format, its options, and a pattern that turns a table name into a location.
+
+    ``bucket`` is an expression of the database that makes a non-negative whole number of ``{column}``, to split tables
+    without a row cursor on their document number: ``ABS(CAST(CHECKSUM({column}) AS BIGINT))`` in SQL Server.
+    """
 
     format: str
     options: Mapping[str, str] = field(default_factory=dict)
     location: str = "{table}"
+    bucket: str | None = None
 
     @classmethod
-    def from_env(cls, prefix: str, location: str = "{table}") -> Profile:
+    def from_env(cls, prefix: str, location: str = "{table}", bucket: str | None = None) -> Profile:
         """A JDBC profile from ``<prefix>_URL``, ``_USER``, ``_PASSWORD`` and optionally ``_DRIVER``.
 
         Credentials come from the environment only.
@@ -27,12 +32,20 @@ class Profile:
         found = {option: os.environ.get(f"{prefix}_{name}") for name, option in names.items()}
         if not found["url"]:
             raise KeyError(f"{prefix}_URL is not set")
-        return cls("jdbc", {k: v for k, v in found.items() if v}, location)
+        return cls("jdbc", {k: v for k, v in found.items() if v}, location, bucket)
+
+
+def _relation(profile: Profile, table: str, where: str | None) -> str:
+    """What a query reads FROM: the table, or only its rows that meet a condition the database evaluates."""
+    location = profile.location.format(table=table)
+    return f"(SELECT * FROM {location} WHERE {where}) part" if where else location
 
 
-def jdbc_options(profile: Profile, table: str, bounds: tuple[int, int] | None, cursor: str, parts: int) -> dict:
+def jdbc_options(
+    profile: Profile, table: str, bounds: tuple[int, int] | None, cursor: str, parts: int, where: str | None = None
+) -> dict:
     """Options of a JDBC read: ``parts`` ranges of the cursor, or a single read where it has no bounds."""
-    options = {"fetchsize": "10000", **profile.options, "dbtable": profile.location.format(table=table)}
+    options = {"fetchsize": "10000", **profile.options, "dbtable": _relation(profile, table, where)}
     if bounds and bounds[0] is not None and bounds[1] > bounds[0]:
         options |= {
             "partitionColumn": cursor,
@@ -43,13 +56,24 @@ def jdbc_options(profile: Profile, table: str, bounds: tuple[int, int] | None, c
     return options
 
 
-def cursor_bounds(spark: SparkSession, profile: Profile, table: str, cursor: str) -> tuple[int, int]:
+def cursor_bounds(
+    spark: SparkSession, profile: Profile, table: str, cursor: str, where: str | None = None
+) -> tuple[int, int]:
     """Smallest and largest cursor, asked from the database as one row."""
-    query = f"SELECT MIN({cursor}) AS lo, MAX({cursor}) AS hi FROM {profile.location.format(table=table)}"
+    query = f"SELECT MIN({cursor}) AS lo, MAX({cursor}) AS hi FROM {_relation(profile, table, where)}"
     row = spark.read.format("jdbc").options(**profile.options).option("query", query).load().first()
     return row[0], row[1]
 
 
+def hash_predicates(column: str, bucket: str, parts: int) -> list[str]:
+    """Conditions that split a table by a hash of ``column``: each row meets exactly one, a null has its own.
+
+    ``bucket`` is the database's expression for a non-negative whole number made of ``{column}``.
+    """
+    number = bucket.format(column=column)
+    return [f"{column} IS NULL"] + [f"{column} IS NOT NULL AND ({number}) % {parts} = {i}" for i in range(parts)]
+
+
 def read_source(
     spark: SparkSession,
     profile: Profile,
@@ -57,14 +81,27 @@ def read_source(
     columns: Sequence[str] = (),
     cursor: str | None = None,
     parts: int = 64,
+    key: str | None = None,
+    where: str | None = None,
 ) -> DataFrame:
-    """A source table as a lazy frame. Over JDBC a cursor column splits the read into parallel ranges."""
+    """A source table as a lazy frame, with only the rows that meet the SQL condition ``where``.
+
+    Over JDBC a cursor column splits the read into parallel ranges. Without one, a hash of ``key`` does where the
+    profile has a ``bucket`` expression; else the table comes over a single connection.
+    """
     if profile.format == "jdbc":
-        bounds = cursor_bounds(spark, profile, table, cursor) if cursor else None
-        df = spark.read.format("jdbc").options(**jdbc_options(profile, table, bounds, cursor or "", parts)).load()
+        bounds = cursor_bounds(spark, profile, table, cursor, where) if cursor else None
+        options = jdbc_options(profile, table, bounds, cursor or "", parts, where)
+        if key and not cursor and profile.bucket:
+            named = {k: v for k, v in options.items() if k not in ("url", "dbtable")}
+            split = hash_predicates(key, profile.bucket, parts)
+            df = spark.read.jdbc(options["url"], options["dbtable"], predicates=split, properties=named)
+        else:
+            df = spark.read.format("jdbc").options(**options).load()
     else:
         path = profile.location.format(table=table)
         df = spark.read.format(profile.format).options(**profile.options).load(path)
+        df = df.filter(where) if where else df
     return df.select(*columns) if columns else df
 
 
@@ -90,12 +127,58 @@ SPLIT_ON = dict.fromkeys(
 )
 
 
-def reader(
-    spark: SparkSession, profile: Profile, split_on: Mapping[str, str] = SPLIT_ON, parts: int = 64
-) -> Callable[[str], DataFrame]:
+# Document or tracking number of the tables without a row cursor.
+SPLIT_BY_HASH = {
+    "SQUOTE": "SQHNUM_0",
+    "SORDERQ": "SOHNUM_0",
+    "SORDERP": "SOHNUM_0",
+    "SDELIVERYD": "SDHNUM_0",
+    "SINVOICE": "NUM_0",
+    "PORDERQ": "POHNUM_0",
+    "PORDERP": "POHNUM_0",
+    "PRECEIPTD": "PTHNUM_0",
+    "MFGITMTRK": "MFGTRKNUM_0",
+    "MFGOPETRK": "MFGTRKNUM_0",
+}
+
+
+@dataclass(frozen=True)
+class Reader:
     """Read function over one profile, for ``Inputs`` and ``Warehouse``.
 
-    ``split_on`` names a numeric column per table; a large table without one is read over a single connection, so add
-    the line and price tables wherever the source has a row number for them.
+    ``split_on`` names a numeric column per table to read ranges of, ``hash_on`` a column to split the others on;
+    ``parts`` is the number of connections a table is read over.
     """
-    return lambda table: read_source(spark, profile, table, cursor=split_on.get(table), parts=parts)
+
+    spark: SparkSession
+    profile: Profile
+    split_on: Mapping[str, str] = field(default_factory=lambda: SPLIT_ON)
+    hash_on: Mapping[str, str] = field(default_factory=lambda: SPLIT_BY_HASH)
+    parts: int = 64
+
+    @property
+    def pushes(self) -> bool:
+        """Whether the source itself cuts a table down: what it keeps back is never copied."""
+        return self.profile.format == "jdbc"
+
+    def __call__(self, table: str, where: str | None = None) -> DataFrame:
+        on = {"cursor": self.split_on.get(table), "key": self.hash_on.get(table), "parts": self.parts}
+        return read_source(self.spark, self.profile, table, where=where, **on)
+
+    def above(self, table: str, cursor: str, mark: int) -> DataFrame:
+        """The rows of a table above a cursor mark; the ranges split what is above it only."""
+        return self(table, f"{cursor} > {mark}")
+
+    def related(self, table: str, number: str, new: str, cursor: str, mark: int) -> DataFrame:
+        """The rows of a table whose document number stands in table ``new`` above a cursor mark."""
+        return self(table, self.related_to(number, new, cursor, mark))
+
+    def related_to(self, number: str, new: str, cursor: str, mark: int) -> str:
+        location = self.profile.location.format(table=new)
+        return f"{number} IN (SELECT {number} FROM {location} WHERE {cursor} > {mark})"
+
+
+def reader(
+    spark: SparkSession, profile: Profile, split_on: Mapping[str, str] = SPLIT_ON, parts: int = 64
+) -> Reader:
+    return Reader(spark, profile, split_on, parts=parts)

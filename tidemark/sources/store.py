@@ -8,6 +8,7 @@ and readers of the old state keep their files.
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
@@ -56,9 +57,12 @@ class Store:
     def _states(self, ds: Dataset) -> str:
         return f"{self.root}/{ds.name}/_state"
 
+    def _versions(self, ds: Dataset) -> list[int]:
+        names = self._children(self._states(ds))
+        return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
+
     def _version(self, ds: Dataset) -> int:
-        names = [n for n in self._children(self._states(ds)) if n.endswith(".json") and n[:-5].isdigit()]
-        return max((int(n[:-5]) for n in names), default=-1)
+        return max(self._versions(ds), default=-1)
 
     def _put(self, ds: Dataset, version: int, folders: Sequence[Folder]) -> None:
         """Write beside, then rename. The rename refuses an existing name, so of two writers one fails."""
@@ -87,12 +91,15 @@ class Store:
         version = self._version(ds)
         if version < 0:
             raise FileNotFoundError(f"{ds.name} has not been created")
+        return version, self._folders(ds, version)
+
+    def _folders(self, ds: Dataset, version: int) -> list[Folder]:
         stream = self._fs().open(self._path(f"{self._states(ds)}/{version:08d}.json"))
         try:
             text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
             stream.close()
-        return version, [Folder(**f) for f in json.loads(text)]
+        return [Folder(**f) for f in json.loads(text)]
 
     def commit(self, ds: Dataset, base: int, folders: Sequence[Folder]) -> None:
         """Put the folders in force, provided nobody committed since state ``base`` was read."""
@@ -148,3 +155,22 @@ class Store:
         """Replace all rows; ``df`` may read the table itself, as the old folders stay."""
         version, _ = self.state(ds)
         self.commit(ds, version, self.write(ds, conform(df, ds.stored_schema)))
+
+    def vacuum(self, ds: Dataset, keep: int = 10, hours: float = 7 * 24) -> int:
+        """Delete the folders that none of the last ``keep`` states names; returns their number.
+
+        Folders younger than ``hours`` stay, as a load may be writing them: it must be longer than any load or reader
+        takes. State files stay too, they are small, and a late writer must find its number taken.
+        """
+        if keep < 1:
+            raise ValueError("keep at least the current state")
+        fs, now = self._fs(), time.time() * 1000
+        data = f"{self.root}/{ds.name}/data"
+        found = {f"data/{name}" for name in self._children(data)}
+        months = {f"{f}/{c}" for f in found for c in self._children(f"{self.root}/{ds.name}/{f}") if c.startswith(PART)}
+        named = {f.path for version in self._versions(ds)[-keep:] for f in self._folders(ds, version)}
+        in_use = named | {path.rsplit("/", 1)[0] for path in named if f"/{PART}=" in path}
+        unused = (found - in_use) | {m for m in months - named if m.rsplit("/", 1)[0] in in_use}
+        paths = [self._path(f"{self.root}/{ds.name}/{name}") for name in sorted(unused)]
+        old = [p for p in paths if now - fs.getFileStatus(p).getModificationTime() >= hours * 3_600_000]
+        return sum(fs.delete(p, True) for p in old)

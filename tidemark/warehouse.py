@@ -119,12 +119,17 @@ class Warehouse:
             message = f"another writer committed first: {cause}" if "FileAlreadyExists" in cause else cause
             raise LoadFailed(LoadReport(ds.name, FAILED, message=message)) from error
 
+    def vacuum(self, name: str, keep: int = 10, hours: float = 7 * 24) -> int:
+        """Delete replaced rows and what failed loads left, see ``Store.vacuum``."""
+        return self.store.vacuum(DATASETS[name], keep, hours)
+
     # --- plain loads -----------------------------------------------------------------------------------------------
 
     def _append(self, run: Run, ds: Dataset, clear: bool) -> LoadReport:
         version, folders = self._state(ds, clear)
         mark_at = max((f.cursor for f in folders if f.cursor is not None), default=0)
-        return self._add(run, ds, ds.build(run.inputs.increment(ds.cursor_table, mark_at)), version, folders)
+        new = run.inputs.increment(ds.cursor_table, mark_at, ds.number)
+        return self._add(run, ds, ds.build(new), version, folders)
 
     def _insert(self, run: Run, ds: Dataset, clear: bool) -> LoadReport:
         """Find the absent keys first, from keys alone; if few, pick their rows out of the source by a broadcast."""
