@@ -156,6 +156,27 @@ def test_passages_resist_shifts(docs):
     assert chunks.repeated_passages(docs([])).count() == 0
 
 
+def test_first_copy_of_a_passage_stays_if_parts_of_it_stand_earlier(docs):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 9)))
+    text = lambda n: " ".join(word() for _ in range(n))
+    long, pieces = text(1000), [text(25) for _ in range(8)]
+    ordered = long.split()
+    sentence, later = " ".join(ordered[400:430]), " ".join(ordered[700:])
+    given = [(i, f"{text(20)} {p} {text(20)}", "a") for i, p in enumerate(pieces, 10)]
+    given += [(2, f"{text(30)} {sentence} {text(30)}", "a"), (5, f"{text(20)} {long} {text(20)}", "a")]
+    given += [(9, f"{text(20)} {long} {text(20)}", "a"), (8, f"{text(20)} {later} {text(60)}", "a")]
+    # Every part of this passage stands in an earlier document, none of them holds it.
+    given += [(i, f"{text(20)} {' '.join(pieces)} {text(20)}", "a") for i in (30, 31)]
+    found = chunks.repeated_passages(docs(given)).collect()
+    assert {(r["id"], r["first_id"]) for r in found} == {(5, 5), (9, 5), (8, 5), (30, 30), (31, 30)}
+    assert all(r["n_words"] >= 50 for r in found)
+    before = {i: t for i, t, _ in given}
+    left = {r["doc_id"]: r["text"] for r in chunks.drop_repeated(docs(given)).collect()}
+    assert {i for i in before if left[i] != before[i]} == {8, 9, 31}
+    assert [len(left[i].split()) < 95 for i in (8, 9, 31)] == [True] * 3
+
+
 def test_chunks_are_whole_and_alike_after_an_insertion():
     rng = random.Random(2)
     text = " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 9))) for _ in range(400)) + " la" * 200

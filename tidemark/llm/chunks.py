@@ -15,10 +15,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.window import Window
 
-from tidemark.llm.frames import map_texts, packed, prefiltered, release
-from tidemark.llm.words import U, flat, mix, salt, span_hashes, word_spans
+from tidemark.llm.frames import map_texts, packed, prefiltered, release, small_batches
+from tidemark.llm.words import BASE, BASE_INVERSE, U, flat, mix, salt, span_hashes, word_spans
 from tidemark.session import stage
 
 WINDOW = 16
@@ -114,17 +115,17 @@ def chunked(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFram
 def repeated_runs(docs: DataFrame, id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """Runs of neighbouring chunks that other documents hold, if they may be part of ``min_words`` repeated words.
 
-    (id, at, until, n_words, first_id, and of the first chunk ``left``, ``left_size``, ``lead``, ``lead_words``, of the
-    last ``right``, ``right_size``, ``tail``, ``tail_words``): ``first_id`` is the smallest id that holds a chunk of
-    the run; ``left`` and ``right`` are other documents with its first and last chunk. Only digests are shuffled,
-    first to find those of more than one document, then to mark their chunks; a digest of very many documents is
-    counted map-side and its chunks are spread by the join.
+    (id, at, until, n_words, first_id, and of the first chunk ``left``, ``left_size``, ``lead``, of the last ``right``,
+    ``right_size``, ``tail``): ``first_id`` is the smallest id that holds the run; ``left`` and ``right`` are other
+    documents with its first and last chunk. Only digests are shuffled, first to find those of more than one document,
+    then to mark their chunks; a digest of very many documents is counted map-side and its chunks are spread by the
+    join. A run whose chunks stand first in different documents goes to :func:`split_runs`.
     """
     chunks = stage(chunked(docs, id, text))
     many = chunks.groupBy("digest").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo != hi")
     many = stage(many)
     release(docs.sparkSession)
-    shared = chunks.join(many, "digest").drop("digest")
+    shared = chunks.join(many, "digest")
     in_doc = Window.partitionBy("id").orderBy("at")
     again = F.coalesce(F.lag("at").over(in_doc) == F.col("at"), F.lit(False))
     shared = shared.withColumn("again", again).filter("not again").drop("again")
@@ -135,20 +136,130 @@ def repeated_runs(docs: DataFrame, id: str = "doc_id", text: str = "text", min_w
         F.min("at").alias("at"),
         F.max(F.col("at") + F.col("size")).alias("until"),
         F.sum("n_words").alias("n_words"),
-        F.min("lo").alias("first_id"),
+        F.min("lo").alias("least"),
+        F.max("lo").alias("first_id"),
+        F.sort_array(F.collect_list(F.struct("at", "size", "n_words", "lo", "hi", "digest"))).alias("chunks"),
         F.min_by(other, "at").alias("left"),
         *[F.min_by(c, "at").alias(n) for c, n in (("size", "left_size"), ("lead", "lead"), ("lead_words", "lead_words"))],
         F.max_by(other, "at").alias("right"),
         *[F.max_by(c, "at").alias(n) for c, n in (("size", "right_size"), ("tail", "tail"), ("tail_words", "tail_words"))],
     )
-    return ends.filter(F.col("n_words") + F.col("lead_words") + F.col("tail_words") >= min_words).drop("run")
+    ends = ends.filter(F.col("n_words") + F.col("lead_words") + F.col("tail_words") >= min_words)
+    ends = ends.withColumn("chunks", F.when(F.col("least") != F.col("first_id"), F.col("chunks")))
+    ends = stage(ends.drop("run", "lead_words", "tail_words", "least"))
+    alike = ends.filter("chunks is null").drop("chunks")
+    return alike.union(split_runs(ends.filter("chunks is not null"), min_words).select(*alike.columns))
+
+
+def split_runs(runs: DataFrame, min_words: int) -> DataFrame:
+    """``runs`` whose ``chunks`` stand first in different documents, split by the smallest id that holds each passage.
+
+    A window is the fewest neighbouring chunks, from or up to one of them, with ``min_words`` words; a shorter run is one
+    window. Documents that share a passage share its windows, so the smallest id of a window is that of the passage,
+    also where a chunk of it stands in an earlier document by itself. Windows of one smallest id make one row; rows of
+    different ids may overlap. What is in no shared window is a run of its own that no one document is sure to hold;
+    its ``first_id`` is the largest of its chunks' smallest, so it is another document's only if all its chunks are.
+    Windows of chunks with the same smallest id take that one; only the others are shuffled, as hashes.
+    """
+
+    def mixed(batches):
+        for batch in batches:
+            found = []
+            for row in batch.select(["id", "at", "chunks"]).to_pylist():
+                run = _Run(row["chunks"], min_words)
+                found += [(row["id"], row["at"], *w) for w in zip(*(x[~run.alike].tolist() for x in (run.i, run.j, run.hash)))]
+            if found:
+                kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64()]
+                columns = [pa.array(c, t) for c, t in zip(zip(*found), kinds)]
+                yield pa.RecordBatch.from_arrays(columns, ["of", "of_at", "i", "j", "window"])
+
+    windows = small_batches(runs.select("id", "at", "chunks")).mapInArrow(mixed, "of long, of_at int, i int, j int, window long")
+    holders = windows.groupBy("window").agg(F.min("of").alias("lo"), F.max("of").alias("hi")).filter("lo != hi")
+    held = windows.join(holders, "window").groupBy("of", "of_at")
+    held = held.agg(F.collect_list(F.struct("i", "j", "lo")).alias("held"))
+    met = runs.join(held, (F.col("id") == F.col("of")) & (F.col("at") == F.col("of_at")), "left").drop("of", "of_at")
+
+    def split(batches):
+        for batch in batches:
+            rows = [r for row in batch.to_pylist() for r in _Run(row["chunks"], min_words).rows(row)]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array([r[f.name] for r in rows], f.type) for f in fields], fields.names)
+
+    schema = runs.drop("chunks").schema
+    fields = to_arrow_schema(schema)
+    return small_batches(met).mapInArrow(split, schema)
+
+
+class _Run:
+    """The windows ``i`` to ``j`` of a run's chunks, in order, with their hashes and whether one id is first in all."""
+
+    def __init__(self, chunks: list[dict], min_words: int):
+        self.min_words = min_words
+        self.at, self.size, self.n_words, self.lo, self.hi = (
+            np.array([c[k] for c in chunks], dtype=np.int64) for k in ("at", "size", "n_words", "lo", "hi")
+        )
+        self.words = np.concatenate(([0], np.cumsum(self.n_words)))
+        n = len(chunks)
+        if self.words[-1] < min_words:
+            self.i, self.j = np.array([0]), np.array([n])
+        else:
+            i, j = np.arange(n), np.arange(1, n + 1)
+            to = np.searchsorted(self.words, self.words[i] + min_words)
+            since = np.searchsorted(self.words, self.words[j] - min_words, side="right") - 1
+            pairs = np.concatenate((np.stack((i, to), 1)[to <= n], np.stack((since, j), 1)[since >= 0]))
+            self.i, self.j = np.unique(pairs, axis=0).T
+        changes = np.concatenate(([0], np.cumsum(self.lo[1:] != self.lo[:-1])))
+        self.alike = changes[self.i] == changes[self.j - 1]
+        powers = np.full(n + 1, BASE, dtype=U)
+        powers[0] = 1
+        digests = mix(np.array([c["digest"] for c in chunks], dtype=np.int64).view(U))
+        sums = np.concatenate((np.zeros(1, dtype=U), np.cumsum(digests * np.cumprod(powers)[:-1])))
+        powers[1:] = BASE_INVERSE
+        spans = (sums[self.j] - sums[self.i]) * np.cumprod(powers)[self.i]
+        self.hash = mix(spans + (self.j - self.i).astype(U) * salt(98)).view(np.int64)
+
+    def rows(self, run: dict) -> list[dict]:
+        """The rows of the run, given in ``held`` its shared windows that are not alike, with their smallest ids."""
+        found = {(w["i"], w["j"]): w["lo"] for w in run["held"] or []}
+        found.update({(i, j): int(self.lo[i]) for i, j in zip(self.i[self.alike].tolist(), self.j[self.alike].tolist())})
+        spans: dict[int, list[list[int]]] = {}
+        for (i, j), lo in sorted(found.items()):
+            own = spans.setdefault(lo, [])
+            if own and i <= own[-1][1]:
+                own[-1][1] = max(j, own[-1][1])
+            else:
+                own.append([i, j])
+        out = [self._row(run, i, j, lo) for lo, own in spans.items() for i, j in own]
+        covered = np.zeros(len(self.at) + 2, dtype=bool)
+        covered[[0, -1]] = True
+        for i, j in found:
+            covered[i + 1 : j + 1] = True
+        edges = np.flatnonzero(covered[1:] != covered[:-1])
+        for i, j in edges.reshape(-1, 2).tolist():
+            # What a passage can have beyond the part: the neighbour, and the bytes that the hash of its ends sees.
+            n = self.words[min(j + 1, len(self.at))] - self.words[max(i - 1, 0)] + WINDOW + REACH
+            if not found or n >= self.min_words:
+                out.append(self._row(run, i, j, int(self.lo[i:j].max())))
+        return out
+
+    def _row(self, run: dict, i: int, j: int, first: int) -> dict:
+        row = dict(run, at=int(self.at[i]), until=int(self.at[j - 1] + self.size[j - 1]), first_id=first)
+        row["n_words"] = int(self.words[j] - self.words[i])
+        for end, size, c in (("left", "left_size", i), ("right", "right_size", j - 1)):
+            row[end] = int(self.lo[c] if self.lo[c] != run["id"] else self.hi[c])
+            row[size] = int(self.size[c])
+        if i:
+            row["lead"] = int(min(self.size[i - 1] + WINDOW + REACH, self.at[i]))
+        if j < len(self.at):
+            row["tail"] = int(min(self.size[j] + WINDOW + REACH, run["until"] + run["tail"] - row["until"]))
+        return row
 
 
 def repeated_passages(docs: DataFrame, id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """(id, start, end, n_words, first_id): passages of at least ``min_words`` words that stand in other documents too.
 
-    Bytes ``start`` to ``end`` of the text in UTF-8, one row per place, also in the document of the smallest id,
-    ``first_id``. Runs long enough by themselves are taken as they are, at most a chunk short at either end. Shorter
+    Bytes ``start`` to ``end`` of the text in UTF-8, one row per place, also in the document of the smallest id that
+    holds the passage, ``first_id``; passages first held by different documents may overlap. Runs long enough by themselves are taken as they are, at most a chunk short at either end. Shorter
     ones are compared byte by byte with the documents that hold their first and last chunk, and taken if the passage
     that they are part of is long enough. Passages of other documents right next to each other count as one. Exact and
     near copies are passages too. Rows without an id or a text have
