@@ -164,6 +164,21 @@ def test_leaks_equal_brute_force(spark, frame):
     assert {r["doc_id"] for r in clean.collect()} == {i for i, _ in docs if i is not None} - {i for i, _ in want}
 
 
+@pytest.mark.parametrize("length, pieces, size", [(1_500, 75, 1), (5_000, 12, 20), (10_000, 12, 30), (3_000, 30, -5)])
+def test_leaks_of_long_items_at_the_full_budget(length, pieces, size):
+    rng = random.Random(length)
+    text = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    item = text(length)
+    bounds = [length * i // (pieces + 1) for i in range(pieces + 2)]
+    cut = [item[i:j] for i, j in zip(bounds, bounds[1:])]
+    edited = "".join([cut[0], *[text(max(size, 0)) + c[max(-size, 0) :] for c in cut[1:]]])
+    index = decontaminate.Index([(1, item.encode()), (2, text(3_000).encode())])
+    for before in (0, 17, 1_000):
+        document = text(before) + edited + text(700)
+        found = list(index.find(document.encode()))
+        assert [k for k, *_ in found] == [1] and found[0][3] <= pieces * abs(size) <= index.e[0]
+
+
 def test_leaks_do_not_depend_on_blocks(spark, monkeypatch):
     docs, bench = (spark.read.parquet(f"{SF_DIR}/{t}.parquet") for t in ("documents", "benchmark"))
     whole = values(decontaminate.leaks(docs, bench))

@@ -2,8 +2,9 @@
 
 A benchmark text of length L that stands in a document with at most e edits shares at least L - q + 1 - e * q of its
 q-grams with it, all within e + 1 neighbouring diagonals (position in the document minus position in the item). Shared
-q-grams are counted in bands of diagonals that overlap by e, so that one band holds any such occurrence whole; bands
-that reach the bound are aligned, within the band, and kept if they need no more than e edits.
+q-grams are counted in bands of diagonals that overlap by e, so that one band holds any such occurrence whole: a band
+is wider than the item's e, lest the overlap reach into more than one other. Bands that reach the bound are aligned,
+within the band, and kept if they need no more than e edits.
 
 Texts are compared lower-cased, runs of white space as one space. The benchmark goes to every task in blocks of at
 most BLOCK_BYTES of text; a larger benchmark takes several passes over the documents.
@@ -24,7 +25,7 @@ Q = 12
 #: Edits allowed, as a share of the item's length; fewer for items so short that the bound would be empty.
 EDITS = 0.05
 BLOCK_BYTES = 4 << 20
-#: Diagonals of a band besides the overlap.
+#: Fewest diagonals of a band besides the overlap.
 BAND = 32
 FILTER_BITS = 24
 
@@ -60,6 +61,7 @@ class Index:
         self.items, self.q = items, q
         lengths = np.array([len(t) for _, t in items], dtype=np.int64)
         self.e = np.minimum((lengths * edits).astype(np.int64), np.maximum(lengths // q - 1, 0))
+        self.band = np.maximum(BAND, self.e + 1)
         self.bound = np.maximum(lengths - q + 1 - self.e * q, 1)
         grams = [qgrams(np.frombuffer(t, np.uint8), q) for _, t in items]
         every = np.concatenate(grams) if grams else np.zeros(0, dtype=U)
@@ -93,18 +95,23 @@ class Index:
         item, diagonal = self.hits(np.frombuffer(text, np.uint8))
         if len(item):
             shift = int(diagonal.min())
-            band = (diagonal - shift) // BAND
-            back = (diagonal - shift - band * BAND < self.e[item]) & (band > 0)
+            width = self.band[item]
+            band = (diagonal - shift) // width
+            back = (diagonal - shift - band * width < self.e[item]) & (band > 0)
             both = np.concatenate((band, band[back] - 1)), np.concatenate((item, item[back]))
             code, count = np.unique(both[1] * (int(band.max()) + 1) + both[0], return_counts=True)
             for c in code[count >= self.bound[code // (int(band.max()) + 1)]].tolist():
                 k, b = divmod(c, int(band.max()) + 1)
                 if k in found and found[k][0] == 0:
                     continue
-                e, length = int(self.e[k]), len(self.items[k][1])
-                lo = max(b * BAND + shift - e, 0)
-                hi = min(b * BAND + shift + BAND + length + 2 * e, len(text))
-                edits, start, end = align(self.items[k][1], text[lo:hi], BAND + 2 * e)
+                e, length, width = int(self.e[k]), len(self.items[k][1]), int(self.band[k])
+                lo = b * width + shift - e
+                # Bytes that no text has: at the text's begin an item's first bytes may be lacking.
+                pad = min(max(-lo, 0), e)
+                lo = max(lo, 0)
+                hi = min(b * width + shift + width + length + 2 * e, len(text))
+                edits, start, end = align(self.items[k][1], b"\xff" * pad + text[lo:hi], width + 2 * e)
+                start, end = max(start - pad, 0), max(end - pad, 0)
                 if edits <= e and (k not in found or edits < found[k][0]):
                     found[k] = (edits, lo + start, lo + end)
         for k, (edits, start, end) in found.items():
