@@ -49,6 +49,24 @@ def test_main_text_by_tags_alone(page, text):
     assert templates.main_text(page, [], {}) == text
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<div class='layout has-sidebar'><article><p>a</article><div class=sidebar>no</div></div>", "a"),
+        ("<div class='no-comments'><p>a</div><div class='page withBanner'><p>b</div><div class=top-banner>no</div>", "a b"),
+        ("<div class='sidebar wrapper'><div><main><p>a</main></div></div><div class=related><article>no</article></div>", "a"),
+        ("<main><p>long text<div class=related><article>no</article></div></main>", "long text"),
+        ("<div><p>long text</div><div class=related><article>no</article></div>", "long text"),
+        ("<article><p>a</article><div class='related'><article><p>no</article></div>", "a"),
+        ("<article><div class='entry-header'><h1>Title</h1><p>by</p></div><p>a<div class=share><h3>no</h3></div></article>", "Title a"),
+        ("<div class='nav-box'><article><div class='entry-header'><h1>Title</h1></div><p>a</article></div>", "Title a"),
+        ("<p><a title=it's>one</a> two <b class=x>don't</b></p><p title='a>b' hidden>no</p>", "one two don't"),
+    ],
+)
+def test_names_set_aside_only_the_part_they_name(page, text):
+    assert templates.main_text(page, [], {}) == text
+
+
 def site(k: int, host: str) -> tuple:
     top = "<html><body><div>Our site</div><div><span>Home</span><span>About us</span></div>"
     return (k, f"http://{host}/{k}", f"{top}<div><h2>Title {k}</h2><p>words number {k} and {k * k}</p></div><div>All rights kept</div></body></html>")

@@ -68,12 +68,16 @@ ASIDE_WORDS = frozenset(
     " replies reply respond share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar"
     " topbar widget widgets".split()
 )
+#: Words that make a class tell what its element has or lacks, or its state, before and after the part's name.
+HAS_WORDS = frozenset("has no not with without hide show".split())
+STATE_WORDS = frozenset("layout page site closed open off on enabled disabled none".split())
 
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|</([a-zA-Z][^\s/>]*)[^>]*>?|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|</([a-zA-Z][^\s/>]*)[^>]*>?|<([a-zA-Z][^\s/>]*)((?:[^>=]+|=\s*(?:\"[^\"]*\"|'[^']*')?)*)(?:>|\Z)",
     re.S,
 )
-ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>][^\s>]*))")
+VALUE = re.compile(r"=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>]+)")
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 
 
@@ -86,6 +90,8 @@ class Element:
     main: bool
     own_header: bool
     heading: bool
+    named: tuple[int, ...] = ()
+    article_named: tuple[int, ...] = ()
 
 
 @dataclass
@@ -98,6 +104,7 @@ class Run:
     aside: bool
     article: bool
     main: bool
+    named: tuple[int, ...] = ()
     template: bool = False
 
 
@@ -122,15 +129,32 @@ def _known(cache: dict, *parts) -> int:
 def _is_aside(tag: str, attributes: dict[str, str]) -> bool:
     if tag in ASIDE_TAGS or attributes.get("role", "").lower() in ASIDE_ROLES or "hidden" in attributes:
         return True
-    if tag in ("html", "body", "article", "main") and not (tag == "article" and "comment" in attributes.get("class", "").lower()):
-        return False
-    words = WORD.findall(f"{attributes.get('class', '')} {attributes.get('id', '')}")
-    return any(w.lower() in ASIDE_WORDS for w in words)
+    return tag == "article" and _named(attributes) and "comment" in attributes.get("class", "").lower()
+
+
+def _named(attributes: dict[str, str]) -> set[str]:
+    """The words of ASIDE_WORDS by which a class or the id calls its element, not what it has or lacks."""
+    out = set()
+    for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".split():
+        words = [w.lower() for w in WORD.findall(name)]
+        for i, w in enumerate(words):
+            if w in HAS_WORDS or words[-1] in STATE_WORDS:
+                break
+            if w in ASIDE_WORDS:
+                out.add(w)
+    return out
 
 
 def parse(page: str, cache: dict) -> Page:
-    """Tags and text runs of a page in order. Any input parses: unclosed, misplaced and cut tags included."""
+    """Tags and text runs of a page in order. Any input parses: unclosed, misplaced and cut tags included.
+
+    An element that its class or id names as a part of a page is set aside, but not if it holds the page's main or
+    article: of several the ones in the fewest elements so named, and articles (of the main, if there is one) only if
+    they have more text than what is left without them.
+    """
     out = Page()
+    mains: list[set[int]] = []
+    articles: list[tuple[bool, set[int]]] = []
     open_: list[Element] = [Element("", 0, False, False, False, False, False)]
     block = at = 0
 
@@ -144,7 +168,8 @@ def parse(page: str, cache: dict) -> Page:
             out.tokens.append((token, True))
         # Headings in an article's own header belong to the article.
         aside = top.aside and not top.heading
-        out.runs.append((len(out.tokens) - 1, Run(entities.unescape(piece), block, token, aside, top.article, top.main)))
+        named = top.article_named if top.heading else top.named
+        out.runs.append((len(out.tokens) - 1, Run(entities.unescape(piece), block, token, aside, top.article, top.main, named)))
 
     def close(to: int) -> None:
         nonlocal block
@@ -178,7 +203,7 @@ def parse(page: str, cache: dict) -> Page:
             out.tokens.append((_known(cache, open_[-1].path, "/", end), False))
         elif tag:
             attributes = {m[0].lower(): entities.unescape(m[1] or m[2] or m[3]) for m in ATTRIBUTE.findall(match.group(3))}
-            if re.search(r"(?:^|\s)hidden(?:\s|$)", re.sub(r"\"[^\"]*\"|'[^']*'", "", match.group(3))):
+            if re.search(r"(?:^|\s)hidden(?:\s|$)", VALUE.sub("", match.group(3))):
                 attributes.setdefault("hidden", "")
             if tag in ENDS_P:
                 _close_within(open_, close, {"p"}, {"button", "td", "th", "caption", "table"})
@@ -191,19 +216,44 @@ def parse(page: str, cache: dict) -> Page:
             out.tokens.append((path, False))
             aside = top.aside or _is_aside(tag, attributes)
             article = top.article or (tag == "article" and not aside)
-            main = top.main or tag == "main" or attributes.get("role", "").lower() == "main"
+            is_main = tag == "main" or attributes.get("role", "").lower() == "main"
+            main = top.main or is_main
+            words = set() if is_main or tag in ("html", "body", "article") else _named(attributes)
+            named = (*top.named, len(out.tokens)) if words else top.named
+            if is_main and not aside:
+                mains.append(set(top.named))
+            elif tag == "article" and not (aside or top.article):
+                articles.append((top.main, set(top.named)))
             # An article's own header is set aside but for its headings.
-            own_header = top.own_header or (tag == "header" and top.article and not top.aside)
+            is_header = tag == "header" or (words == {"header"} and tag not in ASIDE_TAGS)
+            at_top = not top.aside and (not top.named or top.named == top.article_named)
+            own_header = top.own_header or (is_header and top.article and at_top)
+            around = top.article_named if top.article else top.named
             heading = top.heading or (own_header and tag in HEADINGS)
             if tag in RAW and not match.group(0).endswith("/>"):
                 stop = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(page, at)
                 at = stop.end() if stop else len(page)
                 block += tag not in INLINE
             elif tag not in VOID and not match.group(3).rstrip().endswith("/"):
-                open_.append(Element(tag, path, aside, article, main, own_header, heading))
+                open_.append(Element(tag, path, aside, article, main, own_header, heading, named, around))
+    held = _fewest(mains)
+    extra = _fewest([names - held for in_main, names in articles if in_main or not mains])
+    if extra:
+        runs = [r for _, r in out.runs if not r.aside and (r.main or not mains)]
+        size = lambda rs: sum(len(r.text.strip()) for r in rs)
+        rest = size(r for r in runs if held.issuperset(r.named))
+        if size(r for r in runs if r.article and (held | extra).issuperset(r.named) and not held.issuperset(r.named)) > rest:
+            held |= extra
+    for _, run in out.runs:
+        run.aside = run.aside or not held.issuperset(run.named)
     return out
 
 
+def _fewest(names: list[set[int]]) -> set[int]:
+    fewest = min(map(len, names), default=0)
+    return set().union(*(n for n in names if len(n) == fewest))
+
+
 def _close_within(open_: list[Element], close, tags: set[str], limits: set[str]) -> None:
     for i in range(len(open_) - 1, 0, -1):
         if open_[i].tag in limits:
