@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chunks, decontaminate, lines, mixing, parity, quality, simhash, templates, urls, warc
+from tidemark.llm import chunks, codes, decontaminate, divergence, lines, mixing, parity, quality, simhash, templates, urls, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,6 +66,15 @@ def op10_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(spark, table(spark, sf_dir, "pages"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = codes.compress(table(spark, sf_dir, "embeddings"))
+    return found.drop("label").withColumnRenamed("id", "vec_id")
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_page_templates": op2_page_templates,
@@ -77,8 +86,34 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_zstd_quality": op8_zstd_quality,
     "op9_qgram_leaks": op9_qgram_leaks,
     "op10_zip_warc": op10_zip_warc,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_source_divergence": op12_source_divergence,
 }
 
+
+def _assignment(turn: int) -> str:
+    """Each part's nearest entry of codebook ``turn``, the first of equals."""
+    return f"""m{turn} AS (
+  SELECT p.vec_id, p.part, min((list_sum(list_transform(list_zip(p.x, b.c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::HUGEINT * 64 + b.entry)) AS m
+  FROM p JOIN b{turn} b ON p.part = b.part GROUP BY p.vec_id, p.part
+), a{turn} AS MATERIALIZED (
+  SELECT vec_id, part, (m % 64)::BIGINT AS entry, (m // 64)::BIGINT AS away FROM m{turn}
+)"""
+
+
+def _codebook_round(turn: int) -> str:
+    """Codebook ``turn`` + 1: floors of the means, entries without parts as they were."""
+    return f"""{_assignment(turn)}, s{turn} AS (
+  SELECT part, entry, place, sum(value)::HUGEINT AS total, count(*) AS n
+  FROM (SELECT a.part, a.entry, unnest(p.x) AS value, generate_subscripts(p.x, 1) AS place
+        FROM a{turn} a JOIN p USING (vec_id, part)) GROUP BY part, entry, place
+), f{turn} AS (
+  SELECT part, entry, list(((total - ((total % n) + n) % n) // n)::BIGINT ORDER BY place) AS c FROM s{turn} GROUP BY part, entry
+), b{turn + 1} AS MATERIALIZED (
+  SELECT b.part, b.entry, coalesce(f.c, b.c) AS c FROM b{turn} b LEFT JOIN f{turn} f ON b.part = f.part AND b.entry = f.entry
+)"""
+
+
 SQL: dict[str, str] = {
     "op4_line_dedup": """
 WITH l AS (
@@ -172,5 +207,65 @@ SELECT page_id, payload_bytes,
   CASE WHEN page_id = newest THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id <> newest THEN newest END AS refers_to
 FROM d
+""",
+    "op11_vector_codes": f"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), p AS MATERIALIZED (
+  SELECT vec_id, label, part, list_slice(v, part * (len(v) // 16) + 1, (part + 1) * (len(v) // 16)) AS x
+  FROM (SELECT *, unnest(range(16)) AS part FROM kept)
+), b0 AS MATERIALIZED (
+  SELECT part, entry, x AS c
+  FROM (SELECT *, row_number() OVER (PARTITION BY part ORDER BY vec_id, x) - 1 AS entry FROM p) WHERE entry < 64
+), {_codebook_round(0)}, {_codebook_round(1)}, {_assignment(2)}, coded AS (
+  SELECT p.vec_id, p.label, string_agg(lpad(to_hex(a2.entry), 2, '0'), '' ORDER BY p.part) AS code, sum(a2.away)::BIGINT AS error
+  FROM p JOIN a2 USING (vec_id, part) GROUP BY p.vec_id, p.label
+), books AS (
+  SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS digest FROM b2
+)
+SELECT vec_id, lower(code) AS code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+       (SELECT digest FROM books) AS codebooks_sha256
+FROM coded
+""",
+    "op12_source_divergence": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), t AS MATERIALIZED (
+  SELECT id, lang, source, unnest(terms) AS term FROM d
+), kept AS MATERIALIZED (
+  SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT id) >= 30
+), v AS (
+  SELECT lang, count(*) AS v FROM kept GROUP BY lang
+), g AS MATERIALIZED (
+  SELECT lang, source, coalesce(v, 0) AS v FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN v USING (lang)
+), c AS MATERIALIZED (
+  SELECT lang, source, term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY lang, source, term
+), every AS MATERIALIZED (
+  SELECT g.lang, g.source, k.term, g.v, coalesce(c.n, 0) AS n, sum(coalesce(c.n, 0)) OVER (PARTITION BY g.lang, g.source) AS total
+  FROM g JOIN kept k ON g.lang = k.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), p AS MATERIALIZED (
+  SELECT *, (1 + (1000000000::HUGEINT * (n + 5)) // (total + 5 * v))::BIGINT AS p FROM every
+), q AS (
+  SELECT lang, term, (1 + (1000000000::HUGEINT * (n + 5)) // (sum(n) OVER (PARTITION BY lang) + 5 * v))::BIGINT AS q
+  FROM (SELECT lang, term, sum(n) AS n, max(v) AS v FROM every GROUP BY lang, term)
+), diff AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source
+), pair AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(diff.value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN diff ON diff.lang = a.lang AND diff.source = a.source AND diff.item = b.source
+), term AS (
+  SELECT p.lang, p.source, 'term' AS part, p.term AS item, p.p - q.q AS value
+  FROM p JOIN q ON p.lang = q.lang AND p.term = q.term WHERE p.n > 0 AND p.p > q.q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item))::INT AS rank
+  FROM (SELECT * FROM pair UNION ALL SELECT * FROM term)
+)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50
 """,
 }
