@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chunks, codes, decontaminate, divergence, lines, mixing, parity, quality, simhash, templates, urls, warc
+from tidemark.llm import chunks, codes, decontaminate, divergence, lines, mixing, ngrams, parity, quality, simhash, templates, urls, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,6 +75,10 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
 
+def op13_trie_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngrams.score_documents(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_page_templates": op2_page_templates,
@@ -88,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_zip_warc": op10_zip_warc,
     "op11_vector_codes": op11_vector_codes,
     "op12_source_divergence": op12_source_divergence,
+    "op13_trie_scores": op13_trie_scores,
 }
 
 
