@@ -12,26 +12,28 @@ from tidemark.session import stage, staging
 MAX_BROADCAST_FILES = 200_000
 
 
-def number_staged(staged: DataFrame, start: int = 0, name: str = "id") -> DataFrame:
+def number_staged(staged: DataFrame, start: int = 0, name: str = "id", by: str | None = None) -> DataFrame:
     """Ids start+1, start+2, … for a frame read from parquet files: rows before this file + position in the file.
 
     The files never change, so the ids come out the same however often a task is repeated. No row is shuffled;
-    only one count per file is summed up.
+    only one count per file is summed up. ``by`` is a column the folder is partitioned by: each part is numbered on its own.
     """
     columns = staged.columns
     placed = staged.select(
         "*", F.col("_metadata.file_name").alias("__file"), F.col("_metadata.row_index").alias("__index")
     )
-    before = Window.orderBy(F.length("__file"), "__file").rowsBetween(Window.unboundedPreceding, -1)
+    file = ["__file", *([by] if by else [])]
+    before = Window.partitionBy(by) if by else Window
+    before = before.orderBy(F.length("__file"), "__file").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        placed.groupBy("__file")
+        placed.groupBy(*file)
         .agg(F.count(F.lit(1)).alias("__rows"))
-        .select("__file", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before"))
+        .select(*file, F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before"))
     )
     # One row per file: the number of files bounds what is broadcast.
     if len(staged.inputFiles()) <= MAX_BROADCAST_FILES:
         offsets = F.broadcast(offsets)
-    numbered = placed.join(offsets, "__file")
+    numbered = placed.join(offsets, file)
     key = (F.lit(start) + F.col("__before") + F.col("__index") + 1).cast("long")
     return numbered.select(key.alias(name), *[F.col(f"`{c}`") for c in columns])
 

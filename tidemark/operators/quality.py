@@ -67,11 +67,15 @@ def violations(df: DataFrame, rules: Rules) -> dict[str, int]:
     if checks:
         counts = df.agg(*[F.count_if(broken).alias(f"c{i}") for i, broken in enumerate(checks.values())]).first()
         found = {rule: n for rule, n in zip(checks, counts) if n}
-    if rules.unique:
-        repeated = unique(df, rules.unique).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-        if repeated:
-            found[f"{', '.join(rules.unique)} is repeated"] = repeated
-    return found
+    return found | repeats(df, rules)
+
+
+def repeats(df: DataFrame, rules: Rules) -> dict[str, int]:
+    """Rows that break the rule of uniqueness, if there is one."""
+    if not rules.unique:
+        return {}
+    n = unique(df, rules.unique).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return {f"{', '.join(rules.unique)} is repeated": n} if n else {}
 
 
 def mark(df: DataFrame, rules: Rules) -> DataFrame:

@@ -2,27 +2,33 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 from datetime import date
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.scalars import conform, month_number
 from tidemark.operators import loads
 from tidemark.operators.keys import number_staged
-from tidemark.operators.quality import Rules, RuleViolation, mark, taken, violations
-from tidemark.operators.rows import collapse, distinct, same_rows
+from tidemark.operators.quality import Rules, RuleViolation, mark, repeats, taken, violations
+from tidemark.operators.rows import collapse, diff_rows, distinct, multiset_sums
 from tidemark.operators.sizing import estimated_small
 from tidemark.plans.catalog import DATASETS
 from tidemark.plans.model import Dataset, Inputs
-from tidemark.session import stage, staging
+from tidemark.session import setting, stage, staging
 from tidemark.sources.profiles import Profile, write_table
 from tidemark.sources.records import export_records
-from tidemark.sources.store import REJECTED, Folder, Store
+from tidemark.sources.store import BUCKET, REJECTED, SUMS, Folder, Store, added_up, bucket_of
+
+#: Rows of a bucket, the part of a table that a synchronisation replaces at a time, and the most buckets of a table.
+BUCKET_ROWS = ("spark.tidemark.bucket.rows", 1_000_000)
+MAX_BUCKETS = 4096
 
 CREATED, EXISTS, LOADED = "created", "exists", "loaded"
 NOTHING_NEW, IN_STEP, FAILED = "nothing new", "in step", "failed"
@@ -46,6 +52,18 @@ class Run:
     inputs: Inputs
 
 
+@dataclass(frozen=True)
+class Staged:
+    """A written frame, with the fingerprint of its rows (the first number is their count) and the rules they break.
+
+    All three come from the one pass that wrote it.
+    """
+
+    rows: DataFrame
+    sums: tuple[int, ...]
+    broken: dict[str, int]
+
+
 class LoadFailed(RuntimeError):
     """A load that changed nothing; ``report`` says why."""
 
@@ -132,13 +150,18 @@ class Warehouse:
         return self._add(run, ds, ds.build(new), version, folders)
 
     def _insert(self, run: Run, ds: Dataset, clear: bool) -> LoadReport:
-        """Find the absent keys first, from keys alone; if few, pick their rows out of the source by a broadcast."""
+        """Find the absent keys first, from keys alone; if few, pick their rows out of the source by a broadcast.
+
+        Only folders that may hold one of the source's keys are read.
+        """
         version, folders = self._state(ds, clear)
         source = ds.build(run.inputs)
         if not folders:
             return self._add(run, ds, collapse(source, ds.keys, ds.order, "first"), version, folders)
-        target = self.store.read_folders(ds, folders).select(*ds.schema.names)
-        absent = stage(loads.absent_keys(source, target, ds.keys), run.folder)
+        wanted = stage(conform(source, ds.schema).select(*ds.keys).distinct(), run.folder)
+        near = self.store.may_hold(ds, folders, wanted)
+        target = self.store.read_folders(ds, near).select(*ds.schema.names)
+        absent = stage(loads.absent_keys(wanted, target, ds.keys), run.folder)
         if absent.isEmpty():
             return LoadReport(ds.name, NOTHING_NEW)
         if estimated_small(absent):
@@ -150,18 +173,15 @@ class Warehouse:
     def _append_all(self, run: Run, ds: Dataset, clear: bool) -> LoadReport:
         """Every distinct source row is added, whatever the table holds. Rows that break a rule are set aside."""
         version, folders = self._state(ds, clear)
-        written = self.store.write(ds, mark(self._distinct(run, ds), ds.rules))
-        good = [f for f in written if f.month != REJECTED]
-        bad = [f for f in written if f.month == REJECTED]
-        inserted = self.store.read_folders(ds, good).count()
-        quarantined = self.store.read_folders(ds, bad).count()
+        written = self.store.write(ds, mark(self._distinct(run, ds), ds.rules)).folders
+        inserted = sum(f.rows for f in written if f.month != REJECTED)
+        quarantined = sum(f.rows for f in written if f.month == REJECTED)
         if written:
             self.store.commit(ds, version, folders + written)
         return LoadReport(ds.name, LOADED if inserted else NOTHING_NEW, inserted, quarantined=quarantined)
 
     def _add(self, run: Run, ds: Dataset, rows: DataFrame, version: int, folders: list[Folder]) -> LoadReport:
-        target = self.store.read_folders(ds, folders) if ds.cursor else None
-        written, inserted = self._write_checked(run, ds, rows, sum(f.rows or 0 for f in folders), target)
+        written, inserted = self._write_checked(run, ds, rows, folders, is_added=True)
         if not inserted:
             return LoadReport(ds.name, NOTHING_NEW)
         self.store.commit(ds, version, folders + written)
@@ -170,26 +190,98 @@ class Warehouse:
     # --- synchronisation -------------------------------------------------------------------------------------------
 
     def _replace(self, run: Run, ds: Dataset) -> LoadReport:
-        """The source is read once into a staged copy, compared, and only numbered and written if it differs."""
+        """The source is read once into a staged copy, compared by stored fingerprints, and written where it differs.
+
+        The fingerprints of the whole tables settle whether anything differs, without reading the target. If so those of
+        the buckets say where, and only these buckets are written anew; the others keep their folders, and their ids
+        move along.
+        """
         version, folders = self._state(ds)
-        staged = stage(conform(ds.build(run.inputs), ds.schema), run.folder)
-        known = sum(f.rows or 0 for f in folders)
-        if staged.count() == known and same_rows(staged, self.store.read(ds), exact=False):
+        staged = self._stage(run, ds, ds.build(run.inputs))
+        if staged.sums == self._stored_sums(ds, folders):
             return LoadReport(ds.name, IN_STEP)
-        written, inserted = self._write_checked(run, ds, staged, 0, None, is_staged=True)
-        self.store.commit(ds, version, written)
-        return LoadReport(ds.name, LOADED, inserted)
+        buckets, changed = self._differing(ds, staged, folders)
+        part = staged.rows if changed is None else staged.rows.filter(self._bucket(ds, buckets).isin(changed))
+        self._raise_if(violations(part, ds.rules))
+        kept = [] if changed is None else [f for f in folders if f.buckets == buckets and f.bucket not in changed]
+        written = self._write_buckets(run, ds, part, buckets)
+        self.store.commit(ds, version, _numbered(kept + written))
+        return LoadReport(ds.name, LOADED, staged.sums[0])
+
+    def differences(self, name: str) -> DataFrame:
+        """Keys that are missing in the stored table, extra in it or changed against the source, see ``diff_rows``.
+
+        For tables with a unique column. Only buckets whose fingerprints differ are read.
+        """
+        ds = DATASETS[name]
+        if not ds.unique or ds.sync != "replace":
+            raise ValueError(f"{name} has no unique column, or is not kept by buckets")
+        _, folders = self._state(ds)
+        with staging(self.spark) as folder:
+            staged = self._stage(Run(folder, self.inputs), ds, ds.build(self.inputs))
+            source, stored = staged.rows, self.store.read_folders(ds, folders)
+            if staged.sums == self._stored_sums(ds, folders):
+                source, stored = source.limit(0), stored.limit(0)
+            else:
+                buckets, changed = self._differing(ds, staged, folders)
+                if changed is not None:
+                    own = self._bucket(ds, buckets).isin(changed)
+                    stored = self.store.read_folders(ds, [f for f in folders if f.buckets != buckets or f.bucket in changed])
+                    source, stored = source.filter(own), stored.filter(own)
+            return stage(diff_rows(source, stored.select(*ds.schema.names), ds.unique))
+
+    def _bucket(self, ds: Dataset, buckets: int) -> Column:
+        return bucket_of(ds.unique or (ds.cursor,), buckets)
+
+    def _stored_sums(self, ds: Dataset, folders: Sequence[Folder]) -> tuple[int, ...]:
+        """The fingerprint of the folders' rows; they are read only if a folder came without one."""
+        known = added_up(folders)
+        if known is None:
+            known = tuple(int(n or 0) for n in self.store.read_folders(ds, folders).agg(*multiset_sums(ds.schema.names)).first())
+        return known
+
+    def _differing(self, ds: Dataset, staged: Staged, folders: Sequence[Folder]) -> tuple[int, list[int] | None]:
+        """The number of buckets, and those in which source and table differ; None for all, where the table is not yet
+        kept by buckets or has outgrown them. Rows appended since the last synchronisation are in no bucket's folder:
+        theirs count as different. At most one row per bucket comes back.
+        """
+        wanted = min(max(-(-staged.sums[0] // setting(self.spark, BUCKET_ROWS)) - 1, 0).bit_length(), MAX_BUCKETS.bit_length() - 1)
+        buckets = max((f.buckets for f in folders if f.buckets), default=0)
+        if not buckets or 1 << wanted > 4 * buckets or any(f.sums is None for f in folders):
+            return 1 << wanted, None
+        stored = {f.bucket: f.sums for f in folders if f.buckets == buckets}
+        found = staged.rows.groupBy(self._bucket(ds, buckets).alias(BUCKET)).agg(*multiset_sums(ds.schema.names)).collect()
+        own = {r[BUCKET]: tuple(int(r[n]) for n in SUMS) for r in found}
+        changed = {b for b in own.keys() | stored.keys() if own.get(b) != stored.get(b)}
+        loose = [f for f in folders if f.buckets != buckets]
+        if loose:
+            held = self.store.read_folders(ds, loose).select(self._bucket(ds, buckets).alias(BUCKET)).distinct().collect()
+            changed |= {r[BUCKET] for r in held}
+        return buckets, sorted(changed)
+
+    def _write_buckets(self, run: Run, ds: Dataset, rows: DataFrame, buckets: int) -> list[Folder]:
+        """Write staged rows bucket by bucket, numbered from 1 in each."""
+        if buckets == 1:
+            written = self.store.write(ds, number_staged(rows)).folders
+            return [replace(f, bucket=0, buckets=1) for f in written if f.rows]
+        path = f"{run.folder}/buckets-{uuid.uuid4().hex}"
+        dealt = rows.withColumn(BUCKET, self._bucket(ds, buckets)).hint("rebalance", BUCKET)
+        dealt.write.partitionBy(BUCKET).parquet(path)
+        schema = T.StructType([*ds.schema.fields, T.StructField(BUCKET, T.IntegerType())])
+        dealt = self.spark.read.schema(schema).parquet(path)
+        return self.store.write(ds, number_staged(dealt, by=BUCKET), buckets=buckets).folders
 
     def _merge(self, run: Run, ds: Dataset) -> LoadReport:
+        """Equal fingerprints mean that nothing is to be merged; then the target is not read."""
         version, folders = self._state(ds)
-        source = stage(conform(ds.build(run.inputs), ds.schema), run.folder)
-        found = violations(source, Rules(ds.rules.not_null, ds.rules.max_length))
-        if found:
-            raise RuleViolation(found)
+        staged = self._stage(run, ds, ds.build(run.inputs), Rules(ds.rules.not_null, ds.rules.max_length))
+        self._raise_if(staged.broken)
+        if staged.sums == added_up(folders):
+            return LoadReport(ds.name, IN_STEP)
+        source, rows = staged.rows, staged.sums[0]
         months, _, _ = self._touched(ds, source)
-        rows = source.count()
         if not months:
-            if rows == self.store.read(ds).count():
+            if rows == sum(f.rows for f in folders):
                 return LoadReport(ds.name, IN_STEP)
             return LoadReport(ds.name, LOADED, 0, rows)
 
@@ -234,11 +326,10 @@ class Warehouse:
         """Write the next state of the touched months; all other months keep their folders. Returns rows gained."""
         old = [f for f in folders if f.month in months]
         target = self.store.read_folders(ds, old)
-        before = target.count()
         touched = source.filter(month_number(ds.month_column).isin(sorted(months)))
-        written, after = self._write_checked(run, ds, next_state(touched, target), 0, None)
+        written, after = self._write_checked(run, ds, next_state(touched, target), [])
         self.store.commit(ds, version, [f for f in folders if f.month not in months] + written)
-        return after - before
+        return after - sum(f.rows for f in old)
 
     # --- shared ----------------------------------------------------------------------------------------------------
 
@@ -251,34 +342,65 @@ class Warehouse:
             return ds.build_distinct(run.inputs)
         return distinct(conform(ds.build(run.inputs), ds.schema))
 
+    def _stage(self, run: Run, ds: Dataset, rows: DataFrame, rules: Rules | None = None) -> Staged:
+        """Write ``rows`` to the load's folder; what is counted is counted in that pass, once per row.
+
+        The counters stand in the writing stage, whose tasks report once however often they are repeated.
+        """
+        checks = rules.checks() if rules else {}
+        seen = Observation()
+        counted = [F.count_if(rule).alias(f"broken{i}") for i, rule in enumerate(checks.values())]
+        staged = stage(conform(rows, ds.schema).observe(seen, *multiset_sums(ds.schema.names), *counted), run.folder)
+        facts = seen.get
+        broken = {rule: n for i, rule in enumerate(checks) if (n := facts.get(f"broken{i}"))}
+        return Staged(staged, tuple(int(facts.get(n) or 0) for n in SUMS), broken)
+
     def _write_checked(
-        self, run: Run, ds: Dataset, rows: DataFrame, known: int, target: DataFrame | None, is_staged: bool = False
+        self, run: Run, ds: Dataset, rows: DataFrame, folders: Sequence[Folder], is_added: bool = False
     ) -> tuple[list[Folder], int]:
-        """Write rows where nobody reads them yet, check them there, and return their folders and number.
+        """Write rows where nobody reads them yet, check them, and return their folders and number.
 
-        Tables with a surrogate key are staged first, checked, and numbered on the way to their folder.
+        Rows and broken rules are counted by the pass that writes. Rows added to ``folders`` need a cursor, where the
+        table has one, and a key that these do not hold. Tables with a surrogate key are staged first and numbered on
+        the way to their folder; the first rows of a table that is synchronised by buckets go to buckets.
         """
-        if not ds.surrogate:
-            written = self.store.write(ds, conform(rows, ds.schema))
-            landed = self.store.read_folders(ds, written)
-            self._check(ds, landed, target)
-            return written, landed.count()
-        staged = rows if is_staged else stage(conform(rows, ds.schema), run.folder)
-        self._check(ds, staged, target)
-        if staged.isEmpty():
-            return [], 0
-        written = self.store.write(ds, number_staged(staged, known))
-        return written, sum(f.rows for f in written)
-
-    def _check(self, ds: Dataset, rows: DataFrame, target: DataFrame | None) -> None:
-        """The table's rules; for rows appended to ``target`` also a cursor in each, and no key it already holds."""
         rules = ds.rules
-        if target is not None and ds.cursor:
+        if is_added and ds.cursor:
             rules = replace(rules, not_null=[*rules.not_null, ds.cursor])
-        found = violations(rows, rules)
-        if target is not None and ds.unique:
-            clashes = taken(rows, target, ds.unique).count()
-            if clashes:
-                found[f"{', '.join(ds.unique)} is already in the table"] = clashes
+        if not ds.surrogate:
+            written = self.store.write(ds, conform(rows, ds.schema), rules.checks())
+            self._raise_if(written.broken | repeats(self.store.read_folders(ds, written.folders), rules))
+            return written.folders, written.rows
+        staged = self._stage(run, ds, rows, rules)
+        clashes = self._clashes(run, ds, staged.rows, folders) if is_added and ds.cursor and folders else {}
+        self._raise_if(staged.broken | repeats(staged.rows, rules) | clashes)
+        if not staged.sums[0]:
+            return [], 0
+        if ds.sync == "replace" and not folders:
+            buckets, _ = self._differing(ds, staged, [])
+            return _numbered(self._write_buckets(run, ds, staged.rows, buckets)), staged.sums[0]
+        known = sum(f.rows for f in folders)
+        return self.store.write(ds, number_staged(staged.rows, known)).folders, staged.sums[0]
+
+    def _clashes(self, run: Run, ds: Dataset, rows: DataFrame, folders: Sequence[Folder]) -> dict[str, int]:
+        """New rows whose unique key is stored; folders that surely hold none are not read."""
+        if not ds.unique:
+            return {}
+        keys = stage(rows.select(*ds.unique).distinct(), run.folder)
+        near = self.store.may_hold(ds, folders, keys)
+        clashes = taken(keys, self.store.read_folders(ds, near), ds.unique).count() if near else 0
+        return {f"{', '.join(ds.unique)} is already in the table": clashes} if clashes else {}
+
+    @staticmethod
+    def _raise_if(found: dict[str, int]) -> None:
         if found:
             raise RuleViolation(found)
+
+
+def _numbered(folders: Sequence[Folder]) -> list[Folder]:
+    """Folders of buckets in order, the ids of each following on the last one's."""
+    out, before = [], 0
+    for f in sorted(folders, key=lambda f: f.bucket):
+        out.append(replace(f, base=before))
+        before += f.rows
+    return out
