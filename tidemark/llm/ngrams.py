@@ -42,6 +42,8 @@ ADDED = 0.1
 SHARD = 1 << 21
 #: Words of one vocabulary file.
 VOCABULARY = 1 << 22
+#: Words are told apart by how often they occur, in steps of so many powers of two.
+TIER = 3
 #: Packed pieces that one task joins at a time; more are joined in rounds.
 PIECES = 2048
 #: Quantised probabilities: so many steps for a factor of ten.
@@ -88,9 +90,25 @@ def unpack(raw: bytes) -> list[np.ndarray]:
     return out
 
 
+def sort_key(columns: list[np.ndarray]) -> np.ndarray | None:
+    """One number a row that sorts like the columns, first column first; None if they do not fit in 64 bits."""
+    widths = [int(c.max(initial=0)).bit_length() for c in columns]
+    if sum(widths) > 64:
+        return None
+    key = np.zeros(len(columns[0]), dtype=U)
+    for c, width in zip(columns, widths):
+        key = (key << U(width)) | c.astype(U)
+    return key
+
+
+def sorted_order(columns: list[np.ndarray]) -> np.ndarray:
+    key = sort_key(columns)
+    return np.lexsort(columns[::-1]) if key is None else np.argsort(key)
+
+
 def summed(keys: list[np.ndarray], n: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
     """The distinct rows of ``keys``, sorted by the first column first, and their sums of ``n``."""
-    order = np.lexsort(keys[::-1])
+    order = sorted_order(keys)
     keys, n = [k[order] for k in keys], n[order]
     if not len(n):
         return keys, n
@@ -117,52 +135,56 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """Words by hash, in files by the hash's first ``bits`` bits; a word's id is its rank, ``unknown`` and ``start`` follow."""
+    """Words in files by how often they occur (in steps of TIER) and by the first bits of their hash.
+
+    A word's id is its rank in the order of ``files`` (tier, bits, part, words), frequent tiers first, so that frequent
+    words have small ids; ``unknown`` and ``start`` follow.
+    """
 
     folder: str
-    bits: int
-    sizes: tuple[int, ...]
+    files: tuple[tuple[int, int, int, int], ...]
     total: int
 
+    @cached_property
+    def _bases(self) -> np.ndarray:
+        return np.concatenate(([0], np.cumsum([f[3] for f in self.files], dtype=np.int64)))
+
     @property
     def unknown(self) -> int:
-        return sum(self.sizes)
+        return int(self._bases[-1])
 
     @property
     def start(self) -> int:
         return self.unknown + 1
 
     @cached_property
-    def _files(self) -> dict:
+    def _open(self) -> dict:
         return {}
 
-    @cached_property
-    def _bases(self) -> np.ndarray:
-        return np.concatenate(([0], np.cumsum(self.sizes, dtype=np.int64)))
-
-    def _file(self, part: int) -> tuple[Monotone, np.ndarray]:
-        if part not in self._files:
-            arrays = load(f"{self.folder}/words-{part}")
-            self._files[part] = sequence(arrays, "hashes"), arrays["counts"]
-        return self._files[part]
+    def _file(self, at: int) -> tuple[Monotone, np.ndarray]:
+        if at not in self._open:
+            tier, _, part, _ = self.files[at]
+            arrays = load(f"{self.folder}/words-{tier}-{part}")
+            self._open[at] = sequence(arrays, "hashes"), arrays["counts"]
+        return self._open[at]
 
     def ids(self, hashes: np.ndarray) -> np.ndarray:
         out = np.full(len(hashes), self.unknown, dtype=np.int64)
-        part = (hashes >> U(1) >> U(63 - self.bits)).astype(np.int64)
-        for p in np.unique(part):
-            if self.sizes[p]:
-                own = np.flatnonzero(part == p)
-                at, found = self._file(int(p))[0].successor(hashes[own])
-                out[own[found]] = at[found] + self._bases[p]
+        left = np.arange(len(hashes))
+        for at, (_, bits, part, _) in enumerate(self.files):
+            own = left[_first_bits(hashes[left], bits) == U(part)] if bits else left
+            place, found = self._file(at)[0].successor(hashes[own])
+            out[own[found]] = place[found] + self._bases[at]
+            left = left[out[left] == self.unknown]
         return out
 
     def counts(self, ids: np.ndarray) -> np.ndarray:
         """How often the words with these ids occur; a start as often as an end."""
         out = np.zeros(len(ids), dtype=np.int64)
-        part = np.searchsorted(self._bases, ids, side="right") - 1
-        for p in np.unique(part[ids < self.unknown]):
-            own = np.flatnonzero(part == p)
-            out[own] = self._file(int(p))[1][ids[own] - self._bases[p]]
+        file = np.searchsorted(self._bases, ids, side="right") - 1
+        for at in np.unique(file[ids < self.unknown]):
+            own = np.flatnonzero(file == at)
+            out[own] = self._file(int(at))[1][ids[own] - self._bases[at]]
         if (ids == self.start).any():
             out[ids == self.start] = self.counts(self.ids(np.array([END])))
         return out
@@ -172,6 +194,10 @@ class Vocabulary:
         return np.log10((counts + ADDED) / (self.total + ADDED * (self.unknown + 1)))
 
 
+def _first_bits(hashes: np.ndarray, bits: int) -> np.ndarray:
+    return hashes >> U(1) >> U(63 - bits)
+
+
 def count_words(rows: DataFrame) -> DataFrame:
     """(hash, n) for the column ``text``, added up within each piece of texts and each task first."""
 
@@ -183,26 +209,29 @@ def count_words(rows: DataFrame) -> DataFrame:
     return counts.groupBy("hash").agg(F.sum("n").alias("n"))
 
 
-def write_vocabulary(rows: DataFrame, folder: str) -> Vocabulary:
-    """Counts the words of the column ``text`` and writes their files, each built by one task."""
-    counted = stage(count_words(rows))
-    bits = max(-(-counted.count() // VOCABULARY) - 1, 0).bit_length()
-    part = F.shiftrightunsigned(F.shiftrightunsigned("hash", 1), 63 - bits).alias("part")
+def write_vocabulary(rows: DataFrame, folder: str, own: str) -> Vocabulary:
+    """Counts the words of the column ``text`` and writes their files, each built by one task. ``own``: for staged rows."""
+    tier = F.floor(F.log2("n") / TIER).cast("int")
+    counted = stage(count_words(rows).withColumn("tier", tier), own)
+    sizes = {r["tier"]: r["count"] for r in counted.groupBy("tier").count().collect()}  # a row for each power of 2 ** TIER
+    bits = {t: max(-(-n // VOCABULARY) - 1, 0).bit_length() for t, n in sizes.items()}
+    shift = F.lit(63)
+    for t, own_bits in bits.items():
+        shift = F.when(F.col("tier") == t, 63 - own_bits).otherwise(shift)
+    part = F.call_function("shiftrightunsigned", F.shiftrightunsigned("hash", 1), shift.cast("int")).alias("part")
 
     def build(key: tuple, table: pa.Table) -> pa.Table:
         hashes, n = table.column("hash").to_numpy().view(U), table.column("n").to_numpy()
         order = np.argsort(hashes)
-        part, n = key[0].as_py(), n[order]
-        own = n.astype(np.min_scalar_type(int(n.max())))
-        save(f"{folder}/words-{part}", prefixed("hashes", Monotone.of(hashes[order])) | {"counts": own})
-        return pa.table({"part": [part], "size": [len(n)], "total": [int(n.sum())]})
+        tier, part = (k.as_py() for k in key)
+        counts = n[order].astype(np.min_scalar_type(int(n.max())))
+        save(f"{folder}/words-{tier}-{part}", prefixed("hashes", Monotone.of(hashes[order])) | {"counts": counts})
+        return pa.table({"tier": pa.array([tier], pa.int32()), "part": [part], "size": [len(n)], "total": [int(n.sum())]})
 
-    files = counted.select("hash", "n", part).groupBy("part").applyInArrow(build, "part long, size long, total long")
-    sizes, total = [0] * (1 << bits), 0
-    for r in stage(files).collect():  # a row for each VOCABULARY words
-        sizes[r["part"]] = r["size"]
-        total += r["total"]
-    return Vocabulary(folder, bits, tuple(sizes), total)
+    parted = counted.select("hash", "n", "tier", part)
+    files = parted.groupBy("tier", "part").applyInArrow(build, "tier int, part long, size long, total long")
+    found = sorted(stage(files, own).collect(), key=lambda r: (-r["tier"], r["part"]))  # a row for each VOCABULARY words
+    return Vocabulary(folder, tuple((r["tier"], bits[r["tier"]], r["part"], r["size"]) for r in found), sum(r["total"] for r in found))
 
 
 # --- shards ---------------------------------------------------------------------------------------------------------
@@ -229,7 +258,7 @@ class Model:
 
 
 def trigrams(ids: np.ndarray, bounds: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
-    """The tokens one and two places before each; ``start`` before a text's first."""
+    """The tokens two and one places before each; ``start`` before a text's first."""
     two, one = (np.concatenate((np.full(k, start), ids[: max(len(ids) - k, 0)]))[: len(ids)] for k in (2, 1))
     first = bounds[:-1]
     one[first], two[first] = start, start
@@ -238,10 +267,30 @@ def trigrams(ids: np.ndarray, bounds: np.ndarray, start: int) -> tuple[np.ndarra
     return two, one
 
 
-def _by_shard(model: Model, w1: np.ndarray, w2: np.ndarray) -> np.ndarray:
-    words, at = np.unique(w2, return_inverse=True)
-    splits = model.splits(model.vocabulary.counts(words))[at]
-    return model.shard_of(w2, np.where(splits > 1, model.part_of(w1, splits), 0))
+class Piece:
+    """The tokens of some texts: ``words``, the ids that occur, sorted, the unknown and the start last, ``counts`` of
+    each, and for every token and the two before it (``w3``, ``w2``, ``w1``) its place among them."""
+
+    def __init__(self, model: Model, texts: pa.Array):
+        vocabulary = model.vocabulary
+        hashes, self.bounds = tokens(texts)
+        own, at = np.unique(hashes, return_inverse=True)
+        ids = vocabulary.ids(own)
+        self.words = np.union1d(ids, [vocabulary.unknown, vocabulary.start])
+        self.counts = vocabulary.counts(self.words)
+        self.w3 = np.searchsorted(self.words, ids)[at]
+        self.w1, self.w2 = trigrams(self.w3, self.bounds, len(self.words) - 1)
+        self.splits = model.splits(self.counts)
+        self.shard_of_word = model.shard_of(self.words, np.zeros(len(self.words), dtype=np.int64))
+        self.model = model
+
+    def shards(self, w1: np.ndarray, w2: np.ndarray) -> np.ndarray:
+        out = self.shard_of_word[w2]
+        split = np.flatnonzero(self.splits[w2] > 1)
+        if len(split):
+            part = self.model.part_of(self.words[w1[split]], self.splits[w2[split]])
+            out[split] = self.model.shard_of(self.words[w2[split]], part)
+        return out
 
 
 def _packed_rows(rows: list[tuple]) -> pa.RecordBatch:
@@ -275,14 +324,14 @@ def _counted(rows: DataFrame, model: Model) -> DataFrame:
     """PACKED rows of kind TOKEN: the n-grams (w2, w1, w3, n) of a piece of the column ``text``, by shard."""
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        hashes, bounds = tokens(batch.column("text"))
-        words, at = np.unique(hashes, return_inverse=True)
-        w3 = model.vocabulary.ids(words)[at]
-        w1, w2 = trigrams(w3, bounds, model.vocabulary.start)
-        keys, n = summed([_by_shard(model, w1, w2), w2, w1, w3], np.ones(len(w3), dtype=np.int64))
-        ends, piece = _runs(keys[0]), pieces.take()
-        own = [(int(keys[0][a]), piece, TOKEN, pack(*[k[a:b] for k in (*keys[1:], n)])) for a, b in zip(ends[:-1], ends[1:])]
-        yield _packed_rows(own)
+        own = Piece(model, batch.column("text"))
+        (w2, w1, w3), n = summed([own.w2, own.w1, own.w3], np.ones(len(own.w3), dtype=np.int64))
+        shard = own.shards(w1, w2)
+        order = np.argsort(shard, kind="stable")
+        ends, number = _runs(shard[order]), pieces.take()
+        columns = [own.words[w2], own.words[w1], own.words[w3], n]
+        spans = [order[a:b] for a, b in zip(ends[:-1], ends[1:])]
+        yield _packed_rows([(int(shard[s[0]]), number, TOKEN, pack(*[c[s] for c in columns])) for s in spans])
 
     pieces = _Pieces()
     return map_texts(rows.select("text"), work, PACKED, "text")
@@ -489,7 +538,8 @@ def train(docs: DataFrame, text: str = "text", folder: str | None = None, shard:
     spark = docs.sparkSession
     folder = folder or f"{shared_dir(spark)}/ngrams-{uuid.uuid4().hex}"
     rows = docs.select(F.col(text).alias("text"))
-    vocabulary = write_vocabulary(rows, folder)
+    with staging(spark) as own:
+        vocabulary = write_vocabulary(rows, folder, own)
     model = Model(vocabulary, max(1, -(-vocabulary.total // shard)), shard)
     release(spark)
 
@@ -503,6 +553,7 @@ def train(docs: DataFrame, text: str = "text", folder: str | None = None, shard:
         packed = _fewer_pieces(stage(_counted(rows, model), own), own)
         every = packed.union(_split_words(packed, model))
         stage(every.groupBy("shard").applyInArrow(build, "shard long, grams long"), own)
+    del packed, every
     release(spark)
     return model
 
@@ -523,30 +574,30 @@ def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text")
     vocabulary = model.vocabulary
 
     def ask(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        hashes, bounds = tokens(batch.column("text"))
-        words, at = np.unique(hashes, return_inverse=True)
-        ids = vocabulary.ids(words)
-        counts = vocabulary.counts(ids)
-        w3, base, known = ids[at], vocabulary.base(counts)[at], (counts > 0)[at]
-        w1, w2 = trigrams(w3, bounds, vocabulary.start)
-        doc = np.repeat(np.arange(len(batch)), np.diff(bounds))
+        own = Piece(model, batch.column("text"))
+        base, known = vocabulary.base(own.counts)[own.w3], (own.counts > 0)[own.w3]
+        lengths = np.diff(own.bounds)
+        doc = np.repeat(np.arange(len(batch)), lengths)
         # After an unknown word only the base model is left.
-        plain = w2 == vocabulary.unknown
-        local = np.bincount(doc[plain], weights=base[plain], minlength=len(batch)).astype(float)
-        numbers = [np.diff(bounds), np.bincount(doc, weights=known, minlength=len(batch)).astype(np.int64)]
-        columns = [pa.array(c) for c in (*numbers, np.bincount(doc, weights=base, minlength=len(batch)), local)]
-        table = pa.RecordBatch.from_arrays([batch.column("id"), *columns], ["id", "n_tokens", "n_known", "base_score", "score"])
-        sink, piece = pa.BufferOutputStream(), pieces.take()
+        plain = own.w2 == len(own.words) - 2
+        summed_up = lambda mask, w: np.bincount(doc[mask], weights=w[mask], minlength=len(batch)).astype(float)
+        every = np.ones(len(doc), dtype=bool)
+        columns = [lengths, summed_up(every, known).astype(np.int64), summed_up(every, base), summed_up(plain, base)]
+        names = ["id", "n_tokens", "n_known", "base_score", "score"]
+        table = pa.RecordBatch.from_arrays([batch.column("id"), *[pa.array(c) for c in columns]], names)
+        sink, number = pa.BufferOutputStream(), pieces.take()
         with pa.ipc.new_stream(sink, table.schema) as writer:
             writer.write_batch(table)
-        out = [(piece % model.shards, piece, DOCUMENT, sink.getvalue().to_pybytes())]
-        shard = _by_shard(model, w1, w2)
-        order = np.lexsort((w1, w2, shard))
-        order = order[~plain[order]]
+        out = [(number % model.shards, number, DOCUMENT, sink.getvalue().to_pybytes())]
+        asked = np.flatnonzero(~plain)
+        w2, w1, w3, doc = (c[asked] for c in (own.w2, own.w1, own.w3, doc))
+        shard = own.shards(w1, w2)
+        order = sorted_order([shard, w2, w1])
         ends = _runs(shard[order])
+        columns = [own.words[w2], own.words[w1], own.words[w3], doc]
         for a, b in zip(ends[:-1], ends[1:]):
-            own = order[a:b]
-            out.append((int(shard[own[0]]), piece, TOKEN, pack(w2[own], w1[own], w3[own], doc[own])))
+            span = order[a:b]
+            out.append((int(shard[span[0]]), number, TOKEN, pack(*[c[span] for c in columns])))
         yield _packed_rows(out)
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
