@@ -140,11 +140,11 @@ def test_elias_fano(tmp_path, n, top):
     path = f"{tmp_path}/deep/file"
     save(path, prefixed("x", Monotone.of(values)) | {"empty": np.zeros(0, dtype=np.uint16)})
     save(path, prefixed("x", Monotone.of(values)))
-    own = sequence(load(path), "x")
-    assert (own[np.arange(len(values))] == values).all()
     near = np.concatenate([values, values + np.uint64(1), values - np.uint64(1), rng.integers(0, top, 50, dtype=np.uint64)])
-    place, equal = own.successor(near)
-    assert (place == np.searchsorted(values, near)).all() and (equal == np.isin(near, values)).all()
+    for own in (sequence(load(path), "x"), sequence(load(path), "x").prepared()):
+        assert (own[np.arange(len(values))] == values).all()
+        place, equal = own.successor(near)
+        assert (place == np.searchsorted(values, near)).all() and (equal == np.isin(near, values)).all()
     assert load(f"{tmp_path}/none") is None
 
 

@@ -31,6 +31,15 @@ class Monotone:
         self.n, self.bits = int(shape[0]), int(shape[1])
         self.shape, self.low, self.high, self.ones = shape, low, high, ones
         self.zeros = np.arange(len(high), dtype=np.int64) * WORD - ones
+        self.starts = None
+
+    def prepared(self) -> Monotone:
+        """With the first place of every high part written out, at four bytes a number: for many questions at a time."""
+        if self.starts is None:
+            clear = np.flatnonzero(np.unpackbits(self.high.view(np.uint8), bitorder="little") == 0)
+            starts = np.concatenate(([0], clear - np.arange(len(clear))))
+            self.starts = starts.astype(np.uint32 if self.n < 1 << 32 else np.int64)
+        return self
 
     @classmethod
     def of(cls, values: np.ndarray) -> Monotone:
@@ -79,7 +88,10 @@ class Monotone:
 
     def __getitem__(self, at: np.ndarray) -> np.ndarray:
         """The numbers at these places, as uint64."""
-        high = self._select(at, self.ones, False) - at
+        if self.starts is None:
+            high = self._select(at, self.ones, False) - at
+        else:
+            high = np.searchsorted(self.starts, at, side="right") - 1
         return (high.astype(U) << U(self.bits)) | self._low(at)
 
     def successor(self, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -89,9 +101,12 @@ class Monotone:
         last = U(len(self.high) * WORD - self.n - 1)  # the last clear bit
         beyond = high > last
         high = np.minimum(high, last).astype(np.int64)
-        lo = np.where(high > 0, self._select(np.maximum(high - 1, 0), self.zeros, True) - high + 1, 0)
-        end = self._select(high, self.zeros, True) - high
-        lo, hi = np.minimum(lo, self.n), np.minimum(end, self.n)
+        if self.starts is None:
+            lo = np.where(high > 0, self._select(np.maximum(high - 1, 0), self.zeros, True) - high + 1, 0)
+            hi = self._select(high, self.zeros, True) - high
+        else:
+            lo, hi = (self.starts[h].astype(np.int64) for h in (high, high + 1))
+        lo, hi = np.minimum(lo, self.n), np.minimum(hi, self.n)
         end = hi.copy()
         active = np.flatnonzero(lo < hi)
         while len(active):

@@ -42,6 +42,8 @@ ADDED = 0.1
 SHARD = 1 << 21
 #: Words of one vocabulary file.
 VOCABULARY = 1 << 22
+#: The most frequent words, so many, are looked up by tables in memory rather than in the mapped files.
+PREPARED = 1 << 24
 #: Words are told apart by how often they occur, in steps of so many powers of two.
 TIER = 3
 #: Packed pieces that one task joins at a time; more are joined in rounds.
@@ -165,7 +167,8 @@ class Vocabulary:
         if at not in self._open:
             tier, _, part, _ = self.files[at]
             arrays = load(f"{self.folder}/words-{tier}-{part}")
-            self._open[at] = sequence(arrays, "hashes"), arrays["counts"]
+            hashes = sequence(arrays, "hashes")
+            self._open[at] = hashes.prepared() if self._bases[at + 1] <= PREPARED else hashes, arrays["counts"]
         return self._open[at]
 
     def ids(self, hashes: np.ndarray) -> np.ndarray:
@@ -438,12 +441,12 @@ def _level(values: np.ndarray, parent: np.ndarray, parents: int) -> dict[str, np
 class Level:
     def __init__(self, arrays: dict[str, np.ndarray], name: str):
         own = {k.removeprefix(f"{name}."): a for k, a in arrays.items() if k.startswith(f"{name}.")}
-        self.pointers, self.values = sequence(own, "pointers"), sequence(own, "values")
-        self.codes = own.get("codes")
+        self.pointers = sequence(own, "pointers")[np.arange(own["pointers.shape"][0])].astype(np.int64)
+        self.values, self.codes = sequence(own, "values").prepared(), own.get("codes")
 
     def ranges(self, parents: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """First place, end and the number added to the values of each parent's range."""
-        first, end = (self.pointers[p].astype(np.int64) for p in (parents, parents + 1))
+        first, end = self.pointers[parents], self.pointers[parents + 1]
         added = np.zeros(len(first), dtype=np.int64)
         inner = first > 0
         added[inner] = self.values[first[inner] - 1].astype(np.int64) + 1
@@ -495,7 +498,7 @@ class Shard:
 
     def __init__(self, path: str, vocabulary: Vocabulary):
         self.vocabulary, arrays = vocabulary, load(path)
-        self.words = sequence(arrays, "words") if arrays else None
+        self.words = sequence(arrays, "words").prepared() if arrays else None
         if arrays:
             self.left = arrays["words.codes"]
             self.two, self.contexts, self.three = (Level(arrays, n) for n in ("two", "contexts", "three"))
