@@ -219,15 +219,17 @@ class Warehouse:
         _, folders = self._state(ds)
         with staging(self.spark) as folder:
             staged = self._stage(Run(folder, self.inputs), ds, ds.build(self.inputs))
-            source, stored = staged.rows, self.store.read_folders(ds, folders)
+            source, near = staged.rows, list(folders)
             if staged.sums == self._stored_sums(ds, folders):
-                source, stored = source.limit(0), stored.limit(0)
-            else:
+                source, near = source.limit(0), []
+            stored = None
+            if near:
                 buckets, changed = self._differing(ds, staged, folders)
                 if changed is not None:
-                    own = self._bucket(ds, buckets).isin(changed)
-                    stored = self.store.read_folders(ds, [f for f in folders if f.buckets != buckets or f.bucket in changed])
-                    source, stored = source.filter(own), stored.filter(own)
+                    differs = self._bucket(ds, buckets).isin(changed)
+                    near = [f for f in folders if f.buckets != buckets or f.bucket in changed]
+                    source, stored = source.filter(differs), self.store.read_folders(ds, near).filter(differs)
+            stored = self.store.read_folders(ds, near) if stored is None else stored
             return stage(diff_rows(source, stored.select(*ds.schema.names), ds.unique))
 
     def _bucket(self, ds: Dataset, buckets: int) -> Column:
