@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.sizing import estimated_small, input_bytes, measured_small
@@ -32,22 +32,33 @@ class Skew:
     salts: int
 
 
-def _bucket(df: DataFrame, keys: Sequence[str], types: Sequence[str] | None = None) -> Column:
-    """The bucket of a row's key. Equal keys must fall in one bucket whatever their types: whole numbers are hashed as
-    long, and with ``types`` every key as its type there."""
-    own = [df.select(F.col(k)).schema[0].dataType.simpleString() for k in keys]
-    wide = ["bigint" if t in WHOLE else t for t in types or own]
+def _kinds(df: DataFrame, keys: Sequence[str]) -> list[str]:
+    """The keys' types. A frame analyses itself once for its schema, however many keys are asked for."""
+    schema = df.schema
+    names = set(schema.names)
+    nested = [k for k in keys if k not in names]
+    found = dict(zip(nested, (f.dataType.simpleString() for f in df.select(*nested).schema))) if nested else {}
+    return [found[k] if k in found else schema[k].dataType.simpleString() for k in keys]
+
+
+def _bucket(keys: Sequence[str], types: Sequence[str]) -> Column:
+    """The bucket of a row's key, each part hashed as its type in ``types``: equal keys must fall in one bucket whatever
+    their own types, so whole numbers are hashed as long."""
+    wide = ["bigint" if t in WHOLE else t for t in types]
     return F.pmod(F.xxhash64(*[F.col(k).cast(t) for k, t in zip(keys, wide)]), F.lit(BUCKETS)).cast("int")
 
 
+def _common(spark: SparkSession, kinds: Sequence[str]) -> str:
+    """The type in which values of these types are compared. Raises AnalysisException where there is none."""
+    if len(set(kinds)) == 1:
+        return kinds[0]
+    return spark.range(0).select(F.coalesce(*[F.lit(None).cast(k) for k in kinds])).schema[0].dataType.simpleString()
+
+
 def common_types(left: DataFrame, right: DataFrame, pairs: Pairs) -> list[str]:
     """The type in which each pair of keys is compared. Raises AnalysisException where there is none."""
-    found = []
-    for l, r in pairs:
-        kinds = [df.select(F.col(c)).schema[0].dataType.simpleString() for df, c in ((left, l), (right, r))]
-        both = left.sparkSession.range(0).select(F.coalesce(*[F.lit(None).cast(k) for k in kinds]))
-        found.append(kinds[0] if kinds[0] == kinds[1] else both.schema[0].dataType.simpleString())
-    return found
+    kinds = zip(_kinds(left, [l for l, _ in pairs]), _kinds(right, [r for _, r in pairs]))
+    return [_common(left.sparkSession, k) for k in kinds]
 
 
 def find_skews(df: DataFrame, key_sets: Sequence[Sequence[str]]) -> list[Skew | None]:
@@ -58,7 +69,7 @@ def find_skews(df: DataFrame, key_sets: Sequence[Sequence[str]]) -> list[Skew |
     spark = df.sparkSession
     if input_bytes(df) < setting(spark, SKEW_MIN_BYTES):
         return [None] * len(key_sets)
-    pairs = F.array(*[F.struct(F.lit(i).alias("i"), _bucket(df, keys).alias("bucket")) for i, keys in enumerate(key_sets)])
+    pairs = F.array(*[F.struct(F.lit(i).alias("i"), _bucket(keys, _kinds(df, keys)).alias("bucket")) for i, keys in enumerate(key_sets)])
     counts = df.select(F.inline(pairs)).groupBy("i", "bucket").count().collect()
     total = sum(r["count"] for r in counts if r["i"] == 0)
     share = max(total // int(spark.conf.get("spark.sql.shuffle.partitions")), setting(spark, SKEW_MIN_ROWS), 1)
@@ -81,31 +92,22 @@ def _salted(left: DataFrame, keys: Sequence[str], types: Sequence[str], skew: Sk
     """
     origin = [F.spark_partition_id()] if copies else []
     row_salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns], *origin), F.lit(skew.salts))
-    hot = _bucket(left, keys, types).isin(skew.buckets)
+    hot = _bucket(keys, types).isin(skew.buckets)
     return left.withColumn(SALT, F.when(hot, row_salt).otherwise(0).cast("int"))
 
 
 def _repeated(right: DataFrame, keys: Sequence[str], types: Sequence[str], skew: Skew, name: str) -> DataFrame:
     every = F.sequence(F.lit(0), F.lit(skew.salts - 1))
-    hot = _bucket(right, keys, types).isin(skew.buckets)
+    hot = _bucket(keys, types).isin(skew.buckets)
     return right.withColumn(name, F.explode(F.when(hot, every).otherwise(F.array(F.lit(0)))))
 
 
-def _key_types(left: DataFrame, rights: Sequence[DataFrame], on: Pairs) -> list[str]:
+def _key_types(spark: SparkSession, sides: Sequence[Sequence[str]]) -> list[str]:
     """For each key the type in which all sides can be compared; whole numbers as long."""
-    types = [left.select(F.col(l)).schema[0].dataType.simpleString() for l, _ in on]
-    for right in rights:
-        seen = common_types(left, right, on)
-        for j, (l, _) in enumerate(on):
-            both = left.sparkSession.range(0).select(F.coalesce(*[F.lit(None).cast(t) for t in (types[j], seen[j])]))
-            types[j] = types[j] if types[j] == seen[j] else both.schema[0].dataType.simpleString()
+    types = [reduce(lambda a, b: _common(spark, [a, b]), kinds) for kinds in zip(*sides)]
     return ["bigint" if t in WHOLE else t for t in types]
 
 
-def _alike(left: DataFrame, right: DataFrame, pairs: Pairs) -> list[bool]:
-    return [left.select(F.col(l)).schema[0].dataType == right.select(F.col(r)).schema[0].dataType for l, r in pairs]
-
-
 def spread_join(
     left: DataFrame,
     rights: DataFrame | Sequence[DataFrame],
@@ -133,20 +135,21 @@ def spread_join(
     elif skew == MEASURE:
         skew = find_skew(left, left_keys)
     result = left
-    types = _key_types(left, rights, on)
+    own, others = _kinds(left, left_keys), [_kinds(r, [k for _, k in on]) for r in rights]
+    types = _key_types(left.sparkSession, [own, *others])
     if skew:
-        if types != _key_types(left, [left] * len(rights), [(l, l) for l in left_keys]):
+        if types != _key_types(left.sparkSession, [own]):
             # The buckets were counted in the left side's own types: count them in those of the comparison.
             as_compared = left.select(*[F.col(k).cast(t).alias(f"k{j}") for j, (k, t) in enumerate(zip(left_keys, types))])
             skew = find_skew(as_compared, as_compared.columns)
         result = _salted(left, left_keys, types, skew, copies) if skew else left
-    for i, (right, tiny) in enumerate(zip(rights, is_small)):
+    for i, (right, tiny, kinds) in enumerate(zip(rights, is_small, others)):
         names = {r: f"__r{i}_{r}" for _, r in on if r in left_columns}
         right = right.withColumnsRenamed(names) if names else right
         pairs = [(l, names.get(r, r)) for l, r in on]
         sides = [
-            (F.col(l), F.col(r)) if alike else (F.col(l).cast(t), F.col(r).cast(t))
-            for (l, r), t, alike in zip(pairs, types, _alike(left, right, pairs))
+            (F.col(l), F.col(r)) if kind == other else (F.col(l).cast(t), F.col(r).cast(t))
+            for (l, r), t, kind, other in zip(pairs, types, own, kinds)
         ]
         terms = [l.eqNullSafe(r) if null_safe else l == r for l, r in sides]
         extra = [r for _, r in pairs]
