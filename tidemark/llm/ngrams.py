@@ -4,7 +4,7 @@ Tokens are words and one end a text. The trie is cut into shards by the word bef
 words, what follows each (level 2), which words stand before it (contexts), and what follows each context (level 3). The
 third token is written as its rank among what follows the second, a small number. Every level is one Elias-Fano
 sequence, made monotone by adding up the ranges before it, with Elias-Fano pointers from the level above and smoothed
-probabilities quantised to 16 bits; it is mapped into memory and searched for successors. A word that is too frequent
+probabilities quantised to 8 bits; it is mapped into memory and searched for successors. A word that is too frequent
 for one shard is split by the word before it; its level 2 is added up over the parts and repeated in each.
 
 Probabilities are interpolated with absolute discounts for n-grams seen once, twice and more often, estimated by each
@@ -48,8 +48,10 @@ PREPARED = 1 << 24
 TIER = 3
 #: Packed pieces that one task joins at a time; more are joined in rounds.
 PIECES = 2048
-#: Quantised probabilities: so many steps for a factor of ten.
-STEPS = 2048
+#: Tokens looked up together.
+TOGETHER = 1 << 18
+#: Quantised probabilities take one byte.
+CODES = 256
 LEVEL = 3
 END = salt(4321)
 #: Discounts where a shard has too few counts to estimate them.
@@ -167,16 +169,19 @@ class Vocabulary:
         if at not in self._open:
             tier, _, part, _ = self.files[at]
             arrays = load(f"{self.folder}/words-{tier}-{part}")
-            hashes = sequence(arrays, "hashes")
-            self._open[at] = hashes.prepared() if self._bases[at + 1] <= PREPARED else hashes, arrays["counts"]
+            self._open[at] = sequence(arrays, "hashes"), arrays["counts"]
         return self._open[at]
 
+    def _hashes(self, at: int) -> Monotone:
+        hashes, _ = self._file(at)
+        return hashes.prepared() if self._bases[at + 1] <= PREPARED else hashes
+
     def ids(self, hashes: np.ndarray) -> np.ndarray:
         out = np.full(len(hashes), self.unknown, dtype=np.int64)
         left = np.arange(len(hashes))
         for at, (_, bits, part, _) in enumerate(self.files):
             own = left[_first_bits(hashes[left], bits) == U(part)] if bits else left
-            place, found = self._file(at)[0].successor(hashes[own])
+            place, found = self._hashes(at).successor(hashes[own])
             out[own[found]] = place[found] + self._bases[at]
             left = left[out[left] == self.unknown]
         return out
@@ -185,7 +190,7 @@ class Vocabulary:
         """How often the words with these ids occur; a start as often as an end."""
         out = np.zeros(len(ids), dtype=np.int64)
         file = np.searchsorted(self._bases, ids, side="right") - 1
-        for at in np.unique(file[ids < self.unknown]):
+        for at in np.flatnonzero(np.bincount(file, minlength=len(self.files))[: len(self.files)]):
             own = np.flatnonzero(file == at)
             out[own] = self._file(int(at))[1][ids[own] - self._bases[at]]
         if (ids == self.start).any():
@@ -424,8 +429,15 @@ def _smoothed(n: np.ndarray, parent: np.ndarray, parents: int, off: np.ndarray)
     return (n - taken) / totals[parent], np.where(np.bincount(parent, minlength=parents) > 0, left, 1.0)
 
 
-def _quantised(probability: np.ndarray) -> np.ndarray:
-    return np.clip(np.round(-np.log10(probability) * STEPS), 0, 65535).astype(np.uint16)
+def _quantised(name: str, probability: np.ndarray) -> dict[str, np.ndarray]:
+    """-log10 of the probabilities as codes of one byte, in even steps between the ends, and what each code stands for:
+    the mean of what has it, so that the sum over all n-grams stays."""
+    bits = -np.log10(probability)
+    low, high = bits.min(initial=np.inf), bits.max(initial=0)
+    step = max((high - low) / (CODES - 1), 1e-9) if len(bits) else 1.0
+    codes = np.round((bits - low) / step).astype(np.uint8)
+    number = np.maximum(np.bincount(codes, minlength=CODES), 1)
+    return {f"{name}.codes": codes, f"{name}.means": np.bincount(codes, weights=bits, minlength=CODES) / number}
 
 
 def _level(values: np.ndarray, parent: np.ndarray, parents: int) -> dict[str, np.ndarray]:
@@ -442,7 +454,7 @@ class Level:
     def __init__(self, arrays: dict[str, np.ndarray], name: str):
         own = {k.removeprefix(f"{name}."): a for k, a in arrays.items() if k.startswith(f"{name}.")}
         self.pointers = sequence(own, "pointers")[np.arange(own["pointers.shape"][0])].astype(np.int64)
-        self.values, self.codes = sequence(own, "values").prepared(), own.get("codes")
+        self.values, self.codes, self.means = sequence(own, "values").prepared(), own["codes"], own["means"]
 
     def ranges(self, parents: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """First place, end and the number added to the values of each parent's range."""
@@ -459,38 +471,41 @@ class Level:
         return np.where(equal & (place >= first) & (place < end), place, -1)
 
 
-def shard_arrays(grams: list[np.ndarray], n: np.ndarray, follow: list[np.ndarray], m: np.ndarray, vocabulary: Vocabulary) -> dict[str, np.ndarray]:
+def shard_arrays(
+    grams: list[np.ndarray], n: np.ndarray, follow: list[np.ndarray], m: np.ndarray, vocabulary: Vocabulary
+) -> dict[str, np.ndarray]:
     """The trie of n-grams (w2, w1, w3), sorted, with counts ``n``; ``follow`` (w2, w3) and ``m``: level 2 of split words."""
     w2, w1, w3 = grams
-    own = ~np.isin(w2, follow[0])
+    starts = _runs(w2)
+    own = np.repeat(~np.isin(w2[starts[:-1]], follow[0]), np.diff(starts))
     pairs, pair_n = summed([np.concatenate((w2[own], follow[0])), np.concatenate((w3[own], follow[1]))], np.concatenate((n[own], m)))
-    words, parent = np.unique(pairs[0], return_inverse=True)
-    off = _discounts(pair_n)
-    share, left = _smoothed(pair_n, parent, len(words), off)
+    first = _runs(pairs[0])
+    words = pairs[0][first[:-1]]
+    parent = np.repeat(np.arange(len(words)), np.diff(first))
+    share, left = _smoothed(pair_n, parent, len(words), _discounts(pair_n))
     two = share + left[parent] * 10 ** vocabulary.base(vocabulary.counts(pairs[1]))
     out = {f"two.{k}": a for k, a in _level(pairs[1], parent, len(words)).items()}
-    out |= prefixed("words", Monotone.of(words)) | {"two.codes": _quantised(two), "words.codes": _quantised(left)}
-
-    (c2, c1), _ = summed([w2, w1], n)
-    above = np.searchsorted(words, c2)
-    out |= {f"contexts.{k}": a for k, a in _level(c1, above, len(words)).items()}
-    context = np.repeat(np.arange(len(c1)), np.diff(_runs_of_pairs(w2, w1)))
-    first = np.concatenate(([0], np.cumsum(np.bincount(parent, minlength=len(words)))))
-    place = _find_pairs(pairs, np.searchsorted(words, w2), w3, parent)
-    share, left = _smoothed(n, context, len(c1), _discounts(n))
+    out |= prefixed("words", Monotone.of(words)) | _quantised("two", two) | _quantised("words", left)
+
+    lead = _runs_of_pairs(w2, w1)
+    above = np.searchsorted(words, w2[lead[:-1]])
+    out |= {f"contexts.{k}": a for k, a in _level(w1[lead[:-1]], above, len(words)).items()}
+    contexts, repeat = len(lead) - 1, np.diff(lead)
+    context, word = np.repeat(np.arange(contexts), repeat), np.repeat(above, repeat)
+    width = int(max(pairs[1].max(initial=0), w3.max(initial=0))).bit_length()
+    place = np.searchsorted((parent << width) + pairs[1], (word << width) + w3)
+    share, left = _smoothed(n, context, contexts, _discounts(n))
     three = share + left[context] * two[place]
-    out |= {f"three.{k}": a for k, a in _level(place - first[np.searchsorted(words, w2)], context, len(c1)).items()}
-    return out | {"three.codes": _quantised(three), "contexts.codes": _quantised(left)}
+    out |= {f"three.{k}": a for k, a in _level(place - first[word], context, contexts).items()}
+    return out | _quantised("three", three) | _quantised("contexts", left)
 
 
 def _runs_of_pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.unique(np.concatenate((_runs(a), _runs(b))))
-
-
-def _find_pairs(pairs: list[np.ndarray], word: np.ndarray, w3: np.ndarray, parent: np.ndarray) -> np.ndarray:
-    """Place of (word, w3) among the sorted pairs, all of which are there."""
-    size = int(max(pairs[1].max(initial=0), w3.max(initial=0))) + 1
-    return np.searchsorted(parent * size + pairs[1], word * size + w3)
+    """Where each run of equal pairs begins, and the length of the columns."""
+    if not len(a):
+        return np.zeros(1, dtype=np.int64)
+    changes = np.flatnonzero((a[1:] != a[:-1]) | (b[1:] != b[:-1])) + 1
+    return np.concatenate(([0], changes, [len(a)]))
 
 
 class Shard:
@@ -500,13 +515,12 @@ class Shard:
         self.vocabulary, arrays = vocabulary, load(path)
         self.words = sequence(arrays, "words").prepared() if arrays else None
         if arrays:
-            self.left = arrays["words.codes"]
+            self.left = arrays["words.means"][arrays["words.codes"]]
             self.two, self.contexts, self.three = (Level(arrays, n) for n in ("two", "contexts", "three"))
 
     def scores(self, w2: np.ndarray, w1: np.ndarray, w3: np.ndarray) -> np.ndarray:
         """log10 of each w3's probability after (w1, w2); rows of equal (w2, w1) stand together."""
-        seen, at = np.unique(w3, return_inverse=True)
-        base = self.vocabulary.base(self.vocabulary.counts(seen))[at]
+        base = self.vocabulary.base(self.vocabulary.counts(w3))
         if self.words is None:
             return base
         lead = _runs_of_pairs(w2, w1)
@@ -519,20 +533,20 @@ class Shard:
         context = self.contexts.find(self.contexts.ranges(word), w1[lead])
         place = self.two.find(tuple(each(a) for a in follow), w3)
         held = place >= 0
-        codes = np.empty(len(w3))
-        codes[held] = self.two.codes[place[held]]
-        codes[~held] = self.left[each(word)[~held]] - base[kept][~held] * STEPS
+        loss = np.empty(len(w3))
+        loss[held] = self.two.means[self.two.codes[place[held]]]
+        loss[~held] = self.left[each(word)[~held]] - base[kept][~held]
         has = each(context >= 0)
         deep = np.full(len(w3), -1)
         ranges = self.three.ranges(np.maximum(context, 0))
         both = has & held
         deep[both] = self.three.find(tuple(each(a)[both] for a in ranges), (place - each(follow[0]))[both])
         found = deep >= 0
-        codes[found] = self.three.codes[deep[found]]
+        loss[found] = self.three.means[self.three.codes[deep[found]]]
         back = has & ~found
-        codes[back] += self.contexts.codes[each(context)[back]]
+        loss[back] += self.contexts.means[self.contexts.codes[each(context)[back]]]
         out = base.copy()
-        out[kept] = -codes / STEPS
+        out[kept] = -loss
         return out
 
 
@@ -604,19 +618,34 @@ def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text")
         yield _packed_rows(out)
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, trie = None, None
+        at, trie, held = None, None, []
+
+        def scored() -> pa.RecordBatch:
+            """The sums by text of the pieces held, which are of one shard and looked up together."""
+            w2, w1, w3, _ = (np.concatenate(c) for c in zip(*[columns for _, columns in held]))
+            scores, out = trie.scores(w2, w1, w3), []
+            for (number, (*_, doc)), first in zip(held, np.cumsum([0, *[len(c[0]) for _, c in held]])):
+                seen = np.flatnonzero(np.bincount(doc))
+                sums = np.bincount(doc, weights=scores[first : first + len(doc)])
+                out.append((0, number, TOKEN, pack(seen, sums[seen])))
+            held.clear()
+            return _packed_rows(out)
+
         for batch in batches:
             for shard, piece, kind, payload in zip(*(batch.column(c) for c in ("shard", "piece", "kind", "payload"))):
-                if kind.as_py() == TOKEN:
-                    if at != shard.as_py():
-                        at = shard.as_py()
-                        trie = Shard(model.path(at), vocabulary)
-                    w2, w1, w3, doc = unpack(payload.as_py())
-                    sums = np.bincount(doc, weights=trie.scores(w2, w1, w3))
-                    seen = np.unique(doc)
-                    yield _packed_rows([(0, piece.as_py(), TOKEN, pack(seen, sums[seen]))])
-                else:
+                if kind.as_py() == DOCUMENT:
                     yield _packed_rows([(0, piece.as_py(), DOCUMENT, payload.as_py())])
+                    continue
+                if at != shard.as_py():
+                    if held:
+                        yield scored()
+                    at = shard.as_py()
+                    trie = Shard(model.path(at), vocabulary)
+                held.append((piece.as_py(), unpack(payload.as_py())))
+                if sum(len(c[0]) for _, c in held) >= TOGETHER:
+                    yield scored()
+        if held:
+            yield scored()
 
     def add(key: tuple, table: pa.Table) -> pa.Table:
         kinds, payloads = table.column("kind").to_pylist(), table.column("payload")
