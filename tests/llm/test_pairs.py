@@ -103,6 +103,58 @@ def test_part_keys_always_meet():
             assert np.bitwise_count(sketches[0] ^ sketches[1]).sum() <= len(a) + len(b) - 2 * shared
 
 
+@pytest.mark.parametrize("block", [1000, 7])
+def test_components_with_a_passage_in_a_third_of_all_texts(docs, monkeypatch, block):
+    """Unlike texts around one passage, near copies of some of them, and templates that are alike but not enough."""
+    monkeypatch.setattr(parity, "BLOCK", block)
+    rng = random.Random(9)
+    word = lambda: f"w{rng.randrange(5000)}"
+    passage, template = ([word() for _ in range(n)] for n in (60, 40))
+    texts = []
+    for i in range(300):
+        own = [word() for _ in range(rng.choice([10, 40, 150]))]
+        at = rng.randrange(len(own))
+        texts.append(own[:at] + (passage if i % 3 == 0 else template if i % 3 == 1 else []) + own[at:])
+    for t in texts[:90]:
+        for _ in range(rng.randrange(3)):
+            t = list(t)
+            t[rng.randrange(len(t))] = word()
+            texts.append(t)
+    texts = [" ".join(t) for t in texts]
+    for size, percent in ((5, 80), (3, 90)):
+        rows = parity.document_components(docs([(i, t, "s") for i, t in enumerate(texts)]), words=size, percent=percent)
+        found = {r["id"]: r["component_id"] for r in rows.collect()}
+        assert [found[i] for i in range(len(texts))] == plain.groups(texts, size, percent)
+
+
+def test_linked_sets_share_one_of_their_rarest_keys(spark):
+    """Pairs of linked sets among many that share frequent keys; keys of one set only are left out, as in the join."""
+    rng = np.random.default_rng(6)
+    common = rng.integers(0, 1 << 63, 40, dtype=np.uint64)
+    for percent in (80, 90):
+        bands, sets, pairs = parity.Bands(percent), [], []
+        for n in [5, 9, 12, 30, 60, 200] * 6:
+            a = np.concatenate([common[: n // 2], rng.integers(0, 1 << 63, n - n // 2, dtype=np.uint64)])
+            b = np.concatenate([a[: n - parity.max_difference(n, percent) // 2], rng.integers(0, 1 << 63, 1, dtype=np.uint64)])
+            shared = len(np.intersect1d(a, b))
+            if 100 * shared >= percent * (len(a) + len(b) - shared):
+                pairs.append((len(sets), len(sets) + 1))
+            sets += [np.unique(a), np.unique(b)]
+        keys, empty = [], []
+        for sid, x in enumerate(sets):
+            found = parity.part_keys(x, bands)
+            keys += [(sid, k) for _, _, own in found for k in own.view(np.int64).tolist()]
+            empty.append((sid, [(gaps << parity.BAND_BITS) + band for band, gaps, _ in found]))
+        members = spark.createDataFrame(keys, "sid long, key long").dropDuplicates()
+        counts = members.groupBy("key").count().withColumnRenamed("count", "c").filter("c > 1")
+        kept = parity.rarest_keys(members.join(counts, "key"), spark.createDataFrame(empty, "sid long, empty array<long>"), percent)
+        own = {sid: set() for sid in range(len(sets))}
+        for r in kept.collect():
+            own[r["sid"]].add(r["key"])
+        assert len(pairs) > 20 and all(own[a] & own[b] for a, b in pairs)
+        assert sum(map(len, own.values())) < members.join(counts, "key").count()
+
+
 def test_one_per_group_awkward_rows(docs, frame):
     text = "one two three four five six seven eight"
     given = [(3, text, "a"), (None, text, "a"), (3, text, "a"), (7, text.upper(), "b"), (9, None, "c"), (10, "", "c"), (None, None, "c")]

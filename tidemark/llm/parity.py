@@ -7,8 +7,13 @@ least one part with the same XOR. That part is the join key. The parity bits of
 shingle flipping one bit) differ in at most as many bits as the sets differ in shingles, which rules out most other
 pairs of a key before their texts are compared.
 
+A link shares more keys than a band allows empty parts, so of each set's keys, rarest first, only as many are kept as
+guarantee that two linked sets still meet (a prefix filter). Keys that very many unlike sets share, such as parts that
+hold nothing but a common passage, are the last in that order: a set that shares little else keeps none of them.
+
 Equal sets are one node from the start. In each key only the best-connected set is compared with the others; keys
-whose sets are all connected by then need nothing more. Of the rest, only sets not yet connected are compared.
+whose sets are all connected by then need nothing more. Of the rest, only sets not yet connected are compared; the sets
+of a large key are dealt to blocks, and pairs of blocks to tasks.
 """
 
 from __future__ import annotations
@@ -17,7 +22,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.frames import map_texts, packed, prefiltered, release, surely_not
@@ -35,6 +40,8 @@ BAND_BITS = 8
 LAST_BAND = 32
 #: Keys are shuffled in so many rounds, each a share of them by hash, so that less disk is in use at a time.
 ROUNDS = 3
+#: Sets of a key that one task compares with as many others.
+BLOCK = 1000
 #: Copies that one task has seen already send no keys again; it remembers this many sets.
 SEEN = 1 << 18
 
@@ -160,22 +167,34 @@ def _could_link(percent: int) -> Column:
     return (100 * small >= percent * large) & (percent * differ <= (100 - percent) * small)
 
 
-def _enough_shared(percent: int) -> Column:
-    """A pair of a ``band`` has ``shared`` keys in common: enough for a link?
+def rarest_keys(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(sid, key): of ``members`` (sid, key, c), keys of several sets and a rank of how many, those that links need.
 
-    Of a band's parts more than ``empties`` agree in a link. Those with tokens are shared keys, and no more can be
-    empty in both than are in either.
+    Two sets of a band that are linked agree in more than ``empties`` of its ``parts``. A set with e empty parts has
+    parts - e keys; in a link it shares at least empties + 1 - e of them, as no more parts are empty in both. So if all
+    its keys are put in an order that all sets follow, one of the first parts - empties is shared, and among the first
+    of the other set too. Keys that no other set has come first in that order, then the others by c. Sets with more
+    empty parts than ``empties`` keep all keys, as do bands of millions of shingles.
     """
     bands = Bands(percent)
-    needed = [bands.low(b) and bands.empties[b] for b in range(LAST_BAND)] if percent < 100 else [-1] * LAST_BAND
-    least = F.element_at(F.array(*[F.lit(n) for n in needed]), F.least(F.col("band") + 1, F.lit(LAST_BAND)).cast("int"))
+    table = [(bands.low(b) and bands.parts[b], bands.empties[b]) for b in range(LAST_BAND)] if percent < 100 else []
     mask = F.lit((1 << BAND_BITS) - 1)
-
-    def empty(side: str) -> Column:
-        own = F.filter(f"{side}_empty", lambda e: e.bitwiseAND(mask) == F.col("band"))
-        return F.shiftright(F.coalesce(F.get(own, F.lit(0)), F.lit(0)), BAND_BITS)
-
-    return (F.col("band") >= LAST_BAND) | (F.col("shared") + F.least(empty("x"), empty("y")) > least)
+    band = F.col("key").bitwiseAND(mask)
+    own = Window.partitionBy("sid", "band")
+    ranked = members.withColumn("band", band).select(
+        "sid", "key", "band", F.row_number().over(own.orderBy("c", "key")).alias("at"), F.count("*").over(own).alias("held")
+    )
+    empty = sets.select(F.col("sid").alias("e_sid"), "empty")
+    ranked = ranked.join(empty, F.col("sid") == F.col("e_sid"))
+    if not table:
+        return ranked.select("sid", "key")
+    place = F.least(F.col("band") + 1, F.lit(LAST_BAND)).cast("int")
+    parts, empties = (F.element_at(F.array(*[F.lit(t[i]) for t in table]), place) for i in (0, 1))
+    mine = F.filter("empty", lambda e: e.bitwiseAND(mask) == F.col("band"))
+    gaps = F.shiftright(F.coalesce(F.get(mine, F.lit(0)), F.lit(0)), BAND_BITS)
+    alone = parts - gaps - F.col("held")
+    needed = (F.col("at") <= parts - empties - alone) | (gaps > empties) | (F.col("band") >= LAST_BAND)
+    return ranked.filter(needed).select("sid", "key")
 
 
 def _side(df: DataFrame, name: str) -> DataFrame:
@@ -229,22 +248,26 @@ def near_components(
     parts = []
     for turn in range(ROUNDS):
         some = keyed.filter(F.pmod(F.shiftright("key", BAND_BITS), F.lit(ROUNDS)) == turn)
-        repeated = some.groupBy("key").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).filter("lo != hi")
-        repeated = stage(repeated.select("key"))
+        ends = [F.min("sid").alias("lo"), F.max("sid").alias("hi"), F.count("*").alias("c")]
+        repeated = some.groupBy("key").agg(*ends).filter("lo != hi")
+        repeated = stage(repeated.select("key", "c"))
         release(spark)
         parts.append(stage(some.join(repeated, "key").distinct()))
         release(spark)
     members = reduce(DataFrame.union, parts)
+    empties = rows.select("sid", "empty").join(members.select("sid").distinct(), "sid", "left_semi")
+    members = stage(rarest_keys(members, empties.groupBy("sid").agg(F.min("empty").alias("empty")), percent))
+    release(spark)
 
-    same_in_all = [F.min(c).alias(c) for c in ["n", *[f"s{j}" for j in range(SKETCH)], "empty"]]
+    same_in_all = [F.min(c).alias(c) for c in ["n", *[f"s{j}" for j in range(SKETCH)]]]
     in_keys = members.select("sid").distinct()
-    sets = rows.drop("keys").join(in_keys, "sid", "left_semi")
+    sets = rows.drop("keys", "empty").join(in_keys, "sid", "left_semi")
     least = sets.groupBy("sid").agg(F.min("id").alias("rep_id"), *same_in_all)
     same = (F.col("sid") == F.col("l_sid")) & F.col("id").eqNullSafe(F.col("rep_id"))
     hashes = sets.join(least.select(F.col("sid").alias("l_sid"), "rep_id"), same)
     sets = stage(least.join(hashes.groupBy("sid").agg(F.min("th").alias("rep_th")), "sid"))
 
-    light = sets.drop("rep_id", "rep_th", "empty")
+    light = sets.drop("rep_id", "rep_th")
     counts = members.groupBy("key").agg(F.count("*").alias("c"))
     score = members.join(counts, "key").groupBy("sid").agg(F.sum(F.col("c") - 1).alias("score"))
     ranked = score.select("sid", (F.col("score") * 1024 + F.pmod("sid", F.lit(1024))).alias("rank"))
@@ -266,15 +289,15 @@ def near_components(
     # Keys whose sets are not all connected yet: the pairs of sets in different components.
     placed = members.join(labels, F.col("sid") == F.col("node"), "left")
     placed = placed.select("key", "sid", F.coalesce("label", "sid").alias("label"))
-    mixed = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi")
-    open_ = stage(placed.join(mixed.select("key"), "key").join(light, "sid"))
-    x, y = _side(open_, "x"), _side(open_, "y")
-    apart = (F.col("x_key") == F.col("y_key")) & (F.col("x_sid") < F.col("y_sid")) & (F.col("x_label") != F.col("y_label"))
-    band = F.col("x_key").bitwiseAND(F.lit((1 << BAND_BITS) - 1)).alias("band")
-    rest = x.join(y, apart & _could_link(percent)).groupBy("x_sid", "y_sid", band).agg(F.count("*").alias("shared"))
-    for side in "xy":
-        rest = rest.join(sets.select(F.col("sid").alias(f"{side}_sid"), F.col("empty").alias(f"{side}_empty")), f"{side}_sid")
-    rest = rest.filter(_enough_shared(percent)).select("x_sid", "y_sid").distinct()
+    mixed = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("c"))
+    mixed = mixed.filter("lo != hi").select("key", F.ceil(F.col("c") / BLOCK).alias("blocks"))
+    open_ = stage(placed.join(mixed, "key").join(light, "sid"))
+    own, other = F.pmod(F.xxhash64("sid"), F.col("blocks")), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    x = _side(open_.select("*", other.alias("other")).withColumn("cell", own * F.col("blocks") + F.col("other")), "x")
+    y = _side(open_.select("*", other.alias("other")).withColumn("cell", F.col("other") * F.col("blocks") + own), "y")
+    meet = (F.col("x_key") == F.col("y_key")) & (F.col("x_cell") == F.col("y_cell"))
+    apart = meet & (F.col("x_sid") < F.col("y_sid")) & (F.col("x_label") != F.col("y_label"))
+    rest = x.join(y, apart & _could_link(percent)).select("x_sid", "y_sid").distinct()
     rest = stage(rest.join(compared, ["x_sid", "y_sid"], "left_anti"))
     more = verified(rest, sets, narrow_docs, "text", words, percent)
     labels = components(links.union(more).union(labels.select(F.col("node").alias("a"), F.col("label").alias("b"))))
