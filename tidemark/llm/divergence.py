@@ -58,11 +58,12 @@ def term_counts(docs: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFrame, D
     ``min_docs`` documents of their language.
     """
     spark = docs.sparkSession
-    rows = docs.select("lang", "source", terms(F.col("text"), F.hex(F.encode("lang", "UTF-8"))).alias("terms"))
+    rows = stage(docs.select("lang", "source", terms(F.col("text"), F.hex(F.encode("lang", "UTF-8"))).alias("terms")))
     # So many documents of one empty term: it is always kept, as a vocabulary must not be empty.
     marks = spark.range(min_docs).select(F.array(F.lit("")).alias("terms"))
     counter = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_docs), vocabSize=LARGEST_INT)
-    model = counter.fit(rows.select("terms").union(marks))
+    # Only in how many documents a term is counts here.
+    model = counter.fit(rows.select(F.array_distinct("terms").alias("terms")).union(marks))
     vectors = model.transform(rows).select("lang", "source", F.unwrap_udt("vector").alias("v"))
     pairs = vectors.select("lang", "source", F.explode(F.arrays_zip("v.indices", "v.values")).alias("e"))
     pairs = pairs.select("lang", "source", F.col("e.indices").alias("term_id"), F.col("e.values").cast("long").alias("n"))
