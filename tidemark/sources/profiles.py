@@ -7,6 +7,14 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: A cursor with fewer rows than one in so many of its range is split by quantiles instead of even ranges.
+GAPPY = 2
+#: Cursor values that are sampled for each part.
+SAMPLE = 200
+#: Steps between sampled values: a prime, so that values that come in even steps are met too.
+STEPS = (1, 2, 3, 5, 11, 101, 1009, 10007, 100003, 1000003, 10000019, 100000007)
 
 
 @dataclass(frozen=True)
@@ -42,7 +50,7 @@ def _relation(profile: Profile, table: str, where: str | None) -> str:
 
 
 def jdbc_options(
-    profile: Profile, table: str, bounds: tuple[int, int] | None, cursor: str, parts: int, where: str | None = None
+    profile: Profile, table: str, bounds: Sequence[int] | None, cursor: str, parts: int, where: str | None = None
 ) -> dict:
     """Options of a JDBC read: ``parts`` ranges of the cursor, or a single read where it has no bounds."""
     options = {"fetchsize": "10000", **profile.options, "dbtable": _relation(profile, table, where)}
@@ -56,13 +64,56 @@ def jdbc_options(
     return options
 
 
+def ask(spark: SparkSession, profile: Profile, query: str) -> DataFrame:
+    """The rows of a query that the database answers."""
+    return spark.read.format("jdbc").options(**profile.options).option("query", query).load()
+
+
 def cursor_bounds(
     spark: SparkSession, profile: Profile, table: str, cursor: str, where: str | None = None
-) -> tuple[int, int]:
-    """Smallest and largest cursor, asked from the database as one row."""
-    query = f"SELECT MIN({cursor}) AS lo, MAX({cursor}) AS hi FROM {_relation(profile, table, where)}"
-    row = spark.read.format("jdbc").options(**profile.options).option("query", query).load().first()
-    return row[0], row[1]
+) -> tuple[int, int, int]:
+    """Smallest and largest cursor and the number of rows that have one, asked from the database as one row."""
+    relation = _relation(profile, table, where)
+    row = ask(spark, profile, f"SELECT MIN({cursor}) AS lo, MAX({cursor}) AS hi, COUNT({cursor}) AS n FROM {relation}").first()
+    return row[0], row[1], int(row[2])
+
+
+def equal_depth(sample: DataFrame, cursor: str, parts: int) -> list[int]:
+    """Split points that cut the sampled cursor values into parts of about equal size; one row comes back."""
+    shares = [i / parts for i in range(1, parts)]
+    if not shares:
+        return []
+    found = sample.agg(F.percentile_approx(F.col(cursor).cast("long"), shares, 20 * parts).alias("points")).first()["points"]
+    return sorted(set(found or []))
+
+
+def range_predicates(cursor: str, points: Sequence[int]) -> list[str]:
+    """Conditions for the ranges between the points: each row meets exactly one, those without a cursor the first."""
+    if not points:
+        return [f"{cursor} IS NULL OR {cursor} IS NOT NULL"]
+    inner = [f"{cursor} >= {low} AND {cursor} < {high}" for low, high in zip(points, points[1:])]
+    return [f"{cursor} IS NULL OR {cursor} < {points[0]}", *inner, f"{cursor} >= {points[-1]}"]
+
+
+def quantile_split(
+    spark: SparkSession, profile: Profile, table: str, cursor: str, parts: int, bounds: tuple[int, int, int], where: str | None = None
+) -> list[str] | None:
+    """Conditions for parts of about equal size, where even ranges of a cursor with gaps would not give them; else None.
+
+    The database is asked for the cursor values that a prime divides, about SAMPLE a part; their quantiles are the split
+    points. Where so few are divisible that they say nothing, smaller primes are tried, down to all values.
+    """
+    low, high, n = bounds
+    if parts < 2 or not n or high - low + 1 <= GAPPY * n:
+        return None
+    wanted = SAMPLE * parts
+    for every in reversed([s for s in STEPS if s == 1 or n // s >= wanted]):
+        some = f"{cursor} IS NOT NULL" if every == 1 else f"{cursor} % {every} = 0"
+        condition = f"({where}) AND {some}" if where else some
+        sample = ask(spark, profile, f"SELECT {cursor} FROM {_relation(profile, table, condition)}")
+        if every == 1 or sample.count() >= wanted // 4:
+            return range_predicates(cursor, equal_depth(sample, cursor, parts))
+    return None
 
 
 def hash_predicates(column: str, bucket: str, parts: int) -> list[str]:
@@ -86,15 +137,18 @@ def read_source(
 ) -> DataFrame:
     """A source table as a lazy frame, with only the rows that meet the SQL condition ``where``.
 
-    Over JDBC a cursor column splits the read into parallel ranges. Without one, a hash of ``key`` does where the
-    profile has a ``bucket`` expression; else the table comes over a single connection.
+    Over JDBC a cursor column splits the read into parallel ranges, even ones or, where it has gaps, ranges between
+    sampled quantiles. Without one, a hash of ``key`` does where the profile has a ``bucket`` expression; else the table
+    comes over a single connection.
     """
     if profile.format == "jdbc":
         bounds = cursor_bounds(spark, profile, table, cursor, where) if cursor else None
-        options = jdbc_options(profile, table, bounds, cursor or "", parts, where)
+        split = quantile_split(spark, profile, table, cursor, parts, bounds, where) if cursor else None
         if key and not cursor and profile.bucket:
-            named = {k: v for k, v in options.items() if k not in ("url", "dbtable")}
             split = hash_predicates(key, profile.bucket, parts)
+        options = jdbc_options(profile, table, None if split else bounds, cursor or "", parts, where)
+        if split:
+            named = {k: v for k, v in options.items() if k not in ("url", "dbtable")}
             df = spark.read.jdbc(options["url"], options["dbtable"], predicates=split, properties=named)
         else:
             df = spark.read.format("jdbc").options(**options).load()
