@@ -179,7 +179,8 @@ class Vocabulary:
     def ids(self, hashes: np.ndarray) -> np.ndarray:
         out = np.full(len(hashes), self.unknown, dtype=np.int64)
         left = np.arange(len(hashes))
-        for at, (_, bits, part, _) in enumerate(self.files):
+        for at in sorted(range(len(self.files)), key=lambda f: -self.files[f][3]):  # large files first: most words are rare
+            _, bits, part, _ = self.files[at]
             own = left[_first_bits(hashes[left], bits) == U(part)] if bits else left
             place, found = self._hashes(at).successor(hashes[own])
             out[own[found]] = place[found] + self._bases[at]
@@ -618,7 +619,7 @@ def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text")
         yield _packed_rows(out)
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, trie, held = None, None, []
+        at, trie, held, size = None, None, [], 0
 
         def scored() -> pa.RecordBatch:
             """The sums by text of the pieces held, which are of one shard and looked up together."""
@@ -639,11 +640,13 @@ def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text")
                 if at != shard.as_py():
                     if held:
                         yield scored()
-                    at = shard.as_py()
+                    at, size = shard.as_py(), 0
                     trie = Shard(model.path(at), vocabulary)
                 held.append((piece.as_py(), unpack(payload.as_py())))
-                if sum(len(c[0]) for _, c in held) >= TOGETHER:
+                size += len(held[-1][1][0])
+                if size >= TOGETHER:
                     yield scored()
+                    size = 0
         if held:
             yield scored()
 
