@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from adapters.tpch import END, duckdb_statement, inputs, rows_of, spark_source
 from tidemark.functions import scalars as X
-from tidemark.operators import loads, quality, rows
+from tidemark.operators import loads, quality, rows, runs
 from tidemark.operators.calendar import CAPACITY_START, calendar, date_spine
 from tidemark.operators.joins import merge_on, new_rows, spine_cross
 from tidemark.operators.keys import assign_ids
@@ -806,8 +806,11 @@ def j10(spark, sf_dir):
 
 @register("l5_sync_upsert", _with_grid(_UPSERTED))
 def l5(spark, sf_dir):
-    source = shopfloor.build_capacity_distinct(inputs(spark, sf_dir))
-    return loads.upsert(source, _grid(spark, sf_dir), _CAPACITY_KEYS, shopfloor.CAPACITY.update)
+    """The source comes as runs of weeks, the stored days are made into runs, and the next state into days again."""
+    target, ds = _grid(spark, sf_dir), shopfloor.CAPACITY
+    source = shopfloor.build_capacity_runs(inputs(spark, sf_dir))
+    changed = runs.upsert_runs(source, runs.to_runs(target, "dateschema", 7), ["poste", "schema"], ds.update, 7)
+    return runs.to_days(changed, "dateschema", 7, target.columns)
 
 
 # --- loads into a stored table, then read back ---------------------------------------------------------------------

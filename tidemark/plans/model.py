@@ -94,7 +94,8 @@ class Dataset:
     ``cursor`` is the target's cursor column, ``cursor_table`` the source table whose row cursor it holds. ``number`` is
     the document number by which the other source tables belong to that one.
 
-    ``build_distinct`` is an optional cheaper way to the distinct rows of ``build``.
+    ``build_distinct`` is an optional cheaper way to the distinct rows of ``build``. ``period``: rows of one kind come
+    every so many days, so that an upsert works on runs of them, see operators/runs.py.
     """
 
     name: str
@@ -112,6 +113,7 @@ class Dataset:
     unique: tuple[str, ...] = ()
     month_column: str | None = None
     build_distinct: Callable[[Inputs], DataFrame] | None = None
+    period: int | None = None
 
     @property
     def schema(self) -> T.StructType:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import scalars as X
 from tidemark.operators.calendar import CAPACITY_START, as_day
 from tidemark.operators.joins import merge_on, spine_cross, spread_join
+from tidemark.operators.runs import FIRST, LAST
 from tidemark.operators.sizing import measured_small
 from tidemark.plans.model import DATE, DOUBLE, INT, TIME, Column, Dataset, Inputs, text
 from tidemark.plans.tables import SOURCE_COLUMNS
@@ -94,6 +95,17 @@ def build_capacity_distinct(src: Inputs) -> DataFrame:
     return X.conform(grid, CAPACITY.schema)
 
 
+def build_capacity_runs(src: Inputs) -> DataFrame:
+    """The distinct rows of the grid as runs of weeks, see operators/runs.py: no day is generated."""
+    start, end = F.lit(CAPACITY_START), as_day(src.end)
+    named = ["poste", "schema", "designationPoste", "company"]
+    hours = _week_plans(src).select(*named, F.posexplode(F.array(*WEEK)).alias("weekday", "tempstheorique")).distinct()
+    first = F.date_add(start, F.pmod(F.col("weekday") - F.weekday(start), F.lit(7)))
+    rows = X.conform(hours.withColumn("dateschema", first), CAPACITY.schema).filter(F.col("dateschema") <= end)
+    last = F.date_add("dateschema", (F.floor(F.datediff(end, "dateschema") / 7) * 7).cast("int"))
+    return rows.withColumn(LAST, last).withColumnRenamed("dateschema", FIRST)
+
+
 def _times(name: str, time_type: int, operation_hours: str) -> Dataset:
     return Dataset(
         name,
@@ -160,4 +172,5 @@ CAPACITY = Dataset(
     update=("designationPoste", "company", "tempstheorique"),
     month_column="dateschema",
     build_distinct=build_capacity_distinct,
+    period=7,
 )

@@ -18,6 +18,7 @@ from tidemark.operators import loads
 from tidemark.operators.keys import number_staged
 from tidemark.operators.quality import Rules, RuleViolation, mark, repeats, taken, violations
 from tidemark.operators.rows import collapse, diff_rows, distinct, multiset_sums
+from tidemark.operators.runs import upsert_days
 from tidemark.operators.sizing import estimated_small
 from tidemark.plans.catalog import DATASETS
 from tidemark.plans.model import Dataset, Inputs
@@ -301,6 +302,9 @@ class Warehouse:
             return LoadReport(ds.name, IN_STEP)
 
         def next_state(src: DataFrame, tgt: DataFrame) -> DataFrame:
+            if ds.period:
+                tgt = tgt.select(*ds.schema.names)
+                return upsert_days(src, tgt, ds.keys, ds.update, ds.month_column, ds.period, ds.order, run.folder)
             return loads.upsert(src, tgt, ds.keys, ds.update, ds.order, unique_source=most <= 1, folder=run.folder)
 
         inserted = self._rewrite(run, ds, source, months, version, folders, next_state)
