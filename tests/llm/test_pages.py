@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 import html
 import io
 import re
@@ -196,3 +197,79 @@ def test_broken_archives_are_refused():
         warc.members(packed, len(packed.getvalue()))
     with pytest.raises(ValueError, match="no end"):
         warc.members(io.BytesIO(b"PK nothing"), 10)
+
+
+WARC_FIELDS = {"warc-type", "warc-record-id", "warc-date", "content-length", "warc-target-uri", "content-type"}
+
+
+def _strict(raw):
+    """A record as other readers take it: the mandatory fields, their forms, the block's length and digests."""
+    import re
+
+    plain = gzip.decompress(raw)
+    head, rest = plain.split(b"\r\n\r\n", 1)
+    lines = head.decode("ascii").split("\r\n")
+    assert lines[0] == "WARC/1.1" and all(re.fullmatch(r"[A-Za-z-]+: [!-~]( |[!-~])*", l) for l in lines[1:])
+    fields = {k.lower(): v for k, v in (l.split(": ", 1) for l in lines[1:])}
+    assert len(fields) == len(lines) - 1 and WARC_FIELDS <= fields.keys()
+    assert re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", fields["warc-date"])
+    assert re.fullmatch(r"<urn:uuid:[0-9a-f-]{36}>", fields["warc-record-id"])
+    assert re.fullmatch(r"[!-~]+", fields["warc-target-uri"]) and fields["warc-type"] in ("response", "revisit")
+    assert ("warc-refers-to" in fields) == ("warc-profile" in fields) == (fields["warc-type"] == "revisit")
+    block, end = rest[:-4], rest[-4:]
+    assert end == b"\r\n\r\n" and len(block) == int(fields["content-length"])
+    assert fields["warc-block-digest"] == "sha1:" + warc.digest32(block)
+    http, payload = block.split(b"\r\n\r\n", 1)
+    assert http.startswith(b"HTTP/1.1 200 OK\r\n")
+    if fields["warc-type"] == "response":
+        assert fields["warc-payload-digest"] == "sha1:" + warc.digest32(payload)
+    return fields
+
+
+def test_records_and_index_lines_stand_a_strict_reader(spark, frame, tmp_path):
+    import json
+    import re
+    from urllib.parse import unquote
+    import zipfile
+
+    urls = ["http://A.example.com/é中\t x?q=1", "https://b.example.com:8080/Path#top", "no scheme", None, "", "http://b.example.com/a b"]
+    given = [(i, u, f"<p>{i % 4} é</p>") for i, u in enumerate(urls * 3)]
+    folder = f"{tmp_path}/archives"
+    archives = warc.write_archives(warc.classified(frame(PAGES, given)), folder).collect()
+    seen, ids, referred = [], {}, []
+    for a in archives:
+        with zipfile.ZipFile(a["path"]) as z:
+            data, lines = z.read(warc.DATA), z.read(warc.INDEX).decode().split("\n")
+        assert lines[-1] == "" and lines[:-1] == sorted(lines[:-1])
+        for line in lines[:-1]:
+            key, stamp, text = line.split(" ", 2)
+            entry = json.loads(text)
+            fields = _strict(data[int(entry["offset"]) :][: int(entry["length"])])
+            assert re.fullmatch(r"\d{14}", stamp) and stamp == re.sub(r"\D", "", fields["warc-date"])
+            assert key == warc.sort_key(entry["url"]) and entry["url"] == fields["warc-target-uri"]
+            assert {"mime", "status", "digest", "filename"} <= entry.keys() and entry["digest"] == fields["warc-payload-digest"]
+            seen.append((int(fields["warc-page-id"]), unquote(entry["url"])))
+            ids[fields["warc-record-id"]] = fields["warc-type"]
+            referred.append(fields.get("warc-refers-to"))
+    assert sorted(seen) == sorted((i, u or f"urn:page:{i}") for i, u, _ in given)
+    assert all(ids[r] == "response" for r in referred if r) and len(ids) == 18 and sum(r is not None for r in referred) == 14
+
+
+def test_sort_keys():
+    keys = {"http://www.Example.com:80/A?b=C#d": "com,example,www)/a?b=c", "https://x.org": "org,x)/", "urn:page:3": "urn:page:3"}
+    assert {u: warc.sort_key(u) for u in keys} == keys
+    assert warc.target_uri(1, "http://h/é中\t") == "http://h/%C3%A9%E4%B8%AD%09"
+
+
+def test_one_payload_in_half_of_the_pages(spark, frame, forced_skew):
+    given = [(i, f"http://h/{i}", "" if i % 2 else f"<p>{i}</p>") for i in range(400)]
+    found = {r["page_id"]: r for r in warc.round_trip(spark, frame(PAGES, given)).collect()}
+    assert len(found) == 400
+    assert all(found[i]["refers_to"] == (399 if i % 2 and i < 399 else None) for i in range(400))
+
+
+def test_headers_are_read_however_they_are_spelled():
+    body = b"HTTP/1.1 200 OK\r\ncontent-LENGTH:2\r\n\r\nok"
+    head = f"WARC/1.0\r\nwarc-type:response\r\nCONTENT-length:   {len(body)}\r\n\r\n".encode()
+    found = warc.parse_record(gzip.compress(head + body + b"\r\n\r\n"))
+    assert (found["warc-type"], found["http"]["content-length"], found["payload"]) == ("response", "2", b"ok")

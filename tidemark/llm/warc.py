@@ -1,7 +1,8 @@
 """WARC records in ZIP-packaged archives: written by tasks, read back by ranges without extraction.
 
 An archive is a ZIP file with stored members: ``archive/data.warc.gz``, one gzip member per WARC record, and
-``indexes/index.cdxj``, a line per record with its offset and length in the first. Readers parse the end of central
+``indexes/index.cdxj``, a sorted line per record: the turned host and path, the date, and as JSON its offset and length in
+the first. Readers parse the end of central
 directory (with its ZIP64 forms), the central directory and the members' local headers, then fetch each record's bytes
 alone. Archives are written to the shared folder under a name of their own per attempt; only those that the finished
 job has listed are read, so a repeated task leaves at most an unlisted file.
@@ -18,6 +19,8 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from datetime import UTC, datetime
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyarrow import fs
@@ -25,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.frames import map_texts, small_batches
+from tidemark.operators.joins import spread_join
 from tidemark.session import shared_dir, stage
 
 DATA = "archive/data.warc.gz"
@@ -52,38 +56,81 @@ def digest32(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, kind: str, refers_to: int | None) -> bytes:
-    """A WARC record as one gzip member. A revisit keeps the payload's length and digest but not the payload."""
+#: Characters of a URL that stay as they are: all visible ones of ASCII.
+VISIBLE = "".join(map(chr, range(33, 127)))
+
+
+def target_uri(page_id: int | None, url: str | None) -> str:
+    """The URL with all but visible ASCII percent-encoded as UTF-8; a name of its own for a page without one."""
+    return quote(url, safe=VISIBLE, errors="replace") if url else f"urn:page:{page_id}"
+
+
+def record_id(page_id: int | None, digest: str, *more: str | None) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, ' '.join(map(str, (page_id, digest, *more))))}>"
+
+
+def record(page_id: int | None, url: str | None, payload: bytes, kind: str, refers_to: int | None, date: str) -> bytes:
+    """A WARC record as one gzip member. A revisit keeps the payload's length and digest but not the payload.
+
+    A response is named by its page and digest, so that revisits can refer to it; pages of equal id and payload share a name.
+    """
     digest = digest32(payload)
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     body = http + (payload if kind == "response" else b"")
+    again = kind == "revisit"
     names = {
         "WARC-Type": kind,
-        "WARC-Record-ID": f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id} {url} {digest}')}>",
-        "WARC-Target-URI": None if url is None else "".join(c if 32 < ord(c) < 127 else f"%{ord(c):X}" for c in url),
+        "WARC-Record-ID": record_id(page_id, digest, kind, url) if again else record_id(page_id, digest),
+        "WARC-Date": date,
+        "WARC-Target-URI": target_uri(page_id, url),
         "WARC-Payload-Digest": f"sha1:{digest}",
-        "WARC-Page-Id": page_id,
-        "WARC-Refers-To-Page-Id": refers_to,
-        "WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest" if kind == "revisit" else None,
+        "WARC-Block-Digest": f"sha1:{digest32(body)}",
+        "WARC-Refers-To": record_id(refers_to, digest) if again else None,
+        "WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest" if again else None,
         "Content-Type": "application/http; msgtype=response",
         "Content-Length": len(body),
+        # Extension fields: the ids of the pages.
+        "WARC-Page-Id": page_id,
+        "WARC-Refers-To-Page-Id": refers_to,
     }
     head = "WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in names.items() if v is not None) + "\r\n"
     packer = zlib.compressobj(6, zlib.DEFLATED, 31)
     return packer.compress(head.encode() + body + b"\r\n\r\n") + packer.flush()
 
 
+def _fields(lines: list[str]) -> dict[str, str]:
+    """Header fields by lower-cased name; white space around a value does not count."""
+    return {name.strip().lower(): value.strip() for name, _, value in (line.partition(":") for line in lines)}
+
+
 def parse_record(raw: bytes) -> dict:
-    """Headers of a record (``http`` for those of the message) and its payload; the length must be as stated."""
+    """Headers of a record by lower-cased name (``http`` for those of the message) and its payload; the length must be
+    as stated."""
     plain = zlib.decompress(raw, 31)
     head, _, rest = plain.partition(b"\r\n\r\n")
     lines = head.decode().split("\r\n")
-    headers = dict(line.split(": ", 1) for line in lines[1:])
-    body = rest[: int(headers["Content-Length"])]
+    headers = _fields(lines[1:])
+    body = rest[: int(headers["content-length"])]
     if not lines[0].startswith("WARC/") or rest[len(body) :] != b"\r\n\r\n":
         raise ValueError("not a whole WARC record")
     http, _, payload = body.partition(b"\r\n\r\n")
-    return headers | {"http": dict(h.split(": ", 1) for h in http.decode().split("\r\n")[1:]), "payload": payload}
+    return headers | {"http": _fields(http.decode().split("\r\n")[1:]), "payload": payload}
+
+
+def sort_key(uri: str) -> str:
+    """The host's names from the last to the first, then the rest, lower-cased: ``com,example)/path``."""
+    _, found, rest = uri.partition("://")
+    if not found:
+        return uri.lower()
+    end = next((i for i, c in enumerate(rest) if c in "/?#"), len(rest))
+    host = rest[:end].rpartition("@")[2].lower()
+    name, _, port = host.partition(":")
+    turned = ",".join(reversed(name.split("."))) + (f":{port}" if port not in ("", "80", "443") else "")
+    return f"{turned}){rest[end:].partition('#')[0].lower() or '/'}"
+
+
+def index_line(uri: str, date: str, entry: dict) -> str:
+    return f"{sort_key(uri)} {''.join(c for c in date if c.isdigit())} {json.dumps(entry)}"
 
 
 class ZipWriter:
@@ -215,7 +262,7 @@ def classified(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
     groups = large.groupBy("digest").agg(F.max("page_id").alias("newest"), F.min("page_id").alias("oldest"), nameless)
     groups = groups.filter("newest is not null and (newest != oldest or nameless)")
     groups = stage(groups.select(F.col("digest").alias("g_digest"), "newest"))
-    joined = rows.join(groups, F.col("digest") == F.col("g_digest"), "left")
+    joined = spread_join(rows, groups, [("digest", "g_digest")], "left")
     revisit = F.col("newest").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("newest"))
     kind = F.when(revisit, "revisit").otherwise("response").alias("kind")
     return joined.select("page_id", "url", "payload", kind, F.when(revisit, F.col("newest")).alias("refers_to"))
@@ -227,13 +274,18 @@ def write_archives(records: DataFrame, folder: str) -> DataFrame:
     A task packs its rows in archives of about ARCHIVE_BYTES, which bounds its memory.
     """
 
+    date = datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
+
     def pack(rows: list[tuple[dict, bytes]]) -> tuple[str, int, int]:
         name = f"{folder}/{uuid.uuid4().hex}.wacz"
         store, path = _open(name)
         lines, offset = [], 0
         for page, raw in rows:
-            lines.append(json.dumps(page | {"offset": offset, "length": len(raw), "filename": DATA}) + "\n")
+            uri = page["url"]
+            entry = page | {"mime": "text/html", "status": "200", "filename": DATA}
+            lines.append(index_line(uri, date, entry | {"offset": str(offset), "length": str(len(raw))}) + "\n")
             offset += len(raw)
+        lines.sort()
         buffer = io.BytesIO()
         out = ZipWriter(buffer)
         out.add(DATA, [raw for _, raw in rows])
@@ -248,8 +300,9 @@ def write_archives(records: DataFrame, folder: str) -> DataFrame:
         done, rows, total = [], [], 0
         for batch in batches:
             for row in batch.to_pylist():
-                raw = record(row["page_id"], row["url"], row["payload"], row["kind"], row["refers_to"])
-                rows.append(({"url": row["url"], "page_id": row["page_id"]}, raw))
+                raw = record(row["page_id"], row["url"], row["payload"], row["kind"], row["refers_to"], date)
+                uri = target_uri(row["page_id"], row["url"])
+                rows.append(({"url": uri, "digest": f"sha1:{digest32(row['payload'])}"}, raw))
                 total += len(raw)
                 if total >= ARCHIVE_BYTES:
                     done.append(pack(rows))
@@ -275,9 +328,9 @@ def index_records(archives: DataFrame) -> DataFrame:
                 raw = file.read(index.size)
             if zlib.crc32(raw) != index.crc:
                 raise ValueError(f"{name}: broken index")
-            lines = [json.loads(line) for line in raw.decode().splitlines()]
-            offsets = [found[line["filename"]].offset + line["offset"] for line in lines]
-            columns = [[name] * len(lines), offsets, [line["length"] for line in lines]]
+            lines = [json.loads(line.split(" ", 2)[2]) for line in raw.decode().split("\n") if line]
+            offsets = [found[line["filename"]].offset + int(line["offset"]) for line in lines]
+            columns = [[name] * len(lines), offsets, [int(line["length"]) for line in lines]]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["path", "offset", "length"])
 
     types = [pa.string(), pa.int64(), pa.int64()]
@@ -313,12 +366,12 @@ def read_records(index: DataFrame) -> DataFrame:
         for path, spans in by_path.items():
             for raw in fetch(path, sorted(spans)):
                 r = parse_record(raw)
-                digest = r["WARC-Payload-Digest"].removeprefix("sha1:")
-                n = int(r["http"]["Content-Length"])
-                if r["WARC-Type"] == "response" and (len(r["payload"]) != n or digest32(r["payload"]) != digest):
+                digest = r["warc-payload-digest"].removeprefix("sha1:")
+                n = int(r["http"]["content-length"])
+                if r["warc-type"] == "response" and (len(r["payload"]) != n or digest32(r["payload"]) != digest):
                     raise ValueError(f"{path}: payload does not match its digest")
-                ids = [int(r[k]) if k in r else None for k in ("WARC-Page-Id", "WARC-Refers-To-Page-Id")]
-                rows.append((ids[0], n, digest, r["WARC-Type"], ids[1]))
+                ids = [int(r[k]) if k in r else None for k in ("warc-page-id", "warc-refers-to-page-id")]
+                rows.append((ids[0], n, digest, r["warc-type"], ids[1]))
         types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
         names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
@@ -333,7 +386,8 @@ def read_records(index: DataFrame) -> DataFrame:
 def round_trip(spark: SparkSession, pages: DataFrame) -> DataFrame:
     """Writes a record per row of ``pages`` to archives in the shared folder and reads all of them back.
 
-    Null html is an empty payload; a null url has no target; rows with a null page_id have a record without one.
+    Null html is an empty payload; a null or empty url is named by the page's id; rows with a null page_id have a record
+    without one. Repeated rows have a record each. An empty table gives no archive and no rows.
     """
     folder = f"{shared_dir(spark)}/archives-{uuid.uuid4().hex}"
     archives = write_archives(classified(pages), folder)
