@@ -5,13 +5,18 @@ from __future__ import annotations
 import gzip
 import html
 import io
+import math
 import re
 import zipfile
+import zlib
+from collections import Counter
 
+import numpy as np
 import pytest
 
 from tests.conftest import SF_DIR
 from tidemark.llm import queries, templates, urls, warc
+from tidemark.llm.hashcounts import write_counts
 
 PAGES = "page_id long, url string, html string"
 
@@ -273,3 +278,53 @@ def test_headers_are_read_however_they_are_spelled():
     head = f"WARC/1.0\r\nwarc-type:response\r\nCONTENT-length:   {len(body)}\r\n\r\n".encode()
     found = warc.parse_record(gzip.compress(head + body + b"\r\n\r\n"))
     assert (found["warc-type"], found["http"]["content-length"], found["payload"]) == ("response", "2", b"ok")
+
+
+def _markov(train, url):
+    """Log-likelihood difference by dicts of counts, per byte."""
+    total = 0.0
+    p = {}
+    for at in range(len(url)):
+        for side in ("allow", "block"):
+            p[side] = 1 / 256
+            for order in range(urls.ORDER + 1):
+                starts = min(order, at)
+                key = (order, starts, url[at - starts : at])
+                own, seen = train[side].get((key, url[at]), 0), train[side].get(key, 0)
+                p[side] = (own + urls.BACK_OFF * p[side]) / (seen + urls.BACK_OFF)
+        total += math.log(p["allow"]) - math.log(p["block"])
+    return total / max(len(url), 1)
+
+
+@pytest.mark.parametrize("per_file", [1 << 21, 500])
+def test_scores_are_those_of_the_markov_models(spark, frame, rows, monkeypatch, per_file):
+    monkeypatch.setattr("tidemark.llm.hashcounts.FILE", per_file)
+    given = [(p["page_id"], p["url"]) for p in rows("pages")[:200]] + [(900, None), (901, ""), (902, "http://é.org/" + "a" * 5000)]
+    found = {r["id"]: r for r in urls.judge(frame("page_id long, url string", given)).collect()}
+    train = {"allow": Counter(), "block": Counter()}
+    for i, u in given:
+        raw = (u or "").encode()
+        if u is None or found[i]["rule"] is None or zlib.crc32(raw) % urls.CALIBRATE == 0:
+            continue
+        for at in range(len(raw)):
+            for order in range(urls.ORDER + 1):
+                starts = min(order, at)
+                key = (order, starts, raw[at - starts : at])
+                train[found[i]["verdict"]].update([key, (key, raw[at])])
+    assert all(train.values())
+    asked = [(i, u) for i, u in given if found[i]["rule"] is None]
+    assert len(asked) > 20
+    for i, u in asked:
+        assert found[i]["score"] == pytest.approx(_markov(train, (u or "").encode()), abs=1e-9)
+
+
+def test_hash_counts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("tidemark.llm.hashcounts.FILE", 100)
+    rng = np.random.default_rng(3)
+    hashes = np.unique(rng.integers(0, 1 << 64, 1000, dtype=np.uint64))
+    n = rng.integers(1, 1 << 40, len(hashes))
+    df = spark.createDataFrame(list(zip(hashes.view(np.int64).tolist(), n.tolist())), "hash long, n long")
+    counts = write_counts(df, f"{tmp_path}/counts")
+    assert (counts[hashes[::-1]] == n[::-1]).all() and len(counts.parts) == 16
+    assert counts[np.array([5, 1 << 63], dtype=np.uint64)].tolist() == [0, 0]
+    assert write_counts(df.limit(0), f"{tmp_path}/none")[hashes[:3]].tolist() == [0, 0, 0]

@@ -4,12 +4,14 @@ One model learns the URLs that rules allow, the other those that rules block. A
 log-likelihoods over its length; the threshold is calibrated on URLs that neither model has learned from. A character's
 probability is taken from the longest context that was seen and smoothed, order by order, with the shorter ones.
 
-Counts of (context, character) are kept under a hash in a table of SLOTS entries, which bounds what is collected and
-sent to the tasks however many URLs there are; every URL with a rule is counted.
+Every context and every character in a context is counted, by 64-bit hash, over all URLs with a rule but the fifth that
+calibrates. The counts are added up by Spark and written to files that grow with them and that the tasks map into memory;
+no table of them passes through the driver. An empty table gives no rows; without rules that fit, every score is 0.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -19,7 +21,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.frames import map_texts
+from tidemark.llm.hashcounts import HashCounts, write_counts
 from tidemark.llm.words import U, flat, mix, salt
+from tidemark.session import shared_dir, staging
 
 # (verdict, host, path) of the contract's rules: fixed values.
 RULES = (
@@ -30,7 +34,7 @@ RULES = (
     ("block", "net", "/fr/"),
 )
 ORDER = 5
-SLOTS = 1 << 18
+SIDES = ("allow", "block")
 #: Weight of the shorter context's probability, as so many characters seen.
 BACK_OFF = 4.0
 #: One in so many URLs calibrates instead of teaching.
@@ -65,8 +69,8 @@ def rule_of(host: Column, path: Column, rules: Rules = RULES) -> tuple[Column, C
     return name, verdict
 
 
-def _slots(b: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
-    """For orders 0, 1, ... the slot of each character in the context of so many before it, and of that context alone.
+def _keys(b: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For orders 0, 1, ... a hash of each character in the context of so many before it, and of that context alone.
 
     Contexts reach back to a start mark of the URL, not beyond.
     """
@@ -78,54 +82,49 @@ def _slots(b: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
             back = np.arange(len(b)) - order
             char = np.where(at >= order, b[np.maximum(back, 0)].astype(U) + U(1), U(0))
             context = mix(context * salt(order) + char + U(order))
-        own = mix(context + (b.astype(U) + U(1)) * salt(60))
-        yield (own % U(SLOTS)).astype(np.int64), (mix(context) % U(SLOTS)).astype(np.int64)
+        yield mix(context + (b.astype(U) + U(1)) * salt(60)), mix(context + salt(61))
+
+
+def _of_side(hashes: np.ndarray, side: int) -> np.ndarray:
+    return mix(hashes ^ salt(70 + side))
 
 
 @dataclass(frozen=True)
 class Model:
-    """Counts of (context, character) and of contexts by slot for allowed and blocked URLs, and the threshold."""
+    """Counts of characters in contexts and of contexts, of allowed and of blocked URLs, and the threshold."""
 
-    pairs: tuple[np.ndarray, np.ndarray]
-    contexts: tuple[np.ndarray, np.ndarray]
+    counts: HashCounts
     threshold: float
 
     def scores(self, urls: pa.Array) -> np.ndarray:
         """Log-likelihood difference over the length in bytes, positive for allowed; 0 for an empty URL."""
         b, offsets = flat(urls)
+        keys = [_of_side(k, side) for pair in _keys(b, offsets) for side in (0, 1) for k in pair]
+        found = iter(self.counts[np.concatenate(keys)].reshape(len(keys), len(b)) if len(b) else np.zeros((len(keys), 0)))
         total = [np.full(len(b), 1 / 256), np.full(len(b), 1 / 256)]
-        for own, context in _slots(b, offsets):
+        for _ in range(ORDER + 1):
             for side in (0, 1):
-                seen = self.contexts[side][context]
-                total[side] = (np.minimum(self.pairs[side][own], seen) + BACK_OFF * total[side]) / (seen + BACK_OFF)
+                own, seen = next(found), next(found)
+                total[side] = (own + BACK_OFF * total[side]) / (seen + BACK_OFF)
         sums = np.concatenate(([0.0], np.cumsum(np.log(total[0]) - np.log(total[1]))))
         lengths = np.diff(offsets)
         return (sums[offsets[1:]] - sums[offsets[:-1]]) / np.maximum(lengths, 1)
 
 
-def _counts(labelled: DataFrame) -> list[np.ndarray]:
-    """Four tables of SLOTS counts: pairs and contexts of allowed, then of blocked URLs. Added up in each task first."""
+def count_keys(labelled: DataFrame) -> DataFrame:
+    """(hash, n): contexts, and characters in them, of the URLs (url, verdict) of each side; added up in each task first."""
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = np.zeros((4, SLOTS), dtype=np.int64)
-        for batch in batches:
-            blocked = batch.column("verdict").to_numpy(zero_copy_only=False) == "block"
-            for side, rows in enumerate((~blocked, blocked)):
-                b, offsets = flat(batch.column("url").filter(pa.array(rows)))
-                for own, context in _slots(b, offsets):
-                    tables[2 * side] += np.bincount(own, minlength=SLOTS)
-                    tables[2 * side + 1] += np.bincount(context, minlength=SLOTS)
-        which, slot = np.nonzero(tables)
-        for lo in range(0, len(which), 1 << 16):
-            part = slice(lo, lo + (1 << 16))
-            columns = [which[part], slot[part], tables[which[part], slot[part]]]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["which", "slot", "n"])
+    def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        verdicts = batch.column("verdict").to_numpy(zero_copy_only=False)
+        keys = [np.zeros(0, dtype=U)]
+        for side, verdict in enumerate(SIDES):
+            b, offsets = flat(batch.column("url").filter(pa.array(verdicts == verdict)))
+            keys += [_of_side(k, side) for pair in _keys(b, offsets) for k in pair]
+        hashes, n = np.unique(np.concatenate(keys), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(n)], ["hash", "n"])
 
-    parts = labelled.select("url", "verdict").mapInArrow(work, "which long, slot long, n long")
-    found = parts.groupBy("which", "slot").agg(F.sum("n").alias("n")).toArrow()
-    tables = np.zeros((4, SLOTS))
-    tables[found.column("which").to_numpy(), found.column("slot").to_numpy()] = found.column("n").to_numpy()
-    return list(tables)
+    parts = map_texts(labelled.select("url", "verdict"), work, "hash long, n long", "url")
+    return parts.groupBy("hash").agg(F.sum("n").alias("n"))
 
 
 def train(judged: DataFrame) -> Model:
@@ -136,8 +135,10 @@ def train(judged: DataFrame) -> Model:
     """
     known = judged.filter(F.col("verdict").isNotNull() & F.col("url").isNotNull())
     held = F.pmod(F.crc32(F.col("url").cast("binary")), F.lit(CALIBRATE)) == 0
-    allowed, allowed_at, blocked, blocked_at = _counts(known.filter(~held))
-    model = Model((allowed, blocked), (allowed_at, blocked_at), 0.0)
+    spark = judged.sparkSession
+    with staging(spark) as own:
+        counts = write_counts(count_keys(known.filter(~held)), f"{shared_dir(spark)}/urls-{uuid.uuid4().hex}", own)
+    model = Model(counts, 0.0)
     place = F.floor((F.greatest(F.lit(-RANGE), F.least("score", F.lit(RANGE))) + RANGE) / (2 * RANGE) * BINS)
     bins = scored(known.filter(held), model).groupBy("verdict", place.alias("bin")).agg(F.count("*").alias("n"))
     below = {kind: np.zeros(BINS + 1) for kind in ("allow", "block")}
@@ -148,15 +149,13 @@ def train(judged: DataFrame) -> Model:
     lost = np.cumsum(below["allow"]) / below["allow"].sum()
     let = 1 - np.cumsum(below["block"]) / below["block"].sum()
     best = np.flatnonzero(lost + let == (lost + let).min())
-    return Model(model.pairs, model.contexts, float((best.mean() + 1) * 2 * RANGE / BINS - RANGE))
+    return Model(counts, float((best.mean() + 1) * 2 * RANGE / BINS - RANGE))
 
 
 def scored(urls: DataFrame, model: Model) -> DataFrame:
     """``urls`` with one more column, ``score``; a null url scores as an empty one."""
-    tables = urls.sparkSession.sparkContext.broadcast((model.pairs, model.contexts, model.threshold))
-
     def work(batch: pa.RecordBatch):
-        scores = pa.array(Model(*tables.value).scores(batch.column("url")))
+        scores = pa.array(model.scores(batch.column("url")))
         yield pa.RecordBatch.from_arrays([*batch.columns, scores], [*batch.schema.names, "score"])
 
     return map_texts(urls, work, urls.withColumn("score", F.lit(0.0)).schema, "url")
