@@ -241,3 +241,17 @@ def test_chunks_are_whole_and_alike_after_an_insertion():
         return pieces[: len(pieces) // 2]
 
     assert len(set(cut(text)) ^ set(cut(text[:900] + "XY" + text[900:]))) <= 8
+
+
+def test_numbers_of_a_chunk_share_two_longs(frame):
+    names = ["id", "at", "size", "n_words", "lead", "lead_words", "tail", "tail_words", "digest"]
+    rows = [(-5, (1 << 31) - 1, 32768, 16385, 32816, 16408, 32816, 16408, -7), (1, 0, 1, 0, 0, 0, 0, 0, 1 << 62), (2, 3, 4, 5, 6, 7, 8, 9, 10)]
+    df = frame(", ".join(f"{n} {'long' if n in ('id', 'digest') else 'int'}" for n in names), rows)
+    assert values(chunks._apart(chunks._together(df)).select(*names)) == sorted(rows, key=repr)
+
+
+def test_no_chunk_is_longer_than_stated(monkeypatch):
+    monkeypatch.setattr(chunks, "LONGEST", 40)
+    text = np.random.default_rng(1).integers(0, 256, 5000, dtype=np.uint8)
+    ends = chunks.chunk_ends(text, np.array([0, 3000, 3000, 5000]))
+    assert np.diff(np.concatenate(([0], ends))).max() <= 40 and {3000, 5000} <= set(ends.tolist())

@@ -25,6 +25,8 @@ from tidemark.session import stage
 WINDOW = 16
 REACH = 16
 TIE = 64
+#: No chunk is longer, whatever the text: what is known of a chunk fits in numbers of 16 bits.
+LONGEST = 1 << 15
 MIN_WORDS = 50
 GEAR = (mix((np.arange(256, dtype=U) + U(1)) * salt(40)) >> U(32)).astype(np.uint32)
 
@@ -54,7 +56,11 @@ def chunk_ends(b: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     cuts = np.flatnonzero(largest_here & (gear > before)[place]) + 1
     cuts = np.union1d(cuts, offsets[1:][lengths > 0])
     ties = np.flatnonzero(largest_here & (gear == before)[place]) + 1
-    return np.union1d(cuts, _spread(ties, np.union1d(cuts, offsets))) if len(ties) else cuts
+    cuts = np.union1d(cuts, _spread(ties, np.union1d(cuts, offsets))) if len(ties) else cuts
+    starts = np.concatenate(([0], cuts[:-1]))
+    long = np.flatnonzero(cuts - starts > LONGEST)
+    more = [np.arange(starts[i] + LONGEST, cuts[i], LONGEST) for i in long]
+    return np.union1d(cuts, np.concatenate(more)) if more else cuts
 
 
 def _spread(ties: np.ndarray, cuts: np.ndarray) -> np.ndarray:
@@ -112,6 +118,33 @@ def chunked(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFram
     return map_texts(rows, work, ", ".join(f"{n} {kinds.get(n, 'int')}" for n in names), "text")
 
 
+#: How the numbers of a chunk share two longs: name and bits, from the lowest.
+SHARED = ((("n_words", 16), ("size", 16), ("at", 31)), (("tail_words", 16), ("tail", 16), ("lead_words", 15), ("lead", 16)))
+
+
+def _together(chunks: DataFrame) -> DataFrame:
+    """(digest, id, a, b): a row of a shuffle has eight bytes a column, so small numbers share one."""
+    packed_ = []
+    for name, fields in zip("ab", SHARED):
+        base, own = 0, F.lit(0).cast("long")
+        for field, bits in fields:
+            own = own.bitwiseOR(F.shiftleft(F.col(field).cast("long"), base))
+            base += bits
+        packed_.append(own.alias(name))
+    return chunks.select("digest", "id", *packed_)
+
+
+def _apart(rows: DataFrame) -> DataFrame:
+    """The columns of :func:`chunked` again, and the others."""
+    columns = []
+    for name, fields in zip("ab", SHARED):
+        base = 0
+        for field, bits in fields:
+            columns.append(F.shiftrightunsigned(name, base).bitwiseAND(F.lit((1 << bits) - 1)).cast("int").alias(field))
+            base += bits
+    return rows.select(*[c for c in rows.columns if c not in "ab"], *columns)
+
+
 def repeated_runs(docs: DataFrame, id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """Runs of neighbouring chunks that other documents hold, if they may be part of ``min_words`` repeated words.
 
@@ -125,7 +158,7 @@ def repeated_runs(docs: DataFrame, id: str = "doc_id", text: str = "text", min_w
     many = chunks.groupBy("digest").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo != hi")
     many = stage(many)
     release(docs.sparkSession)
-    shared = chunks.join(many, "digest")
+    shared = _apart(_together(chunks).join(many, "digest"))
     in_doc = Window.partitionBy("id").orderBy("at")
     again = F.coalesce(F.lag("at").over(in_doc) == F.col("at"), F.lit(False))
     shared = shared.withColumn("again", again).filter("not again").drop("again")
