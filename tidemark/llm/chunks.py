@@ -4,6 +4,8 @@ The gear hash of a position depends on the WINDOW bytes up to it. A chunk ends w
 REACH positions to either side, so ends depend on the text around them alone: an insertion moves them along and
 changes only the chunks it touches. Equal chunks have equal digests. A run of neighbouring chunks that all stand in
 other documents too is a repeated passage.
+
+An empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -8,6 +8,8 @@ within the band, and kept if they need no more than e edits.
 
 Texts are compared lower-cased, runs of white space as one space. The benchmark goes to every task in blocks of at
 most BLOCK_BYTES of text; a larger benchmark takes several passes over the documents.
+
+An empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -2,6 +2,8 @@
 
 A line is boilerplate on its site if it stands in more than a given share of the site's pages. Only line hashes are
 shuffled, counted map-side first; the texts stay where they are.
+
+An empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -3,6 +3,8 @@
 Every document gets a hash-random key. Within a source the keys are cut into ranges of equal width, which hold about
 equally many documents; each range is sorted by itself, and the sums of the ranges before it turn its running sums
 into those of the whole source. The mix takes documents in key order up to the source's exact budget of words.
+
+An empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -14,6 +14,8 @@ hold nothing but a common passage, are the last in that order: a set that shares
 Equal sets are one node from the start. In each key only the best-connected set is compared with the others; keys
 whose sets are all connected by then need nothing more. Of the rest, only sets not yet connected are compared; the sets
 of a large key are dealt to blocks, and pairs of blocks to tasks.
+
+An empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -7,6 +7,8 @@ labelled rows that no dictionary has seen, makes it a probability.
 Labels are read only for documents whose crc32(id as text) mod 3 is not 1; the rest are held out. The classifier is
 fitted on a bounded sample: of each class the SAMPLE_ROWS labelled documents that come first by a hash of their id,
 and of these as many as hold SAMPLE_BYTES of text. Scoring covers every document and its whole text.
+
+An empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -3,6 +3,8 @@
 A text's terms are its distinct words, lower-cased, each weighing its length in characters: frequent short words say
 little. Every term's 64-bit hash votes with its weight for its ones and against its zeros; a bit of the fingerprint is
 set if the votes for it prevail. Votes are summed two to a long, so that a text of any length needs 32 sums.
+
+An empty table gives an empty result.
 """
 
 from __future__ import annotations

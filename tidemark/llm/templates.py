@@ -10,6 +10,8 @@ elements that say what they are (menus, headers, footers, sidebars, notices, adv
 class, id or role) end the article. Text of the template itself goes too, unless it makes up most of it: then the
 pages are copies of each other, and what they share is their article. A host with few pages has no template; there
 the tags alone decide.
+
+An empty table gives an empty result.
 """
 
 from __future__ import annotations
