@@ -18,7 +18,7 @@ from tidemark.llm import decontaminate, lines, mixing, quality, queries
 @pytest.fixture(scope="module")
 def con():
     con = connect(SF_DIR)
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "pages", "benchmark", "labels", "embeddings"):
         con.execute(f"CREATE OR REPLACE VIEW {t} AS SELECT * FROM '{SF_DIR}/{t}.parquet'")
     return con
 
