@@ -150,36 +150,37 @@ def _apart(rows: DataFrame) -> DataFrame:
 def repeated_runs(docs: DataFrame, id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """Runs of neighbouring chunks that other documents hold, if they may be part of ``min_words`` repeated words.
 
-    (id, at, until, n_words, first_id, and of the first chunk ``left``, ``left_size``, ``lead``, of the last ``right``,
-    ``right_size``, ``tail``): ``first_id`` is the smallest id that holds the run; ``left`` and ``right`` are other
-    documents with its first and last chunk. Only digests are shuffled, first to find those of more than one document,
-    then to mark their chunks; a digest of very many documents is counted map-side and its chunks are spread by the
-    join. A run whose chunks stand first in different documents goes to :func:`split_runs`.
+    (id, at, until, n_words, first_id, lead, tail, digests): ``first_id`` is the smallest id that holds the run. A run too
+    short by itself, or one that no document is known to hold as a whole, carries the ``digests`` of its chunks, to be
+    looked at word by word. Only digests are shuffled, first to find those of more than one document, then to mark their
+    chunks; a digest of very many documents is counted map-side and its chunks are spread by the join. A run whose chunks
+    stand first in different documents goes to :func:`split_runs`.
     """
-    chunks = stage(chunked(docs, id, text))
+    return _runs(stage(chunked(docs, id, text)), min_words)
+
+
+def _runs(chunks: DataFrame, min_words: int) -> DataFrame:
     many = chunks.groupBy("digest").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo != hi")
-    many = stage(many)
-    release(docs.sparkSession)
+    many = stage(many.drop("hi"))
+    release(chunks.sparkSession)
     shared = _apart(_together(chunks).join(many, "digest"))
     in_doc = Window.partitionBy("id").orderBy("at")
     again = F.coalesce(F.lag("at").over(in_doc) == F.col("at"), F.lit(False))
     shared = shared.withColumn("again", again).filter("not again").drop("again")
     opens = F.col("at") != F.coalesce(F.lag(F.col("at") + F.col("size")).over(in_doc), F.lit(-1))
     runs = shared.withColumn("run", F.sum(opens.cast("int")).over(in_doc))
-    other = F.when(F.col("lo") != F.col("id"), F.col("lo")).otherwise(F.col("hi"))
     ends = runs.groupBy("id", "run").agg(
         F.min("at").alias("at"),
         F.max(F.col("at") + F.col("size")).alias("until"),
         F.sum("n_words").alias("n_words"),
         F.min("lo").alias("least"),
         F.max("lo").alias("first_id"),
-        F.sort_array(F.collect_list(F.struct("at", "size", "n_words", "lo", "hi", "digest"))).alias("chunks"),
-        F.min_by(other, "at").alias("left"),
-        *[F.min_by(c, "at").alias(n) for c, n in (("size", "left_size"), ("lead", "lead"), ("lead_words", "lead_words"))],
-        F.max_by(other, "at").alias("right"),
-        *[F.max_by(c, "at").alias(n) for c, n in (("size", "right_size"), ("tail", "tail"), ("tail_words", "tail_words"))],
+        F.sort_array(F.collect_list(F.struct("at", "size", "n_words", "lo", "digest"))).alias("chunks"),
+        *[F.min_by(c, "at").alias(c) for c in ("lead", "lead_words")],
+        *[F.max_by(c, "at").alias(c) for c in ("tail", "tail_words")],
     )
     ends = ends.filter(F.col("n_words") + F.col("lead_words") + F.col("tail_words") >= min_words)
+    ends = ends.withColumn("digests", F.when(F.col("n_words") < min_words, F.col("chunks.digest")))
     ends = ends.withColumn("chunks", F.when(F.col("least") != F.col("first_id"), F.col("chunks")))
     ends = stage(ends.drop("run", "lead_words", "tail_words", "least"))
     alike = ends.filter("chunks is null").drop("chunks")
@@ -192,8 +193,8 @@ def split_runs(runs: DataFrame, min_words: int) -> DataFrame:
     A window is the fewest neighbouring chunks, from or up to one of them, with ``min_words`` words; a shorter run is one
     window. Documents that share a passage share its windows, so the smallest id of a window is that of the passage,
     also where a chunk of it stands in an earlier document by itself. Windows of one smallest id make one row; rows of
-    different ids may overlap. What is in no shared window is a run of its own that no one document is sure to hold;
-    its ``first_id`` is the largest of its chunks' smallest, so it is another document's only if all its chunks are.
+    different ids may overlap. What is in no shared window is a run of its own that no one document is sure to hold; it
+    carries its ``digests``, as do windows that are too short.
     Windows of chunks with the same smallest id take that one; only the others are shuffled, as hashes.
     """
 
@@ -230,8 +231,8 @@ class _Run:
 
     def __init__(self, chunks: list[dict], min_words: int):
         self.min_words = min_words
-        self.at, self.size, self.n_words, self.lo, self.hi = (
-            np.array([c[k] for c in chunks], dtype=np.int64) for k in ("at", "size", "n_words", "lo", "hi")
+        self.at, self.size, self.n_words, self.lo, self.digest = (
+            np.array([c[k] for c in chunks], dtype=np.int64) for k in ("at", "size", "n_words", "lo", "digest")
         )
         self.words = np.concatenate(([0], np.cumsum(self.n_words)))
         n = len(chunks)
@@ -247,7 +248,7 @@ class _Run:
         self.alike = changes[self.i] == changes[self.j - 1]
         powers = np.full(n + 1, BASE, dtype=U)
         powers[0] = 1
-        digests = mix(np.array([c["digest"] for c in chunks], dtype=np.int64).view(U))
+        digests = mix(self.digest.view(U))
         sums = np.concatenate((np.zeros(1, dtype=U), np.cumsum(digests * np.cumprod(powers)[:-1])))
         powers[1:] = BASE_INVERSE
         spans = (sums[self.j] - sums[self.i]) * np.cumprod(powers)[self.i]
@@ -264,7 +265,7 @@ class _Run:
                 own[-1][1] = max(j, own[-1][1])
             else:
                 own.append([i, j])
-        out = [self._row(run, i, j, lo) for lo, own in spans.items() for i, j in own]
+        out = [self._row(run, i, j, lo, held=True) for lo, own in spans.items() for i, j in own]
         covered = np.zeros(len(self.at) + 2, dtype=bool)
         covered[[0, -1]] = True
         for i, j in found:
@@ -274,15 +275,13 @@ class _Run:
             # What a passage can have beyond the part: the neighbour, and the bytes that the hash of its ends sees.
             n = self.words[min(j + 1, len(self.at))] - self.words[max(i - 1, 0)] + WINDOW + REACH
             if not found or n >= self.min_words:
-                out.append(self._row(run, i, j, int(self.lo[i:j].max())))
+                out.append(self._row(run, i, j, int(self.lo[i:j].max()), held=False))
         return out
 
-    def _row(self, run: dict, i: int, j: int, first: int) -> dict:
+    def _row(self, run: dict, i: int, j: int, first: int, held: bool) -> dict:
         row = dict(run, at=int(self.at[i]), until=int(self.at[j - 1] + self.size[j - 1]), first_id=first)
         row["n_words"] = int(self.words[j] - self.words[i])
-        for end, size, c in (("left", "left_size", i), ("right", "right_size", j - 1)):
-            row[end] = int(self.lo[c] if self.lo[c] != run["id"] else self.hi[c])
-            row[size] = int(self.size[c])
+        row["digests"] = None if held and row["n_words"] >= self.min_words else self.digest[i:j].tolist()
         if i:
             row["lead"] = int(min(self.size[i - 1] + WINDOW + REACH, self.at[i]))
         if j < len(self.at):
@@ -294,82 +293,73 @@ def repeated_passages(docs: DataFrame, id: str = "doc_id", text: str = "text", m
     """(id, start, end, n_words, first_id): passages of at least ``min_words`` words that stand in other documents too.
 
     Bytes ``start`` to ``end`` of the text in UTF-8, one row per place, also in the document of the smallest id that
-    holds the passage, ``first_id``; passages first held by different documents may overlap. Runs long enough by themselves are taken as they are, at most a chunk short at either end. Shorter
-    ones are compared byte by byte with the documents that hold their first and last chunk, and taken if the passage
-    that they are part of is long enough. Passages of other documents right next to each other count as one. Exact and
-    near copies are passages too. Rows without an id or a text have
-    none. Of rows with the same id the chunks at the same place count once.
+    holds the passage, ``first_id``; passages first held by different documents may overlap. Runs long enough by
+    themselves are taken as they are, at most a chunk short at either end. Around the others, every ``min_words`` words in
+    a row are looked up among all places that hold one of their chunks, however many documents these are in. Exact and
+    near copies are passages too. Rows without an id or a text have none. Of rows with the same id the chunks at the same
+    place count once.
     """
-    runs = stage(repeated_runs(docs, id, text, min_words))
+    chunks = stage(chunked(docs, id, text))
+    runs = stage(_runs(chunks, min_words))
     release(docs.sparkSession)
     names = ["id", "start", "end", "n_words", "first_id"]
-    sure = runs.filter(F.col("n_words") >= min_words).withColumnsRenamed({"at": "start", "until": "end"}).select(*names)
-    open_ = runs.filter(F.col("n_words") < min_words)
-    ids = open_.select("id").union(open_.select("left")).union(open_.select("right"))
-    rows = docs.select(F.col(id).cast("long").alias("doc"), F.col(text).cast("binary").alias("bytes"))
-    texts = prefiltered(rows.filter("doc is not null"), ["doc"], ids, ["id"])
-
-    cut = lambda at, n: F.substring(F.col("bytes"), at + 1, n)
-    own = open_.join(texts, F.col("id") == F.col("doc")).select(
-        *open_.columns,
-        cut(F.col("at") - F.col("lead"), F.col("lead")).alias("before"),
-        cut(F.col("at"), F.col("until") - F.col("at")).alias("run"),
-        cut(F.col("until"), F.col("tail")).alias("after"),
-    )
+    sure = runs.filter("digests is null").withColumnsRenamed({"at": "start", "until": "end"}).select(*names)
+    open_ = runs.filter("digests is not null")
+    return sure.union(_by_words(docs, chunks, open_, id, text, min_words).select(*names))
 
-    met = own.join(texts, F.col("left") == F.col("doc")).drop("doc")
-    left = map_texts(met, _Extend(-1, own.columns), own.withColumn("got_left", F.lit(0)).schema, "bytes")
-    met = left.join(texts, F.col("right") == F.col("doc")).drop("doc")
-    both = map_texts(met, _Extend(1, left.columns), left.withColumn("got_right", F.lit(0)).schema, "bytes")
 
-    def count(batch: pa.RecordBatch):
+def _by_words(docs: DataFrame, chunks: DataFrame, runs: DataFrame, id: str, text: str, min_words: int) -> DataFrame:
+    """The passages in and next to ``runs`` that another document holds word by word.
+
+    Windows are ``min_words`` words in a row with what is between them. A window in a run is compared, by its hash, with
+    those around every chunk that has the digest of one of the run's: a passage holds such a chunk wherever it stands.
+    """
+    digests = runs.select(F.explode("digests").alias("wanted")).distinct()
+    places = prefiltered(chunks.select("digest", "id", "at", "size"), ["digest"], digests, ["wanted"])
+    places = places.join(digests, F.col("digest") == F.col("wanted"), "left_semi")
+    spots = places.select("id", F.struct("at", (F.col("at") + F.col("size")).alias("until"), F.lit(False).alias("own")).alias("spot"))
+    around = F.struct((F.col("at") - F.col("lead")).alias("at"), (F.col("until") + F.col("tail")).alias("until"), F.lit(True).alias("own"))
+    spots = spots.union(runs.select("id", around.alias("spot")))
+    spots = stage(spots.groupBy("id").agg(F.collect_set("spot").alias("spots")).withColumnRenamed("id", "spot_id"))
+    rows = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")).filter("id is not null and text is not null")
+    met = prefiltered(rows, ["id"], spots, ["spot_id"]).join(spots, F.col("id") == F.col("spot_id")).drop("spot_id")
+
+    def work(batch: pa.RecordBatch):
+        b, offsets = flat(batch.column("text"))
+        firsts, lasts = word_spans(b, offsets)
+        bounds = np.searchsorted(firsts, offsets)
         found = []
-        for row in batch.to_pylist():
-            place = np.frombuffer(row["before"] + row["run"] + row["after"], np.uint8)
-            firsts, lasts = word_spans(place, np.array([0, len(place)]))
-            lo, hi = row["lead"] - row["got_left"], row["lead"] + len(row["run"]) + row["got_right"]
-            n = int(((firsts >= lo) & (lasts <= hi)).sum())
-            if n >= min_words:
-                found.append((row["id"], row["at"] - row["got_left"], row["until"] + row["got_right"], n, row["first_id"]))
-        if found:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), types)], names)
-
-    types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
-    more = map_texts(both, count, "id long, start int, end int, n_words long, first_id long", "run")
-    return sure.union(more.distinct())
-
-
-class _Extend:
-    """Adds ``got_left`` or ``got_right``: how far the run's text goes on alike in the other document's ``bytes``."""
-
-    def __init__(self, way: int, columns: list[str]):
-        self.way, self.columns = way, columns
-
-    def __call__(self, batch: pa.RecordBatch):
-        got = []
-        for row in batch.to_pylist():
-            if self.way < 0:
-                near, chunk = row["before"], row["run"][: row["left_size"]]
-            else:
-                near, chunk = row["after"], row["run"][-row["right_size"] :]
-            got.append(_shared(near, row["bytes"] or b"", chunk, self.way))
-        columns = [*[batch.column(c) for c in self.columns], pa.array(got, pa.int32())]
-        yield pa.RecordBatch.from_arrays(columns, [*self.columns, "got_left" if self.way < 0 else "got_right"])
-
-
-def _shared(own: bytes, other: bytes, chunk: bytes, way: int) -> int:
-    """How many bytes of ``own``, which stands after ``chunk`` (``way`` 1) or before it (-1), go on alike in ``other``
-    where it holds the chunk; the most, if it holds it in several places."""
-    most, at = 0, other.find(chunk)
-    while at >= 0:
-        after = at + len(chunk)
-        near = other[after : after + len(own)] if way > 0 else other[max(at - len(own), 0) : at][::-1]
-        mine = own if way > 0 else own[::-1]
-        n = min(len(mine), len(near))
-        differ = np.flatnonzero(np.frombuffer(mine[:n], np.uint8) != np.frombuffer(near[:n], np.uint8))
-        most = max(most, int(differ[0]) if len(differ) else n)
-        at = other.find(chunk, at + 1)
-    return most
+        for row, (doc, spots) in enumerate(zip(batch.column("id").to_pylist(), batch.column("spots").to_pylist())):
+            first, last = (x[bounds[row] : bounds[row + 1]] for x in (firsts, lasts))
+            starts, ends = first[: max(len(first) - min_words + 1, 0)], last[min_words - 1 :]
+            wanted, own = np.zeros(len(starts) + 1, dtype=np.int32), np.zeros(len(starts) + 1, dtype=np.int32)
+            for s in spots:
+                at, until = s["at"] + offsets[row], s["until"] + offsets[row]
+                if s["own"]:
+                    i, j = np.searchsorted(starts, at), np.searchsorted(ends, until, side="right")
+                else:
+                    i, j = np.searchsorted(ends, until), np.searchsorted(starts, at, side="right")
+                if i < j:
+                    for marks in (wanted, own) if s["own"] else (wanted,):
+                        marks[i] += 1
+                        marks[j] -= 1
+            at = np.flatnonzero(np.cumsum(wanted[:-1]) > 0)
+            found.append((np.full(len(at), doc), at, starts[at], ends[at], np.cumsum(own[:-1])[at] > 0, offsets[row]))
+        doc, at, starts, ends, own = (np.concatenate(c) for c in list(zip(*found))[:5])
+        base = np.repeat([f[5] for f in found], [len(f[0]) for f in found])
+        hashes = span_hashes(b, starts, ends).view(np.int64)
+        columns = [doc, at.astype(np.int32), (starts - base).astype(np.int32), (ends - base).astype(np.int32), own, hashes]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["id", "at", "start", "end", "own", "window"])
+
+    windows = stage(map_texts(met, work, "id long, at int, start int, end int, own boolean, window long", "text"))
+    holders = windows.groupBy("window").agg(F.min("id").alias("first_id"), F.max("id").alias("last_id"), F.max("own").alias("asked"))
+    holders = holders.filter("asked and first_id != last_id").select(F.col("window").alias("held"), "first_id")
+    shared = windows.filter("own").join(holders, F.col("window") == F.col("held"))
+    shared = shared.select("id", "first_id", "at", "start", "end").distinct()
+    stretch = F.col("at") - F.dense_rank().over(Window.partitionBy("id", "first_id").orderBy("at"))
+    shared = shared.withColumn("stretch", stretch).groupBy("id", "first_id", "stretch")
+    n_words = F.max("at") - F.min("at") + F.lit(min_words)
+    return shared.agg(F.min("start").alias("start"), F.max("end").alias("end"), n_words.cast("long").alias("n_words"))
 
 
 def drop_repeated(docs: DataFrame, id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
