@@ -14,7 +14,7 @@ from tidemark.plans.partners import COMPANY
 from tidemark.plans.shopfloor import CAPACITY, PRODUCTION
 from tidemark.session import BROADCAST_BYTES
 from tidemark.sources.profiles import Profile
-from tidemark.sources.store import Folder
+from tidemark.sources.store import Folder, added_up, to_compact
 from tidemark.warehouse import LoadFailed, LoadReport, Warehouse
 
 COMPANY_ROWS = "CPY_0 string, CPYNAM_0 string, ROWID long"
@@ -381,3 +381,62 @@ def test_vacuum_of_months(production):
     before = values(warehouse.store.read(PRODUCTION))
     assert warehouse.vacuum("PRODUCTION", keep=1, hours=0) == 1
     assert values(warehouse.store.read(PRODUCTION)) == before and len(before) == 2
+
+
+def test_small_folders_are_packed_so_that_every_row_moves_to_a_larger_one():
+    folder = lambda rows, month=None, **more: Folder(f"data/{rows}-{month}", month=month, rows=rows, **more)
+    names = lambda groups: [sorted(f.rows for f in g) for g in groups]
+    assert names(to_compact([folder(1), folder(2), folder(3), folder(90), folder(100)], 100)) == [[1, 2, 3]]
+    assert names(to_compact([folder(n) for n in (40, 41, 42, 43, 44, 45, 46)], 100)) == [[40, 41, 42], [43, 44, 45]]
+    assert to_compact([folder(99), folder(1), folder(500)], 100) == to_compact([], 100) == to_compact([folder(None)], 100) == []
+    held = [folder(7, month=1), folder(8, month=1), folder(5, month=2), folder(6, month=-1), folder(9, month=-1)]
+    assert names(to_compact([*held, folder(1, bucket=0, buckets=1), folder(4, month=3), folder(4, month=3)], 100)) == [[4, 4, 7, 8]]
+
+
+def test_compaction_keeps_rows_ids_cursor_and_fingerprints(company):
+    for i in range(1, 7):
+        warehouse = company(*[(f"C{n}", f"name {n}", n) for n in range(1, 2 * i + 1)])
+        warehouse.load("COMPANY")
+    before, reader = values(warehouse.store.read(COMPANY, with_id=True)), warehouse.store.read(COMPANY)
+    _, old = warehouse.store.state(COMPANY)
+    assert warehouse.compact("COMPANY") == 4 and warehouse.compact("COMPANY") == 0
+    _, folders = warehouse.store.state(COMPANY)
+    assert added_up(folders) == added_up(old) and max(f.cursor for f in folders) == 12
+    assert values(warehouse.store.read(COMPANY, with_id=True)) == before and len(values(reader)) == 12
+    assert warehouse.load("COMPANY").outcome == "nothing new" and warehouse.sync("COMPANY").outcome == "in step"
+    company(("C3", "again", 13))
+    with pytest.raises(LoadFailed, match="already in the table"):
+        warehouse.load("COMPANY")
+    company(("new", "new", 14)).load("COMPANY")
+    assert values(warehouse.store.read(COMPANY, with_id=True))[4] == (13, "new", "new", 14)
+    assert warehouse.vacuum("COMPANY", keep=1, hours=0) == 5
+
+
+def test_compaction_by_month_and_set_aside_rows(capacity):
+    warehouse = capacity(("P", "W", "one", "S"), ("Q" * 51, "W", "two", "S"))
+    for _ in range(3):
+        warehouse.load("POSTEDECHARGE")
+    before, aside = values(warehouse.store.read(CAPACITY)), values(warehouse.store.quarantine(CAPACITY))
+    _, old = warehouse.store.state(CAPACITY)
+    assert warehouse.compact("POSTEDECHARGE") > 0
+    _, folders = warehouse.store.state(CAPACITY)
+    kept = [f for f in folders if f.month != -1]
+    assert len({f.month for f in kept}) == len(kept) < len([f for f in old if f.month != -1])
+    assert values(warehouse.store.read(CAPACITY)) == before and values(warehouse.store.quarantine(CAPACITY)) == aside
+
+
+def test_a_load_that_commits_first_wins_over_compaction(company, monkeypatch):
+    for i in range(1, 5):
+        warehouse = company(*[(f"C{n}", "x", n) for n in range(1, i + 1)])
+        warehouse.load("COMPANY")
+    store, write = warehouse.store, warehouse.store.write
+    version, folders = store.state(COMPANY)
+
+    def slow(*args, **more):
+        store._put(COMPANY, version + 1, folders[:1])
+        return write(*args, **more)
+
+    monkeypatch.setattr(store, "write", slow)
+    with pytest.raises(LoadFailed, match="another writer committed first"):
+        warehouse.compact("COMPANY")
+    assert values(store.read(COMPANY)) == [("C1", "x", 1)]

@@ -16,6 +16,7 @@ import time
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, field
+from itertools import zip_longest
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -91,6 +92,28 @@ def added_up(folders: Sequence[Folder]) -> tuple[int, ...] | None:
     return tuple(sum(c) for c in zip(*[f.sums for f in folders])) if folders else EMPTY
 
 
+def to_compact(folders: Sequence[Folder], rows: int) -> list[list[Folder]]:
+    """The folders worth rewriting, in lists to be written one after the other; each part has one new folder in a list.
+
+    Folders of one part with fewer than ``rows`` rows are packed, the smallest first, until they have as many. None of
+    them has more than two thirds of its pack's rows, so every row moves to a folder at least half as large again, and is
+    rewritten only as often as its folder can grow so. Buckets have one folder each; rejected rows stay where they are.
+    """
+    small = [f for f in folders if f.bucket is None and f.month != REJECTED and f.rows is not None and f.rows < rows]
+    parts: dict[int, list[list[Folder]]] = {}
+    for f in sorted(small, key=lambda f: (f.rows, f.path)):
+        packs = parts.setdefault(f.number, [[]])
+        if sum(g.rows for g in packs[-1]) >= rows:
+            packs.append([])
+        packs[-1].append(f)
+    for packs in parts.values():
+        for pack in packs:
+            while pack and 3 * pack[-1].rows > 2 * sum(g.rows for g in pack):
+                pack.pop()
+        packs[:] = [pack for pack in packs if len(pack) > 1]
+    return [[f for pack in packs if pack for f in pack] for packs in zip_longest(*parts.values())]
+
+
 #: The columns of ``multiset_sums``, and the fingerprint of no rows.
 SUMS = ("rows", *[f"h{seed}_{shift}" for seed in (1, 2) for shift in (0, 22, 44)])
 EMPTY = (0,) * len(SUMS)
@@ -266,6 +289,25 @@ class Store:
         version, _ = self.state(ds)
         self.commit(ds, version, self.write(ds, conform(df, ds.stored_schema)).folders)
 
+    def compact(self, ds: Dataset, rows: int) -> int:
+        """Put the rows of small folders into larger ones, see ``to_compact``; returns by how many folders there are fewer.
+
+        Ids, cursor and fingerprints stay as they are. The old folders are left to readers and :meth:`vacuum`. A load that
+        commits meanwhile wins, and nothing is compacted.
+        """
+        version, folders = self.state(ds)
+        old, written = [], []
+        for group in to_compact(folders, rows):
+            held = self.read_folders(ds, group)
+            fresh = self.write(ds, held if ds.month_column else held.hint("rebalance")).folders
+            if added_up(group) not in (None, added_up(fresh)):
+                raise RuntimeError(f"{ds.name}: the rows changed while they were compacted")
+            old += group
+            written += fresh
+        if old:
+            self.commit(ds, version, [f for f in folders if f not in old] + written)
+        return len(old) - len(written)
+
     def vacuum(self, ds: Dataset, keep: int = 10, hours: float = 7 * 24) -> int:
         """Delete the folders that none of the last ``keep`` states names; returns their number.
 

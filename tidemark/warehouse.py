@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 from datetime import date
+from typing import TypeVar
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -30,6 +31,8 @@ from tidemark.sources.store import BUCKET, REJECTED, SUMS, Folder, Store, added_
 #: Rows of a bucket, the part of a table that a synchronisation replaces at a time, and the most buckets of a table.
 BUCKET_ROWS = ("spark.tidemark.bucket.rows", 1_000_000)
 MAX_BUCKETS = 4096
+#: Folders with fewer rows are small, see ``Warehouse.compact``.
+COMPACT_ROWS = ("spark.tidemark.compact.rows", 5_000_000)
 
 CREATED, EXISTS, LOADED = "created", "exists", "loaded"
 NOTHING_NEW, IN_STEP, FAILED = "nothing new", "in step", "failed"
@@ -65,6 +68,9 @@ class Staged:
     broken: dict[str, int]
 
 
+Result = TypeVar("Result")
+
+
 class LoadFailed(RuntimeError):
     """A load that changed nothing; ``report`` says why."""
 
@@ -125,7 +131,7 @@ class Warehouse:
             raise ValueError(f"{name} has no synchronisation")
         return self._guarded({"replace": self._replace, "merge": self._merge, "upsert": self._upsert}[ds.sync], ds)
 
-    def _guarded(self, run: Callable[..., LoadReport], ds: Dataset, *args) -> LoadReport:
+    def _guarded(self, run: Callable[..., Result], ds: Dataset, *args) -> Result:
         """Each load has a folder and inputs of its own, so loads of one warehouse may run side by side."""
         try:
             with staging(self.spark) as folder:
@@ -138,6 +144,11 @@ class Warehouse:
             message = f"another writer committed first: {cause}" if "FileAlreadyExists" in cause else cause
             raise LoadFailed(LoadReport(ds.name, FAILED, message=message)) from error
 
+    def compact(self, name: str) -> int:
+        """Join the small folders that loads have left into larger ones, see ``Store.compact``; how many fewer there are."""
+        rows = setting(self.spark, COMPACT_ROWS)
+        return self._guarded(lambda _, ds: self.store.compact(ds, rows), DATASETS[name])
+
     def vacuum(self, name: str, keep: int = 10, hours: float = 7 * 24) -> int:
         """Delete replaced rows and what failed loads left, see ``Store.vacuum``."""
         return self.store.vacuum(DATASETS[name], keep, hours)
