@@ -7,6 +7,7 @@ import html
 import io
 import math
 import re
+import time
 import zipfile
 import zlib
 from collections import Counter
@@ -328,3 +329,32 @@ def test_hash_counts(spark, tmp_path, monkeypatch):
     assert (counts[hashes[::-1]] == n[::-1]).all() and len(counts.parts) == 16
     assert counts[np.array([5, 1 << 63], dtype=np.uint64)].tolist() == [0, 0]
     assert write_counts(df.limit(0), f"{tmp_path}/none")[hashes[:3]].tolist() == [0, 0, 0]
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<div class="ad">{n}x',
+        "<div><b>{n}</i>{n}</p>{n}",
+        '<div class="ad">{n}<main>{n}y',
+        "<main>{n}<article class='related'>{n}z",
+        "<ul><li>{n}",
+    ],
+)
+def test_deep_nesting_costs_no_more_than_its_tags(page):
+    def seconds(n):
+        parts = page.split("{n}")
+        start = time.process_time()
+        templates.parse("".join(p * n for p in parts[:-1]) + parts[-1], {})
+        return time.process_time() - start
+
+    seconds(100)
+    few, many = seconds(1000), seconds(16_000)
+    assert many < 64 * max(few, 0.005)
+
+
+def test_text_of_a_deeply_nested_page():
+    deep = '<div class="ad">' * 3000
+    assert templates.main_text(f"{deep}advert{'</div>' * 3000}<p>text", [], {}) == "text"
+    assert templates.main_text(f"{deep}<main><p>kept</p></main>{'</div>' * 3000}", [], {}) == "kept"
+    assert templates.main_text(f"<ul>{'<li>' * 3000}<p>a<p>b", [], {}) == "a b"

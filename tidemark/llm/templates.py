@@ -92,8 +92,8 @@ class Element:
     main: bool
     own_header: bool
     heading: bool
-    named: tuple[int, ...] = ()
-    article_named: tuple[int, ...] = ()
+    named: int = 0
+    article_named: int = 0
 
 
 @dataclass
@@ -106,7 +106,7 @@ class Run:
     aside: bool
     article: bool
     main: bool
-    named: tuple[int, ...] = ()
+    named: int = 0
     template: bool = False
 
 
@@ -153,11 +153,16 @@ def parse(page: str, cache: dict) -> Page:
     An element that its class or id names as a part of a page is set aside, but not if it holds the page's main or
     article: of several the ones in the fewest elements so named, and articles (of the main, if there is one) only if
     they have more text than what is left without them.
+
+    Elements so named are numbered, and ``named`` is the innermost one's number, 0 for none, so that deep nesting costs no
+    more than its tags.
     """
     out = Page()
-    mains: list[set[int]] = []
-    articles: list[tuple[bool, set[int]]] = []
+    names = _Named()
+    mains: list[int] = []
+    articles: list[tuple[bool, int]] = []
     open_: list[Element] = [Element("", 0, False, False, False, False, False)]
+    open_at: dict[str, list[int]] = {}
     block = at = 0
 
     def text(piece: str) -> None:
@@ -176,6 +181,7 @@ def parse(page: str, cache: dict) -> Page:
     def close(to: int) -> None:
         nonlocal block
         for e in open_[to:]:
+            open_at[e.tag].pop()
             if e.tag not in INLINE:
                 block += 1
         del open_[to:]
@@ -197,9 +203,8 @@ def parse(page: str, cache: dict) -> Page:
         at = match.end()
         end, tag = (match.group(1) or "").lower(), (match.group(2) or "").lower()
         if end:
-            places = [i for i, e in enumerate(open_) if e.tag == end]
-            if places:
-                close(places[-1])
+            if open_at.get(end):
+                close(open_at[end][-1])
             elif end not in INLINE:
                 block += 1
             out.tokens.append((_known(cache, open_[-1].path, "/", end), False))
@@ -208,9 +213,9 @@ def parse(page: str, cache: dict) -> Page:
             if re.search(r"(?:^|\s)hidden(?:\s|$)", VALUE.sub("", match.group(3))):
                 attributes.setdefault("hidden", "")
             if tag in ENDS_P:
-                _close_within(open_, close, {"p"}, {"button", "td", "th", "caption", "table"})
+                _close_within(open_at, close, {"p"}, {"button", "td", "th", "caption", "table"})
             if tag in CLOSES:
-                _close_within(open_, close, CLOSES[tag], {"ul", "ol", "dl", "table", "select"})
+                _close_within(open_at, close, CLOSES[tag], {"ul", "ol", "dl", "table", "select"})
             if tag not in INLINE:
                 block += 1
             top = open_[-1]
@@ -221,11 +226,11 @@ def parse(page: str, cache: dict) -> Page:
             is_main = tag == "main" or attributes.get("role", "").lower() == "main"
             main = top.main or is_main
             words = set() if is_main or tag in ("html", "body", "article") else _named(attributes)
-            named = (*top.named, len(out.tokens)) if words else top.named
+            named = names.within(top.named) if words else top.named
             if is_main and not aside:
-                mains.append(set(top.named))
+                mains.append(top.named)
             elif tag == "article" and not (aside or top.article):
-                articles.append((top.main, set(top.named)))
+                articles.append((top.main, top.named))
             # An article's own header is set aside but for its headings.
             is_header = tag == "header" or (words == {"header"} and tag not in ASIDE_TAGS)
             at_top = not top.aside and (not top.named or top.named == top.article_named)
@@ -237,32 +242,60 @@ def parse(page: str, cache: dict) -> Page:
                 at = stop.end() if stop else len(page)
                 block += tag not in INLINE
             elif tag not in VOID and not match.group(3).rstrip().endswith("/"):
+                open_at.setdefault(tag, []).append(len(open_))
                 open_.append(Element(tag, path, aside, article, main, own_header, heading, named, around))
-    held = _fewest(mains)
-    extra = _fewest([names - held for in_main, names in articles if in_main or not mains])
-    if extra:
+    held = names.fewest(mains, {0})
+    free = names.all_in(held)
+    extra = names.fewest([n for in_main, n in articles if in_main or not mains], held)
+    if len(extra) > len(held):
         runs = [r for _, r in out.runs if not r.aside and (r.main or not mains)]
         size = lambda rs: sum(len(r.text.strip()) for r in rs)
-        rest = size(r for r in runs if held.issuperset(r.named))
-        if size(r for r in runs if r.article and (held | extra).issuperset(r.named) and not held.issuperset(r.named)) > rest:
-            held |= extra
+        rest = size(r for r in runs if free[r.named])
+        more = names.all_in(extra)
+        if size(r for r in runs if r.article and more[r.named] and not free[r.named]) > rest:
+            free = more
     for _, run in out.runs:
-        run.aside = run.aside or not held.issuperset(run.named)
+        run.aside = run.aside or not free[run.named]
     return out
 
 
-def _fewest(names: list[set[int]]) -> set[int]:
-    fewest = min(map(len, names), default=0)
-    return set().union(*(n for n in names if len(n) == fewest))
-
-
-def _close_within(open_: list[Element], close, tags: set[str], limits: set[str]) -> None:
-    for i in range(len(open_) - 1, 0, -1):
-        if open_[i].tag in limits:
-            return
-        if open_[i].tag in tags:
-            close(i)
-            return
+class _Named:
+    """The elements named as a part of a page, by number, each with the one around it; 0 is the page."""
+
+    def __init__(self):
+        self.around = [0]
+
+    def within(self, outer: int) -> int:
+        self.around.append(outer)
+        return len(self.around) - 1
+
+    def all_in(self, held: set[int]) -> list[bool]:
+        """For each number whether it and all around it are in ``held``."""
+        out = [True]
+        for n in range(1, len(self.around)):
+            out.append(n in held and out[self.around[n]])
+        return out
+
+    def fewest(self, found: list[int], held: set[int]) -> set[int]:
+        """``held`` and what is around those of ``found`` that are in the fewest others."""
+        depth = [0]
+        for n in range(1, len(self.around)):
+            depth.append(0 if n in held else depth[self.around[n]] + 1)
+        least = min((depth[n] for n in found), default=0)
+        out = set(held)
+        for n in (n for n in found if depth[n] == least):
+            while n not in out:
+                out.add(n)
+                n = self.around[n]
+        return out
+
+
+def _close_within(open_at: dict[str, list[int]], close, tags: set[str], limits: set[str]) -> None:
+    """Close the innermost open element of ``tags``, unless one of ``limits`` is open within it."""
+    last = lambda names: max((open_at[n][-1] for n in names if open_at.get(n)), default=0)
+    at = last(tags)
+    if at > last(limits):
+        close(at)
 
 
 def tokens(pages: DataFrame) -> DataFrame:
