@@ -5,8 +5,10 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tests.conftest import values
+from tidemark.operators import loads
 from tidemark.operators.joins import find_skew, merge_on, new_rows, spine_cross, spread_join
 from tidemark.operators.lookup import CATEGORY, COUNTRY, lookup, lookup_family, table_label
+from tidemark.operators.sizing import estimated_small
 
 
 def _hot(spark, n=3000):
@@ -61,6 +63,31 @@ def test_new_rows_keep_null_keys(frame):
     assert values(new_rows(src, tgt, ["a", "b"])) == [("x", 2), ("y", None), (None, 1)]
 
 
+def _exploded(spark):
+    """Twenty rows that become a million; the optimizer's estimate is that of the twenty."""
+    few = spark.range(20).repartition(4)
+    return few.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(50_000)))).withColumn("v", F.col("n") % 5)
+
+
+def test_exploded_rows_are_not_small(spark):
+    assert not estimated_small(_exploded(spark))
+    assert estimated_small(spark.range(20))
+
+
+@pytest.mark.parametrize("protocol", ["new_rows", "matched_update"])
+def test_exploded_rows_are_not_broadcast(spark, protocol):
+    rows = _exploded(spark)
+    if protocol == "new_rows":
+        found = new_rows(rows, rows.filter("v > 0"), ["id", "n"])
+    else:
+        found = loads.matched_update(rows.withColumn("v", F.col("v") + 1), rows, ["id", "n"], ["v"])
+    found = found.filter("n <= 10")
+    assert found.count() == (40 if protocol == "new_rows" else 200)
+    found = found.filter("v >= 0")
+    found.collect()
+    assert "BroadcastExchange" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_spine_cross_makes_one_row_per_day(frame):
     df = spine_cross(frame("n int", [(1,), (2,)]), F.lit("2020-02-28").cast("date"), F.lit("2020-03-01").cast("date"))
     assert df.count() == 6

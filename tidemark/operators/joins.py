@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.sizing import estimated_small, input_bytes, measured_small
+from tidemark.operators.sizing import estimated_small, input_bytes, measured_small, multiplies
 from tidemark.session import SKEW_MIN_BYTES, SKEW_MIN_ROWS, setting
 
 BUCKETS = 16_384
@@ -122,8 +122,8 @@ def spread_join(
     """Join ``left`` to one or more right sides on the same keys, keeping each right side's other columns.
 
     ``how`` is inner, left, left_semi or left_anti. ``small`` states a size check already made by the caller;
-    without it the optimizer's estimate decides. ``skew=None`` states that no left key is hot,
-    ``copies=False`` that no two left rows are equal; then later filters still reach the left side's scan.
+    without it the optimizer's estimate decides, for frames without a generator. ``skew=None`` states that no left key is
+    hot, ``copies=False`` that no two left rows are equal; then later filters still reach the left side's scan.
     All right sides share one salting, so ``left`` is shuffled once however many there are.
     """
     rights = [rights] if isinstance(rights, DataFrame) else list(rights)
@@ -155,11 +155,16 @@ def spread_join(
         extra = [r for _, r in pairs]
         if tiny:
             right = F.broadcast(right)
-        elif skew:
-            salt = f"{SALT}{i}"
-            right = _repeated(right, extra, types, skew, salt)
-            terms.append(F.col(SALT) == F.col(salt))
-            extra.append(salt)
+        else:
+            exploded = multiplies(right) or (how == "inner" and multiplies(left))
+            if skew:
+                salt = f"{SALT}{i}"
+                right = _repeated(right, extra, types, skew, salt)
+                terms.append(F.col(SALT) == F.col(salt))
+                extra.append(salt)
+            if exploded:
+                # An adaptive plan would trust its own estimate and bring the exploded rows to the driver.
+                right = right.hint("merge")
         result = result.join(right, reduce(lambda x, y: x & y, terms), how)
         if how in ("inner", "left"):
             result = result.drop(*extra)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.joins import find_skews, spread_join
-from tidemark.operators.sizing import measured_small
+from tidemark.operators.sizing import measured_small, multiplies
 
 # Form names, field names and language of the label dictionary.
 LANGUAGE = "FRA"
@@ -81,7 +81,8 @@ def lookup(df: DataFrame, dictionary: DataFrame, on: Sequence[tuple[str, str]],
     """Add column ``as_`` with the one dictionary value for the row's key."""
     grouped = group_lookup(dictionary, [r for _, r in on], value)
     asking = df.withColumn("__asked", F.concat_ws("/", *[F.col(l).cast("string") for l, _ in on]))
-    joined = spread_join(asking, grouped, on, "left")
+    small = measured_small(grouped) if multiplies(grouped) else None
+    joined = spread_join(asking, grouped, on, "left", small=small)
     return joined.select(*df.columns, strict(F.col("__n"), F.col("__value"), as_, "__asked").alias(as_))
 
 

@@ -31,9 +31,21 @@ def measured_bytes(df: DataFrame) -> int:
     return int(df.agg(F.coalesce(F.sum(per_row), F.lit(0))).first()[0])
 
 
+def multiplies(df: DataFrame) -> bool:
+    """Does the frame explode rows? The optimizer's estimate does not count what a generator adds: it is too low then."""
+    open_nodes = [df._jdf.queryExecution().optimizedPlan()]
+    while open_nodes:
+        node = open_nodes.pop()
+        if node.nodeName() == "Generate":
+            return True
+        children = node.children()
+        open_nodes += [children.apply(i) for i in range(children.size())]
+    return False
+
+
 def estimated_small(df: DataFrame) -> bool:
-    """True if the estimate is below the broadcast limit of the session."""
-    return estimated_bytes(df) <= setting(df.sparkSession, BROADCAST_BYTES)
+    """True if the estimate is below the broadcast limit of the session, and no generator makes it too low."""
+    return estimated_bytes(df) <= setting(df.sparkSession, BROADCAST_BYTES) and not multiplies(df)
 
 
 def measured_small(df: DataFrame) -> bool:
