@@ -551,7 +551,7 @@ def e4(spark, sf_dir):
 )
 def e4_same(spark, sf_dir):
     invoices = trade.build_invoice(inputs(spark, sf_dir))
-    other_order = invoices.repartition(5, "codeArticle")
+    other_order = invoices.repartition("codeArticle", "rowID")
     answers = rows.same_rows(invoices, other_order), rows.same_rows(invoices, _off(invoices))
     return spark.createDataFrame([answers], "itself boolean, off boolean")
 
