@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import functions as F
+from pyspark.sql.readwriter import DataFrameWriter
 
 from adapters import queries
-from tests.conftest import SF_DIR
+from tests.conftest import SF_DIR, values
+from tidemark.plans import partners
 
 
 def test_rows_in_another_order_are_dealt_to_all_tasks(spark, without_aqe, monkeypatch):
@@ -16,3 +20,31 @@ def test_rows_in_another_order_are_dealt_to_all_tasks(spark, without_aqe, monkey
     sizes = [r["count"] for r in seen[0].groupBy(F.spark_partition_id()).count().collect()]
     assert len(sizes) == int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert max(sizes) < 2 * sum(sizes) / len(sizes)
+
+
+def test_buckets_are_written_once(spark, frame, house, monkeypatch):
+    """The first load of a table in buckets writes its rows to one staged copy and to their folder, ids without a gap."""
+    monkeypatch.setattr(DataFrameWriter, "parquet", _counted(written := Counter(), DataFrameWriter.parquet))
+    spark.conf.set("spark.tidemark.bucket.rows", "50")
+    try:
+        source = frame("REPNUM_0 string, REPNAM_0 string, ROWID long", [(str(i), f"name {i}", i + 1) for i in range(300)])
+        warehouse = house({"SALESREP": source})
+        warehouse.create("SALESREP")
+        assert warehouse.load("SALESREP").inserted == 300
+    finally:
+        spark.conf.unset("spark.tidemark.bucket.rows")
+    assert sum(written.values()) == 2
+    stored = warehouse.store.read(partners.SALESREP, with_id=True)
+    assert sorted(r.id for r in stored.select("id").collect()) == list(range(1, 301))
+    _, folders = warehouse.store.state(partners.SALESREP)
+    assert {f.buckets for f in folders} == {8}
+    assert values(stored.drop("id")) == values(source)
+
+
+def _counted(written, original):
+    def parquet(self, path, *args, **kwargs):
+        if not path.endswith("/_index"):
+            written[tuple(self._df.columns)] += 1
+        return original(self, path, *args, **kwargs)
+
+    return parquet

@@ -47,6 +47,10 @@ def local_session(cores: int = 8, app: str = "tidemark", **extra: str) -> SparkS
     return spark
 
 
+#: Codec of staged and stored files: rows are written several times on their way, and zstd makes them smaller than snappy.
+CODEC = "zstd"
+
+
 def setting(spark: SparkSession, option: tuple[str, int]) -> int:
     key, default = option
     return int(spark.conf.get(key, str(default)))
@@ -74,7 +78,7 @@ def stage(df: DataFrame, folder: str | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{folder or shared_dir(spark)}/stage-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=CODEC)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 from tidemark.functions.scalars import conform, month_number
 from tidemark.operators.rows import multiset_sums, sort_for_layout
 from tidemark.plans.model import Dataset
+from tidemark.session import CODEC
 from tidemark.sources import keyindex
 
 PART = "_month"
@@ -233,18 +234,18 @@ class Store:
         facts = self._facts(ds, checks)
         if not ds.month_column and not buckets:
             seen = Observation()
-            df.observe(seen, *facts).write.parquet(path)
+            df.observe(seen, *facts).write.parquet(path, compression=CODEC)
             return self._indexed(ds, [self._described(name, seen.get)], self._broken(checks, [seen.get]))
         if buckets:
             part = BUCKET
-            df.write.partitionBy(part).parquet(path)
+            df.write.partitionBy(part).parquet(path, compression=CODEC)
         else:
             part = PART
             label = month_number(ds.month_column)
             if "reason" in df.columns:
                 label = F.when(F.col("reason") != "", REJECTED).otherwise(label)
             monthly = df.withColumn(part, label).hint("rebalance", part)
-            sort_for_layout(monthly, [part, *ds.keys]).write.partitionBy(part).parquet(path)
+            sort_for_layout(monthly, [part, *ds.keys]).write.partitionBy(part).parquet(path, compression=CODEC)
         if not any(c.startswith(f"{part}=") for c in self._children(path)):
             return Written([])
         schema = T.StructType([*ds.stored_schema.fields, T.StructField(part, T.IntegerType())])

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 from datetime import date
@@ -10,9 +9,8 @@ from typing import TypeVar
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.functions.scalars import conform, month_number
 from tidemark.operators import loads
@@ -274,16 +272,22 @@ class Warehouse:
         return buckets, sorted(changed)
 
     def _write_buckets(self, run: Run, ds: Dataset, rows: DataFrame, buckets: int) -> list[Folder]:
-        """Write staged rows bucket by bucket, numbered from 1 in each."""
+        """Write staged rows bucket by bucket, numbered from 1 in each.
+
+        A row's number is its place among the bucket's rows by staged file and position, the same if a task is repeated.
+        Rows are shuffled once, a bucket to a task, and written once.
+        """
         if buckets == 1:
             written = self.store.write(ds, number_staged(rows)).folders
             return [replace(f, bucket=0, buckets=1) for f in written if f.rows]
-        path = f"{run.folder}/buckets-{uuid.uuid4().hex}"
-        dealt = rows.withColumn(BUCKET, self._bucket(ds, buckets)).hint("rebalance", BUCKET)
-        dealt.write.partitionBy(BUCKET).parquet(path)
-        schema = T.StructType([*ds.schema.fields, T.StructField(BUCKET, T.IntegerType())])
-        dealt = self.spark.read.schema(schema).parquet(path)
-        return self.store.write(ds, number_staged(dealt, by=BUCKET), buckets=buckets).folders
+        place = Window.partitionBy(BUCKET).orderBy("__file", "__index")
+        dealt = rows.select(
+            "*",
+            self._bucket(ds, buckets).alias(BUCKET),
+            F.col("_metadata.file_name").alias("__file"),
+            F.col("_metadata.row_index").alias("__index"),
+        ).withColumn("id", F.row_number().over(place).cast("long"))
+        return self.store.write(ds, dealt.select(*ds.stored_schema.names, BUCKET), buckets=buckets).folders
 
     def _merge(self, run: Run, ds: Dataset) -> LoadReport:
         """Equal fingerprints mean that nothing is to be merged; then the target is not read."""
