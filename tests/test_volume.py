@@ -9,6 +9,7 @@ from pyspark.sql.readwriter import DataFrameWriter
 
 from adapters import queries
 from tests.conftest import SF_DIR, values
+from tidemark.operators.keys import assign_ids
 from tidemark.plans import partners
 
 
@@ -48,3 +49,12 @@ def _counted(written, original):
         return original(self, path, *args, **kwargs)
 
     return parquet
+
+
+def test_numbered_rows_stand_in_small_files(spark, frame):
+    """A group of equal rows is still numbered without a gap; its copy is packed by zstd."""
+    df = frame("k int, v string", [(i % 3, "same") for i in range(900)])
+    numbered = assign_ids(df, order_by=["k"])
+    assert all(".zstd." in name for name in numbered.inputFiles())
+    assert [r.k for r in numbered.orderBy("id").collect()] == sorted(i % 3 for i in range(900))
+    assert sorted(r.id for r in numbered.collect()) == list(range(1, 901))
