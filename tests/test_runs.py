@@ -67,3 +67,42 @@ def test_cut_runs_have_all_days_or_none_in_common(frame):
         for b in both:
             if a[:2] == b[:2] and (a[2] - b[2]).days % 7 == 0:
                 assert a[2:] == b[2:] or a[3] < b[2] or b[3] < a[2]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_touched_months_of_runs_are_those_of_days(frame, seed):
+    rng = random.Random(20 + seed)
+    sides = [[r for r in _days(rng, ["p", "q", s, None], [1, 2]) if r[3]] for s in "rs"]
+    source, target = frame(GRID, sides[0]).distinct(), frame(GRID, sides[1] + sides[0][:20])
+    want = loads.touched_months(source, target, ["post", "plan", "day"], "day").select("month", "matched")
+    found = runs.touched_months(*[runs.to_runs(df, "day", 7) for df in (source, target)], ["post", "plan"], 7)
+    kept = lambda df: {r.month: r.matched for r in df.collect() if r.month is not None or r.matched}
+    assert kept(found).keys() == kept(want).keys()
+    assert sum(kept(found).values()) == sum(kept(want).values())
+
+
+@pytest.mark.parametrize("period", [1, 7, 45])
+def test_runs_cut_by_month_hold_the_same_days(frame, period):
+    rows = [("p", "w", "a", START + timedelta(days=3 + period * i), 1.0) for i in range(40)]
+    found = runs.to_runs(frame(GRID, rows), "day", period)
+    cut = runs.by_month(found, period)
+    assert values(runs.to_days(cut, "day", period, ["post", "plan", "what", "day", "hours"])) == sorted(rows, key=repr)
+    assert all((r[runs.FIRST].year, r[runs.FIRST].month) == (r[runs.LAST].year, r[runs.LAST].month) for r in cut.collect())
+
+
+def test_the_store_shuffles_and_sorts_runs(spark, tmp_path, frame, monkeypatch):
+    """Days are made in the tasks that write; nothing is sorted to find a least key where there is none."""
+    from tidemark.plans.shopfloor import CAPACITY
+    from tidemark.sources import store
+
+    sorted_frames = []
+    monkeypatch.setattr(store, "sort_for_layout", lambda df, by: sorted_frames.append(df) or df.sortWithinPartitions(*by))
+    names = CAPACITY.schema.names
+    rows = [("p", "w", "a", "c", START + timedelta(days=7 * i), 1.0) for i in range(20)]
+    grid = frame("poste string, schema string, designationPoste string, company string, dateschema date, tempstheorique double", rows)
+    house = store.Store(spark, str(tmp_path))
+    written = house.write(CAPACITY, runs.to_runs(grid, "dateschema", 7))
+    assert written.rows == 20 and sorted_frames[0].count() == 5 == len(written.folders)
+    assert values(house.read_folders(CAPACITY, written.folders).select(*names)) == sorted(rows, key=repr)
+    facts = grid.groupBy("poste").agg(*house._facts(CAPACITY, {}))
+    assert "SortAggregate" not in facts._jdf.queryExecution().executedPlan().toString()

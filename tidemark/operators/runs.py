@@ -12,7 +12,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.scalars import month_number
 from tidemark.operators.loads import upsert
+from tidemark.operators.rows import row_hash
 from tidemark.session import stage
 
 FIRST, LAST, PHASE = "__first", "__last", "__phase"
@@ -37,6 +39,11 @@ def _days(first: Column, last: Column, period: int) -> Column:
     return F.sequence(first, last, F.expr(f"interval {period} days"))
 
 
+def days_of(period: int) -> Column:
+    """The days of a run, one row each."""
+    return F.explode(_days(F.col(FIRST), F.col(LAST), period))
+
+
 def to_runs(df: DataFrame, day: str, period: int, folder: str | None = None) -> DataFrame:
     """``df`` as runs: its columns without ``day``, and FIRST and LAST. Copies of a row are runs of their own.
 
@@ -71,10 +78,48 @@ def to_runs(df: DataFrame, day: str, period: int, folder: str | None = None) ->
 def to_days(runs: DataFrame, day: str, period: int, columns: Sequence[str]) -> DataFrame:
     """The rows of the runs, one a day, with ``columns`` in this order. Runs are few: they are dealt out evenly first."""
     parts = int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = runs.repartition(parts).withColumn(day, F.explode(_days(F.col(FIRST), F.col(LAST), period)))
+    spread = runs.repartition(parts).withColumn(day, days_of(period))
     return spread.select(*_quoted(columns))
 
 
+def by_month(runs: DataFrame, period: int) -> DataFrame:
+    """The runs cut where a month ends: each row's days are of one month, the one of FIRST."""
+    others = [c for c in runs.columns if c not in (FIRST, LAST)]
+    starts = F.sequence(F.trunc(F.col(FIRST), "month"), F.trunc(F.col(LAST), "month"), F.expr("interval 1 month"))
+    cut = runs.select("*", F.explode(starts).alias("__start"))
+    skipped = F.greatest(F.lit(0), F.ceil(F.datediff("__start", FIRST) / period))
+    kept = F.floor(F.datediff(F.least(F.col(LAST), F.last_day("__start")), FIRST) / period)
+    ends = [F.date_add(FIRST, (n * period).cast("int")).alias(name) for n, name in ((skipped, FIRST), (kept, LAST))]
+    return cut.select(*_quoted(others), *ends).filter(F.col(FIRST) <= F.col(LAST))
+
+
+def touched_months(src: DataFrame, tgt: DataFrame, keys: Sequence[str], period: int) -> DataFrame:
+    """``loads.touched_months`` of the runs' days, without ``most``; ``keys`` without the day.
+
+    Runs cut alike have the same days or none in common, so they are compared as the days would be one by one.
+    """
+    columns = [c for c in src.columns if c not in (FIRST, LAST)]
+    cut = cut_alike([src, tgt.select(*_quoted(src.columns))], keys, period)
+
+    def narrow(df: DataFrame, is_source: bool) -> DataFrame:
+        hashes = [row_hash(columns, seed).alias(f"__h{seed}") for seed in (1, 2)]
+        return df.select(*_quoted(keys), FIRST, LAST, *hashes, F.lit(int(is_source)).alias("__s"))
+
+    ends = [f(h).alias(f"{name}{h[-1]}") for h in ("__h1", "__h2") for f, name in ((F.min, "lo"), (F.max, "hi"))]
+    per_key = narrow(cut[0], True).unionByName(narrow(cut[1], False)).groupBy(*_quoted(keys), FIRST, LAST)
+    per_key = per_key.agg(*ends, F.count(F.lit(1)).alias("rows"), F.sum("__s").alias("sources"))
+    keyless = reduce(lambda x, y: x | y, [k.isNull() for k in _quoted(keys)])
+    targets = F.col("rows") - F.col("sources")
+    differs = (F.col("lo1") != F.col("hi1")) | (F.col("lo2") != F.col("hi2"))
+    touched = (F.col("sources") > 0) & (keyless | (targets == 0) | differs)
+    days = _days(F.col(FIRST), F.col(LAST), period)
+    months = F.array_distinct(F.transform(days, month_number))
+    matched = F.when((F.col("sources") > 0) & ~keyless, targets * F.size(days)).otherwise(0)
+    spread = per_key.select(matched.alias("matched"), F.posexplode_outer(F.when(touched, months)).alias("n", "month"))
+    once = F.when(F.coalesce("n", F.lit(0)) == 0, F.col("matched")).otherwise(0)
+    return spread.groupBy("month").agg(F.sum(once).alias("matched"))
+
+
 def cut_alike(sides: Sequence[DataFrame], keys: Sequence[str], period: int) -> list[DataFrame]:
     """The runs of both sides cut wherever a run with the same keys and phase begins or has ended on either side.
 

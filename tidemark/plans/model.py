@@ -95,7 +95,8 @@ class Dataset:
     the document number by which the other source tables belong to that one.
 
     ``build_distinct`` is an optional cheaper way to the distinct rows of ``build``. ``period``: rows of one kind come
-    every so many days, so that an upsert works on runs of them, see operators/runs.py.
+    every so many days, so that an upsert works on runs of them, see operators/runs.py. ``build_runs`` gives the distinct
+    rows as such runs, none without a day.
     """
 
     name: str
@@ -114,6 +115,7 @@ class Dataset:
     month_column: str | None = None
     build_distinct: Callable[[Inputs], DataFrame] | None = None
     period: int | None = None
+    build_runs: Callable[[Inputs], DataFrame] | None = None
 
     @property
     def schema(self) -> T.StructType:

@@ -173,4 +173,5 @@ CAPACITY = Dataset(
     month_column="dateschema",
     build_distinct=build_capacity_distinct,
     period=7,
+    build_runs=build_capacity_runs,
 )

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.scalars import conform, month_number
+from tidemark.operators import runs
 from tidemark.operators.rows import multiset_sums, sort_for_layout
 from tidemark.plans.model import Dataset
 from tidemark.session import CODEC
@@ -223,6 +224,7 @@ class Store:
 
         Tables kept by month are spread by a rebalance on the month, which splits a month too large for one task,
         and are sorted inside each file. Rows with a ``reason`` go to a folder of their own, in the same pass.
+        ``df`` may be runs of days, see operators/runs.py: runs are shuffled and sorted, days are made in the tasks that write.
         ``buckets``: ``df`` has a column BUCKET and is written by it. ``checks``: rules and when a row breaks them.
 
         A folder of one part is described while it is written; the tasks of the writing stage report their rows once,
@@ -241,11 +243,18 @@ class Store:
             df.write.partitionBy(part).parquet(path, compression=CODEC)
         else:
             part = PART
-            label = month_number(ds.month_column)
+            is_runs = runs.FIRST in df.columns
+            df, day = (runs.by_month(df, ds.period), runs.FIRST) if is_runs else (df, ds.month_column)
+            label = month_number(day)
             if "reason" in df.columns:
                 label = F.when(F.col("reason") != "", REJECTED).otherwise(label)
             monthly = df.withColumn(part, label).hint("rebalance", part)
-            sort_for_layout(monthly, [part, *ds.keys]).write.partitionBy(part).parquet(path, compression=CODEC)
+            monthly = sort_for_layout(monthly, [part, *[day if k == ds.month_column else k for k in ds.keys]])
+            if is_runs:
+                more = ["reason"] if "reason" in df.columns else []
+                monthly = monthly.withColumn(ds.month_column, runs.days_of(ds.period))
+                monthly = monthly.select(*ds.stored_schema.names, *more, part)
+            monthly.write.partitionBy(part).parquet(path, compression=CODEC)
         if not any(c.startswith(f"{part}=") for c in self._children(path)):
             return Written([])
         schema = T.StructType([*ds.stored_schema.fields, T.StructField(part, T.IntegerType())])
@@ -258,7 +267,8 @@ class Store:
     def _facts(self, ds: Dataset, checks: Mapping[str, Column]) -> list[Column]:
         cursor = F.col(ds.cursor) if ds.cursor else F.lit(None).cast("long")
         key = keyindex.text_of(ds)
-        key = F.lit(None).cast("string") if key is None else key
+        # Not text where there is no key: a least text is found by sorting all rows, a least number is not.
+        key = F.lit(None).cast("long") if key is None else key
         ends = [F.max(cursor).alias("cursor"), F.min(key).alias("low"), F.max(key).alias("high")]
         broken = [F.count_if(rule).alias(f"broken{i}") for i, rule in enumerate(checks.values())]
         return [*multiset_sums(ds.schema.names), *ends, *broken]

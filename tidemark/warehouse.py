@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import conform, month_number
-from tidemark.operators import loads
+from tidemark.operators import loads, runs
 from tidemark.operators.keys import number_staged
 from tidemark.operators.quality import Rules, RuleViolation, mark, repeats, taken, violations
 from tidemark.operators.rows import collapse, diff_rows, distinct, multiset_sums
@@ -183,13 +183,21 @@ class Warehouse:
     def _append_all(self, run: Run, ds: Dataset, clear: bool) -> LoadReport:
         """Every distinct source row is added, whatever the table holds. Rows that break a rule are set aside."""
         version, folders = self._state(ds, clear)
-        written = self.store.write(ds, mark(self._distinct(run, ds), ds.rules)).folders
+        written = self.store.write(ds, self._marked(run, ds)).folders
         inserted = sum(f.rows for f in written if f.month != REJECTED)
         quarantined = sum(f.rows for f in written if f.month == REJECTED)
         if written:
             self.store.commit(ds, version, folders + written)
         return LoadReport(ds.name, LOADED if inserted else NOTHING_NEW, inserted, quarantined=quarantined)
 
+    def _marked(self, run: Run, ds: Dataset) -> DataFrame:
+        """The distinct source rows with their ``reason``; as runs of days where the table has them and each day of a run
+        keeps or breaks the rules with the others."""
+        if not ds.build_runs or ds.rules.unique:
+            return mark(self._distinct(run, ds), ds.rules)
+        days = ds.build_runs(run.inputs).withColumnRenamed(runs.FIRST, ds.month_column)
+        return mark(days, ds.rules).withColumnRenamed(ds.month_column, runs.FIRST)
+
     def _add(self, run: Run, ds: Dataset, rows: DataFrame, version: int, folders: list[Folder]) -> LoadReport:
         written, inserted = self._write_checked(run, ds, rows, folders, is_added=True)
         if not inserted:
@@ -311,6 +319,8 @@ class Warehouse:
 
     def _upsert(self, run: Run, ds: Dataset) -> LoadReport:
         version, folders = self._state(ds)
+        if ds.build_runs:
+            return self._upsert_runs(run, ds, version, folders)
         source = stage(self._distinct(run, ds), run.folder)
         months, updated, most = self._touched(ds, source)
         if not months:
@@ -325,6 +335,25 @@ class Warehouse:
         inserted = self._rewrite(run, ds, source, months, version, folders, next_state)
         return LoadReport(ds.name, LOADED, inserted, updated)
 
+    def _upsert_runs(self, run: Run, ds: Dataset, version: int, folders: list[Folder]) -> LoadReport:
+        """The upsert of a table whose source comes as runs: stored days are read once, made into runs and compared as such.
+
+        Stored rows without a day match nothing; the source has none, so their folder is never touched.
+        """
+        source = stage(ds.build_runs(run.inputs), run.folder)
+        target = runs.to_runs(self.store.read(ds), ds.month_column, ds.period, run.folder)
+        keys = [k for k in ds.keys if k != ds.month_column]
+        found = runs.touched_months(source, target, keys, ds.period).collect()  # a row per month
+        months = {r["month"] for r in found if r["month"] is not None}
+        if not months:
+            return LoadReport(ds.name, IN_STEP)
+        changed = runs.upsert_runs(source, target, keys, ds.update, ds.period, ds.order, run.folder)
+        part = runs.by_month(changed, ds.period).filter(month_number(runs.FIRST).isin(sorted(months)))
+        old = [f for f in folders if f.month in months]
+        written, after = self._write_checked(run, ds, part, [])
+        self.store.commit(ds, version, [f for f in folders if f.month not in months] + written)
+        return LoadReport(ds.name, LOADED, after - sum(f.rows for f in old), sum(r["matched"] for r in found))
+
     def _touched(self, ds: Dataset, source: DataFrame) -> tuple[set[int], int, int]:
         """Months to rewrite, number of matched target rows, largest number of source rows of one key.
 
@@ -389,7 +418,8 @@ class Warehouse:
         if is_added and ds.cursor:
             rules = replace(rules, not_null=[*rules.not_null, ds.cursor])
         if not ds.surrogate:
-            written = self.store.write(ds, conform(rows, ds.schema), rules.checks())
+            rows = rows if runs.FIRST in rows.columns else conform(rows, ds.schema)
+            written = self.store.write(ds, rows, rules.checks())
             self._raise_if(written.broken | repeats(self.store.read_folders(ds, written.folders), rules))
             return written.folders, written.rows
         staged = self._stage(run, ds, rows, rules)
