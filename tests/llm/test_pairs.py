@@ -155,6 +155,49 @@ def test_linked_sets_share_one_of_their_rarest_keys(spark):
         assert sum(map(len, own.values())) < members.join(counts, "key").count()
 
 
+def test_copies_edited_too_much_are_ruled_out_by_their_sketches(spark):
+    """Pairs of a group of copies, each edited a little more than a link allows, are not made; linked pairs all are."""
+    rng = np.random.default_rng(8)
+    fresh = lambda n: rng.integers(0, 1 << 63, n, dtype=np.uint64)
+    for percent, edits in ((80, 43), (90, 20)):
+        base = fresh(400)
+        copies = [np.concatenate([base[np.sort(rng.permutation(400)[edits:])], fresh(edits)]) for _ in range(40)]
+        near = [np.concatenate([base[: 400 - k], fresh(k)]) for k in (1, 5, 10, 15)]
+        sets = [(len(x), *parity.parity_sketch(x).view(np.int64).tolist()) for x in [base, *near, *copies]]
+        columns = ["n", *[f"s{j}" for j in range(parity.SKETCH)]]
+        rows = spark.createDataFrame([(i, *s) for i, s in enumerate(sets)], "sid long, " + ", ".join(f"{c} long" for c in columns))
+        pairs = parity._side(rows, "x").crossJoin(parity._side(rows, "y")).filter("x_sid < y_sid").filter(parity._could_link(percent))
+        found = {(r["x_sid"], r["y_sid"]) for r in pairs.select("x_sid", "y_sid").collect()}
+        assert found >= {(0, i) for i in range(1, 5)}
+        assert sum(a > 4 for a, _ in found) <= 40 * 39 // 2 // 20
+
+
+def test_smaller_sets_of_a_band_need_fewer_keys(spark):
+    """With sizes given, linked sets at the low end of a band still share a key, and fewer keys are kept."""
+    rng = np.random.default_rng(7)
+    bands, sets, pairs = parity.Bands(80), [], []
+    low = next(bands.low(b) for b in range(30) if bands.low(b) > 200)
+    for _ in range(30):
+        a = rng.integers(0, 1 << 63, low + 5, dtype=np.uint64)
+        b = np.concatenate([a[: low + 5 - parity.max_difference(low, 80) // 2], rng.integers(0, 1 << 63, 20, dtype=np.uint64)])
+        shared = len(np.intersect1d(a, b))
+        if 100 * shared >= 80 * (len(a) + len(b) - shared):
+            pairs.append((len(sets), len(sets) + 1))
+        sets += [a, b]
+    keys, sizes = [], []
+    for sid, x in enumerate(sets):
+        found = parity.part_keys(x, bands)
+        keys += [(sid, k) for _, _, own in found for k in own.view(np.int64).tolist()]
+        sizes.append((sid, [(gaps << parity.BAND_BITS) + band for band, gaps, _ in found], len(x)))
+    members = spark.createDataFrame(keys, "sid long, key long").dropDuplicates().withColumn("c", F.lit(2).cast("long"))
+    known = spark.createDataFrame(sizes, "sid long, empty array<long>, n long")
+    own = {sid: set() for sid in range(len(sets))}
+    for r in parity.rarest_keys(members, known, 80).collect():
+        own[r["sid"]].add(r["key"])
+    assert len(pairs) > 20 and all(own[a] & own[b] for a, b in pairs)
+    assert sum(map(len, own.values())) < parity.rarest_keys(members, known.drop("n"), 80).count()
+
+
 def test_one_per_group_awkward_rows(docs, frame):
     text = "one two three four five six seven eight"
     given = [(3, text, "a"), (None, text, "a"), (3, text, "a"), (7, text.upper(), "b"), (9, None, "c"), (10, "", "c"), (None, None, "c")]

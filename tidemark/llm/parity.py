@@ -3,12 +3,13 @@
 A document is the set of its word shingles. With similarity at least t, two sets differ in at most
 D = min(sizes) * (1 - t) / t elements. Sets of a band of sizes are split by hash into more parts than D; the XOR of a
 part's shingle hashes is its parity sketch, and equal tokens cancel, so at most D parts differ: two linked sets have at
-least one part with the same XOR. That part is the join key. The parity bits of a whole set (a 256-bit sketch, each
+least one part with the same XOR. That part is the join key. The parity bits of a whole set (a 1024-bit sketch, each
 shingle flipping one bit) differ in at most as many bits as the sets differ in shingles, which rules out most other
-pairs of a key before their texts are compared.
+pairs of a key while they are joined: also those of copies edited a little more than a link allows, of which a large
+group has as many as the square of its size.
 
-A link shares more keys than a band allows empty parts, so of each set's keys, rarest first, only as many are kept as
-guarantee that two linked sets still meet (a prefix filter). Keys that very many unlike sets share, such as parts that
+A link shares all but as many keys as a set of its size may differ in, so of each set's keys, rarest first, only as many
+are kept as guarantee that two linked sets still meet (a prefix filter). Keys that very many unlike sets share, such as parts that
 hold nothing but a common passage, are the last in that order: a set that shares little else keeps none of them.
 
 Equal sets are one node from the start. In each key only the best-connected set is compared with the others; keys
@@ -36,7 +37,8 @@ WORDS = 5
 PERCENT = 80
 #: A band reaches from a size to this many times the size.
 BAND = 1.5
-SKETCH = 4
+#: Longs of the sketch. With few, sets of some hundred shingles differ in most bits whether or not they are alike.
+SKETCH = 16
 BAND_BITS = 8
 #: Bands up to this one are pruned by how many keys a pair shares; sets beyond have millions of shingles.
 LAST_BAND = 32
@@ -162,21 +164,23 @@ def shingled(docs: DataFrame, id: str, text: str, words: int, percent: int) -> D
 
 
 def _could_link(percent: int) -> Column:
-    """Sizes and sketches of sides x and y allow a link."""
+    """Sizes and sketches of sides x and y allow a link: of sizes x and y, linked sets differ in at most
+    (x + y) * (100 - percent) / (100 + percent) shingles."""
     small, large = F.least("x_n", "y_n"), F.greatest("x_n", "y_n")
     bits = [F.bit_count(F.col(f"x_s{j}").bitwiseXOR(F.col(f"y_s{j}"))) for j in range(SKETCH)]
     differ = reduce(lambda a, b: a + b, bits)
-    return (100 * small >= percent * large) & (percent * differ <= (100 - percent) * small)
+    return (100 * small >= percent * large) & ((100 + percent) * differ <= (100 - percent) * (small + large))
 
 
 def rarest_keys(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(sid, key): of ``members`` (sid, key, c), keys of several sets and a rank of how many, those that links need.
 
-    Two sets of a band that are linked agree in more than ``empties`` of its ``parts``. A set with e empty parts has
-    parts - e keys; in a link it shares at least empties + 1 - e of them, as no more parts are empty in both. So if all
-    its keys are put in an order that all sets follow, one of the first parts - empties is shared, and among the first
-    of the other set too. Keys that no other set has come first in that order, then the others by c. Sets with more
-    empty parts than ``empties`` keep all keys, as do bands of millions of shingles.
+    Two sets of a band that are linked differ in at most D of its ``parts``: parts - 1 - empties for the largest set of
+    the band, fewer for one of ``n`` shingles (if ``sets`` has this column). A set with e empty parts has parts - e keys;
+    in a link it shares at least parts - D - e of them, as no more parts are empty in both. So if all its keys are put in
+    an order that all sets follow, one of the first D + 1 is shared, and among the first of the other set too. Keys that
+    no other set has come first in that order, then the others by c. Sets with more empty parts than ``empties`` keep all
+    keys, as do bands of millions of shingles.
     """
     bands = Bands(percent)
     table = [(bands.low(b) and bands.parts[b], bands.empties[b]) for b in range(LAST_BAND)] if percent < 100 else []
@@ -186,7 +190,8 @@ def rarest_keys(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     ranked = members.withColumn("band", band).select(
         "sid", "key", "band", F.row_number().over(own.orderBy("c", "key")).alias("at"), F.count("*").over(own).alias("held")
     )
-    empty = sets.select(F.col("sid").alias("e_sid"), "empty")
+    size = F.col("n") if "n" in sets.columns else F.lit(None).cast("long")
+    empty = sets.select(F.col("sid").alias("e_sid"), "empty", size.alias("size"))
     ranked = ranked.join(empty, F.col("sid") == F.col("e_sid"))
     if not table:
         return ranked.select("sid", "key")
@@ -195,7 +200,8 @@ def rarest_keys(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     mine = F.filter("empty", lambda e: e.bitwiseAND(mask) == F.col("band"))
     gaps = F.shiftright(F.coalesce(F.get(mine, F.lit(0)), F.lit(0)), BAND_BITS)
     alone = parts - gaps - F.col("held")
-    needed = (F.col("at") <= parts - empties - alone) | (gaps > empties) | (F.col("band") >= LAST_BAND)
+    most = F.least(parts - 1 - empties, F.expr(f"size * {100 - percent} div {percent}"))
+    needed = (F.col("at") <= most + 1 - alone) | (gaps > empties) | (F.col("band") >= LAST_BAND)
     return ranked.filter(needed).select("sid", "key")
 
 
@@ -257,8 +263,9 @@ def near_components(
         parts.append(stage(some.join(repeated, "key").distinct()))
         release(spark)
     members = reduce(DataFrame.union, parts)
-    empties = rows.select("sid", "empty").join(members.select("sid").distinct(), "sid", "left_semi")
-    members = stage(rarest_keys(members, empties.groupBy("sid").agg(F.min("empty").alias("empty")), percent))
+    empties = rows.select("sid", "empty", "n").join(members.select("sid").distinct(), "sid", "left_semi")
+    empties = empties.groupBy("sid").agg(F.min("empty").alias("empty"), F.min("n").alias("n"))
+    members = stage(rarest_keys(members, empties, percent))
     release(spark)
 
     same_in_all = [F.min(c).alias(c) for c in ["n", *[f"s{j}" for j in range(SKETCH)]]]
