@@ -81,3 +81,21 @@ def test_nothing_kept_and_nothing_there(frame):
 def test_repeated_rows_and_a_long_text(frame, repeat):
     rows = (some(60, ["a", "b"], seed=3) + [(7, "wa long " * 50_000, "en", "a")]) * repeat
     assert found(frame(DOCS, rows), min_docs=5) == brute_force(rows, 5)
+
+
+def test_a_task_adds_up_what_its_documents_hold(frame, monkeypatch):
+    """Rows told together name a term once for each power of two in its number, and for no more documents than asked."""
+    rows = [(i, "wa wb " * 3 + "wc", "en", "x") for i in range(40)] + [(50, "Wa", "en", "y"), (51, None, "", None)]
+    docs = frame(DOCS, rows).selectExpr("coalesce(lang, '') AS lang", "coalesce(source, '') AS source", "coalesce(text, '') AS text")
+    told = divergence.marked_terms(docs.coalesce(1), 7).collect()
+    assert sum(len(r["seen"]) for r in told if r["seen"]) == 3 * 7
+    sums = Counter()
+    for r in told:
+        for t in r["terms"] or []:
+            sums[r["lang"], r["source"], t.split(divergence.JOINT)[0]] += r["weight"]
+    assert sums == {("en", "x", "wa"): 120, ("en", "x", "wb"): 120, ("en", "x", "wc"): 40, ("en", "y", "wa"): 1}
+    assert sum(len(r["terms"]) for r in told if r["terms"]) == 4 + 4 + 2 + 1
+    monkeypatch.setattr(divergence, "TOGETHER", 1)
+    monkeypatch.setattr(divergence, "HELD", 8)
+    rows = some(700, ["a", "b", None], seed=4)
+    assert found(frame(DOCS, rows), min_docs=20) == brute_force(rows, 20)

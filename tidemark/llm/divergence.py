@@ -1,9 +1,10 @@
 """Source divergence audit: how far the word use of a language's sources lies apart, in exact arithmetic.
 
-One CountVectorizer makes the documents' sparse vectors. Its terms carry their language, so that every language has
-its own document counts, its own minimum of them and its own vocabulary, in one fit however many languages there are;
-the vocabulary size is the largest integer, so no term is left out. The vectors are summed over each (language, source)
-as sparse sums; smoothed frequencies are integers. Sources are compared block by block of terms: a block holds the
+Terms are runs of A-Z, a-z and characters beyond ASCII. One CountVectorizer is fitted on the documents' different terms
+(of some documents, on no more of one term than the minimum asks for), which carry their language, so that every language
+has its own minimum of documents and its own vocabulary, in one fit however many languages there are; the vocabulary size
+is the largest integer, so no term is left out. It makes sparse vectors of the terms of many documents of a (language, source) at once, one for each power of two
+in their numbers, and these are summed with that weight; smoothed frequencies are integers. Sources are compared block by block of terms: a block holds the
 frequencies of some sources for some terms, and adds its share of every pair's distance. Terms that neither source has
 need no row: their share follows from how many there are.
 
@@ -14,17 +15,19 @@ table are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.frames import small_batches
+from tidemark.llm.words import flat, lowered, word_spans
 from tidemark.session import stage
 
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Terms are runs of A-Z, a-z and characters beyond ASCII; this is what stands between them.
-BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 MIN_DOCS = 30
 LARGEST_INT = (1 << 31) - 1
 TOP = 50
@@ -32,23 +35,155 @@ SMOOTH = 5
 UNIT = 1_000_000_000
 #: Between term and language; no term holds it.
 JOINT = "\x00"
+#: Bytes of text whose terms a task adds up together (one longer text is worked on alone).
+TOGETHER = 8 << 20
+#: Sums that a task holds at a time, and bits of the ids in a row of them.
+HELD = 1 << 21
+RANGE_BITS = 11
 #: Terms and, on either side of a pair, sources of one block; blocks are about so large.
 BLOCK_TERMS = 1024
 BLOCK_SOURCES = 128
 
 
-def lowered(text: Column) -> Column:
-    """A-Z as a-z, nothing else changed; ASCII texts take the faster way."""
-    return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
+def _lists(elements: pa.Array, at: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Lists of the elements at these places, cut at ``ends``."""
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), elements.take(pa.array(at)).cast(pa.string()))
+
+
+def _terms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Of each term of the texts in order: the text's place and the term's place among the different terms, which follow."""
+    b, offsets = flat(texts)
+    b = lowered(b)
+    inside = (b >= 97) & (b <= 122) | (b >= 128)
+    starts, ends = word_spans(np.where(inside, b, np.uint8(32)), offsets)
+    cuts = np.concatenate(([0], np.cumsum(ends - starts)))
+    found = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(cuts), pa.py_buffer(b[inside])).dictionary_encode()
+    text = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(starts, offsets)))
+    return text, found.indices.to_numpy().astype(np.int64), found.dictionary
+
+
+def _told(rows: pa.Table, min_docs: int) -> pa.RecordBatch:
+    """TOLD rows for documents (lang, source, text): the terms of more than 0, 1, ... of them, then for each language and
+    source, and each power of two, those terms in whose number there it is contained."""
+    rows = rows.combine_chunks()
+    lang, source = (rows.column(c).combine_chunks().dictionary_encode() for c in ("lang", "source"))
+    text, term, names = _terms(rows.column("text").combine_chunks())
+    width = max(len(names), 1)
+    key, n = np.unique(text * width + term, return_counts=True)
+    text, term = key // width, key % width
+    lang_of, source_of = (c.indices.to_numpy().astype(np.int64) for c in (lang, source))
+    marked, own = np.unique(lang_of[text] * width + term, return_inverse=True)
+    marks = pa.array([JOINT + x.encode().hex().upper() for x in lang.dictionary.to_pylist()], pa.large_string())
+    between = pa.scalar("", pa.large_string())
+    names = pc.binary_join_element_wise(names.take(pa.array(marked % width)), marks.take(pa.array(marked // width)), between)
+    held_by = np.bincount(own, minlength=len(marked))
+    often = [np.flatnonzero(held_by > n) for n in range(min(min_docs, int(held_by.max(initial=0))))]
+    seen = _lists(names, np.concatenate([np.zeros(0, np.int64), *often]), np.cumsum([0, *map(len, often)]))
+
+    wide = max(len(source.dictionary), 1)
+    group, at = np.unique((lang_of * wide + source_of)[text], return_inverse=True)
+    key, place = np.unique(at * max(len(marked), 1) + own, return_inverse=True)
+    total = np.bincount(place, weights=n, minlength=len(key)).astype(np.int64)
+    at, own = key // max(len(marked), 1), key % max(len(marked), 1)
+    groups, weights, chosen, ends = [], [], [], [0]
+    for bit in range(int(total.max(initial=0)).bit_length()):
+        held = np.flatnonzero(total >> bit & 1)
+        first = np.flatnonzero(np.diff(at[held], prepend=-1))
+        groups.append(group[at[held[first]]])
+        weights.append(np.full(len(first), 1 << bit))
+        chosen.append(own[held])
+        ends.extend(ends[-1] + np.concatenate((first[1:], [len(held)])) if len(held) else [])
+    groups, weights, chosen = (np.concatenate([np.zeros(0, np.int64), *c]) for c in (groups, weights, chosen))
+    sums = _lists(names, chosen, np.array(ends))
+    columns = [
+        pa.concat_arrays([seen, pa.nulls(len(sums), seen.type)]),
+        *[
+            pa.concat_arrays([pa.nulls(len(seen), pa.string()), c.dictionary.cast(pa.string()).take(pa.array(i))])
+            for c, i in ((lang, groups // wide), (source, groups % wide))
+        ],
+        pa.concat_arrays([pa.nulls(len(seen), pa.int64()), pa.array(weights, pa.int64())]),
+        pa.concat_arrays([pa.nulls(len(seen), sums.type), sums]),
+    ]
+    return pa.RecordBatch.from_arrays(columns, ["seen", "lang", "source", "weight", "terms"])
+
+
+TOLD = "seen array<string>, lang string, source string, weight long, terms array<string>"
+
+
+def marked_terms(docs: DataFrame, min_docs: int) -> DataFrame:
+    """TOLD rows for documents (lang, source, text): their terms with JOINT and the language, A-Z lower-cased.
 
+    Some documents of n with a term put it into as many rows' ``seen``, or into ``min_docs`` if there are more: so it is in
+    ``min_docs`` rows if and only if so many documents hold it. In the other rows ``weight`` of each of the ``terms`` stand
+    in documents of ``lang`` and ``source`` besides those that other rows tell of. TOGETHER bytes of text are told together.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.column("text").nbytes
+            if size >= TOGETHER:
+                yield _told(pa.Table.from_batches(held), min_docs)
+                held, size = [], 0
+        if held:
+            yield _told(pa.Table.from_batches(held), min_docs)
+
+    return small_batches(docs.select("lang", "source", "text")).mapInArrow(work, TOLD)
+
+
+def _added(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different keys, sorted, and the sums of their ``n``."""
+    order = np.argsort(keys, kind="stable")
+    keys, n = keys[order], n[order]
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.add.reduceat(n, first) if len(keys) else n
 
-def terms(text: Column, mark: Column) -> Column:
-    """The terms of a text in order, A-Z lower-cased, each with JOINT and ``mark``, which holds letters and digits only.
 
-    What stands between terms is replaced by the mark and a space, which are cheaper to split at than matches to extract.
+def _summed(vectors: DataFrame) -> DataFrame:
+    """(lang, source, term_id, n) for (lang, source, weight, ids): the weights of the rows with each id.
+
+    Tasks add up first, HELD sums at a time, and send those of a range of ids in one row.
     """
-    marked = F.regexp_replace(F.concat(lowered(text), F.lit(" ")), F.lit(BETWEEN), F.concat(F.lit(JOINT), mark, F.lit(" ")))
-    return F.array_remove(F.array_remove(F.split(marked, " "), ""), F.concat(F.lit(JOINT), mark))
+
+    def packed(places: dict, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        block = keys >> RANGE_BITS
+        first = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1]))) if len(keys) else np.zeros(0, np.int64)
+        names, ends = list(places), pa.array(np.append(first, len(keys)), pa.int32())
+        place = [names[i] for i in (keys[first] >> 32).tolist()]
+        columns = [pa.array([p[i] for p in place], pa.string()) for i in (0, 1)]
+        columns.append(pa.array((keys[first] & 0xFFFFFFFF) >> RANGE_BITS))
+        columns.append(pa.ListArray.from_arrays(ends, pa.array((keys & 0xFFFFFFFF).astype(np.int32))))
+        columns.append(pa.ListArray.from_arrays(ends, pa.array(n)))
+        return pa.RecordBatch.from_arrays(columns, ["lang", "source", "block", "ids", "n"])
+
+    def partly(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places, keys, n, size = {}, [], [], 0
+        for batch in batches:
+            ids = batch.column("ids")
+            lengths = pc.list_value_length(ids).to_numpy()
+            pairs = zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist())
+            place = np.array([places.setdefault(p, len(places)) for p in pairs], dtype=np.int64)
+            keys.append((np.repeat(place, lengths) << 32) | ids.flatten().to_numpy())
+            n.append(np.repeat(batch.column("weight").to_numpy(), lengths))
+            size += len(n[-1])
+            if size >= HELD:
+                own, sums = _added(np.concatenate(keys), np.concatenate(n))
+                keys, n, size = [own], [sums], len(own)
+                if size >= HELD // 2:
+                    yield packed(places, own, sums)
+                    places, keys, n, size = {}, [], [], 0
+        if size:
+            yield packed(places, *_added(np.concatenate(keys), np.concatenate(n)))
+
+    def wholly(key: tuple, table: pa.Table) -> pa.Table:
+        ids, n = (table.column(c).combine_chunks().flatten().to_numpy() for c in ("ids", "n"))
+        ids, n = _added(ids, n)
+        names = [pa.array([key[i].as_py()] * len(ids), pa.string()) for i in (0, 1)]
+        return pa.table([*names, pa.array(ids), pa.array(n)], names=["lang", "source", "term_id", "n"])
+
+    sent = small_batches(vectors).mapInArrow(partly, "lang string, source string, block long, ids array<int>, n array<long>")
+    return sent.groupBy("lang", "source", "block").applyInArrow(wholly, "lang string, source string, term_id int, n long")
 
 
 def term_counts(docs: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFrame, DataFrame]:
@@ -58,16 +193,16 @@ def term_counts(docs: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFrame, D
     ``min_docs`` documents of their language.
     """
     spark = docs.sparkSession
-    rows = stage(docs.select("lang", "source", terms(F.col("text"), F.hex(F.encode("lang", "UTF-8"))).alias("terms")))
+    rows = stage(marked_terms(docs, min_docs))
     # So many documents of one empty term: it is always kept, as a vocabulary must not be empty.
     marks = spark.range(min_docs).select(F.array(F.lit("")).alias("terms"))
     counter = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_docs), vocabSize=LARGEST_INT)
-    # Only in how many documents a term is counts here.
-    model = counter.fit(rows.select(F.array_distinct("terms").alias("terms")).union(marks))
-    vectors = model.transform(rows).select("lang", "source", F.unwrap_udt("vector").alias("v"))
-    pairs = vectors.select("lang", "source", F.explode(F.arrays_zip("v.indices", "v.values")).alias("e"))
-    pairs = pairs.select("lang", "source", F.col("e.indices").alias("term_id"), F.col("e.values").cast("long").alias("n"))
-    counts = stage(pairs.groupBy("lang", "source", "term_id").agg(F.sum("n").alias("n")))
+    # Only whether a term is in so many documents counts here.
+    model = counter.fit(rows.filter("seen is not null").select(F.col("seen").alias("terms")).union(marks))
+    vectors = model.transform(rows.filter("terms is not null").select("lang", "source", "weight", "terms"))
+    # A row's terms are different, so every value is 1.
+    vectors = vectors.select("lang", "source", "weight", F.unwrap_udt("vector")["indices"].alias("ids"))
+    counts = stage(_summed(vectors))
     vocabulary = model.vocabulary
     names = pa.table({"term_id": pa.array(range(len(vocabulary)), pa.int32()), "name": vocabulary})
     named = F.split("name", JOINT, 2)
