@@ -185,3 +185,47 @@ def test_packed_arrays():
     for got, want in zip(ngrams.unpack(ngrams.pack(a, b)), (a, b)):
         assert got.tolist() == want.tolist()
     assert [x.tolist() for x in ngrams.unpack(ngrams.pack(a[:0]))] == [[]]
+
+
+def test_wide_columns_have_a_sort_key():
+    """Ranks stand for numbers whose bits do not fit together, as ids of a large vocabulary."""
+    rng = np.random.default_rng(7)
+    columns = [rng.choice(rng.integers(0, 1 << 40, 50), 3000) for _ in range(3)]
+    assert ngrams.sort_key(columns) is not None
+    order = ngrams.sorted_order(columns)
+    assert [tuple(r) for r in np.stack(columns)[:, order].T] == sorted(zip(*columns))
+    assert ngrams.sort_key([rng.permutation(1 << 17) << 40 for _ in range(4)]) is None
+
+
+def test_each_ngram_is_looked_up_once(frame, monkeypatch):
+    rows = some(200, seed=8, kinds=12)
+    model = ngrams.train(frame("doc_id long, text string", rows))
+    v, rng, asked = model.vocabulary, np.random.default_rng(8), []
+    w2, w1, w3 = rng.integers(0, v.start + 1, (3, 5000)) % 9
+    shard, own = ngrams.Shard(model.path(0), v), ngrams.Shard._scores
+    alone = [shard.scores(*(c[i : i + 1] for c in (w2, w1, w3)))[0] for i in range(300)]
+    monkeypatch.setattr(ngrams.Shard, "_scores", lambda self, *c: asked.extend(zip(*c)) or own(self, *c))
+    found = shard.scores(w2, w1, w3)
+    assert found[:300].tolist() == alone
+    assert sorted(asked) == sorted(set(zip(w2, w1, w3)))
+
+
+def test_split_words_are_those_that_occur_often(frame):
+    model = ngrams.train(frame("doc_id long, text string", some(300, seed=9, kinds=20)), shard=400)
+    v = model.vocabulary
+    every = np.array([*range(v.unknown), v.start])
+    split = every[model.splits(v.counts(every)) > 1]
+    assert 0 < len(split) < len(every) and model.split_words.tolist() == split.tolist()
+
+
+def test_elias_fano_numbers_and_unordered_targets(monkeypatch):
+    monkeypatch.setattr("tidemark.llm.eliasfano.TOGETHER", 100)
+    for top in (1000, 1 << 50):
+        values = np.sort(np.random.default_rng(2).integers(0, top, 777)).astype(np.uint64)
+        own = Monotone.of(values)
+        assert (own.numbers() == values).all()
+        targets = np.random.default_rng(3).permutation(np.concatenate([values, values, values + np.uint64(1)]))
+        for asked in (own, own.prepared()):
+            place, equal = asked.successor(targets)
+            assert (values[place[equal]] == targets[equal]).all() and (equal == np.isin(targets, values)).all()
+    assert len(Monotone.of(values[:0]).numbers()) == 0

@@ -17,6 +17,9 @@ from pyarrow import fs
 U = np.uint64
 WORD = 64
 ALIGN = 64
+#: Low parts of up to so many bits are written out for many questions at a time, so many numbers in one go.
+WIDEST = 32
+TOGETHER = 1 << 15
 
 
 class Monotone:
@@ -31,16 +34,30 @@ class Monotone:
         self.n, self.bits = int(shape[0]), int(shape[1])
         self.shape, self.low, self.high, self.ones = shape, low, high, ones
         self.zeros = np.arange(len(high), dtype=np.int64) * WORD - ones
-        self.starts = None
+        self.starts = self.lows = None
 
     def prepared(self) -> Monotone:
-        """With the first place of every high part written out, at four bytes a number: for many questions at a time."""
+        """With the first place of every high part written out, at four bytes a number, and low parts in whole bytes if
+        they are not wide: for many questions at a time."""
         if self.starts is None:
             clear = np.flatnonzero(np.unpackbits(self.high.view(np.uint8), bitorder="little") == 0)
             starts = np.concatenate(([0], clear - np.arange(len(clear))))
             self.starts = starts.astype(np.uint32 if self.n < 1 << 32 else np.int64)
+            if self.bits <= WIDEST:
+                self.lows = self._all_low(np.min_scalar_type((1 << self.bits) - 1))
         return self
 
+    def _all_low(self, kind: np.dtype) -> np.ndarray:
+        out = np.empty(self.n, dtype=kind)
+        for at in range(0, self.n, TOGETHER):
+            out[at : at + TOGETHER] = self._low(np.arange(at, min(at + TOGETHER, self.n)))
+        return out
+
+    def numbers(self) -> np.ndarray:
+        """All numbers, as uint64."""
+        ones = np.flatnonzero(np.unpackbits(self.high.view(np.uint8), bitorder="little"))
+        return ((ones - np.arange(self.n)).astype(U) << U(self.bits)) | self._all_low(U)
+
     @classmethod
     def of(cls, values: np.ndarray) -> Monotone:
         values = values.astype(U)
@@ -95,29 +112,39 @@ class Monotone:
         return (high.astype(U) << U(self.bits)) | self._low(at)
 
     def successor(self, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place of the first number that is not below each target, and whether it equals the target."""
+        """Place of the first number that is not below each target, and whether it equals the target.
+
+        Each target is searched for once, in ascending order, so that those near each other find the same memory.
+        """
         targets = targets.astype(U)
+        if (targets[1:] <= targets[:-1]).any():
+            own, at = np.unique(targets, return_inverse=True)
+            place, equal = self.successor(own)
+            return place[at], equal[at]
+        low = self._low if self.lows is None else self.lows.__getitem__
         high, own = targets >> U(self.bits), targets & U((1 << self.bits) - 1)
-        last = U(len(self.high) * WORD - self.n - 1)  # the last clear bit
-        beyond = high > last
-        high = np.minimum(high, last).astype(np.int64)
+        clear = U(len(self.high) * WORD - self.n - 1)  # the last clear bit
+        beyond = high > clear
+        high = np.minimum(high, clear).astype(np.int64)
         if self.starts is None:
             lo = np.where(high > 0, self._select(np.maximum(high - 1, 0), self.zeros, True) - high + 1, 0)
             hi = self._select(high, self.zeros, True) - high
         else:
             lo, hi = (self.starts[h].astype(np.int64) for h in (high, high + 1))
-        lo, hi = np.minimum(lo, self.n), np.minimum(hi, self.n)
-        end = hi.copy()
-        active = np.flatnonzero(lo < hi)
+        lo, end = np.minimum(lo, self.n), np.minimum(hi, self.n)
+        active = np.flatnonzero(lo < end)
+        first, last, wanted = lo[active], end[active], own[active]
         while len(active):
-            mid = (lo[active] + hi[active]) >> 1
-            less = self._low(mid) < own[active]
-            lo[active] = np.where(less, mid + 1, lo[active])
-            hi[active] = np.where(less, hi[active], mid)
-            active = active[lo[active] < hi[active]]
+            mid = (first + last) >> 1
+            less = low(mid) < wanted
+            first, last = np.where(less, mid + 1, first), np.where(less, last, mid)
+            unsettled = first < last
+            if not unsettled.all():
+                lo[active[~unsettled]] = first[~unsettled]
+                active, first, last, wanted = active[unsettled], first[unsettled], last[unsettled], wanted[unsettled]
         inside = lo < end
         equal = inside & ~beyond
-        equal[inside] &= self._low(lo[inside]) == own[inside]
+        equal[inside] &= low(lo[inside]) == own[inside]
         return np.where(beyond, self.n, lo), equal
 
 

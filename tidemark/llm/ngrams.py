@@ -94,9 +94,23 @@ def unpack(raw: bytes) -> list[np.ndarray]:
     return out
 
 
+def _ranks(column: np.ndarray) -> np.ndarray:
+    """Each number's rank among the different ones."""
+    starts = _runs(column)
+    _, at = np.unique(column[starts[:-1]], return_inverse=True)
+    return np.repeat(at, np.diff(starts))
+
+
 def sort_key(columns: list[np.ndarray]) -> np.ndarray | None:
-    """One number a row that sorts like the columns, first column first; None if they do not fit in 64 bits."""
-    widths = [int(c.max(initial=0)).bit_length() for c in columns]
+    """One number a row that sorts like the columns, first column first; None if they do not fit in 64 bits, even with
+    ranks in place of as many of them as needed."""
+    columns = list(columns)
+    width = lambda c: int(c.max(initial=0)).bit_length()
+    widths = [width(c) for c in columns]
+    for i in range(len(columns)):
+        if sum(widths) > 64:
+            columns[i] = _ranks(columns[i])
+            widths[i] = width(columns[i])
     if sum(widths) > 64:
         return None
     key = np.zeros(len(columns[0]), dtype=U)
@@ -259,6 +273,19 @@ class Model:
         """Into how many parts a word that occurs so often is split by the word before it."""
         return 1 + counts // self.shard_size
 
+    @cached_property
+    def split_words(self) -> np.ndarray:
+        """The words in several parts, sorted. Only files of words that are frequent enough are read."""
+        vocabulary, found = self.vocabulary, [np.zeros(0, dtype=np.int64)]
+        for at, (tier, *_) in enumerate(vocabulary.files):
+            if 1 << (tier + 1) * TIER >= self.shard_size:
+                words = np.flatnonzero(self.splits(vocabulary._file(at)[1].astype(np.int64)) > 1) + vocabulary._bases[at]
+                found.append(words)
+        start = np.array([vocabulary.start])
+        if vocabulary.files and self.splits(vocabulary.counts(start))[0] > 1:
+            found.append(start)
+        return np.concatenate(found)
+
     def shard_of(self, word: np.ndarray, part: np.ndarray) -> np.ndarray:
         return (mix(mix(word.astype(U) + salt(41)) + part.astype(U) * salt(42)) % U(self.shards)).astype(np.int64)
 
@@ -285,7 +312,8 @@ class Piece:
         hashes, self.bounds = tokens(texts)
         own, at = np.unique(hashes, return_inverse=True)
         ids = vocabulary.ids(own)
-        self.words = np.union1d(ids, [vocabulary.unknown, vocabulary.start])
+        every = np.sort(np.concatenate((ids, [vocabulary.unknown, vocabulary.start])))
+        self.words = every[_runs(every)[:-1]]
         self.counts = vocabulary.counts(self.words)
         self.w3 = np.searchsorted(self.words, ids)[at]
         self.w1, self.w2 = trigrams(self.w3, self.bounds, len(self.words) - 1)
@@ -337,10 +365,11 @@ def _counted(rows: DataFrame, model: Model) -> DataFrame:
         (w2, w1, w3), n = summed([own.w2, own.w1, own.w3], np.ones(len(own.w3), dtype=np.int64))
         shard = own.shards(w1, w2)
         order = np.argsort(shard, kind="stable")
-        ends, number = _runs(shard[order]), pieces.take()
-        columns = [own.words[w2], own.words[w1], own.words[w3], n]
-        spans = [order[a:b] for a, b in zip(ends[:-1], ends[1:])]
-        yield _packed_rows([(int(shard[s[0]]), number, TOKEN, pack(*[c[s] for c in columns])) for s in spans])
+        shard, number = shard[order], pieces.take()
+        ends = _runs(shard)
+        columns = [*[own.words[w[order]] for w in (w2, w1, w3)], n[order]]
+        spans = zip(ends[:-1], ends[1:])
+        yield _packed_rows([(int(shard[a]), number, TOKEN, pack(*[c[a:b] for c in columns])) for a, b in spans])
 
     pieces = _Pieces()
     return map_texts(rows.select("text"), work, PACKED, "text")
@@ -389,8 +418,9 @@ def _split_words(packed: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             for payload in batch.column("payload"):
                 w2, _, w3, n = unpack(payload.as_py())
-                words, at = np.unique(w2, return_inverse=True)
-                own = (model.splits(model.vocabulary.counts(words)) > 1)[at]
+                # Payloads are sorted by w2.
+                ends = np.searchsorted(w2, model.split_words), np.searchsorted(w2, model.split_words, side="right")
+                own = np.concatenate([np.zeros(0, dtype=np.int64), *[np.arange(a, b) for a, b in zip(*ends)]])
                 keys, n = summed([w2[own], w3[own]], n[own])
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*keys, n)], ["w2", "w3", "n"])
 
@@ -454,7 +484,7 @@ def _level(values: np.ndarray, parent: np.ndarray, parents: int) -> dict[str, np
 class Level:
     def __init__(self, arrays: dict[str, np.ndarray], name: str):
         own = {k.removeprefix(f"{name}."): a for k, a in arrays.items() if k.startswith(f"{name}.")}
-        self.pointers = sequence(own, "pointers")[np.arange(own["pointers.shape"][0])].astype(np.int64)
+        self.pointers = sequence(own, "pointers").numbers().astype(np.int64)
         self.values, self.codes, self.means = sequence(own, "values").prepared(), own["codes"], own["means"]
 
     def ranges(self, parents: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -488,7 +518,7 @@ def shard_arrays(
     out = {f"two.{k}": a for k, a in _level(pairs[1], parent, len(words)).items()}
     out |= prefixed("words", Monotone.of(words)) | _quantised("two", two) | _quantised("words", left)
 
-    lead = _runs_of_pairs(w2, w1)
+    lead = _runs_of_rows(w2, w1)
     above = np.searchsorted(words, w2[lead[:-1]])
     out |= {f"contexts.{k}": a for k, a in _level(w1[lead[:-1]], above, len(words)).items()}
     contexts, repeat = len(lead) - 1, np.diff(lead)
@@ -501,12 +531,12 @@ def shard_arrays(
     return out | _quantised("three", three) | _quantised("contexts", left)
 
 
-def _runs_of_pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Where each run of equal pairs begins, and the length of the columns."""
-    if not len(a):
+def _runs_of_rows(*columns: np.ndarray) -> np.ndarray:
+    """Where each run of equal rows begins, and the length of the columns."""
+    if not len(columns[0]):
         return np.zeros(1, dtype=np.int64)
-    changes = np.flatnonzero((a[1:] != a[:-1]) | (b[1:] != b[:-1])) + 1
-    return np.concatenate(([0], changes, [len(a)]))
+    changes = np.flatnonzero(np.logical_or.reduce([c[1:] != c[:-1] for c in columns])) + 1
+    return np.concatenate(([0], changes, [len(columns[0])]))
 
 
 class Shard:
@@ -520,11 +550,20 @@ class Shard:
             self.two, self.contexts, self.three = (Level(arrays, n) for n in ("two", "contexts", "three"))
 
     def scores(self, w2: np.ndarray, w1: np.ndarray, w3: np.ndarray) -> np.ndarray:
-        """log10 of each w3's probability after (w1, w2); rows of equal (w2, w1) stand together."""
+        """log10 of each w3's probability after (w1, w2). Each different n-gram is looked up once, in ascending order."""
+        order = sorted_order([w2, w1, w3])
+        w2, w1, w3 = w2[order], w1[order], w3[order]
+        first = _runs_of_rows(w2, w1, w3)
+        out = np.empty(len(order))
+        out[order] = np.repeat(self._scores(*(c[first[:-1]] for c in (w2, w1, w3))), np.diff(first))
+        return out
+
+    def _scores(self, w2: np.ndarray, w1: np.ndarray, w3: np.ndarray) -> np.ndarray:
+        """The same for n-grams whose equal (w2, w1) stand together."""
         base = self.vocabulary.base(self.vocabulary.counts(w3))
         if self.words is None:
             return base
-        lead = _runs_of_pairs(w2, w1)
+        lead = _runs_of_rows(w2, w1)
         repeat, lead = np.diff(lead), lead[:-1]
         word, known = self.words.successor(w2[lead])
         kept = np.repeat(known, repeat)
@@ -598,9 +637,8 @@ def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text")
         doc = np.repeat(np.arange(len(batch)), lengths)
         # After an unknown word only the base model is left.
         plain = own.w2 == len(own.words) - 2
-        summed_up = lambda mask, w: np.bincount(doc[mask], weights=w[mask], minlength=len(batch)).astype(float)
-        every = np.ones(len(doc), dtype=bool)
-        columns = [lengths, summed_up(every, known).astype(np.int64), summed_up(every, base), summed_up(plain, base)]
+        summed_up = lambda doc, w: np.bincount(doc, weights=w, minlength=len(batch)).astype(float)
+        columns = [lengths, summed_up(doc, known).astype(np.int64), summed_up(doc, base), summed_up(doc[plain], base[plain])]
         names = ["id", "n_tokens", "n_known", "base_score", "score"]
         table = pa.RecordBatch.from_arrays([batch.column("id"), *[pa.array(c) for c in columns]], names)
         sink, number = pa.BufferOutputStream(), pieces.take()
@@ -611,11 +649,11 @@ def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text")
         w2, w1, w3, doc = (c[asked] for c in (own.w2, own.w1, own.w3, doc))
         shard = own.shards(w1, w2)
         order = sorted_order([shard, w2, w1])
-        ends = _runs(shard[order])
-        columns = [own.words[w2], own.words[w1], own.words[w3], doc]
+        shard = shard[order]
+        ends = _runs(shard)
+        columns = [*[own.words[w[order]] for w in (w2, w1, w3)], doc[order]]
         for a, b in zip(ends[:-1], ends[1:]):
-            span = order[a:b]
-            out.append((int(shard[span[0]]), number, TOKEN, pack(*[c[span] for c in columns])))
+            out.append((int(shard[a]), number, TOKEN, pack(*[c[a:b] for c in columns])))
         yield _packed_rows(out)
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

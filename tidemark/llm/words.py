@@ -6,13 +6,15 @@ words are taken as different.
 
 from __future__ import annotations
 
+from functools import cache
+
 import numpy as np
 import pyarrow as pa
 
 U = np.uint64
 BASE = U(0x9E3779B97F4A7C15)
 BASE_INVERSE = U(pow(int(BASE), -1, 1 << 64))
-SEGMENT = 1 << 20
+SEGMENT = 1 << 17
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -55,6 +57,19 @@ def word_spans(b: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.flatnonzero(first), np.flatnonzero(last) + 1
 
 
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The powers of BASE and of its inverse from 0 to n."""
+    bases = np.full((2, n + 1), BASE, dtype=U)
+    bases[1] = BASE_INVERSE
+    bases[:, 0] = 1
+    return tuple(np.cumprod(bases, axis=1))
+
+
+@cache
+def _segment_powers() -> tuple[np.ndarray, np.ndarray]:
+    return _powers(SEGMENT)
+
+
 def span_hashes(b: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A hash of the bytes of each span. Spans are in order and do not overlap; worked on a segment at a time."""
     out = np.empty(len(starts), dtype=U)
@@ -62,13 +77,11 @@ def span_hashes(b: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarr
     while at < len(starts):
         to = max(int(np.searchsorted(ends, starts[at] + SEGMENT, side="right")), at + 1)
         lo, hi = starts[at], ends[to - 1]
-        powers = np.full(hi - lo + 1, BASE, dtype=U)
-        powers[0] = 1
+        powers, inverse = _segment_powers() if hi - lo <= SEGMENT else _powers(hi - lo)
         sums = np.zeros(hi - lo + 1, dtype=U)
-        np.cumsum((b[lo:hi].astype(U) + U(1)) * np.cumprod(powers)[:-1], out=sums[1:])
-        powers[1:] = BASE_INVERSE
+        np.cumsum((b[lo:hi].astype(U) + U(1)) * powers[: hi - lo], out=sums[1:])
         s, e = starts[at:to] - lo, ends[at:to] - lo
-        out[at:to] = mix((sums[e] - sums[s]) * np.cumprod(powers)[s] + (e - s).astype(U) * salt(99))
+        out[at:to] = mix((sums[e] - sums[s]) * inverse[s] + (e - s).astype(U) * salt(99))
         at = to
     return out
 
