@@ -99,3 +99,16 @@ def test_a_task_adds_up_what_its_documents_hold(frame, monkeypatch):
     monkeypatch.setattr(divergence, "HELD", 8)
     rows = some(700, ["a", "b", None], seed=4)
     assert found(frame(DOCS, rows), min_docs=20) == brute_force(rows, 20)
+
+
+def test_documents_of_a_term_are_added_up_over_all_tasks(frame, monkeypatch):
+    """A term is in as many rows as documents hold it or as are asked for, however many tasks meet it, and in none twice."""
+    monkeypatch.setattr(divergence, "TOGETHER", 1)
+    monkeypatch.setattr(divergence, "ROW", 2)
+    rows = [(i, "wa wa" + " wb" * (i < 5), ["en", "fr"][i % 20 == 0], "x") for i in range(80)]
+    told = divergence.marked_terms(frame(DOCS, rows).select("lang", "source", "text").repartition(6), 7).collect()
+    seen = [r["seen"] for r in told if r["seen"]]
+    assert all(len(s) == len(set(s)) for s in seen)
+    number = Counter(tuple(t.split(divergence.JOINT)) for s in seen for t in s)
+    code = {lang: lang.encode().hex().upper() for lang in ("en", "fr")}
+    assert number == {("wa", code["en"]): 7, ("wa", code["fr"]): 4, ("wb", code["en"]): 4, ("wb", code["fr"]): 1}

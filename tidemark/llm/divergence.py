@@ -1,9 +1,9 @@
 """Source divergence audit: how far the word use of a language's sources lies apart, in exact arithmetic.
 
 Terms are runs of A-Z, a-z and characters beyond ASCII. One CountVectorizer is fitted on the documents' different terms
-(of some documents, on no more of one term than the minimum asks for), which carry their language, so that every language
-has its own minimum of documents and its own vocabulary, in one fit however many languages there are; the vocabulary size
-is the largest integer, so no term is left out. It makes sparse vectors of the terms of many documents of a (language, source) at once, one for each power of two
+(a term's documents are added up first, and it is in no more rows than the minimum asks for), which carry their language,
+so that every language has its own minimum of documents and its own vocabulary, in one fit however many languages there
+are; the vocabulary size is the largest integer, so no term is left out. It makes sparse vectors of the terms of many documents of a (language, source) at once, one for each power of two
 in their numbers, and these are summed with that weight; smoothed frequencies are integers. Sources are compared block by block of terms: a block holds the
 frequencies of some sources for some terms, and adds its share of every pair's distance. Terms that neither source has
 need no row: their share follows from how many there are.
@@ -37,6 +37,8 @@ UNIT = 1_000_000_000
 JOINT = "\x00"
 #: Bytes of text whose terms a task adds up together (one longer text is worked on alone).
 TOGETHER = 8 << 20
+#: Terms, in how many rows they are told, that a task makes the rows of together.
+ROW = 1 << 15
 #: Sums that a task holds at a time, and bits of the ids in a row of them.
 HELD = 1 << 21
 RANGE_BITS = 11
@@ -63,8 +65,8 @@ def _terms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
 
 
 def _told(rows: pa.Table, min_docs: int) -> pa.RecordBatch:
-    """TOLD rows for documents (lang, source, text): the terms of more than 0, 1, ... of them, then for each language and
-    source, and each power of two, those terms in whose number there it is contained."""
+    """TOLD rows for documents (lang, source, text): the terms of 1, 2, ... and of ``min_docs`` or more of them, then for each
+    language and source, and each power of two, those terms in whose number there it is contained."""
     rows = rows.combine_chunks()
     lang, source = (rows.column(c).combine_chunks().dictionary_encode() for c in ("lang", "source"))
     text, term, names = _terms(rows.column("text").combine_chunks())
@@ -76,9 +78,10 @@ def _told(rows: pa.Table, min_docs: int) -> pa.RecordBatch:
     marks = pa.array([JOINT + x.encode().hex().upper() for x in lang.dictionary.to_pylist()], pa.large_string())
     between = pa.scalar("", pa.large_string())
     names = pc.binary_join_element_wise(names.take(pa.array(marked % width)), marks.take(pa.array(marked // width)), between)
-    held_by = np.bincount(own, minlength=len(marked))
-    often = [np.flatnonzero(held_by > n) for n in range(min(min_docs, int(held_by.max(initial=0))))]
-    seen = _lists(names, np.concatenate([np.zeros(0, np.int64), *often]), np.cumsum([0, *map(len, often)]))
+    held_by = np.minimum(np.bincount(own, minlength=len(marked)), min_docs)
+    by_number = np.argsort(held_by, kind="stable")
+    numbers, first = np.unique(held_by[by_number], return_index=True)
+    seen = _lists(names, by_number, np.append(first, len(by_number)))
 
     wide = max(len(source.dictionary), 1)
     group, at = np.unique((lang_of * wide + source_of)[text], return_inverse=True)
@@ -93,7 +96,7 @@ def _told(rows: pa.Table, min_docs: int) -> pa.RecordBatch:
         weights.append(np.full(len(first), 1 << bit))
         chosen.append(own[held])
         ends.extend(ends[-1] + np.concatenate((first[1:], [len(held)])) if len(held) else [])
-    groups, weights, chosen = (np.concatenate([np.zeros(0, np.int64), *c]) for c in (groups, weights, chosen))
+    groups, chosen = (np.concatenate([np.zeros(0, np.int64), *c]) for c in (groups, chosen))
     sums = _lists(names, chosen, np.array(ends))
     columns = [
         pa.concat_arrays([seen, pa.nulls(len(sums), seen.type)]),
@@ -101,7 +104,7 @@ def _told(rows: pa.Table, min_docs: int) -> pa.RecordBatch:
             pa.concat_arrays([pa.nulls(len(seen), pa.string()), c.dictionary.cast(pa.string()).take(pa.array(i))])
             for c, i in ((lang, groups // wide), (source, groups % wide))
         ],
-        pa.concat_arrays([pa.nulls(len(seen), pa.int64()), pa.array(weights, pa.int64())]),
+        pa.array(np.concatenate([numbers, *weights]), pa.int64()),
         pa.concat_arrays([pa.nulls(len(seen), sums.type), sums]),
     ]
     return pa.RecordBatch.from_arrays(columns, ["seen", "lang", "source", "weight", "terms"])
@@ -110,12 +113,22 @@ def _told(rows: pa.Table, min_docs: int) -> pa.RecordBatch:
 TOLD = "seen array<string>, lang string, source string, weight long, terms array<string>"
 
 
+def _repeated(counted: pa.Table) -> pa.RecordBatch:
+    """Rows whose ``seen`` holds each term n times in all, but no row twice, for (term, n)."""
+    counted = counted.combine_chunks()
+    n = counted.column("n").to_numpy()
+    often = [np.flatnonzero(n > k) for k in range(int(n.max(initial=0)))]
+    lists = _lists(counted.column("term").combine_chunks(), np.concatenate(often), np.cumsum([0, *map(len, often)]))
+    return pa.RecordBatch.from_arrays([lists], ["seen"])
+
+
 def marked_terms(docs: DataFrame, min_docs: int) -> DataFrame:
     """TOLD rows for documents (lang, source, text): their terms with JOINT and the language, A-Z lower-cased.
 
-    Some documents of n with a term put it into as many rows' ``seen``, or into ``min_docs`` if there are more: so it is in
-    ``min_docs`` rows if and only if so many documents hold it. In the other rows ``weight`` of each of the ``terms`` stand
-    in documents of ``lang`` and ``source`` besides those that other rows tell of. TOGETHER bytes of text are told together.
+    A term of n documents is in so many rows' ``seen``, or in ``min_docs`` if there are more: so it is in ``min_docs`` rows if
+    and only if so many documents hold it. In the other rows ``weight`` of each of the ``terms`` stand in documents of ``lang``
+    and ``source`` besides those that other rows tell of. TOGETHER bytes of text are told together; the documents of a term
+    are added up over all of them.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,7 +142,24 @@ def marked_terms(docs: DataFrame, min_docs: int) -> DataFrame:
         if held:
             yield _told(pa.Table.from_batches(held), min_docs)
 
-    return small_batches(docs.select("lang", "source", "text")).mapInArrow(work, TOLD)
+    def repeat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += len(batch)
+            if size >= ROW:
+                yield _repeated(pa.Table.from_batches(held))
+                held, size = [], 0
+        if size:
+            yield _repeated(pa.Table.from_batches(held))
+
+    told = stage(small_batches(docs.select("lang", "source", "text")).mapInArrow(work, TOLD))
+    named = told.filter("seen is not null").select(F.explode("seen").alias("term"), "weight")
+    number = F.least(F.sum("weight"), F.lit(min_docs)).alias("n")
+    seen = named.groupBy("term").agg(number).mapInArrow(repeat, "seen array<string>")
+    blank = {f.name: F.lit(None).cast(f.dataType).alias(f.name) for f in told.schema}
+    sums = told.filter("terms is not null").select(blank["seen"], "lang", "source", "weight", "terms")
+    return seen.select("seen", *[blank[c] for c in ("lang", "source", "weight", "terms")]).union(sums)
 
 
 def _added(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -193,7 +223,7 @@ def term_counts(docs: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFrame, D
     ``min_docs`` documents of their language.
     """
     spark = docs.sparkSession
-    rows = stage(marked_terms(docs, min_docs))
+    rows = marked_terms(docs, min_docs)
     # So many documents of one empty term: it is always kept, as a vocabulary must not be empty.
     marks = spark.range(min_docs).select(F.array(F.lit("")).alias("terms"))
     counter = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_docs), vocabSize=LARGEST_INT)
