@@ -17,7 +17,7 @@ from tidemark.operators.joins import merge_on, new_rows, spine_cross
 from tidemark.operators.keys import assign_ids
 from tidemark.operators.lookup import COUNTRY, label_dict, label_unique, lookup, lookup_family, table_label
 from tidemark.plans import catalog, partners, shopfloor, trade
-from tidemark.session import shared_dir
+from tidemark.session import freeing, shared_dir, stage
 from tidemark.sources.profiles import Profile, reader
 from tidemark.sources.records import to_records
 from tidemark.sources.store import Store
@@ -550,7 +550,8 @@ def e4(spark, sf_dir):
     ),
 )
 def e4_same(spark, sf_dir):
-    invoices = trade.build_invoice(inputs(spark, sf_dir))
+    with freeing(spark):
+        invoices = stage(trade.build_invoice(inputs(spark, sf_dir)))
     other_order = invoices.repartition("codeArticle", "rowID")
     answers = rows.same_rows(invoices, other_order), rows.same_rows(invoices, _off(invoices))
     return spark.createDataFrame([answers], "itself boolean, off boolean")

@@ -6,6 +6,18 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.session import SKEW_MIN_ROWS, freeing, setting
+
+#: Hash buckets in which a comparison counts rows, to find those with too many for one task.
+BUCKETS = 1024
+
+#: Types whose equal values have equal bytes, and so one hash wherever it is taken.
+PLAIN = (T.BooleanType, T.IntegralType, T.DecimalType, T.StringType, T.BinaryType, T.DateType, T.TimestampType)
+PLAIN += (T.TimestampNTZType,)
+
+Sums = dict[int, tuple[int, ...]]
 
 
 def _quoted(names: Sequence[str]) -> list[Column]:
@@ -66,29 +78,73 @@ def multiset_sums(columns: Sequence[str]) -> list[Column]:
     return sums
 
 
+def _plain(df: DataFrame) -> list[Column]:
+    return [F.col(f"`{f.name}`") for f in df.schema if isinstance(f.dataType, PLAIN)]
+
+
+def _bucket(columns: Sequence[Column]) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(BUCKETS)).cast("int") if columns else F.lit(0)
+
+
+def _fingerprints(a: DataFrame, b: DataFrame) -> tuple[Sums, Sums]:
+    """Count and sums of both frames by hash bucket of their plain columns: one scan of each, no shuffle of rows."""
+    both = a.withColumn("__side", F.lit(0)).unionByName(b.withColumn("__side", F.lit(1)))
+    keyed = both.groupBy("__side", _bucket(_plain(both.drop("__side"))).alias("__bucket"))
+    found: tuple[Sums, Sums] = ({}, {})
+    for side, bucket, *sums in keyed.agg(*multiset_sums(a.columns)).collect():
+        found[side][bucket] = tuple(sums)
+    return found
+
+
 def same_fingerprint(a: DataFrame, b: DataFrame) -> bool:
     """Compare both frames by fingerprint: one scan of each, no shuffle of rows."""
-    both = a.withColumn("__side", F.lit(0)).unionByName(b.withColumn("__side", F.lit(1)))
-    found = {r[0]: tuple(r)[1:] for r in both.groupBy("__side").agg(*multiset_sums(a.columns)).collect()}
-    return found.get(0) == found.get(1)
+    left, right = _fingerprints(a, b)
+    return left == right
 
 
-def signed_counts(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Rows that occur more often on one side, with ``surplus`` = copies in ``a`` minus copies in ``b``."""
-    both = a.withColumn("__sign", F.lit(1)).unionByName(b.withColumn("__sign", F.lit(-1)))
-    return both.groupBy(*_quoted(a.columns)).agg(F.sum("__sign").alias("surplus")).filter("surplus <> 0")
+def _hot_buckets(df: DataFrame, sums: Sums) -> list[int]:
+    """The buckets with more rows than one task should read."""
+    spark = df.sparkSession
+    counts = {bucket: rows for bucket, (rows, *_) in sums.items()}
+    total = sum(counts.values())
+    share = max(total // int(spark.conf.get("spark.sql.shuffle.partitions")), setting(spark, SKEW_MIN_ROWS), 1)
+    return sorted(bucket for bucket, rows in counts.items() if rows > max(2 * share, 8 * total // BUCKETS))
+
+
+def signed_counts(a: DataFrame, b: DataFrame, hot: Sequence[int] | None = None) -> DataFrame:
+    """Rows that occur more often on one side, with ``surplus`` = copies in ``a`` minus copies in ``b``.
+
+    Copies are added up in the task that reads them, before rows are shuffled, as one row may have very many. ``hot``
+    states in which buckets there are many, if any, for frames with the same types: all other rows are then dealt by
+    their plain columns as they are, and counted where they meet. The optimizer drops a shuffle that a side ends with, as
+    rows are dealt anew right after it, and runs one shuffle if both sides come down to the same.
+    """
+    if hot is None:
+        both = a.withColumn("__sign", F.lit(1)).unionByName(b.withColumn("__sign", F.lit(-1)))
+        return both.groupBy(*_quoted(a.columns)).agg(F.sum("__sign").alias("surplus")).filter("surplus <> 0")
+    columns = _plain(a)
+    if not hot:
+        return signed_counts(a.repartition(*columns), b.repartition(*columns))
+    many = _bucket(columns).isin(list(hot))
+    few = signed_counts(a.filter(~many), b.filter(~many), [])
+    return few.unionByName(signed_counts(a.filter(many), b.filter(many)))
 
 
 def same_rows(a: DataFrame, b: DataFrame, exact: bool = True) -> bool:
     """Do both frames hold the same rows, each as often, in whatever order?
 
     Different fingerprints settle it without shuffling a row. Equal ones (chance of error about 2^-128) are
-    confirmed by signed counts if ``exact``.
+    confirmed by signed counts if ``exact``. Both frames are read twice then: stage what is dear to compute.
     """
     b = b.select(*_quoted(a.columns))
-    if not same_fingerprint(a, b):
-        return False
-    return signed_counts(a, b).isEmpty() if exact else True
+    with freeing(a.sparkSession):
+        left, right = _fingerprints(a, b)
+        if left != right:
+            return False
+        if not exact:
+            return True
+        alike = _plain(a) and a.dtypes == b.dtypes
+        return signed_counts(a, b, _hot_buckets(a, left) if alike else None).isEmpty()
 
 
 def diff_rows(src: DataFrame, tgt: DataFrame, keys: Sequence[str]) -> DataFrame:

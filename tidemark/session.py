@@ -26,6 +26,9 @@ BROADCAST_BYTES = ("spark.tidemark.broadcast.maxBytes", 10 * 1024 * 1024)
 SKEW_MIN_BYTES = ("spark.tidemark.skew.minBytes", 256 * 1024 * 1024)
 SKEW_MIN_ROWS = ("spark.tidemark.skew.minRows", 1_000_000)
 
+#: Spark's own setting: does a query delete its shuffle files when it ends?
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def local_session(cores: int = 8, app: str = "tidemark", **extra: str) -> SparkSession:
     """A single-machine session for tests and the bench; a cluster brings its own.
@@ -91,3 +94,18 @@ def staging(spark: SparkSession) -> Iterator[str]:
     finally:
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def freeing(spark: SparkSession) -> Iterator[None]:
+    """In the block each query deletes its shuffle files when it ends.
+
+    They else stay on the executors' disks until the driver collects its garbage, beside those of the next query. For
+    frames that are read once: a second action on the very same frame would have to shuffle again.
+    """
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(FREE_SHUFFLES) if before is None else spark.conf.set(FREE_SHUFFLES, before)
