@@ -40,8 +40,8 @@ def _watched(monkeypatch):
     """The buckets that a comparison takes for hot, and the frame in which it counts rows."""
     asked, original = [], rows.signed_counts
 
-    def counts(a, b, hot=None):
-        asked.append((hot, found := original(a, b, hot)))
+    def counts(a, b, hot=None, tasks=0):
+        asked.append((hot, found := original(a, b, hot, tasks)))
         return found
 
     monkeypatch.setattr(rows, "signed_counts", counts)
@@ -57,6 +57,15 @@ def test_an_order_given_before_is_not_shuffled_to_count_rows(spark, frame, witho
     assert len(re.findall(r"(?<!Reused)Exchange hashpartitioning", plan)) == plan.count("ReusedExchange") + 1 == 2
 
 
+def test_many_rows_are_dealt_to_more_tasks_than_the_session_has(spark, frame, monkeypatch):
+    """A task counts no more rows than fit its memory, however few tasks the session has."""
+    monkeypatch.setattr(rows, "TASK_ROWS", 10)
+    df = stage(frame("k int, v string, x double", [(i, str(i % 7), i / 3) for i in range(500)]))
+    asked = _watched(monkeypatch)
+    assert rows.same_rows(df, df.repartition("v"))
+    assert "50), REPARTITION_BY_NUM" in asked[-1][1]._jdf.queryExecution().executedPlan().toString()
+
+
 def test_many_copies_of_a_row_are_added_up_before_the_shuffle(spark, frame, monkeypatch):
     """Their bucket alone is told apart, and counts as much as the others."""
     schema, one = "k int, v string, x double", (1, "same", -0.0)

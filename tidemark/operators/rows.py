@@ -13,6 +13,9 @@ from tidemark.session import SKEW_MIN_ROWS, freeing, setting
 #: Hash buckets in which a comparison counts rows, to find those with too many for one task.
 BUCKETS = 1024
 
+#: Rows of a side that one task should count at most, so that it need not spill them.
+TASK_ROWS = 500_000
+
 #: Types whose equal values have equal bytes, and so one hash wherever it is taken.
 PLAIN = (T.BooleanType, T.IntegralType, T.DecimalType, T.StringType, T.BinaryType, T.DateType, T.TimestampType)
 PLAIN += (T.TimestampNTZType,)
@@ -102,31 +105,35 @@ def same_fingerprint(a: DataFrame, b: DataFrame) -> bool:
     return left == right
 
 
-def _hot_buckets(df: DataFrame, sums: Sums) -> list[int]:
-    """The buckets with more rows than one task should read."""
+def _dealing(df: DataFrame, sums: Sums) -> tuple[list[int], int]:
+    """The buckets with more rows than one task should read, and the number of tasks for the others."""
     spark = df.sparkSession
     counts = {bucket: rows for bucket, (rows, *_) in sums.items()}
     total = sum(counts.values())
-    share = max(total // int(spark.conf.get("spark.sql.shuffle.partitions")), setting(spark, SKEW_MIN_ROWS), 1)
-    return sorted(bucket for bucket, rows in counts.items() if rows > max(2 * share, 8 * total // BUCKETS))
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // TASK_ROWS)
+    share = max(total // tasks, setting(spark, SKEW_MIN_ROWS))
+    return sorted(bucket for bucket, rows in counts.items() if rows > max(2 * share, 8 * total // BUCKETS)), tasks
 
 
-def signed_counts(a: DataFrame, b: DataFrame, hot: Sequence[int] | None = None) -> DataFrame:
+def signed_counts(a: DataFrame, b: DataFrame, hot: Sequence[int] | None = None, tasks: int = 0) -> DataFrame:
     """Rows that occur more often on one side, with ``surplus`` = copies in ``a`` minus copies in ``b``.
 
     Copies are added up in the task that reads them, before rows are shuffled, as one row may have very many. ``hot``
     states in which buckets there are many, if any, for frames with the same types: all other rows are then dealt by
     their plain columns as they are, and counted where they meet. The optimizer drops a shuffle that a side ends with, as
-    rows are dealt anew right after it, and runs one shuffle if both sides come down to the same.
+    rows are dealt anew right after it, and runs one shuffle if both sides come down to the same. ``tasks`` states over
+    how many tasks they are dealt, if these are more than the session has.
     """
     if hot is None:
         both = a.withColumn("__sign", F.lit(1)).unionByName(b.withColumn("__sign", F.lit(-1)))
         return both.groupBy(*_quoted(a.columns)).agg(F.sum("__sign").alias("surplus")).filter("surplus <> 0")
     columns = _plain(a)
     if not hot:
-        return signed_counts(a.repartition(*columns), b.repartition(*columns))
+        more = tasks > int(a.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        deal = [tasks, *columns] if more else columns
+        return signed_counts(a.repartition(*deal), b.repartition(*deal))
     many = _bucket(columns).isin(list(hot))
-    few = signed_counts(a.filter(~many), b.filter(~many), [])
+    few = signed_counts(a.filter(~many), b.filter(~many), [], tasks)
     return few.unionByName(signed_counts(a.filter(many), b.filter(many)))
 
 
@@ -144,7 +151,7 @@ def same_rows(a: DataFrame, b: DataFrame, exact: bool = True) -> bool:
         if not exact:
             return True
         alike = _plain(a) and a.dtypes == b.dtypes
-        return signed_counts(a, b, _hot_buckets(a, left) if alike else None).isEmpty()
+        return signed_counts(a, b, *(_dealing(a, left) if alike else ())).isEmpty()
 
 
 def diff_rows(src: DataFrame, tgt: DataFrame, keys: Sequence[str]) -> DataFrame:
